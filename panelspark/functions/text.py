@@ -28,8 +28,12 @@ def substr_between(c: Column | str, start: int, end: int) -> Column:
 
 
 def remove_first(c: Column | str, pattern: str) -> Column:
-    """Remove only the leftmost match of ``pattern`` (Spark replaces all by default)."""
-    return F.regexp_replace(_col(c), f"(?s)^(.*?)(?:{pattern})", "$1")
+    """Remove only the leftmost match of ``pattern`` (Spark replaces all by default).
+
+    The lazy prefix ``[\\s\\S]*?`` stops at the first position where the pattern
+    matches; the pattern itself keeps the default meaning of ``.``.
+    """
+    return F.regexp_replace(_col(c), f"^([\\s\\S]*?)(?:{pattern})", "$1")
 
 
 def remove_all(c: Column | str, pattern: str) -> Column:

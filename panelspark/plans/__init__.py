@@ -1,0 +1 @@
+"""Published tables built from the operators, and the driver-table query catalogue."""
