@@ -16,15 +16,30 @@ from panelspark.functions.text import split_piece
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+_SIZE_CHECKS: dict[tuple, bool] = {}
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when the
+    side is large.  The answer is remembered per session and plan
+    (``semanticHash``), so a lookup used by many queries is counted once.
+    """
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    small = _SIZE_CHECKS.get(key)
+    if small is None:
+        small = _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return small
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when the
-    side is large.  Above the bound the frame is returned unhinted and the join is
-    planned as a shuffle join (with AQE able to re-plan it at runtime).
+    Above the bound the frame is returned unhinted and the join is planned as a
+    shuffle join (with AQE able to re-plan it at runtime).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def rename_strict(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

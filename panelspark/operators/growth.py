@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +41,8 @@ def with_global_index(df: DataFrame, order: Sequence[str], name: str = GIDX,
 
     The range-partitioned, sorted frame is checkpointed to the session's reliable
     checkpoint folder first: range bounds come from sampling, so without it a task
-    re-run after an executor loss could see different partitions.  The per-partition
+    re-run after an executor loss could see different partitions.  The input is
+    meant to be an aggregate (one row per series and period), not raw facts.  The per-partition
     count table has one row per partition (bounded by ``partitions``) and is
     broadcast.
     """
@@ -48,7 +50,13 @@ def with_global_index(df: DataFrame, order: Sequence[str], name: str = GIDX,
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _order_cols(order)
-    ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    # The range bounds are sampled by a job of their own; keep the input cached so
+    # sampling and the checkpoint write compute it once.
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ordered = source.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    finally:
+        source.unpersist()
     tagged = (ordered.withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("long"), 33)))

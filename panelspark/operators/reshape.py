@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.functions.missing import sum_skip_missing
+
 
 def explode_pairs(df: DataFrame, array_col: str, parents: Sequence[str],
                   names: tuple[str, str] = ("V1", "V2")) -> DataFrame:
@@ -25,28 +27,75 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+# Up to this many key values a pivot is one conditional aggregation (one shuffle);
+# beyond it Spark's own pivot (two aggregations, but compact for wide outputs).
+INLINE_PIVOT_VALUES = 64
+
+
+def pivot_values(df: DataFrame, key: str) -> list:
+    """Distinct non-NULL key values, sorted (the column order ``spread`` produces).
+
+    Bounded by ``spark.sql.pivotMaxValues``, as for Spark's own pivot.
+    """
+    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+    vals = [r[0] for r in df.select(key).where(F.col(key).isNotNull()).distinct().limit(limit + 1).collect()]
+    if len(vals) > limit:
+        raise ValueError(f"more than {limit} distinct values in pivot column {key!r}")
+    return sorted(vals)
+
+
 def pivot_wide(df: DataFrame, key: str, value: str, ids: Sequence[str] | None = None,
                values: Sequence[str] | None = None, strict: bool = True) -> DataFrame:
     """Long to wide (``spread``): one column per key value, absent pairs NULL.
 
     ``ids`` defaults to every other column.  ``values`` should be declared when
-    known (saves the distinct job and fixes the column set).  With ``strict`` a
-    repeated (ids, key) pair fails the query at run time, as ``spread`` does, instead
-    of silently keeping one value; the check rides in the same aggregation.
+    known (saves the distinct job and fixes the column set); rows whose key is
+    NULL make no column.  With ``strict`` a repeated (ids, key) pair fails the query
+    at run time, as ``spread`` does, instead of silently keeping one value; the
+    check rides in the same aggregation.
     """
     ids = list(ids) if ids is not None else [c for c in df.columns if c not in (key, value)]
-    grouped = df.groupBy(*ids)
-    pivoted = grouped.pivot(key, list(values)) if values is not None else grouped.pivot(key)
+    values = list(values) if values is not None else pivot_values(df, key)
+    msg = f"duplicate ({', '.join(ids)}, {key}) pair in pivot"
+    if len(values) <= INLINE_PIVOT_VALUES:
+        k, v = F.col(key), F.col(value)
+        aggs = []
+        for val in values:
+            hit = k == F.lit(val)
+            cell = F.first(F.when(hit, v), ignorenulls=True)
+            if strict:
+                cell = F.when(F.count(F.when(hit, F.lit(1))) > 1, F.raise_error(F.lit(msg))).otherwise(cell)
+            aggs.append(cell.alias(str(val)))
+        return df.groupBy(*ids).agg(*aggs)
+    pivoted = df.groupBy(*ids).pivot(key, values)
     if not strict:
         return pivoted.agg(F.first(value))
     wide = pivoted.agg(F.first(value).alias("v"), F.count(F.lit(1)).alias("n"))
-    keys = [c[:-2] for c in wide.columns if c.endswith("_v") and c not in ids]
-    msg = f"duplicate ({', '.join(ids)}, {key}) pair in pivot"
-    checked = [F.when(F.col(f"`{k}_n`") > 1, F.raise_error(F.lit(msg))).otherwise(F.col(f"`{k}_v`")).alias(k)
-               for k in keys]
+    checked = [F.when(F.col(f"`{val}_n`") > 1, F.raise_error(F.lit(msg))).otherwise(F.col(f"`{val}_v`"))
+               .alias(str(val)) for val in values]
     return wide.select(*ids, *checked)
 
 
+def pivot_sum(df: DataFrame, key: str, value: str, ids: Sequence[str], values: Sequence[str] | None = None,
+              exact_scale: int | None = None) -> DataFrame:
+    """Grouped NA-safe sums spread wide in one aggregation (``summarise`` then ``spread``).
+
+    A (ids, key) group that exists but holds only missing values sums to 0; a
+    group that does not exist stays NULL (fill it with ``fill_zero`` if wanted).
+    """
+    values = list(values) if values is not None else pivot_values(df, key)
+    if len(values) > INLINE_PIVOT_VALUES:
+        long = df.groupBy(*ids, key).agg(sum_skip_missing(value, exact_scale).alias(value))
+        return pivot_wide(long, key, value, ids=ids, values=values, strict=False)
+    k = F.col(key)
+    aggs = []
+    for val in values:
+        hit = k == F.lit(val)
+        total = sum_skip_missing(F.when(hit, F.col(value)), exact_scale)
+        aggs.append(F.when(F.count(F.when(hit, F.lit(1))) > 0, total).alias(str(val)))
+    return df.groupBy(*ids).agg(*aggs)
+
+
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace NULL (and NaN) by 0 in the given value columns only."""
     return df.fillna(0, subset=list(cols))

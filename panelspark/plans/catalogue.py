@@ -24,9 +24,10 @@ from panelspark.functions import (extract_first, if_else, month_label, paste,
                                   quarter_end_label, quarter_label, recode, remove_all, remove_first,
                                   safe_double, sentence_case, substr_between, trim_space, unify)
 from panelspark.functions.missing import nan, sum_skip_missing
+from panelspark.operators.frames import DEFAULT_BROADCAST_ROWS
 from panelspark.operators import (checked_broadcast, detail_plus_total, duplicate_keys, explode_pairs,
-                                  fill_zero, growth, join_panels, lookup_join, merge_keep_left,
-                                  pivot_wide, rename_strict, rollup_period, row_sum, select_prefix,
+                                  fill_zero, fits_broadcast, growth, join_panels, lookup_join, merge_keep_left,
+                                  pivot_sum, pivot_wide, rename_strict, rollup_period, row_sum, select_prefix,
                                   split_column, sum_by_period, union_by_name, with_columns_chained,
                                   with_global_index, with_totals)
 from panelspark.plans import mining
@@ -59,26 +60,30 @@ def geography(spark: SparkSession, d: str) -> DataFrame:
     return nation.join(checked_broadcast(region), "n_regionkey").drop("n_regionkey")
 
 
-def facts(spark: SparkSession, d: str) -> DataFrame:
-    """Line items summed per (supplier, flag, year, quarter), then placed by supplier nation.
+def facts(spark: SparkSession, d: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Line items placed by their supplier's nation and region.
 
-    The sums are taken *before* the supplier join: the join then sees one row per
-    supplier and period instead of one per line item, and a supplier holding a
-    third of all rows is combined map-side before any shuffle.
+    When the supplier -> nation -> region map passes the broadcast size check,
+    line items join it by broadcast and every later sum is a single aggregation.
+    Beyond the bound (a supplier table that grows with the data), line items are
+    first summed per (supplier, flag, year, quarter): the shuffle join then sees
+    one row per supplier and period instead of one per line item, and a supplier
+    holding a third of all rows is combined map-side before any shuffle.  Both
+    plans give the same sums (exact decimals).
     """
     li = table(spark, d, "lineitem").select(
         "l_suppkey", "l_returnflag",
         F.year("l_shipdate").cast("int").alias("yr"), F.quarter("l_shipdate").cast("int").alias("qtr"),
-        "l_extendedprice", "l_quantity")
+        F.col("l_extendedprice").alias("prod"), F.col("l_quantity").alias("emp"))
+    sup = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"),
+                                             F.col("s_nationkey").alias("n_nationkey"))
+    placed = sup.join(checked_broadcast(geography(spark, d)), "n_nationkey").drop("n_nationkey")
+    placed = placed.withColumn("county", F.lower("n_name"))
+    if fits_broadcast(placed, max_broadcast_rows):
+        return li.join(F.broadcast(placed), "l_suppkey").drop("l_suppkey")
     pre = li.groupBy("l_suppkey", "l_returnflag", "yr", "qtr").agg(
-        sum_skip_missing("l_extendedprice", 2).alias("prod"),
-        sum_skip_missing("l_quantity", 2).alias("emp"))
-    sup = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    geo = geography(spark, d).withColumnRenamed("n_nationkey", "s_nationkey")
-    return (pre.join(checked_broadcast(sup), "l_suppkey")
-            .join(checked_broadcast(geo), "s_nationkey")
-            .withColumn("county", F.lower("n_name"))
-            .drop("s_nationkey", "l_suppkey"))
+        sum_skip_missing("prod", 2).alias("prod"), sum_skip_missing("emp", 2).alias("emp"))
+    return pre.join(placed, "l_suppkey").drop("l_suppkey")
 
 
 MINE = mining.MineCols(year="yr", quarter="qtr", production="prod", employment="emp", region="r_name",
@@ -523,9 +528,9 @@ def q_pivot_long_to_wide(spark, d):
 
 
 def _order_flags(spark, d) -> DataFrame:
+    """Quantity per order and flag, spread wide in one aggregation, absent flags 0."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
-    long = sum_by_period(li, ["l_orderkey", "l_returnflag"], {"quantity": "l_quantity"}, exact_scale=2)
-    wide = pivot_wide(long, "l_returnflag", "quantity", ids=["l_orderkey"], values=["A", "N", "R"])
+    wide = pivot_sum(li, "l_returnflag", "l_quantity", ids=["l_orderkey"], values=["A", "N", "R"], exact_scale=2)
     return fill_zero(wide, ["A", "N", "R"])
 
 

@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.labels import month_label, recode, safe_double, safe_int, unify
 from panelspark.functions.text import paste, remove_all, remove_first, substr_between
-from panelspark.operators.aggregate import sum_by_period
 from panelspark.operators.frames import join_panels, lookup_join
-from panelspark.operators.reshape import explode_pairs, fill_zero, pivot_wide, row_sum
+from panelspark.operators.reshape import explode_pairs, fill_zero, pivot_sum, pivot_wide, row_sum
 
 # Producer kept, national spellings, and energy source -> series code.
 TOTAL_PRODUCER = "Total Electric Power Industry"
@@ -127,8 +126,7 @@ def generation_annual(sheets: DataFrame, codes: list[str] | None = None) -> Data
     default every code present becomes a column (sorted), as in the original.
     """
     g = generation_long(sheets).withColumn("state", unify("state", NATIONAL_SPELLINGS, "US"))
-    annual = sum_by_period(g, ["year", "state", "energysource"], {"annual_gen": "generation"})
-    wide = pivot_wide(annual, "energysource", "annual_gen", ids=["year", "state"], values=codes)
+    wide = pivot_sum(g, "energysource", "generation", ids=["year", "state"], values=codes)
     value_cols = [c for c in wide.columns if c not in ("year", "state")]
     missing = [c for c in RENEWABLE_CODES if c not in value_cols]
     if missing:

@@ -145,6 +145,15 @@ def _scope(compat: bool) -> str:
     return "global" if compat else "series"
 
 
+def _for_global_lags(cube: DataFrame, compat: bool) -> DataFrame:
+    """Lags across series build a global row index, which runs jobs of its own.
+
+    Checkpoint the (small) cube first so those jobs and the final query read it
+    instead of recomputing it from the facts.
+    """
+    return cube.checkpoint(eager=True) if compat else cube
+
+
 # ---------------------------------------------------------------- P2, P3
 
 def production_by_region(cube: DataFrame, c: MineCols = DEFAULT) -> DataFrame:
@@ -207,6 +216,7 @@ def _county_series(cube: DataFrame, c: MineCols, measure: str, v: str, with_chan
 def production_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols = DEFAULT,
                          compat: bool = True) -> DataFrame:
     v = "clpctp"
+    cube = _for_global_lags(cube, compat)
     out = _label(_county_series(cube, c, PROD, v, False, county_lookup, compat), c)
     extra = [COMPAT_CHECK_COL] if compat else []
     look = [x for x in out.columns if x not in (c.county, c.year, c.quarter, v, f"{v}_YOY_County",
@@ -219,6 +229,7 @@ def production_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols
 
 def employment_by_mtype(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = True) -> DataFrame:
     v = "clpetp"
+    cube = _for_global_lags(cube, compat)
     d, t = _series_and_total(cube, c, c.mtype, EMP, v, _rates(v, "mtype", True),
                              _rates(v, "Total", True, "TotalChange"), _scope(compat))
     out = d.unionByName(t.withColumn(c.region, F.lit(TOTAL)), allowMissingColumns=True)
@@ -245,6 +256,7 @@ def employment_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols
                          compat: bool = True) -> DataFrame:
     """County rows and region rows stacked; county cells backfilled from the region ones."""
     v, r = "clpcte", "clprte"
+    cube = _for_global_lags(cube, compat)
     county = _county_series(cube, c, EMP, v, True, county_lookup, compat)
     county = county.select(c.county, c.year, c.quarter, v, f"{v}_YOY_County", f"{v}_YOY_AbsChange",
                            f"{v}_Qtr_County", f"{v}_Qtr_AbsChange",
@@ -262,6 +274,7 @@ def employment_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols
 def employment_by_region(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = True) -> DataFrame:
     """Region rows + the Total series; the absolute changes are not backfilled."""
     v, r = "clpetp", "clprte"
+    cube = _for_global_lags(cube, compat)
     region = _region_employment(cube, c, compat)
     agg = (cube.groupBy(*_period(c)).agg(sum_skip_missing(EMP, c.exact_scale).alias(v))
            .withColumn(IS_TOTAL, F.lit(True)))

@@ -50,12 +50,21 @@ def test_filter_and_projection_reach_the_scan(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_totalprice:double>" in plan
 
 
-def test_lookups_broadcast_and_facts_preaggregated(spark):
-    plan = _plan(QUERIES["sum_by_period"](spark, SF))
-    assert "BroadcastHashJoin" in plan
+def test_facts_plans_broadcast_or_preaggregate(spark):
+    from panelspark.operators import sum_by_period
+    from panelspark.plans import catalogue
+
+    small = sum_by_period(catalogue.facts(spark, SF), ["r_name", "yr", "qtr"], {"p": "prod"}, exact_scale=2)
+    plan = _plan(small)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "l_shipdate" in plan and "l_orderkey" not in plan   # pruned lineitem scan
-    # partial aggregation happens below the first shuffle
-    assert plan.count("HashAggregate") >= 4
+    # Beyond the broadcast bound: line items are summed per supplier before the shuffle join.
+    big = sum_by_period(catalogue.facts(spark, SF, max_broadcast_rows=1), ["r_name", "yr", "qtr"], {"p": "prod"},
+                        exact_scale=2)
+    plan_big = _plan(big)
+    assert plan_big.count("HashAggregate") >= 4
+    assert "HashAggregate(keys=[l_suppkey" in plan_big            # summed per supplier before the join
+    assert sorted(small.collect()) == sorted(big.collect())
 
 
 def test_global_order_queries_avoid_single_partition(spark):
