@@ -42,13 +42,18 @@ def is_missing(c: Column | str) -> Column:
 def sum_skip_missing(c: Column | str, exact_scale: int | None = None) -> Column:
     """Aggregate: sum ignoring NULL and NaN; an all-missing group gives 0.
 
-    ``exact_scale`` sums the values as DECIMAL(18, scale), which makes the result
-    independent of the order partial sums arrive in (money with cents).
+    ``exact_scale`` is for values with at most that many decimals (money in
+    cents): each value is summed as a whole number of 10^-scale units in a BIGINT
+    (an overflow raises, it never wraps), and the total is turned into a double
+    once per group via DECIMAL, so the result is the correctly rounded exact sum,
+    whatever the order partial sums arrive in.  Values must be finite.
     """
     v = nan_to_null(c)
-    if exact_scale is not None:
-        v = v.cast(DecimalType(18, exact_scale))
-    return F.coalesce(F.sum(v).cast("double"), F.lit(0.0))
+    if exact_scale is None:
+        return F.coalesce(F.sum(v), F.lit(0.0))
+    units = F.rint(v * F.lit(float(10 ** exact_scale))).cast("long")
+    exact = F.sum(units).cast(DecimalType(38, 0)) / F.lit(10 ** exact_scale)
+    return F.coalesce(exact.cast("double"), F.lit(0.0))
 
 
 def ieee_divide(num: Column | str, den: Column | str, zero_base: str = "ieee") -> Column:

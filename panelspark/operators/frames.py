@@ -145,10 +145,13 @@ def backfill_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     in floating columns.
     """
     types = dict((f.name, f.dataType) for f in df.schema.fields)
+    batch: dict[str, Column] = {}
     for target, source in mapping.items():
+        if source in batch or target in batch:   # depends on an earlier backfill: apply those first
+            df, batch = df.withColumns(batch), {}
         numeric = isinstance(types.get(target), (DoubleType, FloatType))
-        df = df.withColumn(target, backfill(target, source, numeric=numeric))
-    return df
+        batch[target] = backfill(target, source, numeric=numeric)
+    return df.withColumns(batch) if batch else df
 
 
 def split_column(df: DataFrame, col: str, into: Sequence[str], sep: str = ",", drop: bool = True) -> DataFrame:

@@ -115,19 +115,36 @@ def _label(df: DataFrame, c: MineCols) -> DataFrame:
 
 
 def _series_and_total(cube: DataFrame, c: MineCols, dim: str, measure: str, value: str,
-                      detail: dict, total: dict, detail_scope: str, outer: tuple[str, ...] = ()):
+                      detail: dict, total: dict, detail_scope: str, outer: tuple[str, ...] = (),
+                      total_labels: dict[str, str] | None = None) -> DataFrame:
     """Detail rows per dim and one Total series per outer key, from one grouping-sets pass.
 
-    Returns (detail_rows, total_rows) with their growth columns; the caller unions
-    them.  Total growth always runs within its own series.
+    ``detail``/``total`` name the growth columns: {"rates": {name: n}, "changes": {name: n}}.
+    A detail column is NULL on total rows and the other way round, as after stacking
+    the two tables.  With per-series detail lags, detail and total series share one
+    window (partitioned by the total flag and the dimension), so the facts are read
+    once.  Lags across detail series need their own global index, so only then the
+    two parts are lagged apart and stacked.  ``total_labels`` sets label columns on
+    total rows (NULL on detail rows).
     """
     agg = with_totals(cube, dim, _period(c), {value: measure}, outer=list(outer), keep_flag=True,
                       exact_scale=c.exact_scale)
-    d = agg.where(~F.col(IS_TOTAL))
-    t = agg.where(F.col(IS_TOTAL))
-    d = growth(d, value, [*outer, dim], _period(c), scope=detail_scope, **detail)
-    t = growth(t, value, [*outer, IS_TOTAL], _period(c), scope="series", **total)
-    return d.drop(IS_TOTAL), t.drop(IS_TOTAL)
+    generic = {"rates": {f"_r{n}": n for n in (4, 1)}, "changes": {f"_c{n}": n for n in (4, 1)}}
+    if detail_scope == "series":
+        g = growth(agg, value, [*outer, IS_TOTAL, dim], _period(c), **generic)
+    else:
+        d = growth(agg.where(~F.col(IS_TOTAL)), value, [*outer, dim], _period(c), scope=detail_scope, **generic)
+        t = growth(agg.where(F.col(IS_TOTAL)), value, [*outer, IS_TOTAL], _period(c), **generic)
+        g = d.unionByName(t)
+    flag = F.col(IS_TOTAL)
+    named = {}
+    for names, on in ((detail, ~flag), (total, flag)):
+        for kind, prefix in (("rates", "_r"), ("changes", "_c")):
+            for name, n in names.get(kind, {}).items():
+                named[name] = F.when(on, F.col(f"{prefix}{n}"))
+    for col, label in (total_labels or {}).items():
+        named[col] = F.when(flag, F.lit(label))
+    return g.withColumns(named).drop(IS_TOTAL, *[f"_{k}{n}" for k in "rc" for n in (4, 1)])
 
 
 def _county_names(df: DataFrame, c: MineCols, compat: bool) -> DataFrame:
@@ -158,9 +175,8 @@ def _for_global_lags(cube: DataFrame, compat: bool) -> DataFrame:
 
 def production_by_region(cube: DataFrame, c: MineCols = DEFAULT) -> DataFrame:
     v = "clpttp"
-    d, t = _series_and_total(cube, c, c.region, PROD, v, _rates(v, "Region", False),
-                             _rates(v, "Total", False), "series")
-    out = d.unionByName(t.withColumn(c.mtype, F.lit(TOTAL)), allowMissingColumns=True)
+    out = _series_and_total(cube, c, c.region, PROD, v, _rates(v, "Region", False),
+                            _rates(v, "Total", False), "series", total_labels={c.mtype: TOTAL})
     out = _label(out, c)
     out = backfill_columns(out, {f"{v}_YOY_Region": f"{v}_YOY_Total", f"{v}_Qtr_Region": f"{v}_Qtr_Total"})
     return out.select(c.region, c.year, c.quarter, v, f"{v}_YOY_Region", f"{v}_Qtr_Region",
@@ -169,9 +185,8 @@ def production_by_region(cube: DataFrame, c: MineCols = DEFAULT) -> DataFrame:
 
 def production_by_mtype(cube: DataFrame, c: MineCols = DEFAULT) -> DataFrame:
     v = "clpttp"
-    d, t = _series_and_total(cube, c, c.mtype, PROD, v, _rates(v, "Mtype", False),
-                             _rates(v, "Total", False), "series")
-    out = d.unionByName(t.withColumn(c.region, F.lit(TOTAL)), allowMissingColumns=True)
+    out = _series_and_total(cube, c, c.mtype, PROD, v, _rates(v, "Mtype", False),
+                            _rates(v, "Total", False), "series", total_labels={c.region: TOTAL})
     out = _label(out, c)
     out = backfill_columns(out, {f"{v}_YOY_Mtype": f"{v}_YOY_Total", f"{v}_Qtr_Mtype": f"{v}_Qtr_Total"})
     return out.select(c.mtype, c.year, c.quarter, v, f"{v}_YOY_Mtype", f"{v}_Qtr_Mtype",
@@ -187,9 +202,8 @@ def production_region_pages(cube: DataFrame, c: MineCols = DEFAULT) -> DataFrame
     ``region_page`` renames them to the region's name.
     """
     v = "clpttp"
-    d, t = _series_and_total(cube, c, c.mtype, PROD, v, _rates(v, "Mtype", False),
-                             _rates(v, "Area", False), "series", outer=(c.region,))
-    out = d.unionByName(t, allowMissingColumns=True)
+    out = _series_and_total(cube, c, c.mtype, PROD, v, _rates(v, "Mtype", False),
+                            _rates(v, "Area", False), "series", outer=(c.region,))
     out = _label(out, c)
     out = backfill_columns(out, {f"{v}_YOY_Mtype": f"{v}_YOY_Area", f"{v}_Qtr_Mtype": f"{v}_Qtr_Area"})
     return out.select(c.region, c.mtype, c.year, c.quarter, v, f"{v}_YOY_Mtype", f"{v}_Qtr_Mtype",
@@ -230,9 +244,9 @@ def production_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols
 def employment_by_mtype(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = True) -> DataFrame:
     v = "clpetp"
     cube = _for_global_lags(cube, compat)
-    d, t = _series_and_total(cube, c, c.mtype, EMP, v, _rates(v, "mtype", True),
-                             _rates(v, "Total", True, "TotalChange"), _scope(compat))
-    out = d.unionByName(t.withColumn(c.region, F.lit(TOTAL)), allowMissingColumns=True)
+    out = _series_and_total(cube, c, c.mtype, EMP, v, _rates(v, "mtype", True),
+                            _rates(v, "Total", True, "TotalChange"), _scope(compat),
+                            total_labels={c.region: TOTAL})
     out = _label(out, c)
     out = backfill_columns(out, {
         f"{v}_YOY_mtype": f"{v}_YOY_Total", f"{v}_Qtr_mtype": f"{v}_Qtr_Total",
