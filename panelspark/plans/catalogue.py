@@ -30,7 +30,7 @@ from panelspark.operators import (checked_broadcast, detail_plus_total, duplicat
                                   pivot_sum, pivot_wide, rename_strict, rollup_period, row_sum, select_prefix,
                                   split_column, sum_by_period, union_by_name, with_columns_chained,
                                   with_global_index, with_totals)
-from panelspark.plans import mining
+from panelspark.plans import energy_panel, mining
 from panelspark.sources import contiguous_year_prefix
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -675,10 +675,12 @@ def q_panel_left_join(spark, d):
     lp = lp.withColumn("codeyr", paste("_", "n_name", "yr"))
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"),
                                          F.year("o_orderdate").cast("int").alias("yr"), "o_totalprice")
+    # Sum per customer and year before the customer join: a hot customer collapses map-side.
+    o = sum_by_period(o, ["c_custkey", "yr"], {"order_total": "o_totalprice"}, exact_scale=2)
     cust = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     oc = o.join(cust, "c_custkey").join(checked_broadcast(geography(spark, d).select("n_nationkey", "n_name")),
                                         "n_nationkey")
-    op = sum_by_period(oc, ["n_name", "yr"], {"order_total": "o_totalprice"}, exact_scale=2)
+    op = sum_by_period(oc, ["n_name", "yr"], {"order_total": "order_total"}, exact_scale=2)
     op = op.withColumn("codeyr", paste("_", "n_name", "yr"))
     return join_panels(lp, op, "codeyr", drop_right=["n_name", "yr"])
 
@@ -782,8 +784,9 @@ FROM (SELECT DISTINCT n.n_name, CAST(year(o.o_orderdate) AS INTEGER) AS yr
       FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)""")
 def q_composite_key(spark, d):
     """A NULL part keeps the key NULL by default; ``na_text`` writes it as 'NA'."""
+    # Distinct (customer, year) before the customer join: a hot customer collapses map-side.
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"),
-                                         F.year("o_orderdate").cast("int").alias("yr"))
+                                         F.year("o_orderdate").cast("int").alias("yr")).distinct()
     cust = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     nat = checked_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
     keys = o.join(cust, "c_custkey").join(nat, "n_nationkey").select("n_name", "yr").distinct()
@@ -881,3 +884,88 @@ def q_contiguous_year_prefix(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").cast("int").alias("yr"))
     return contiguous_year_prefix(o.where(F.col("yr") != 1998), "yr", 1995)
 
+
+
+# ------------------------------------------------------------------ monthly generation tables
+
+# Fixed values for the generation analogue on the driver tables.
+SHEET_NATIONAL = {"NATION_0": "US-TOTAL", "NATION_1": "US-Total"}
+SHEET_SOURCES = {"A": "EGA", "N": "EGN"}
+SHEET_RENEWABLES = ["EGA", "EGN"]
+OTHER_PRODUCER = "Other producers"
+
+
+def generation_sheet(spark: SparkSession, d: str) -> DataFrame:
+    """Monthly 'generation' rows: line-item quantity per (year, month, state, producer, source).
+
+    State is the supplier's nation (two nations spell the national total two ways),
+    producer comes from the line status, source is the return flag.
+    """
+    li = table(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("s_suppkey"), "l_returnflag", "l_linestatus", "l_quantity",
+        F.year("l_shipdate").cast("int").alias("year"), F.month("l_shipdate").cast("int").alias("month"))
+    sup = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
+    placed = sup.join(checked_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name")), "n_nationkey")
+    rows = li.join(checked_broadcast(placed), "s_suppkey").select(
+        "year", "month", recode("n_name", SHEET_NATIONAL).alias("state"),
+        F.when(F.col("l_linestatus") == "F", F.lit(energy_panel.TOTAL_PRODUCER))
+        .otherwise(F.lit(OTHER_PRODUCER)).alias("typeofproducer"),
+        F.col("l_returnflag").alias("energysource"), "l_quantity")
+    return sum_by_period(rows, ["year", "month", "state", "typeofproducer", "energysource"],
+                         {"generation": "l_quantity"}, exact_scale=2)
+
+
+SHEET_SQL = f"""
+WITH sheet AS (
+  SELECT CAST(year(l.l_shipdate) AS INTEGER) AS year, CAST(month(l.l_shipdate) AS INTEGER) AS month,
+         CASE WHEN n.n_name = 'NATION_0' THEN 'US-TOTAL' WHEN n.n_name = 'NATION_1' THEN 'US-Total'
+              ELSE n.n_name END AS state,
+         CASE WHEN l.l_linestatus = 'F' THEN '{energy_panel.TOTAL_PRODUCER}' ELSE '{OTHER_PRODUCER}' END
+           AS typeofproducer,
+         l.l_returnflag AS energysource,
+         {_sum('CAST(l.l_quantity AS DECIMAL(18,2))')} AS generation
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
+  GROUP BY 1, 2, 3, 4, 5),
+total AS (SELECT *, CAST(year AS VARCHAR) || '-' || CAST(month AS VARCHAR) || '-01' AS year_month
+          FROM sheet WHERE typeofproducer = '{energy_panel.TOTAL_PRODUCER}')
+"""
+
+
+@register("generation_long", SHEET_SQL + """
+SELECT year, month, state, typeofproducer,
+       CASE energysource WHEN 'A' THEN 'EGA' WHEN 'N' THEN 'EGN' ELSE energysource END AS energysource,
+       generation, year_month
+FROM total""")
+def q_generation_long(spark, d):
+    """Monthly rows of the total producer, sources recoded (one unmapped)."""
+    return energy_panel.generation_long(generation_sheet(spark, d), source_codes=SHEET_SOURCES)
+
+
+@register("generation_monthly_wide", SHEET_SQL + """
+SELECT year, month, state, typeofproducer, year_month,
+       max(generation) FILTER (WHERE energysource = 'A') AS A,
+       max(generation) FILTER (WHERE energysource = 'N') AS N,
+       max(generation) FILTER (WHERE energysource = 'R') AS R
+FROM total GROUP BY year, month, state, typeofproducer, year_month""")
+def q_generation_monthly_wide(spark, d):
+    """Monthly table spread wide by source, columns from the data."""
+    return energy_panel.generation_monthly(generation_sheet(spark, d))
+
+
+def _annual_col(code: str) -> str:
+    s = f"SUM(CAST(generation AS DECIMAL(18,2))) FILTER (WHERE energysource = '{code}')"
+    return f"CAST(COALESCE({s}, 0) AS DOUBLE) AS {code}"
+
+
+@register("generation_annual_wide", SHEET_SQL + f"""
+, g AS (SELECT year, CASE WHEN state IN ('US-TOTAL', 'US-Total') THEN 'US' ELSE state END AS state,
+               CASE energysource WHEN 'A' THEN 'EGA' WHEN 'N' THEN 'EGN' ELSE energysource END AS energysource,
+               generation
+        FROM total),
+w AS (SELECT year, state, {_annual_col('EGA')}, {_annual_col('EGN')}, {_annual_col('R')} FROM g GROUP BY year, state)
+SELECT year, state AS statecode, EGA, EGN, R, state || '_' || CAST(year AS VARCHAR) AS codeyr, EGA + EGN AS EGREP
+FROM w""")
+def q_generation_annual_wide(spark, d):
+    """Annual sums per state wide by source code, national spellings unified, zero-filled, renewables total."""
+    return energy_panel.generation_annual(generation_sheet(spark, d), source_codes=SHEET_SOURCES,
+                                          renewables=SHEET_RENEWABLES, exact_scale=2)

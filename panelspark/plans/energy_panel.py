@@ -96,43 +96,49 @@ def state_year_panel(series: DataFrame, state_lookup: DataFrame, groups: list[st
 
 # ---------------------------------------------------------------- P16, P11
 
-def generation_long(sheets: DataFrame, recode_sources: bool = True) -> DataFrame:
+def generation_long(sheets: DataFrame, recode_sources: bool = True, source_codes: dict = SOURCE_CODES,
+                    producer: str = TOTAL_PRODUCER) -> DataFrame:
     """Monthly generation of the total producer, with a ``year-month-01`` label.
 
     With ``recode_sources`` energy source names become series codes (unmapped
     names are kept).
     """
     g = sheets.select("year", "month", "state", "typeofproducer", "energysource", "generation")
-    g = g.withColumn("year_month", month_label("year", "month")).where(F.col("typeofproducer") == TOTAL_PRODUCER)
+    g = g.withColumn("year_month", month_label("year", "month")).where(F.col("typeofproducer") == producer)
     if recode_sources:
-        g = g.withColumn("energysource", recode("energysource", SOURCE_CODES))
+        g = g.withColumn("energysource", recode("energysource", source_codes))
     return g
 
 
-def generation_monthly(sheets: DataFrame, sources: list[str] | None = None) -> DataFrame:
+def generation_monthly(sheets: DataFrame, sources: list[str] | None = None,
+                       producer: str = TOTAL_PRODUCER) -> DataFrame:
     """Monthly generation wide, one column per source name (the long names)."""
-    g = generation_long(sheets, recode_sources=False)
+    g = generation_long(sheets, recode_sources=False, producer=producer)
     return pivot_wide(g, "energysource", "generation",
                       ids=["year", "month", "state", "typeofproducer", "year_month"], values=sources)
 
 
 # ---------------------------------------------------------------- P12, P13
 
-def generation_annual(sheets: DataFrame, codes: list[str] | None = None) -> DataFrame:
-    """Annual generation per state, wide by series code, zero-filled, with EGREP.
+def generation_annual(sheets: DataFrame, codes: list[str] | None = None, source_codes: dict = SOURCE_CODES,
+                      renewables: list[str] = RENEWABLE_CODES, producer: str = TOTAL_PRODUCER,
+                      national: list[str] = NATIONAL_SPELLINGS, exact_scale: int | None = None) -> DataFrame:
+    """Annual generation per state, wide by series code, zero-filled, with the renewables total EGREP.
 
     National spellings are unified to ``US``.  Only the pivoted value columns are
     zero-filled; a NULL key stays NULL.  ``codes`` fixes the column list; by
     default every code present becomes a column (sorted), as in the original.
+    The monthly rows are summed and spread in one aggregation.
     """
-    g = generation_long(sheets).withColumn("state", unify("state", NATIONAL_SPELLINGS, "US"))
-    wide = pivot_sum(g, "energysource", "generation", ids=["year", "state"], values=codes)
+    g = generation_long(sheets, source_codes=source_codes, producer=producer)
+    g = g.withColumn("state", unify("state", national, "US"))
+    wide = pivot_sum(g, "energysource", "generation", ids=["year", "state"], values=codes, exact_scale=exact_scale)
     value_cols = [c for c in wide.columns if c not in ("year", "state")]
-    missing = [c for c in RENEWABLE_CODES if c not in value_cols]
+    missing = [c for c in renewables if c not in value_cols]
     if missing:
         raise KeyError(f"renewables total needs columns {missing}")
     wide = fill_zero(wide, value_cols)
-    wide = wide.withColumns({"codeyr": paste("_", "state", "year"), "EGREP": row_sum(RENEWABLE_CODES)})
+    wide = wide.withColumns({"codeyr": paste("_", "state", "year"), "EGREP": row_sum(renewables)})
     return wide.withColumnRenamed("state", "statecode")
 
 

@@ -116,7 +116,8 @@ def _label(df: DataFrame, c: MineCols) -> DataFrame:
 
 def _series_and_total(cube: DataFrame, c: MineCols, dim: str, measure: str, value: str,
                       detail: dict, total: dict, detail_scope: str, outer: tuple[str, ...] = (),
-                      total_labels: dict[str, str] | None = None) -> DataFrame:
+                      total_labels: dict[str, str] | None = None,
+                      value_names: tuple[str, str] | None = None) -> DataFrame:
     """Detail rows per dim and one Total series per outer key, from one grouping-sets pass.
 
     ``detail``/``total`` name the growth columns: {"rates": {name: n}, "changes": {name: n}}.
@@ -125,7 +126,8 @@ def _series_and_total(cube: DataFrame, c: MineCols, dim: str, measure: str, valu
     window (partitioned by the total flag and the dimension), so the facts are read
     once.  Lags across detail series need their own global index, so only then the
     two parts are lagged apart and stacked.  ``total_labels`` sets label columns on
-    total rows (NULL on detail rows).
+    total rows (NULL on detail rows).  ``value_names`` splits the summed value into
+    a detail column and a total column (each NULL on the other rows).
     """
     agg = with_totals(cube, dim, _period(c), {value: measure}, outer=list(outer), keep_flag=True,
                       exact_scale=c.exact_scale)
@@ -144,7 +146,12 @@ def _series_and_total(cube: DataFrame, c: MineCols, dim: str, measure: str, valu
                 named[name] = F.when(on, F.col(f"{prefix}{n}"))
     for col, label in (total_labels or {}).items():
         named[col] = F.when(flag, F.lit(label))
-    return g.withColumns(named).drop(IS_TOTAL, *[f"_{k}{n}" for k in "rc" for n in (4, 1)])
+    drop = [IS_TOTAL, *[f"_{k}{n}" for k in "rc" for n in (4, 1)]]
+    if value_names:
+        named[value_names[0]] = F.when(~flag, F.col(value))
+        named[value_names[1]] = F.when(flag, F.col(value))
+        drop.append(value)
+    return g.withColumns(named).drop(*drop)
 
 
 def _county_names(df: DataFrame, c: MineCols, compat: bool) -> DataFrame:
@@ -162,13 +169,14 @@ def _scope(compat: bool) -> str:
     return "global" if compat else "series"
 
 
-def _for_global_lags(cube: DataFrame, compat: bool) -> DataFrame:
-    """Lags across series build a global row index, which runs jobs of its own.
+def _materialize(cube: DataFrame) -> DataFrame:
+    """Checkpoint the (small) cube when several branches or index jobs read it.
 
-    Checkpoint the (small) cube first so those jobs and the final query read it
-    instead of recomputing it from the facts.
+    Lags across series build a global row index in jobs of their own, and a
+    table stacking two grains reads the cube twice; both then read the
+    checkpoint instead of recomputing the cube from the facts.
     """
-    return cube.checkpoint(eager=True) if compat else cube
+    return cube.checkpoint(eager=True)
 
 
 # ---------------------------------------------------------------- P2, P3
@@ -230,7 +238,6 @@ def _county_series(cube: DataFrame, c: MineCols, measure: str, v: str, with_chan
 def production_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols = DEFAULT,
                          compat: bool = True) -> DataFrame:
     v = "clpctp"
-    cube = _for_global_lags(cube, compat)
     out = _label(_county_series(cube, c, PROD, v, False, county_lookup, compat), c)
     extra = [COMPAT_CHECK_COL] if compat else []
     look = [x for x in out.columns if x not in (c.county, c.year, c.quarter, v, f"{v}_YOY_County",
@@ -243,7 +250,7 @@ def production_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols
 
 def employment_by_mtype(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = True) -> DataFrame:
     v = "clpetp"
-    cube = _for_global_lags(cube, compat)
+    cube = _materialize(cube) if compat else cube
     out = _series_and_total(cube, c, c.mtype, EMP, v, _rates(v, "mtype", True),
                             _rates(v, "Total", True, "TotalChange"), _scope(compat),
                             total_labels={c.region: TOTAL})
@@ -270,7 +277,7 @@ def employment_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols
                          compat: bool = True) -> DataFrame:
     """County rows and region rows stacked; county cells backfilled from the region ones."""
     v, r = "clpcte", "clprte"
-    cube = _for_global_lags(cube, compat)
+    cube = _materialize(cube)
     county = _county_series(cube, c, EMP, v, True, county_lookup, compat)
     county = county.select(c.county, c.year, c.quarter, v, f"{v}_YOY_County", f"{v}_YOY_AbsChange",
                            f"{v}_Qtr_County", f"{v}_Qtr_AbsChange",
@@ -286,15 +293,17 @@ def employment_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols
 
 
 def employment_by_region(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = True) -> DataFrame:
-    """Region rows + the Total series; the absolute changes are not backfilled."""
+    """Region rows + the Total series; the absolute changes are not backfilled.
+
+    With per-series lags region and total rows come from one grouping-sets pass
+    and one window; lags across region series (compat) lag the two apart.
+    """
     v, r = "clpetp", "clprte"
-    cube = _for_global_lags(cube, compat)
-    region = _region_employment(cube, c, compat)
-    agg = (cube.groupBy(*_period(c)).agg(sum_skip_missing(EMP, c.exact_scale).alias(v))
-           .withColumn(IS_TOTAL, F.lit(True)))
-    total = growth(agg, v, [IS_TOTAL], _period(c), **_rates(v, "Total", True, "TotalChange")).drop(IS_TOTAL)
-    total = total.withColumns({c.mtype: F.lit(TOTAL), c.region: F.lit(TOTAL)})
-    out = _label(region.unionByName(total, allowMissingColumns=True), c)
+    cube = _materialize(cube) if compat else cube
+    out = _series_and_total(cube, c, c.region, EMP, "_value", _rates(r, "byRegion", True),
+                            _rates(v, "Total", True, "TotalChange"), _scope(compat),
+                            total_labels={c.mtype: TOTAL}, value_names=(r, v))
+    out = _label(out, c)
     out = backfill_columns(out, {f"{r}_YOY_byRegion": f"{v}_YOY_Total", f"{r}_Qtr_byRegion": f"{v}_Qtr_Total",
                                  r: v})
     return out.select(c.region, c.year, c.quarter, r, f"{r}_YOY_byRegion", f"{r}_YOY_AbsChange",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -110,16 +110,20 @@ def contiguous_year_prefix(df: DataFrame, year_col: str, start: int) -> DataFram
     """Rows whose year belongs to the unbroken run start, start+1, ... present in the data.
 
     A later year after a gap is excluded (2010, 2011, 2013 keeps 2010 and 2011).
-    The first missing year is a scalar subquery over the distinct years, so no
-    row is moved to a single task.
+    Every year present marks itself as present and its successor (and ``start``)
+    as a candidate; the first missing year is the smallest candidate never
+    marked present.  That is one aggregation over the years, evaluated once as a
+    scalar subquery, and no row is moved to a single task.
     """
     y = F.col(year_col)
-    years = df.where(y >= start).select(y.alias("y")).distinct()
-    candidates = (years.select((F.col("y") + 1).alias("g"))
-                  .unionByName(df.sparkSession.range(1).select(F.lit(start).cast(years.schema["y"].dataType)
-                                                               .alias("g"))))
-    gaps = candidates.join(years, candidates["g"] == years["y"], "left_anti")
-    first_gap = gaps.agg(F.min("g")).scalar()
+    ytype = df.schema[year_col].dataType
+    pair = F.array(F.struct(y.alias("v"), F.lit(1).alias("present")),
+                   F.struct((y + 1).cast(ytype).alias("v"), F.lit(0).alias("present")))
+    marks = df.where(y >= start).select(F.explode(pair).alias("m")).select("m.*")
+    first = df.sparkSession.range(1).select(F.lit(start).cast(ytype).alias("v"), F.lit(0).alias("present"))
+    marks = marks.unionByName(first)
+    first_gap = (marks.groupBy("v").agg(F.max("present").alias("p")).where(F.col("p") == 0)
+                 .agg(F.min("v")).scalar())
     return df.where((y >= start) & (y < first_gap))
 
 
