@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from panelspark.functions.missing import backfill
 from panelspark.functions.text import split_piece
+from panelspark.session import session_key
 
 # Largest lookup we broadcast without a shuffle; beyond it Spark's own join choice applies.
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -26,7 +27,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> boo
     side is large.  The answer is remembered per session and plan
     (``semanticHash``), so a lookup used by many queries is counted once.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
     small = _SIZE_CHECKS.get(key)
     if small is None:
         small = _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows

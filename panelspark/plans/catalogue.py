@@ -31,6 +31,7 @@ from panelspark.operators import (checked_broadcast, detail_plus_total, duplicat
                                   split_column, sum_by_period, union_by_name, with_columns_chained,
                                   with_global_index, with_totals)
 from panelspark.plans import energy_panel, mining
+from panelspark.session import session_key
 from panelspark.sources import contiguous_year_prefix
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +54,7 @@ _TABLES: dict[tuple[str, str], DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver table as a DataFrame, opened once per session (like a catalog table)."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]

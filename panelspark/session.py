@@ -17,6 +17,8 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Remove checkpoint files once their DataFrame is garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -44,7 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder must be shared storage named by ``spark.checkpoint.dir``.
     A machine-local fallback is allowed only for a local master (tests).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -57,3 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="panelspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (for per-session caches); works with Spark Connect too."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
