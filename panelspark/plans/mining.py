@@ -17,7 +17,8 @@ re-aggregates this small cube instead of re-reading the facts.
 ``compat=True`` reproduces the published tables literally: lags of four tables
 run across series boundaries (they were computed after ``ungroup()``), and only
 "Mclean" is fixed, with a boolean check column where the second fix was written
-as a comparison.  ``compat=False`` lags within each series and fixes both names.
+as a comparison.  ``compat=False`` (the default) lags within each series and
+fixes both names.
 """
 
 from __future__ import annotations
@@ -236,7 +237,7 @@ def _county_series(cube: DataFrame, c: MineCols, measure: str, v: str, with_chan
 
 
 def production_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols = DEFAULT,
-                         compat: bool = True) -> DataFrame:
+                         compat: bool = False) -> DataFrame:
     v = "clpctp"
     out = _label(_county_series(cube, c, PROD, v, False, county_lookup, compat), c)
     extra = [COMPAT_CHECK_COL] if compat else []
@@ -248,7 +249,7 @@ def production_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols
 
 # ---------------------------------------------------------------- P7
 
-def employment_by_mtype(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = True) -> DataFrame:
+def employment_by_mtype(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = False) -> DataFrame:
     v = "clpetp"
     cube = _materialize(cube) if compat else cube
     out = _series_and_total(cube, c, c.mtype, EMP, v, _rates(v, "mtype", True),
@@ -274,7 +275,7 @@ def _region_employment(cube: DataFrame, c: MineCols, compat: bool) -> DataFrame:
 
 
 def employment_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols = DEFAULT,
-                         compat: bool = True) -> DataFrame:
+                         compat: bool = False) -> DataFrame:
     """County rows and region rows stacked; county cells backfilled from the region ones."""
     v, r = "clpcte", "clprte"
     cube = _materialize(cube)
@@ -292,7 +293,7 @@ def employment_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols
     return _label(out, c)
 
 
-def employment_by_region(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = True) -> DataFrame:
+def employment_by_region(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = False) -> DataFrame:
     """Region rows + the Total series; the absolute changes are not backfilled.
 
     With per-series lags region and total rows come from one grouping-sets pass
@@ -314,7 +315,7 @@ def employment_by_region(cube: DataFrame, c: MineCols = DEFAULT, compat: bool =
 # ---------------------------------------------------------------- all tables
 
 def growth_tables(facts: DataFrame, county_lookup: DataFrame, c: MineCols = DEFAULT,
-                  compat: bool = True, regions: tuple[str, ...] = ("East", "West")) -> dict[str, DataFrame]:
+                  compat: bool = False, regions: tuple[str, ...] = ("East", "West")) -> dict[str, DataFrame]:
     """Every growth table from one scan of the facts.
 
     The cube is checkpointed to the session's reliable checkpoint folder, so the

@@ -174,6 +174,13 @@ def test_join_panels_clash_raises(spark):
     assert rows(ok, "codeyr", "year", "EGCLP", "EGWYP") == [("KY_2015", 2015, 1.0, 3.0)]
 
 
+def test_drop_matching(spark):
+    from panelspark.operators import drop_matching
+    df = spark.createDataFrame([(1, 2, 3)], "k int, v_y int, w int")
+    assert drop_matching(df, r"_y$").columns == ["k", "w"]
+    assert drop_matching(df, r"nothing").columns == ["k", "v_y", "w"]  # zero matches drop nothing
+
+
 def test_union_backfill_split(spark):
     a = spark.createDataFrame([("x", float("nan"))], "n string, r double")
     b = spark.createDataFrame([("Total", 0.5)], "n string, t double")
