@@ -22,25 +22,48 @@ def string_schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
-def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType, sep: str = "|",
-                   header: bool = True, keep_corrupt: bool = True) -> DataFrame:
+def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType | Sequence[str] | None = None,
+                   sep: str = "|", header: bool = True, keep_corrupt: bool = True) -> DataFrame:
     """Delimited text with a header and possibly ragged rows.
 
-    Short rows are padded with NULL, long rows truncated; with ``keep_corrupt``
-    both are flagged in ``_corrupt_record``.  Quotes and ``#`` inside fields are
-    kept as data.  Identifiers should be declared STRING so leading zeros survive.
+    ``schema`` is either a ``StructType`` matching the file's columns in order, or
+    a list of the column names wanted: then the header names are read first (one
+    line), every column is read as text, and the wanted ones are kept by name, so
+    files with more columns, or in another order, read correctly.  ``None`` keeps
+    every header column, as text.  Short rows are
+    padded with NULL, long rows truncated; with ``keep_corrupt`` both are flagged
+    in ``_corrupt_record`` (Spark parses only the columns a query reads, so a
+    row is flagged relative to those; read all columns to audit every row).
+    Quotes and ``#`` inside fields are kept as data.  Identifiers stay text so
+    leading zeros survive.
     """
+    paths = path if isinstance(path, str) else list(path)
+    wanted = None
+    if not isinstance(schema, StructType):
+        names = spark.read.option("sep", sep).option("header", True).csv(paths).columns
+        wanted = list(schema) if schema is not None else names
+        missing = [c for c in wanted if c not in names]
+        if missing:
+            raise KeyError(f"columns not in the header: {missing}")
+        schema = string_schema(names)
     full = StructType(list(schema.fields) + ([StructField(CORRUPT, StringType(), True)] if keep_corrupt else []))
     reader = (spark.read.schema(full).option("sep", sep).option("header", header)
               .option("mode", "PERMISSIVE").option("enforceSchema", True))
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.csv(path if isinstance(path, str) else list(path))
+    df = reader.csv(paths)
+    if wanted is not None:
+        df = df.select(*wanted, *([CORRUPT] if keep_corrupt else []))
+    return df
 
 
-def read_lookup(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Comma-separated lookup table with a header (small; joined by broadcast after a size check)."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+def read_lookup(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Comma-separated lookup table with a header (small; joined by broadcast after a size check).
+
+    Without a schema every header column is read as text (keys keep leading zeros).
+    """
+    reader = spark.read.option("header", True)
+    return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
 SERIES_SCHEMA = StructType.fromJson({"type": "struct", "fields": [
