@@ -85,14 +85,20 @@ def drop_matching(df: DataFrame, pattern: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if rx.search(c)])
 
 
-def merge_keep_left(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def merge_keep_left(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
+                    max_broadcast_rows: int | None = None) -> DataFrame:
     """Equi-join where, for columns on both sides, the left value wins.
 
     The right copies of shared non-key columns are dropped before the join so the
-    result has no ambiguous duplicates.
+    result has no ambiguous duplicates.  With ``max_broadcast_rows`` the right side
+    is broadcast when it passes that size check (a medium dimension table);
+    otherwise Spark plans the join (sort-merge, AQE skew splitting).
     """
     shared = [c for c in right.columns if c in left.columns and c not in keys]
-    return left.join(right.drop(*shared), list(keys), how)
+    right = right.drop(*shared)
+    if max_broadcast_rows is not None:
+        right = checked_broadcast(right, max_broadcast_rows)
+    return left.join(right, list(keys), how)
 
 
 def lookup_join(left: DataFrame, lookup: DataFrame, left_key: str, lookup_key: str | None = None,

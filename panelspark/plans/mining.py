@@ -32,7 +32,7 @@ from panelspark.functions.labels import quarter_end_label, safe_double
 from panelspark.functions.missing import sum_skip_missing
 from panelspark.functions.text import paste, sentence_case
 from panelspark.operators.aggregate import IS_TOTAL, TOTAL, with_totals
-from panelspark.operators.frames import backfill_columns, lookup_join, merge_keep_left
+from panelspark.operators.frames import DEFAULT_BROADCAST_ROWS, backfill_columns, lookup_join, merge_keep_left
 from panelspark.operators.growth import growth
 
 # County names whose capitalisation is not sentence case.
@@ -75,7 +75,8 @@ def enrich_facts(production: DataFrame, mines: DataFrame, county_lookup: DataFra
     so every "Total" later is a total over matched mines.  Measures and period
     keys are cast from text; unparsable values become NULL.
     """
-    facts = merge_keep_left(production, mines, [c.mine_id], "inner")
+    # One row per mine: broadcast after a size check, else a shuffle join on MINE_ID.
+    facts = merge_keep_left(production, mines, [c.mine_id], "inner", max_broadcast_rows=DEFAULT_BROADCAST_ROWS)
     facts = facts.where(F.col(c.coal_flag) == "C")
     facts = facts.withColumn("Date_qtr", paste("-", c.year, c.quarter))
     facts = lookup_join(facts, county_lookup, c.county, c.lookup_county, "inner", normalize="lower")

@@ -1,7 +1,6 @@
 """Energy panel (P10-P14, P16) and housing table (P15) on the fixture files."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from panelspark.plans import energy_panel as ep
 from panelspark.plans import housing as hs
