@@ -23,6 +23,7 @@ fixes both names.
 
 from __future__ import annotations
 
+import weakref
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -171,14 +172,22 @@ def _scope(compat: bool) -> str:
     return "global" if compat else "series"
 
 
+_MATERIALIZED: "weakref.WeakSet[DataFrame]" = weakref.WeakSet()
+
+
 def _materialize(cube: DataFrame) -> DataFrame:
     """Checkpoint the (small) cube when several branches or index jobs read it.
 
     Lags across series build a global row index in jobs of their own, and a
     table stacking two grains reads the cube twice; both then read the
-    checkpoint instead of recomputing the cube from the facts.
+    checkpoint instead of recomputing the cube from the facts.  A cube that is
+    already a checkpoint is used as it is.
     """
-    return cube.checkpoint(eager=True)
+    if cube in _MATERIALIZED:
+        return cube
+    out = cube.checkpoint(eager=True)
+    _MATERIALIZED.add(out)
+    return out
 
 
 # ---------------------------------------------------------------- P2, P3
@@ -323,7 +332,7 @@ def growth_tables(facts: DataFrame, county_lookup: DataFrame, c: MineCols = DEFA
     eight tables read it instead of re-scanning the facts, and a lost executor
     does not force the scan to run again.
     """
-    cube = period_cube(facts, c).checkpoint(eager=True)
+    cube = _materialize(period_cube(facts, c))
     pages = production_region_pages(cube, c)
     out = {
         "production_by_region": production_by_region(cube, c),
