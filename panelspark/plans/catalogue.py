@@ -78,7 +78,7 @@ def facts(spark: SparkSession, d: str, max_broadcast_rows: int = DEFAULT_BROADCA
     first summed per (supplier, flag, year, quarter): the shuffle join then sees
     one row per supplier and period instead of one per line item, and a supplier
     holding a third of all rows is combined map-side before any shuffle.  Both
-    plans give the same sums (exact decimals).
+    plans give the same sums (exact: money is summed in whole cents).
     """
     li = table(spark, d, "lineitem").select(
         "l_suppkey", "l_returnflag",
