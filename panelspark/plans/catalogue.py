@@ -970,3 +970,93 @@ def q_generation_annual_wide(spark, d):
     """Annual sums per state wide by source code, national spellings unified, zero-filled, renewables total."""
     return energy_panel.generation_annual(generation_sheet(spark, d), source_codes=SHEET_SOURCES,
                                           renewables=SHEET_RENEWABLES, exact_scale=2)
+
+
+# ------------------------------------------------------------------ nested series, panel and codebook
+
+SERIES_UNITS = "Orders"
+
+
+def order_series(spark: SparkSession, d: str) -> DataFrame:
+    """Series records shaped like the nested JSON input, derived from orders.
+
+    One record per (customer nation, order priority): ``geoset_id`` ``ORDS.<5 letters>.A``,
+    ``geography`` ``NAT-<2-digit nation key>`` (6 characters), a description naming the
+    nation, and ``data`` = [year, order count] pairs as text.  One national record per
+    priority sums the nations (``geography`` ``USA``).  Each ``data`` list holds one
+    pair per year, so the arrays stay small however many orders there are.
+    """
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority",
+                                         F.year("o_orderdate").cast("int").alias("yr"))
+    cust = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
+    nat = checked_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    counts = (o.join(cust, "c_custkey").join(nat, "n_nationkey")
+              .groupBy("n_nationkey", "n_name", "o_orderpriority", "yr").agg(F.count(F.lit(1)).alias("n")))
+    national = (counts.groupBy("o_orderpriority", "yr").agg(F.sum("n").alias("n"))
+                .select(F.lit("USA").alias("geography"), F.lit("United States").alias("place"),
+                        "o_orderpriority", "yr", "n"))
+    per_nation = counts.select(F.concat(F.lit("NAT-"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
+                               .alias("geography"), F.col("n_name").alias("place"), "o_orderpriority", "yr", "n")
+    letters = F.rpad(F.upper(F.regexp_replace("o_orderpriority", "[^A-Za-z]", "")), 5, "X")
+    pair = F.array(F.col("yr").cast("string"), F.col("n").cast("string"))
+    return (per_nation.unionByName(national)
+            .groupBy("geography", "place", "o_orderpriority")
+            .agg(F.array_sort(F.collect_list(pair)).alias("data"))
+            .select(F.concat(F.lit("ORDS."), letters, F.lit(".A")).alias("geoset_id"), "geography",
+                    F.concat(F.lit("Orders by priority, "), F.col("place"), F.lit(", See the notes, more"))
+                    .alias("description"),
+                    F.lit(SERIES_UNITS).alias("units"), "data"))
+
+
+def order_state_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """(name, statecode) for nations outside region 4 (the others stay unmatched)."""
+    return (table(spark, d, "nation").where(F.col("n_regionkey") != 4)
+            .select(F.col("n_name").alias("name"),
+                    F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("statecode")))
+
+
+ORDER_SERIES_SQL = """
+WITH o AS (SELECT n.n_nationkey, n.n_name, o.o_orderpriority AS prio, CAST(year(o.o_orderdate) AS INTEGER) AS yr,
+                  COUNT(*) AS n
+           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+           GROUP BY 1, 2, 3, 4),
+r AS (SELECT 'NAT-' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS geography, n_name AS place, prio, yr, n FROM o
+      UNION ALL
+      SELECT 'USA', 'United States', prio, yr, SUM(n) FROM o GROUP BY prio, yr),
+s AS (SELECT CASE WHEN length(geography) <> 6 THEN geography ELSE substr(geography, 5, 2) END AS g0,
+             place, prio, yr, n,
+             rpad(upper(regexp_replace(prio, '[^A-Za-z]', '', 'g')), 5, 'X') AS grp
+      FROM r)
+"""
+
+
+def _panel_col(grp: str) -> str:
+    return f"max(CAST(n AS DOUBLE)) FILTER (WHERE grp = '{grp}') AS {grp}"
+
+
+@register("state_year_panel", ORDER_SERIES_SQL + f"""
+, long AS (SELECT CASE WHEN g0 = 'USA' THEN 'US' ELSE g0 END AS code, yr, grp, n FROM s),
+w AS (SELECT code, yr AS year, code || '_' || CAST(yr AS VARCHAR) AS codeyr,
+             {_panel_col('HIGHX')}, {_panel_col('LOWXX')}, {_panel_col('MEDIU')}, {_panel_col('NOTSP')},
+             {_panel_col('URGEN')}
+      FROM long GROUP BY code, yr)
+SELECT w.*, lk.name
+FROM w LEFT JOIN (SELECT n_name AS name, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS statecode
+                  FROM nation WHERE n_regionkey <> 4) lk ON w.code = lk.statecode""")
+def q_state_year_panel(spark, d):
+    """Nested [year, value] records exploded, keyed, spread wide by group, names joined, sorted (P10)."""
+    return energy_panel.state_year_panel(order_series(spark, d), order_state_lookup(spark, d))
+
+
+@register("codebook", ORDER_SERIES_SQL + f"""
+, cb AS (SELECT DISTINCT grp AS Variable, place, '{SERIES_UNITS}' AS Units FROM s)
+SELECT DISTINCT Variable,
+       regexp_replace(regexp_replace(regexp_replace('Orders by priority, ' || place || ', See the notes, more',
+                                                    '{"|".join(energy_panel.STATE_NAMES)}', '', 'g'),
+                                     'See.*$', ''),
+                      ',', '') AS Description,
+       Units
+FROM cb""")
+def q_codebook(spark, d):
+    """Variable, description without place names and notes, units; distinct and sorted."""
+    return energy_panel.codebook(order_series(spark, d))
