@@ -890,7 +890,7 @@ def q_contiguous_year_prefix(spark, d):
 # ------------------------------------------------------------------ monthly generation tables
 
 # Fixed values for the generation analogue on the driver tables.
-SHEET_NATIONAL = {"NATION_0": "US-TOTAL", "NATION_1": "US-Total"}
+SHEET_NATIONAL = {"00": "US-TOTAL", "01": "US-Total"}
 SHEET_SOURCES = {"A": "EGA", "N": "EGN"}
 SHEET_RENEWABLES = ["EGA", "EGN"]
 OTHER_PRODUCER = "Other producers"
@@ -899,16 +899,18 @@ OTHER_PRODUCER = "Other producers"
 def generation_sheet(spark: SparkSession, d: str) -> DataFrame:
     """Monthly 'generation' rows: line-item quantity per (year, month, state, producer, source).
 
-    State is the supplier's nation (two nations spell the national total two ways),
+    State is the supplier's nation as a 2-digit code (nations 0 and 1 spell the national
+    total two ways),
     producer comes from the line status, source is the return flag.
     """
     li = table(spark, d, "lineitem").select(
         F.col("l_suppkey").alias("s_suppkey"), "l_returnflag", "l_linestatus", "l_quantity",
         F.year("l_shipdate").cast("int").alias("year"), F.month("l_shipdate").cast("int").alias("month"))
     sup = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
-    placed = sup.join(checked_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name")), "n_nationkey")
+    placed = sup.join(checked_broadcast(table(spark, d, "nation").select("n_nationkey")), "n_nationkey")
+    code = F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
     rows = li.join(checked_broadcast(placed), "s_suppkey").select(
-        "year", "month", recode("n_name", SHEET_NATIONAL).alias("state"),
+        "year", "month", recode(code, SHEET_NATIONAL).alias("state"),
         F.when(F.col("l_linestatus") == "F", F.lit(energy_panel.TOTAL_PRODUCER))
         .otherwise(F.lit(OTHER_PRODUCER)).alias("typeofproducer"),
         F.col("l_returnflag").alias("energysource"), "l_quantity")
@@ -919,8 +921,8 @@ def generation_sheet(spark: SparkSession, d: str) -> DataFrame:
 SHEET_SQL = f"""
 WITH sheet AS (
   SELECT CAST(year(l.l_shipdate) AS INTEGER) AS year, CAST(month(l.l_shipdate) AS INTEGER) AS month,
-         CASE WHEN n.n_name = 'NATION_0' THEN 'US-TOTAL' WHEN n.n_name = 'NATION_1' THEN 'US-Total'
-              ELSE n.n_name END AS state,
+         CASE WHEN n.n_nationkey = 0 THEN 'US-TOTAL' WHEN n.n_nationkey = 1 THEN 'US-Total'
+              ELSE lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') END AS state,
          CASE WHEN l.l_linestatus = 'F' THEN '{energy_panel.TOTAL_PRODUCER}' ELSE '{OTHER_PRODUCER}' END
            AS typeofproducer,
          l.l_returnflag AS energysource,
@@ -1060,3 +1062,44 @@ FROM cb""")
 def q_codebook(spark, d):
     """Variable, description without place names and notes, units; distinct and sorted."""
     return energy_panel.codebook(order_series(spark, d))
+
+
+def _ctes(sql: str) -> str:
+    """The CTE list of a ``WITH ...`` prefix, to combine two prefixes in one statement."""
+    body = sql.strip()
+    assert body.upper().startswith("WITH")
+    return body[4:]
+
+
+_ANNUAL_CTES = f"""
+, g AS (SELECT year, CASE WHEN state IN ('US-TOTAL', 'US-Total') THEN 'US' ELSE state END AS state,
+               CASE energysource WHEN 'A' THEN 'EGA' WHEN 'N' THEN 'EGN' ELSE energysource END AS energysource,
+               generation
+        FROM total),
+w AS (SELECT year, state, {_annual_col('EGA')}, {_annual_col('EGN')}, {_annual_col('R')} FROM g GROUP BY year, state),
+annual AS (SELECT year, state AS statecode, EGA, EGN, R, state || '_' || CAST(year AS VARCHAR) AS codeyr,
+                  EGA + EGN AS EGREP FROM w)
+"""
+
+_PANEL_CTES = f"""
+, long AS (SELECT CASE WHEN g0 = 'USA' THEN 'US' ELSE g0 END AS code, yr, grp, n FROM s),
+pw AS (SELECT code, yr AS year, code || '_' || CAST(yr AS VARCHAR) AS codeyr,
+              {_panel_col('HIGHX')}, {_panel_col('LOWXX')}, {_panel_col('MEDIU')}, {_panel_col('NOTSP')},
+              {_panel_col('URGEN')}
+       FROM long GROUP BY code, yr),
+panel AS (SELECT pw.*, lk.name
+          FROM pw LEFT JOIN (SELECT n_name AS name, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS statecode
+                             FROM nation WHERE n_regionkey <> 4) lk ON pw.code = lk.statecode)
+"""
+
+
+@register("combined_panel", "WITH " + _ctes(ORDER_SERIES_SQL) + _PANEL_CTES + ", " + _ctes(SHEET_SQL)
+          + _ANNUAL_CTES + """
+SELECT panel.*, annual.EGA, annual.EGN, annual.R, annual.EGREP
+FROM panel LEFT JOIN annual ON panel.codeyr = annual.codeyr""")
+def q_combined_panel(spark, d):
+    """State-year panel left-joined with annual generation on ``code_year``; the panel's year wins."""
+    panel = energy_panel.state_year_panel(order_series(spark, d), order_state_lookup(spark, d))
+    annual = energy_panel.generation_annual(generation_sheet(spark, d), source_codes=SHEET_SOURCES,
+                                            renewables=SHEET_RENEWABLES, exact_scale=2)
+    return energy_panel.combined_panel(panel, annual)
