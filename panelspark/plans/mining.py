@@ -178,10 +178,10 @@ _MATERIALIZED: "weakref.WeakSet[DataFrame]" = weakref.WeakSet()
 def _materialize(cube: DataFrame) -> DataFrame:
     """Checkpoint the (small) cube when several branches or index jobs read it.
 
-    Lags across series build a global row index in jobs of their own, and a
-    table stacking two grains reads the cube twice; both then read the
-    checkpoint instead of recomputing the cube from the facts.  A cube that is
-    already a checkpoint is used as it is.
+    Lags across series build a global row index in jobs of their own, which
+    would each recompute the cube; they and the final query then read the
+    checkpoint instead.  (Within one query Spark's exchange reuse already shares
+    a subplan read twice.)  A cube that is already a checkpoint is used as it is.
     """
     if cube in _MATERIALIZED:
         return cube
@@ -288,7 +288,9 @@ def employment_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols
                          compat: bool = False) -> DataFrame:
     """County rows and region rows stacked; county cells backfilled from the region ones."""
     v, r = "clpcte", "clprte"
-    cube = _materialize(cube)
+    # Both grains read the cube: exchange reuse shares it within the query, but the
+    # global-index jobs of compat mode run before it, so they need the checkpoint.
+    cube = _materialize(cube) if compat else cube
     county = _county_series(cube, c, EMP, v, True, county_lookup, compat)
     county = county.select(c.county, c.year, c.quarter, v, f"{v}_YOY_County", f"{v}_YOY_AbsChange",
                            f"{v}_Qtr_County", f"{v}_Qtr_AbsChange",
