@@ -108,25 +108,32 @@ def read_sheet_set(spark: SparkSession, folder: str, exclude: Sequence[str] = ("
 def read_json_matrix(spark: SparkSession, path: str, keys: Sequence[str] | None = None) -> DataFrame:
     """Files each holding one JSON array of arrays whose first row is the header.
 
-    Returns one row per value row with ``source`` (file name) and ``cells``, a map
-    from header name to value.  A repeated header name keeps its first column; a
-    header-only file gives no rows; a name missing in some file reads as NULL.
-    Each file is one task (whole-file text), so parallelism follows the file count.
-    With ``keys`` the named cells are projected to columns right away.
+    With ``keys`` returns one row per value row with ``source`` (file name) and one
+    text column per key: each key's position is looked up once per file in the
+    header (the first of a repeated name wins; a name missing from a file gives
+    NULL), so a row costs one lookup per key however wide the header is.
+    Without ``keys`` returns ``source`` and ``cells``, a map from each distinct
+    header name (first occurrence) to the row's value.  A header-only file gives no
+    rows.  Each file is one task (whole-file text), so parallelism follows the file
+    count.
     """
     files = (spark.read.option("wholetext", True).text(path)
              .select(F.col("_metadata.file_name").alias("source"),
                      F.from_json("value", "array<array<string>>").alias("m")))
-    rows = files.select("source", F.col("m")[0].alias("header"),
-                        F.explode(F.slice("m", 2, F.greatest(F.size("m") - 1, F.lit(0)))).alias("row"))
+    body = F.explode(F.slice("m", 2, F.greatest(F.size("m") - 1, F.lit(0)))).alias("row")
+    if keys:
+        header = F.col("m")[0]
+        positions = [F.array_position(header, k).cast("int").alias(f"_p{i}") for i, k in enumerate(keys)]
+        rows = files.select("source", *positions, body)
+        row = F.col("row")
+        return rows.select("source", *[F.when(F.col(f"_p{i}") > 0, F.try_element_at(row, F.col(f"_p{i}")))
+                                       .alias(k) for i, k in enumerate(keys)])
+    rows = files.select("source", F.col("m")[0].alias("header"), body)
     cells = F.map_from_entries(F.transform(
         F.array_distinct("header"),
         lambda h: F.struct(h.alias("key"),
                            F.try_element_at(F.col("row"), F.array_position("header", h).cast("int")).alias("value"))))
-    out = rows.select("source", cells.alias("cells"))
-    if keys:
-        out = out.select("source", *[F.col("cells").getItem(k).alias(k) for k in keys])
-    return out
+    return rows.select("source", cells.alias("cells"))
 
 
 def contiguous_year_prefix(df: DataFrame, year_col: str, start: int) -> DataFrame:
