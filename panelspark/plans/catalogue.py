@@ -1103,3 +1103,68 @@ def q_combined_panel(spark, d):
     annual = energy_panel.generation_annual(generation_sheet(spark, d), source_codes=SHEET_SOURCES,
                                             renewables=SHEET_RENEWABLES, exact_scale=2)
     return energy_panel.combined_panel(panel, annual)
+
+
+# ------------------------------------------------------------------ enriched facts
+
+# Fixed values for the mine-type lookup on return flags (R is left out on purpose).
+FLAG_MINE_TYPES = [("A", "Underground"), ("N", "Surface")]
+
+
+def production_text(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as a text 'production' table, the way the delimited files arrive.
+
+    MINE_ID is the supplier as zero-padded text; coal/metal comes from the line
+    status; every measure is text, and line 7 carries a non-numeric value.
+    """
+    li = table(spark, d, "lineitem")
+    return li.select(
+        F.lpad(F.col("l_suppkey").cast("string"), 7, "0").alias("MINE_ID"),
+        F.year("l_shipdate").cast("string").alias("CAL_YR"),
+        F.quarter("l_shipdate").cast("string").alias("CAL_QTR"),
+        F.col("l_returnflag").alias("SUBUNIT_CD"),
+        F.when(F.col("l_linestatus") == "F", F.lit("C")).otherwise(F.lit("M")).alias("COAL_METAL_IND"),
+        F.when(F.col("l_returnflag") == "R", F.lit("WV")).otherwise(F.lit("KY")).alias("STATE"),
+        F.when(F.col("l_linenumber") == 7, F.lit("n/a"))
+        .otherwise(F.col("l_quantity").cast("bigint").cast("string")).alias("COAL_PRODUCTION"),
+        F.col("l_linenumber").cast("string").alias("AVG_EMPLOYEE_CNT"))
+
+
+def mines_text(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as a 'mines' table; its STATE clashes with production's and must lose."""
+    sup = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
+    nat = checked_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    return sup.join(nat, "n_nationkey").select(
+        F.lpad(F.col("s_suppkey").cast("string"), 7, "0").alias("MINE_ID"),
+        F.col("n_name").alias("FIPS_CNTY_NM"), F.lit("XX").alias("STATE"))
+
+
+@register("enriched_facts", """
+WITH p AS (
+  SELECT lpad(CAST(l_suppkey AS VARCHAR), 7, '0') AS MINE_ID, CAST(year(l_shipdate) AS VARCHAR) AS CAL_YR,
+         CAST(quarter(l_shipdate) AS VARCHAR) AS CAL_QTR, l_returnflag AS SUBUNIT_CD,
+         CASE WHEN l_linestatus = 'F' THEN 'C' ELSE 'M' END AS COAL_METAL_IND,
+         CASE WHEN l_returnflag = 'R' THEN 'WV' ELSE 'KY' END AS STATE,
+         CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS COAL_PRODUCTION,
+         CAST(l_linenumber AS VARCHAR) AS AVG_EMPLOYEE_CNT
+  FROM lineitem),
+m AS (SELECT lpad(CAST(s.s_suppkey AS VARCHAR), 7, '0') AS MINE_ID, n.n_name AS FIPS_CNTY_NM
+      FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
+cl AS (SELECT lower(n.n_name) AS county, r.r_name AS Region
+       FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_name <> 'ASIA'),
+ml AS (SELECT * FROM (VALUES ('A', 'Underground'), ('N', 'Surface')) t(SUBUNIT_CD, mtype))
+SELECT p.SUBUNIT_CD, lower(m.FIPS_CNTY_NM) AS FIPS_CNTY_NM, p.MINE_ID,
+       CAST(TRY_CAST(p.CAL_YR AS DOUBLE) AS INTEGER) AS CAL_YR, CAST(TRY_CAST(p.CAL_QTR AS DOUBLE) AS INTEGER) AS CAL_QTR,
+       p.COAL_METAL_IND, p.STATE, TRY_CAST(p.COAL_PRODUCTION AS DOUBLE) AS COAL_PRODUCTION,
+       TRY_CAST(p.AVG_EMPLOYEE_CNT AS DOUBLE) AS AVG_EMPLOYEE_CNT, p.CAL_YR || '-' || p.CAL_QTR AS Date_qtr,
+       cl.Region, ml.mtype
+FROM p JOIN m ON p.MINE_ID = m.MINE_ID
+       JOIN cl ON lower(m.FIPS_CNTY_NM) = cl.county
+       JOIN ml ON p.SUBUNIT_CD = ml.SUBUNIT_CD
+WHERE p.COAL_METAL_IND = 'C'""")
+def q_enriched_facts(spark, d):
+    """Production x mines (left columns win), coal only, county region and mine type, text cast to numbers."""
+    county = geography(spark, d).where(F.col("r_name") != "ASIA").select(
+        F.lower("n_name").alias("county"), F.col("r_name").alias("Region"))
+    mtypes = spark.createDataFrame(FLAG_MINE_TYPES, "SUBUNIT_CD string, mtype string")
+    return mining.enrich_facts(production_text(spark, d), mines_text(spark, d), county, mtypes)
