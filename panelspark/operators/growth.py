@@ -70,13 +70,16 @@ def with_global_index(df: DataFrame, order: Sequence[str], name: str = GIDX,
 
 def lag_values(df: DataFrame, lags: Mapping[str, tuple[str, int]], series: Sequence[str],
                order: Sequence[str], scope: str = "series",
-               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+               block_rows: int = DEFAULT_BLOCK_ROWS, restart: Sequence[str] = ()) -> DataFrame:
     """Add columns ``out = lag(src, n)`` for each ``out -> (src, n)``.
 
     ``scope="series"`` lags within each series; ``scope="global"`` lags over the
-    series concatenated in (series, order) order.
+    series concatenated in (series, order) order.  With ``restart`` the
+    concatenation starts again at each value of those columns (several
+    independent concatenations share one global index: rows are ordered by
+    (restart, series, order) and a lag reaching into another restart group is NULL).
     """
-    series, order = list(series), list(order)
+    series, order, restart = list(series), list(order), list(restart)
     if scope == "series":
         w = Window.partitionBy(*series).orderBy(*_order_cols(order))
         return df.withColumns({out: F.lag(src, n).over(w) for out, (src, n) in lags.items()})
@@ -84,28 +87,37 @@ def lag_values(df: DataFrame, lags: Mapping[str, tuple[str, int]], series: Seque
         raise ValueError(f"scope must be 'series' or 'global', got {scope!r}")
     max_n = max(n for _, n in lags.values())
     block = max(block_rows, max_n)
-    indexed = with_global_index(df, series + order)
+    indexed = with_global_index(df, restart + series + order)
+    if restart:
+        indexed = indexed.withColumn("_grp", F.struct(*restart))
     blk = F.floor(F.col(GIDX) / F.lit(block))
     main = indexed.withColumns({"_blk": blk, "_halo": F.lit(False)})
     halo = (indexed.where(F.col(GIDX) % F.lit(block) >= F.lit(block - max_n))
             .withColumns({"_blk": blk + 1, "_halo": F.lit(True)}))
     w = Window.partitionBy("_blk").orderBy(GIDX)
-    out = main.unionByName(halo).withColumns({o: F.lag(src, n).over(w) for o, (src, n) in lags.items()})
-    return out.where(~F.col("_halo")).drop("_blk", "_halo", GIDX)
+    cols = {}
+    for o, (src, n) in lags.items():
+        lagged = F.lag(src, n).over(w)
+        if restart:
+            lagged = F.when(F.lag("_grp", n).over(w).eqNullSafe(F.col("_grp")), lagged)
+        cols[o] = lagged
+    out = main.unionByName(halo).withColumns(cols)
+    return out.where(~F.col("_halo")).drop("_blk", "_halo", GIDX, *(["_grp"] if restart else []))
 
 
 def growth(df: DataFrame, value: str, series: Sequence[str], order: Sequence[str],
            rates: Mapping[str, int] | None = None, changes: Mapping[str, int] | None = None,
-           scope: str = "series", zero_base: str = "ieee") -> DataFrame:
+           scope: str = "series", zero_base: str = "ieee", restart: Sequence[str] = ()) -> DataFrame:
     """Add growth rates ``(x - lag(x, n)) / lag(x, n)`` and absolute changes ``x - lag(x, n)``.
 
     ``rates`` and ``changes`` map output column -> lag n.  The first n rows of a
-    series (or of the whole table, for global scope) are NULL.
+    series (or of the whole table, for global scope) are NULL.  ``restart`` (global
+    scope) starts the concatenation again at each value of those columns.
     """
     rates, changes = dict(rates or {}), dict(changes or {})
     ns = sorted(set(rates.values()) | set(changes.values()))
     prev = {f"_prev{n}": (value, n) for n in ns}
-    out = lag_values(df, prev, series, order, scope)
+    out = lag_values(df, prev, series, order, scope, restart=restart)
     cols = {}
     for name, n in rates.items():
         cols[name] = growth_rate(F.col(value), F.col(f"_prev{n}"), zero_base)

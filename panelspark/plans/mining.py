@@ -127,8 +127,8 @@ def _series_and_total(cube: DataFrame, c: MineCols, dim: str, measure: str, valu
     A detail column is NULL on total rows and the other way round, as after stacking
     the two tables.  With per-series detail lags, detail and total series share one
     window (partitioned by the total flag and the dimension), so the facts are read
-    once.  Lags across detail series need their own global index, so only then the
-    two parts are lagged apart and stacked.  ``total_labels`` sets label columns on
+    once.  Lags across detail series use one global row index that restarts
+    between the detail and the Total rows.  ``total_labels`` sets label columns on
     total rows (NULL on detail rows).  ``value_names`` splits the summed value into
     a detail column and a total column (each NULL on the other rows).
     """
@@ -137,6 +137,10 @@ def _series_and_total(cube: DataFrame, c: MineCols, dim: str, measure: str, valu
     generic = {"rates": {f"_r{n}": n for n in (4, 1)}, "changes": {f"_c{n}": n for n in (4, 1)}}
     if detail_scope == "series":
         g = growth(agg, value, [*outer, IS_TOTAL, dim], _period(c), **generic)
+    elif not outer:
+        # Detail rows concatenated across dims, Total rows their own series: one
+        # global index ordered by (total flag, dim, period), restarting at the flag.
+        g = growth(agg, value, [dim], _period(c), scope=detail_scope, restart=[IS_TOTAL], **generic)
     else:
         d = growth(agg.where(~F.col(IS_TOTAL)), value, [*outer, dim], _period(c), scope=detail_scope, **generic)
         t = growth(agg.where(F.col(IS_TOTAL)), value, [*outer, IS_TOTAL], _period(c), **generic)
@@ -238,10 +242,41 @@ def region_page(pages: DataFrame, region: str, c: MineCols = DEFAULT) -> DataFra
 
 # ---------------------------------------------------------------- P6
 
-def _county_series(cube: DataFrame, c: MineCols, measure: str, v: str, with_change: bool,
-                   county_lookup: DataFrame, compat: bool) -> DataFrame:
-    agg = cube.groupBy(c.county, *_period(c)).agg(sum_skip_missing(measure, c.exact_scale).alias(v))
-    g = growth(agg, v, [c.county], _period(c), scope=_scope(compat), **_rates(v, "County", with_change))
+GRAIN_COLS = ("_value", "_r4", "_r1", "_c4", "_c1")
+
+
+def _grain_growth(cube: DataFrame, c: MineCols, measure: str, grains: dict[str, str], compat: bool,
+                  with_change: bool) -> dict[str, DataFrame]:
+    """Sums per (key, period) for each grain (e.g. county, region), with lags 4 and 1.
+
+    Returns one frame per grain with the key column, the period, ``_value`` and the
+    generic ``_r4``/``_r1`` rates (``_c4``/``_c1`` changes).  Per-series lags run one
+    window per grain.  Lags across series (compat) put every grain in one global row
+    index that restarts at the grain, so one index serves all grains.
+    """
+    rates = {"rates": {"_r4": 4, "_r1": 1}, "changes": {"_c4": 4, "_c1": 1} if with_change else {}}
+    aggs = {g: cube.groupBy(key, *_period(c)).agg(sum_skip_missing(measure, c.exact_scale).alias("_value"))
+            for g, key in grains.items()}
+    if not compat:
+        return {g: growth(a, "_value", [grains[g]], _period(c), **rates) for g, a in aggs.items()}
+    stacked = None
+    for g, a in aggs.items():
+        part = a.select(F.lit(g).alias("_grain"), F.col(grains[g]).alias("_key"), *_period(c), "_value")
+        stacked = part if stacked is None else stacked.unionByName(part)
+    lagged = growth(stacked, "_value", ["_key"], _period(c), scope="global", restart=["_grain"], **rates)
+    return {g: lagged.where(F.col("_grain") == g).drop("_grain").withColumnRenamed("_key", grains[g])
+            for g in grains}
+
+
+def _named(df: DataFrame, value: str, tag: str, with_change: bool, change_tag: str = "AbsChange") -> DataFrame:
+    """Give the generic growth columns of ``_grain_growth`` their published names."""
+    names = {"_value": value, "_r4": f"{value}_YOY_{tag}", "_r1": f"{value}_Qtr_{tag}"}
+    if with_change:
+        names.update({"_c4": f"{value}_YOY_{change_tag}", "_c1": f"{value}_Qtr_{change_tag}"})
+    return df.withColumnsRenamed(names)
+
+
+def _county_rows(g: DataFrame, c: MineCols, county_lookup: DataFrame, compat: bool) -> DataFrame:
     g = lookup_join(g, county_lookup, c.county, c.lookup_county, "left")
     return _county_names(g, c, compat)
 
@@ -249,7 +284,8 @@ def _county_series(cube: DataFrame, c: MineCols, measure: str, v: str, with_chan
 def production_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols = DEFAULT,
                          compat: bool = False) -> DataFrame:
     v = "clpctp"
-    out = _label(_county_series(cube, c, PROD, v, False, county_lookup, compat), c)
+    county = _named(_grain_growth(cube, c, PROD, {"county": c.county}, compat, False)["county"], v, "County", False)
+    out = _label(_county_rows(county, c, county_lookup, compat), c)
     extra = [COMPAT_CHECK_COL] if compat else []
     look = [x for x in out.columns if x not in (c.county, c.year, c.quarter, v, f"{v}_YOY_County",
                                                  f"{v}_Qtr_County", c.date_label, *extra)]
@@ -261,7 +297,6 @@ def production_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols
 
 def employment_by_mtype(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = False) -> DataFrame:
     v = "clpetp"
-    cube = _materialize(cube) if compat else cube
     out = _series_and_total(cube, c, c.mtype, EMP, v, _rates(v, "mtype", True),
                             _rates(v, "Total", True, "TotalChange"), _scope(compat),
                             total_labels={c.region: TOTAL})
@@ -276,28 +311,23 @@ def employment_by_mtype(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = F
 
 # ---------------------------------------------------------------- P8, P9
 
-def _region_employment(cube: DataFrame, c: MineCols, compat: bool) -> DataFrame:
-    v = "clprte"
-    agg = cube.groupBy(c.region, *_period(c)).agg(sum_skip_missing(EMP, c.exact_scale).alias(v))
-    g = growth(agg, v, [c.region], _period(c), scope=_scope(compat), **_rates(v, "byRegion", True))
-    return g.select(c.region, c.year, c.quarter, v, f"{v}_YOY_byRegion", f"{v}_YOY_AbsChange",
-                    f"{v}_Qtr_byRegion", f"{v}_Qtr_AbsChange")
-
-
 def employment_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols = DEFAULT,
                          compat: bool = False) -> DataFrame:
-    """County rows and region rows stacked; county cells backfilled from the region ones."""
+    """County rows and region rows stacked; county cells backfilled from the region ones.
+
+    Both grains come from the same cube (shared by Spark's exchange reuse); with
+    lags across series one global index serves both grains.
+    """
     v, r = "clpcte", "clprte"
-    # Both grains read the cube: exchange reuse shares it within the query, but the
-    # global-index jobs of compat mode run before it, so they need the checkpoint.
-    cube = _materialize(cube) if compat else cube
-    county = _county_series(cube, c, EMP, v, True, county_lookup, compat)
-    county = county.select(c.county, c.year, c.quarter, v, f"{v}_YOY_County", f"{v}_YOY_AbsChange",
-                           f"{v}_Qtr_County", f"{v}_Qtr_AbsChange",
-                           *[x for x in county.columns if x not in (c.county, c.year, c.quarter, v,
-                             f"{v}_YOY_County", f"{v}_YOY_AbsChange", f"{v}_Qtr_County",
-                             f"{v}_Qtr_AbsChange")])
-    out = county.unionByName(_region_employment(cube, c, compat), allowMissingColumns=True)
+    grains = _grain_growth(cube, c, EMP, {"county": c.county, "region": c.region}, compat, True)
+    county = _county_rows(_named(grains["county"], v, "County", True), c, county_lookup, compat)
+    head = [c.county, c.year, c.quarter, v, f"{v}_YOY_County", f"{v}_YOY_AbsChange", f"{v}_Qtr_County",
+            f"{v}_Qtr_AbsChange"]
+    county = county.select(*head, *[x for x in county.columns if x not in head])
+    region = _named(grains["region"], r, "byRegion", True).select(
+        c.region, c.year, c.quarter, r, f"{r}_YOY_byRegion", f"{r}_YOY_AbsChange", f"{r}_Qtr_byRegion",
+        f"{r}_Qtr_AbsChange")
+    out = county.unionByName(region, allowMissingColumns=True)
     out = backfill_columns(out, {
         f"{v}_YOY_County": f"{r}_YOY_byRegion", f"{v}_Qtr_County": f"{r}_Qtr_byRegion",
         f"{v}_YOY_AbsChange": f"{r}_YOY_AbsChange", f"{v}_Qtr_AbsChange": f"{r}_Qtr_AbsChange",
@@ -308,11 +338,11 @@ def employment_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols
 def employment_by_region(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = False) -> DataFrame:
     """Region rows + the Total series; the absolute changes are not backfilled.
 
-    With per-series lags region and total rows come from one grouping-sets pass
-    and one window; lags across region series (compat) lag the two apart.
+    Region and total rows come from one grouping-sets pass and are lagged
+    together: one window per series, or (compat) one global row index that
+    restarts between the region and the total rows.
     """
     v, r = "clpetp", "clprte"
-    cube = _materialize(cube) if compat else cube
     out = _series_and_total(cube, c, c.region, EMP, "_value", _rates(r, "byRegion", True),
                             _rates(v, "Total", True, "TotalChange"), _scope(compat),
                             total_labels={c.mtype: TOTAL}, value_names=(r, v))

@@ -90,3 +90,17 @@ def test_pivot_sum_matches_grouped_sums(spark, rows):
             assert row[k] == (None if expected is None else float(expected))
     assert set(wide) == {r[1] for r in rows}
     assert df.select(F.col("y")).distinct().count() == len(wide)
+
+
+@SETTINGS
+@given(rows=series_rows, n=st.sampled_from([1, 4]), block=st.sampled_from([2, 5, 1 << 16]))
+def test_global_lag_with_restart_equals_separate_concatenations(spark, rows, n, block):
+    """Grouping the series into two restart groups = two independent global lags."""
+    df = spark.createDataFrame(rows, "s string, y int, q int, v double").withColumn(
+        "g", F.when(F.col("s") < "c", F.lit("first")).otherwise(F.lit("second")))
+    got = {(r["s"], r["y"], r["q"]): r["p"] for r in lag_values(
+        df, {"p": ("v", n)}, ["s"], ["y", "q"], "global", block_rows=block, restart=["g"]).collect()}
+    expected = {}
+    for part in ("ab", "cd"):
+        expected.update(_brute_lags([r for r in rows if r[0] in part], n, "global"))
+    assert got == expected
