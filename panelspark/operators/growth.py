@@ -81,7 +81,7 @@ def lag_values(df: DataFrame, lags: Mapping[str, tuple[str, int]], series: Seque
     """
     series, order, restart = list(series), list(order), list(restart)
     if scope == "series":
-        w = Window.partitionBy(*series).orderBy(*_order_cols(order))
+        w = Window.partitionBy(*restart, *series).orderBy(*_order_cols(order))
         return df.withColumns({out: F.lag(src, n).over(w) for out, (src, n) in lags.items()})
     if scope != "global":
         raise ValueError(f"scope must be 'series' or 'global', got {scope!r}")
