@@ -204,3 +204,19 @@ def test_rollup_and_sum(spark):
     out = rollup_period(df, ["k"], ["y", "m"], ["y"], {"s": "v"})
     assert rows(out, "k", "y", "s", "n_fine") == [("a", 2015, 1.0, 2), ("a", 2016, 2.0, 1)]
     assert rows(sum_by_period(df, ["k"], {"s": "v"}), "k", "s") == [("a", 3.0)]
+
+
+def test_wide_pivots_use_spark_pivot_path(spark):
+    """More than 64 key values: Spark's own pivot, same results and the same strictness."""
+    from panelspark.operators import pivot_sum
+    keys = [f"k{i:03d}" for i in range(70)]
+    rows = [(i % 3, k, float(i)) for i, k in enumerate(keys)] + [(0, "k000", 5.0)]
+    df = spark.createDataFrame(rows, "i int, k string, v double")
+    wide = pivot_sum(df, "k", "v", ids=["i"])
+    assert wide.columns == ["i", *keys]
+    row0 = wide.where("i = 0").first()
+    assert row0["k000"] == 5.0 and row0["k001"] is None and row0["k003"] == 3.0
+    with pytest.raises(Exception, match="duplicate"):
+        pivot_wide(df, "k", "v", ids=["i"]).collect()
+    unique = pivot_wide(df.where("NOT (i = 0 AND k = 'k000' AND v = 5.0)"), "k", "v", ids=["i"])
+    assert unique.where("i = 1").first()["k001"] == 1.0
