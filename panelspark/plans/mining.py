@@ -56,7 +56,7 @@ class MineCols:
     subunit: str = "SUBUNIT_CD"
     lookup_county: str = "county"
     date_label: str = "Date_Qtr"
-    # Sum measures as DECIMAL(18, exact_scale) (order-independent); None sums doubles.
+    # Sum measures exactly in units of 10^-exact_scale (order-independent); None sums doubles.
     exact_scale: int | None = None
 
 
