@@ -1168,3 +1168,80 @@ def q_enriched_facts(spark, d):
         F.lower("n_name").alias("county"), F.col("r_name").alias("Region"))
     mtypes = spark.createDataFrame(FLAG_MINE_TYPES, "SUBUNIT_CD string, mtype string")
     return mining.enrich_facts(production_text(spark, d), mines_text(spark, d), county, mtypes)
+
+
+# ------------------------------------------------------------------ housing table
+
+# Fixed values for the housing analogue: place word by market segment (HOUSEHOLD has no state part).
+SEGMENT_PLACE = {"AUTOMOBILE": " County, ", "BUILDING": " Parish, ", "FURNITURE": " Borough, ",
+                 "MACHINERY": " Census Area, "}
+
+
+def housing_matrix_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows shaped like read yearly matrices (``source`` file name, NAME, code columns), from orders.
+
+    One row per order: the file name carries the order year (1998 is left out, so
+    the unbroken run from 1995 stops at 1997), NAME is "<customer><place word>,
+    <nation>" (one segment has no comma), and three codes carry order fields; the
+    other codes are absent, as a code missing from a year's file is.
+    """
+    from panelspark.plans import housing
+
+    o = table(spark, d, "orders").where(F.year("o_orderdate") != 1998).select(
+        F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderpriority",
+        F.year("o_orderdate").alias("yr"))
+    cust = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment",
+                                              F.col("c_nationkey").alias("n_nationkey"))
+    nat = checked_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    rows = o.join(cust, "c_custkey").join(nat, "n_nationkey")
+    place = recode("c_mktsegment", SEGMENT_PLACE)
+    name = F.when(F.col("c_mktsegment").isin(*SEGMENT_PLACE), F.concat("c_name", place, "n_name")) \
+        .otherwise(F.col("c_name"))
+    codes = housing.HOUSING_CODES
+    given = {codes["OccHU"]: F.col("o_orderkey").cast("string"),
+             codes["YrBuilt_2014plus"]: F.col("n_nationkey").cast("string"),
+             codes["Heating_LPGas"]: F.col("o_orderpriority")}
+    return rows.select(
+        F.concat(F.lit("HousingPhysChar_"), F.col("yr").cast("string"), F.lit(".json")).alias("source"),
+        name.alias("NAME"),
+        *[given.get(code, F.lit(None).cast("string")).alias(code) for code in codes.values()])
+
+
+def _housing_code_sql(out: str) -> str:
+    from panelspark.plans import housing
+    given = {"OccHU": "CAST(o_orderkey AS VARCHAR)", "YrBuilt_2014plus": "CAST(n_nationkey AS VARCHAR)",
+             "Heating_LPGas": "o_orderpriority"}
+    assert out in housing.HOUSING_CODES
+    return f"{given.get(out, 'CAST(NULL AS VARCHAR)')} AS {out}"
+
+
+def _housing_sql() -> str:
+    from panelspark.plans import housing
+    outs = [o for o in housing.HOUSING_CODES if o.startswith(("YrBuilt", "Heating"))] + ["OccHU"]
+    places = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SEGMENT_PLACE.items())
+    return f"""
+WITH r AS (
+  SELECT CAST(year(o.o_orderdate) AS INTEGER) AS yr, o.o_orderkey, o.o_orderpriority, n.n_nationkey,
+         CASE WHEN c.c_mktsegment IN ({", ".join(f"'{k}'" for k in SEGMENT_PLACE)})
+              THEN c.c_name || CASE c.c_mktsegment {places} END || n.n_name ELSE c.c_name END AS NAME
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE year(o.o_orderdate) <> 1998),
+ys AS (SELECT DISTINCT yr FROM r WHERE yr >= 1995),
+gap AS (SELECT min(g) AS g FROM (SELECT yr + 1 AS g FROM ys UNION ALL SELECT 1995) c WHERE g NOT IN (SELECT yr FROM ys)),
+k AS (SELECT * FROM r WHERE yr >= 1995 AND yr < (SELECT g FROM gap)),
+s AS (SELECT *, regexp_replace(string_split(NAME, ',')[2], '^\\s+|\\s+$', '', 'g') AS State,
+             lower(regexp_replace(regexp_replace(string_split(NAME, ',')[1],
+                   '{housing.COUNTY_WORDS}', ''), '^\\s+|\\s+$', '', 'g')) AS county
+      FROM k)
+SELECT CAST(s.yr AS VARCHAR) AS year, s.State, s.county, lk.statecode,
+       {", ".join(_housing_code_sql(o) for o in outs)}
+FROM s LEFT JOIN (SELECT n_name AS name, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS statecode
+                  FROM nation WHERE n_regionkey <> 4) lk ON s.State = lk.name"""
+
+
+@register("housing_table", _housing_sql())
+def q_housing_table(spark, d):
+    """County rows: year from the file name (unbroken run only), NAME split, place word removed,
+    state code looked up, codes renamed and kept by prefix (P15)."""
+    from panelspark.plans import housing
+    return housing.housing_table(housing_matrix_rows(spark, d), order_state_lookup(spark, d), start=1995)
