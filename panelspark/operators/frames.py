@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from panelspark.functions.missing import backfill
 from panelspark.functions.text import split_piece
@@ -15,22 +15,36 @@ from panelspark.session import session_key
 
 # Largest lookup we broadcast without a shuffle; beyond it Spark's own join choice applies.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+
+# Estimated bytes per value when sizing a broadcast (strings: a typical short text).
+_WIDTH = {"ByteType": 1, "BooleanType": 1, "ShortType": 2, "IntegerType": 4, "DateType": 4,
+          "FloatType": 4, "LongType": 8, "DoubleType": 8, "TimestampType": 8, "TimestampNTZType": 8,
+          "DecimalType": 16, "StringType": 32, "BinaryType": 32}
+
+
+def row_width(schema: StructType) -> int:
+    """Estimated bytes per row (nested and unknown types count 64 bytes)."""
+    return sum(_WIDTH.get(type(f.dataType).__name__, 64) for f in schema.fields) + 8
 
 
 _SIZE_CHECKS: dict[tuple, bool] = {}
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and an estimated size within ``max_bytes``.
 
     The check reads at most ``max_rows + 1`` rows, so it stays cheap even when the
-    side is large.  The answer is remembered per session and plan
-    (``semanticHash``), so a lookup used by many queries is counted once.
+    side is large; the size is that row count times ``row_width``.  The answer is
+    remembered per session and plan (``semanticHash``), so a lookup used by many
+    queries is counted once.
     """
-    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
+    key = (session_key(df.sparkSession), df.semanticHash(), max_rows, max_bytes)
     small = _SIZE_CHECKS.get(key)
     if small is None:
-        small = _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
+        n = df.limit(max_rows + 1).count()
+        small = _SIZE_CHECKS[key] = n <= max_rows and n * row_width(df.schema) <= max_bytes
     return small
 
 

@@ -155,6 +155,9 @@ def test_checked_broadcast_falls_back(spark):
     assert "BroadcastHashJoin" in j_small._jdf.queryExecution().executedPlan().toString()
     unhinted = checked_broadcast(big, max_rows=50)
     assert "broadcast" not in unhinted._jdf.queryExecution().logical().toString().lower()
+    from panelspark.operators.frames import fits_broadcast, row_width
+    assert row_width(small.schema) == 16                       # one bigint + row overhead
+    assert fits_broadcast(big, max_rows=1000) and not fits_broadcast(big, max_rows=1000, max_bytes=1000)
 
 
 def test_rename_strict_and_select_prefix(spark):
