@@ -42,9 +42,9 @@ def with_global_index(df: DataFrame, order: Sequence[str], name: str = GIDX,
     The range-partitioned, sorted frame is checkpointed to the session's reliable
     checkpoint folder first: range bounds come from sampling, so without it a task
     re-run after an executor loss could see different partitions.  The input is
-    meant to be an aggregate (one row per series and period), not raw facts.  The per-partition
-    count table has one row per partition (bounded by ``partitions``) and is
-    broadcast.
+    meant to be an aggregate (one row per series and period), not raw facts.  The
+    per-partition count table has one row per partition (bounded by ``partitions``)
+    and is broadcast.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
