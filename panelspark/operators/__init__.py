@@ -11,9 +11,10 @@ from panelspark.operators.reshape import (duplicate_keys, explode_pairs, fill_ze
                                           pivot_wide, row_sum)
 
 __all__ = [
-    "IS_TOTAL", "TOTAL", "backfill_columns", "checked_broadcast", "detail_plus_total", "drop_matching",
-    "duplicate_keys", "explode_pairs", "fill_zero", "fits_broadcast", "growth", "join_panels", "lag_values", "lookup_join",
-    "merge_keep_left", "pivot_sum", "pivot_values", "pivot_wide", "rename_strict", "rollup_period", "row_sum", "select_prefix",
-    "select_spec", "split_column", "sum_by_period", "union_by_name", "with_columns_chained",
-    "with_global_index", "with_totals",
+    "IS_TOTAL", "TOTAL", "backfill_columns", "checked_broadcast", "detail_plus_total",
+    "drop_matching", "duplicate_keys", "explode_pairs", "fill_zero", "fits_broadcast", "growth",
+    "join_panels", "lag_values", "lookup_join", "merge_keep_left", "pivot_sum", "pivot_values",
+    "pivot_wide", "rename_strict", "rollup_period", "row_sum", "select_prefix", "select_spec",
+    "split_column", "sum_by_period", "union_by_name", "with_columns_chained", "with_global_index",
+    "with_totals",
 ]
