@@ -10,8 +10,8 @@ Every query reads whole tables.  Money is summed exactly on both sides (whole ce
 in a BIGINT in Spark, DECIMAL(18,2) in the oracle), so the Spark result and the
 oracle agree to the last bit whatever the order of partial sums.  The oracles are
 written in the original, literal style (separate aggregates stacked with UNION,
-CASE backfills, plain windows), so they check the
-one-pass Spark plans rather than mirror them.
+CASE backfills, plain windows), so they check the one-pass Spark plans rather than
+mirror them.
 """
 
 from __future__ import annotations
