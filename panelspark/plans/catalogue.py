@@ -1203,7 +1203,7 @@ def housing_matrix_rows(spark: SparkSession, d: str) -> DataFrame:
              codes["YrBuilt_2014plus"]: F.col("n_nationkey").cast("string"),
              codes["Heating_LPGas"]: F.col("o_orderpriority")}
     return rows.select(
-        F.concat(F.lit("HousingPhysChar_"), F.col("yr").cast("string"), F.lit(".json")).alias("source"),
+        F.concat(F.lit("housing_"), F.col("yr").cast("string"), F.lit(".json")).alias("source"),
         name.alias("NAME"),
         *[given.get(code, F.lit(None).cast("string")).alias(code) for code in codes.values()])
 
