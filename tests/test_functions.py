@@ -88,7 +88,7 @@ def test_trim_space(spark):
 
 
 def test_extract_first_no_match_is_null(spark):
-    out = one(spark, extract_first("s", "[0-9]{4}"), [("HousingPhysChar_2010",), ("none",)], "s string")
+    out = one(spark, extract_first("s", "[0-9]{4}"), [("housing_2010.json",), ("none",)], "s string")
     assert out == ["2010", None]
 
 
