@@ -23,6 +23,16 @@ from panelspark.sources import (CORRUPT, read_delimited, read_lookup, read_serie
                                 write_table)
 
 
+def read_input(spark: SparkSession, path: str) -> DataFrame:
+    """A landed parquet table (a folder of parquet files, e.g. from ``streaming.land_delimited``)
+    or a pipe-delimited text file, read by header name."""
+    is_table = os.path.isdir(path) and any(
+        f.endswith(".parquet") or "=" in f for f in os.listdir(path) if not f.startswith((".", "_")))
+    if is_table:
+        return spark.read.parquet(path).drop("_source")
+    return read_delimited(spark, path).drop(CORRUPT)
+
+
 def _write(tables: dict[str, DataFrame], out: str, fmt: str) -> dict[str, str]:
     paths = {}
     for name, df in tables.items():
@@ -33,9 +43,14 @@ def _write(tables: dict[str, DataFrame], out: str, fmt: str) -> dict[str, str]:
 
 def run_mining(spark: SparkSession, production: str, mines: str, county_lookup: str, mtype_lookup: str,
                out: str, state: str = "KY", compat: bool = False, fmt: str = "csv") -> dict[str, str]:
-    """Enriched facts (all states and one state) and every growth table."""
-    prod = read_delimited(spark, production).drop(CORRUPT)
-    mine = read_delimited(spark, mines).drop(CORRUPT)
+    """Enriched facts (all states and one state) and every growth table.
+
+    ``production`` and ``mines`` are delimited files, or parquet tables landed by
+    ``streaming.land_delimited`` (year partitions are then pruned by the state and
+    period filters Spark pushes down).
+    """
+    prod = read_input(spark, production)
+    mine = read_input(spark, mines)
     cl = read_lookup(spark, county_lookup)
     facts = mining.enrich_facts(prod, mine, cl, read_lookup(spark, mtype_lookup))
     subset = mining.state_subset(facts, state)

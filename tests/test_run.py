@@ -34,3 +34,24 @@ def test_run_energy_and_housing(spark, fx):
     assert spark.read.parquet(paths["codebook"]).count() == 5
     hpaths = run.run_housing(spark, f"{fx}/housing", f"{fx}/state_lookup.csv", os.path.join(out, "h"))
     assert _read(spark, hpaths["housing"]).count() == 16
+
+
+def test_mining_from_landed_parquet(spark, fx):
+    """Land the production drop with the streaming job, then run the tables from the landed table."""
+    import shutil
+
+    from panelspark.sources import string_schema
+    from panelspark.streaming import land_delimited
+    cols = "MINE_ID CAL_YR CAL_QTR SUBUNIT_CD COAL_METAL_IND STATE COAL_PRODUCTION AVG_EMPLOYEE_CNT".split()
+    root = tempfile.mkdtemp(prefix="panelspark-land-")
+    os.makedirs(os.path.join(root, "drop"))
+    shutil.copy(os.path.join(fx, "production.txt"), os.path.join(root, "drop", "q.txt"))
+    land_delimited(spark, os.path.join(root, "drop"), string_schema(cols), os.path.join(root, "table"), "prod",
+                   partition_by=["CAL_YR"], checkpoint=os.path.join(root, "ckpt")).awaitTermination()
+    args = (f"{fx}/mines.txt", f"{fx}/county_lookup.csv", f"{fx}/mtype_lookup.csv")
+    from_table = run.run_mining(spark, os.path.join(root, "table"), *args, os.path.join(root, "a"), compat=True)
+    from_text = run.run_mining(spark, f"{fx}/production.txt", *args, os.path.join(root, "b"), compat=True)
+    for name in ("production_by_region", "employment_by_county", "production_by_county"):
+        a = sorted(tuple(r) for r in _read(spark, from_table[name]).collect())
+        b = sorted(tuple(r) for r in _read(spark, from_text[name]).collect())
+        assert a == b and len(a) > 0, name
