@@ -1246,3 +1246,13 @@ def q_housing_table(spark, d):
     state code looked up, codes renamed and kept by prefix (P15)."""
     from panelspark.plans import housing
     return housing.housing_table(housing_matrix_rows(spark, d), order_state_lookup(spark, d), start=1995)
+
+
+@register("series_long", ORDER_SERIES_SQL + """
+SELECT CASE WHEN g0 = 'USA' THEN 'US' ELSE g0 END AS code, yr AS year,
+       CASE WHEN g0 = 'USA' THEN 'US' ELSE g0 END || '_' || CAST(yr AS VARCHAR) AS codeyr,
+       grp AS "group", CAST(n AS DOUBLE) AS value
+FROM s""")
+def q_series_long(spark, d):
+    """The long form behind the panel: one row per (code, year, group) with its value (P10, long)."""
+    return energy_panel.series_long(order_series(spark, d))
