@@ -1278,3 +1278,30 @@ FROM s""")
 def q_series_long(spark, d):
     """The long form behind the panel: one row per (code, year, group) with its value (P10, long)."""
     return energy_panel.series_long(order_series(spark, d))
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m panelspark.plans.catalogue NAME [--sf DIR] [--show N] [--explain]``.
+
+    Runs one registered query over the driver tables, prints up to N rows and, with
+    ``--explain``, its formatted physical plan (AQE's initial plan; ``tests/plan_report.py``
+    summarises final plans).
+    """
+    import argparse
+
+    from panelspark.session import build_session
+    ap = argparse.ArgumentParser(prog="panelspark.plans.catalogue")
+    ap.add_argument("name", choices=sorted(QUERIES))
+    ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--show", type=int, default=20)
+    ap.add_argument("--explain", action="store_true")
+    args = ap.parse_args(argv)
+    spark = build_session()
+    df = QUERIES[args.name](spark, args.sf)
+    df.show(args.show, truncate=False)
+    if args.explain:
+        df.explain("formatted")
+
+
+if __name__ == "__main__":
+    main()
