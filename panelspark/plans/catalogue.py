@@ -931,8 +931,10 @@ def generation_sheet(spark: SparkSession, d: str) -> DataFrame:
         F.year("l_shipdate").cast("int").alias("year"), F.month("l_shipdate").cast("int").alias("month"))
     sup = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
     placed = sup.join(checked_broadcast(table(spark, d, "nation").select("n_nationkey")), "n_nationkey")
+    if fits_broadcast(placed):
+        placed = F.broadcast(cached_dimension(spark, d, "supplier_nations", placed))
     code = F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
-    rows = li.join(checked_broadcast(placed), "s_suppkey").select(
+    rows = li.join(placed, "s_suppkey").select(
         "year", "month", recode(code, SHEET_NATIONAL).alias("state"),
         F.when(F.col("l_linestatus") == "F", F.lit(energy_panel.TOTAL_PRODUCER))
         .otherwise(F.lit(OTHER_PRODUCER)).alias("typeofproducer"),
