@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, sentencepiece_bpe
+from . import exact_dedup, gru_lm, packing, secret_scan, sentencepiece_bpe, sharding, simhash, tool_calls, toxicity, winnowing
 from .shipping import ship_package
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -31,7 +31,44 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_copies(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_packing, op3_exact_dedup)}
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(read(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted",
+                         F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"))
+
+
+def op6_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return gru_lm.score_documents(read(spark, sf_dir, "documents"))
+
+
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_likeness(read(spark, sf_dir, "documents"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results, links = tool_calls.calls_of_turns(read(spark, sf_dir, "conversations"))
+    return tool_calls.link_calls(calls, results, links, tool_calls.SCHEMAS, keep=["conv_id", "turn"])
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_packing, op3_exact_dedup, op4_sharding, op5_toxicity, op6_gru_lm,
+                                   op7_winnowing, op8_simhash, op9_secret_scan, op10_tool_calls)}
 
 ORACLE = {
     "op3_exact_dedup": r"""
@@ -41,4 +78,37 @@ ORACLE = {
                count(*) OVER (PARTITION BY norm) AS group_size,
                doc_id = first_value(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(t) DESC, doc_id)""",
+    "op4_sharding": """
+        WITH h AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes,
+                          lpad(bin(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT)), 60, '0') AS bits FROM documents),
+        levels AS (SELECT depth, substr(bits, 1, depth) AS shard, sum(bytes) AS shard_bytes, count(*) AS shard_rows
+                   FROM h, (SELECT CAST(range AS INTEGER) AS depth FROM range(0, 41)) GROUP BY ALL),
+        best AS (SELECT doc_id, bytes, min(depth) AS depth, any_value(bits) AS bits
+                 FROM h JOIN levels ON shard = substr(bits, 1, depth)
+                 WHERE shard_bytes <= 1048576 OR shard_rows = 1 GROUP BY doc_id, bytes)
+        SELECT doc_id, bytes, l.shard, l.depth, CAST(l.shard_bytes AS BIGINT) AS shard_bytes, l.shard_rows
+        FROM best b JOIN levels l ON l.depth = b.depth AND l.shard = substr(b.bits, 1, b.depth)""",
+    "op10_tool_calls": r"""
+        WITH RECURSIVE u AS (
+            SELECT conv_id, turn, 'call_' || conv_id || '_' || turn AS call_id, 'call_' || conv_id || '_' || (turn // 2) AS needs,
+                   length(coalesce(text, '')) AS n, regexp_extract(coalesce(text, ''), '[A-Za-z]+') AS word
+            FROM conversations WHERE role = 'user'),
+        links AS (SELECT a.call_id, a.needs FROM u a WHERE a.turn > 0 AND a.needs IN (SELECT call_id FROM u)),
+        lv AS (SELECT call_id, 0 AS level FROM u WHERE call_id NOT IN (SELECT call_id FROM links)
+               UNION ALL SELECT l.call_id, lv.level + 1 FROM links l JOIN lv ON lv.call_id = l.needs),
+        r AS (SELECT 'call_' || conv_id || '_' || (turn - 1) AS call_id, min(coalesce(text, '')) AS content, count(*) AS n_results
+              FROM conversations WHERE role = 'assistant' GROUP BY 1),
+        c AS (SELECT u.*, r.content, coalesce(r.n_results, 0) AS n_results, lv.level, CASE WHEN n % 2 = 0 THEN 'count' ELSE 'find' END AS name,
+                     CASE WHEN word != '' THEN '"text":' || to_json(word) END AS t
+              FROM u LEFT JOIN r USING (call_id) LEFT JOIN lv USING (call_id)),
+        e AS (SELECT *, CASE WHEN n % 2 = 0 THEN '{' || coalesce(t || ',', '') || '"words":' || n || '}'
+                             ELSE '{"limit":' || CASE WHEN n % 5 = 0 THEN '"' || n || '"' ELSE '' || n END || coalesce(',' || t, '') || '}' END AS args,
+                     list_filter(['missing text', 'mistyped limit'], lambda x: (x = 'missing text' AND word = '') OR (x = 'mistyped limit' AND n % 2 = 1 AND n % 5 = 0)) AS wrong
+              FROM c),
+        s AS (SELECT *, CASE WHEN len(wrong) > 0 THEN 'invalid' WHEN content IS NULL THEN 'unanswered' ELSE 'answered' END AS status FROM e)
+        SELECT conv_id, turn, call_id, name, level, status, array_to_string(wrong, '; ') AS problems, n_results,
+               '{"arguments":' || args || ',"call_id":"' || call_id || '","level":' || level || ',"name":"' || name || '","problems":['
+               || array_to_string(list_transform(wrong, lambda x: '"' || x || '"'), ',') || '],"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null')
+               || ',"status":"' || status || '"}' AS line
+        FROM s""",
 }
