@@ -83,10 +83,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                .select(F.col("_best.id").alias("_win_id"), F.col("_digest").alias("_win_digest"),
                        (-F.col("_best.chars")).alias("_win_chars")))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    own = docs.select(*[F.col(c) for c in docs.columns], F.sha2(normalised(text), 256).alias("_own_digest"), F.char_length(text).alias("_own_chars"))
-    same = (own[id_col].eqNullSafe(winners["_win_id"]) & (own["_own_digest"] == winners["_win_digest"])
+    own = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_own_id"), F.col(text_col).alias("_own_text"),
+                      F.sha2(normalised(text), 256).alias("_own_digest"), F.char_length(text).alias("_own_chars"))
+    same = (own["_own_id"].eqNullSafe(winners["_win_id"]) & (own["_own_digest"] == winners["_win_digest"])
             & (own["_own_chars"] == winners["_win_chars"]))
     # rows repeated with the winner's id and length: one of them
-    first = Window.partitionBy(F.col(id_col), F.col("_own_digest")).orderBy(F.col(text_col))
-    return (own.join(winners, same, "left_semi").withColumn("_nth", F.row_number().over(first))
-            .where("_nth = 1").select(*docs.columns))
+    first = Window.partitionBy("_own_id", "_own_digest").orderBy("_own_text")
+    return own.join(winners, same, "left_semi").withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select("_row.*")

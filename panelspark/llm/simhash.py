@@ -146,8 +146,8 @@ def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BI
     """The rows that stay, with all their columns: one for each group, the smallest id (null ids last)."""
     _, named = _grouped(docs, words, max_bits, id_col, text_col)
     kept = named.select(F.col("win.id").alias("_win_id"), F.col("win.hash").alias("_win_hash")).distinct()
-    own = docs.select(*[F.col(c) for c in docs.columns], F.xxhash64(F.col(text_col).cast("string")).alias("_own_hash"))
-    same = own[id_col].eqNullSafe(kept["_win_id"]) & (own["_own_hash"] == kept["_win_hash"])
-    first = Window.partitionBy(F.col(id_col), F.col("_own_hash")).orderBy(F.col(text_col))   # rows repeated whole: one
-    return (own.join(kept, same, "left_semi").withColumn("_nth", F.row_number().over(first))
-            .where("_nth = 1").select(*docs.columns))
+    own = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_own_id"), F.col(text_col).alias("_own_text"),
+                      F.xxhash64(F.col(text_col).cast("string")).alias("_own_hash"))
+    same = own["_own_id"].eqNullSafe(kept["_win_id"]) & (own["_own_hash"] == kept["_win_hash"])
+    first = Window.partitionBy("_own_id", "_own_hash").orderBy("_own_text")     # rows repeated whole: one
+    return own.join(kept, same, "left_semi").withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select("_row.*")

@@ -295,6 +295,5 @@ def score_documents(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id",
 
 def drop_toxic(docs: DataFrame, model: ToxicModel, text_col: str = "text") -> DataFrame:
     """The rows whose score is under 1/2, with all their columns."""
-    score = score_column(model)(F.col(text_col).cast("string"))
-    own = docs.select(*[F.col(c) for c in docs.columns], score.alias("_toxicity"))
-    return own.where(F.col("_toxicity.score") < 0.5).select(*docs.columns)
+    own = docs.select(F.struct("*").alias("_row"), score_column(model)(F.col(text_col).cast("string")).alias("_s"))
+    return own.where(F.col("_s.score") < 0.5).select("_row.*")
