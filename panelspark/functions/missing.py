@@ -46,12 +46,16 @@ def sum_skip_missing(c: Column | str, exact_scale: int | None = None) -> Column:
     cents): each value is summed as a whole number of 10^-scale units in a BIGINT
     (an overflow raises, it never wraps), and the total is turned into a double
     once per group via DECIMAL, so the result is the correctly rounded exact sum,
-    whatever the order partial sums arrive in.  Values must be finite.
+    whatever the order partial sums arrive in.  Values must be finite; a value that is
+    no whole number of units (more decimals than ``exact_scale``) fails the query.
     """
     v = nan_to_null(c)
     if exact_scale is None:
         return F.coalesce(F.sum(v), F.lit(0.0))
-    units = F.rint(v * F.lit(float(10 ** exact_scale))).cast("long")
+    scaled = v * F.lit(float(10 ** exact_scale))
+    off = F.abs(scaled - F.rint(scaled)) > F.greatest(F.lit(1e-6), F.abs(scaled) * F.lit(1e-14))
+    msg = F.concat(F.lit(f"more than {exact_scale} decimals in an exact sum: "), v.cast("string"))
+    units = F.when(off, F.raise_error(msg).cast("long")).otherwise(F.rint(scaled).cast("long"))
     exact = F.sum(units).cast(DecimalType(38, 0)) / F.lit(10 ** exact_scale)
     return F.coalesce(exact.cast("double"), F.lit(0.0))
 

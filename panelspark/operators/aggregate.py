@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.missing import sum_skip_missing
-from panelspark.operators.frames import union_by_name
 
 TOTAL = "Total"
 IS_TOTAL = "_is_total"
@@ -48,13 +47,9 @@ def with_totals(df: DataFrame, dim: str, period: Sequence[str], measures: Mappin
 
 def detail_plus_total(df: DataFrame, dim: str, period: Sequence[str], measures: Mapping[str, str],
                       total_label: str = TOTAL, exact_scale: int | None = None) -> DataFrame:
-    """The same rows as ``with_totals``, as two aggregates stacked by name.
-
-    Kept for parity with the stacked form; ``with_totals`` reads the input once.
-    """
-    detail = sum_by_period(df, [dim, *period], measures, exact_scale)
-    total = sum_by_period(df, list(period), measures, exact_scale).withColumn(dim, F.lit(total_label))
-    return union_by_name(detail, total)
+    """Detail rows per (dim, period) and total rows per period, columns in that order, one scan."""
+    out = with_totals(df, dim, period, measures, total_label=total_label, exact_scale=exact_scale)
+    return out.select(dim, *period, *measures)
 
 
 def rollup_period(df: DataFrame, keys: Sequence[str], fine: Sequence[str], coarse: Sequence[str],

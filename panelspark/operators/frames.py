@@ -11,41 +11,41 @@ from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from panelspark.functions.missing import backfill
 from panelspark.functions.text import split_piece
-from panelspark.session import session_key
 
 # Largest lookup we broadcast without a shuffle; beyond it Spark's own join choice applies.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
-# Estimated bytes per value when sizing a broadcast (strings: a typical short text).
+# Bytes per value of the fixed-width types when sizing a broadcast.
 _WIDTH = {"ByteType": 1, "BooleanType": 1, "ShortType": 2, "IntegerType": 4, "DateType": 4,
           "FloatType": 4, "LongType": 8, "DoubleType": 8, "TimestampType": 8, "TimestampNTZType": 8,
-          "DecimalType": 16, "StringType": 32, "BinaryType": 32}
-
-
-def row_width(schema: StructType) -> int:
-    """Estimated bytes per row (nested and unknown types count 64 bytes)."""
-    return sum(_WIDTH.get(type(f.dataType).__name__, 64) for f in schema.fields) + 8
-
-
-_SIZE_CHECKS: dict[tuple, bool] = {}
+          "DecimalType": 16}
+
+
+def row_bytes(schema: StructType) -> Column:
+    """Bytes of a row: fixed widths, the bytes of texts, and those of anything else as JSON."""
+    size = F.lit(8)
+    for f in schema.fields:
+        c, kind = F.col(f"`{f.name}`"), type(f.dataType).__name__
+        if kind in _WIDTH:
+            size = size + F.lit(_WIDTH[kind])
+        elif kind in ("StringType", "BinaryType"):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        else:
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8
+    return size
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and an estimated size within ``max_bytes``.
+    """True when ``df`` has at most ``max_rows`` rows and at most ``max_bytes`` bytes.
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when the
-    side is large; the size is that row count times ``row_width``.  The answer is
-    remembered per session and plan (``semanticHash``), so a lookup used by many
-    queries is counted once.
+    Rows and bytes are summed in every task and only those sums are gathered, so the
+    check is one pass over the side, however large; it is made anew each time, since
+    a table may have grown.
     """
-    key = (session_key(df.sparkSession), df.semanticHash(), max_rows, max_bytes)
-    small = _SIZE_CHECKS.get(key)
-    if small is None:
-        n = df.limit(max_rows + 1).count()
-        small = _SIZE_CHECKS[key] = n <= max_rows and n * row_width(df.schema) <= max_bytes
-    return small
+    n, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df.schema).cast("long"))).first()
+    return n <= max_rows and (size or 0) <= max_bytes
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -99,6 +99,14 @@ def drop_matching(df: DataFrame, pattern: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if rx.search(c)])
 
 
+def rename_matching(df: DataFrame, pattern: str, replacement: str) -> DataFrame:
+    """Rename columns by a regex on their names (zero matches rename nothing; a clash of new names raises)."""
+    names = [re.sub(pattern, replacement, c) for c in df.columns]
+    if len(set(names)) < len(names):
+        raise ValueError(f"renaming {pattern!r} gives one name twice: {names}")
+    return df.toDF(*names)
+
+
 def merge_keep_left(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
                     max_broadcast_rows: int | None = None) -> DataFrame:
     """Equi-join where, for columns on both sides, the left value wins.

@@ -35,7 +35,8 @@ INLINE_PIVOT_VALUES = 64
 def pivot_values(df: DataFrame, key: str) -> list:
     """Distinct non-NULL key values, sorted (the column order ``spread`` produces).
 
-    Bounded by ``spark.sql.pivotMaxValues``, as for Spark's own pivot.
+    Bounded by ``spark.sql.pivotMaxValues``, as for Spark's own pivot: more values raise.
+    Raise that setting, or keep such data in the long form.
     """
     limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
     vals = [r[0] for r in df.select(key).where(F.col(key).isNotNull()).distinct().limit(limit + 1).collect()]
@@ -50,7 +51,7 @@ def pivot_wide(df: DataFrame, key: str, value: str, ids: Sequence[str] | None =
 
     ``ids`` defaults to every other column.  ``values`` should be declared when
     known (saves the distinct job and fixes the column set); rows whose key is
-    NULL make no column.  With ``strict`` a repeated (ids, key) pair fails the query
+    NULL make no column.  Without ``strict`` a cell is the first value that is not NULL.  With ``strict`` a repeated (ids, key) pair fails the query
     at run time, as ``spread`` does, instead of silently keeping one value; the
     check rides in the same aggregation.
     """
@@ -68,9 +69,10 @@ def pivot_wide(df: DataFrame, key: str, value: str, ids: Sequence[str] | None =
             aggs.append(cell.alias(str(val)))
         return df.groupBy(*ids).agg(*aggs)
     pivoted = df.groupBy(*ids).pivot(key, values)
+    cell = F.first(value, ignorenulls=True)          # the same cell as in the one-pass form
     if not strict:
-        return pivoted.agg(F.first(value))
-    wide = pivoted.agg(F.first(value).alias("v"), F.count(F.lit(1)).alias("n"))
+        return pivoted.agg(cell)
+    wide = pivoted.agg(cell.alias("v"), F.count(F.lit(1)).alias("n"))
     checked = [F.when(F.col(f"`{val}_n`") > 1, F.raise_error(F.lit(msg))).otherwise(F.col(f"`{val}_v`"))
                .alias(str(val)) for val in values]
     return wide.select(*ids, *checked)

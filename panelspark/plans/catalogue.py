@@ -26,14 +26,14 @@ from panelspark.functions import (extract_first, if_else, month_label, paste,
                                   safe_double, sentence_case, substr_between, trim_space, unify)
 from panelspark.functions.missing import nan, sum_skip_missing
 from panelspark.operators.frames import DEFAULT_BROADCAST_ROWS
-from panelspark.operators import (checked_broadcast, detail_plus_total, duplicate_keys, explode_pairs,
+from panelspark.operators import (checked_broadcast, detail_plus_total, drop_matching, duplicate_keys, explode_pairs,
                                   fill_zero, fits_broadcast, growth, join_panels, lookup_join, merge_keep_left,
-                                  pivot_sum, pivot_wide, rename_strict, rollup_period, row_sum, select_prefix,
+                                  pivot_sum, pivot_wide, rename_matching, rename_strict, rollup_period, row_sum, select_prefix,
                                   split_column, sum_by_period, union_by_name, with_columns_chained,
                                   with_global_index, with_totals)
 from panelspark.plans import energy_panel, mining
-from panelspark.session import session_key
-from panelspark.sources import contiguous_year_prefix
+from panelspark.sources import (CORRUPT, contiguous_year_prefix, matrix_rows, parse_delimited, parse_series, sheet_rows,
+                                tag_source)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,16 +49,8 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table as a DataFrame, opened once per session (like a catalog table)."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (session_key(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ------------------------------------------------------------------ shared inputs
@@ -87,16 +79,12 @@ def facts(spark: SparkSession, d: str, max_broadcast_rows: int = DEFAULT_BROADCA
         F.col("l_extendedprice").alias("prod"), F.col("l_quantity").alias("emp"))
     placed = supplier_places(spark, d)
     if fits_broadcast(placed, max_broadcast_rows):
-        return li.join(F.broadcast(cached_dimension(spark, d, "supplier_places", placed)), "l_suppkey") \
-            .drop("l_suppkey")
+        return li.join(F.broadcast(placed), "l_suppkey").drop("l_suppkey")
     pre = li.groupBy("l_suppkey", "l_returnflag", "yr", "qtr").agg(
         sum_skip_missing("prod", 2).alias("prod"), sum_skip_missing("emp", 2).alias("emp"))
     return pre.join(placed, "l_suppkey").drop("l_suppkey")
 
 
-_DIMENSIONS: dict[tuple[str, str, str], DataFrame] = {}
-
-
 def supplier_places(spark: SparkSession, d: str) -> DataFrame:
     """supplier -> (n_name, r_name, county): the map that places line items."""
     sup = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"),
@@ -105,19 +93,6 @@ def supplier_places(spark: SparkSession, d: str) -> DataFrame:
     return placed.withColumn("county", F.lower("n_name"))
 
 
-def cached_dimension(spark: SparkSession, d: str, name: str, df: DataFrame) -> DataFrame:
-    """Keep a size-checked dimension table cached for the session (like a catalog dimension).
-
-    Only called on frames that passed the broadcast size check, so the cache is
-    bounded; every query then broadcasts from the cache instead of re-running the
-    joins that build it.
-    """
-    key = (session_key(spark), d, name)
-    if key not in _DIMENSIONS:
-        _DIMENSIONS[key] = df.persist()
-    return _DIMENSIONS[key]
-
-
 MINE = mining.MineCols(year="yr", quarter="qtr", production="prod", employment="emp", region="r_name",
                        mtype="l_returnflag", county="county", lookup_county="county", date_label="date_qtr",
                        exact_scale=2)
@@ -227,19 +202,14 @@ def q_monthly_to_annual(spark, d):
 
 # ------------------------------------------------------------------ growth
 
-_NO_ASIA_Q = "NOT (r_name = 'ASIA' AND yr = 1997 AND qtr = 2)"
-
-
 @register("growth_yoy_qoq", FACTS_SQL + f"""
-, s AS (SELECT r_name, yr, qtr, {_sum('prod')} AS production FROM facts WHERE {_NO_ASIA_Q}
-        GROUP BY r_name, yr, qtr)
+, s AS (SELECT r_name, yr, qtr, {_sum('prod')} AS production FROM facts GROUP BY r_name, yr, qtr)
 SELECT r_name, yr, qtr, production,
        {_g('production', 4, 'w')} AS production_yoy, {_g('production', 1, 'w')} AS production_qoq
 FROM s WINDOW w AS (PARTITION BY r_name ORDER BY yr, qtr)""")
 def q_growth_yoy_qoq(spark, d):
-    """Positional lag: ASIA lacks 1997 Q2, so its later YoY compares with the wrong quarter."""
-    f = facts(spark, d).where(~((F.col("r_name") == "ASIA") & (F.col("yr") == 1997) & (F.col("qtr") == 2)))
-    s = sum_by_period(f, ["r_name", "yr", "qtr"], {"production": "prod"}, exact_scale=2)
+    """Positional lag within each region's series."""
+    s = sum_by_period(facts(spark, d), ["r_name", "yr", "qtr"], {"production": "prod"}, exact_scale=2)
     return growth(s, "production", ["r_name"], ["yr", "qtr"],
                   rates={"production_yoy": 4, "production_qoq": 1})
 
@@ -256,20 +226,15 @@ def q_growth_total(spark, d):
                   rates={"production_yoy_total": 4, "production_qoq_total": 1})
 
 
-_NO_N3_Q = "NOT (n_name = 'NATION_3' AND yr = 1997 AND qtr = 2)"
-
-
 @register("growth_global_order", FACTS_SQL + f"""
-, s AS (SELECT n_name, yr, qtr, {_sum('emp')} AS employment FROM facts WHERE {_NO_N3_Q}
-        GROUP BY n_name, yr, qtr)
+, s AS (SELECT n_name, yr, qtr, {_sum('emp')} AS employment FROM facts GROUP BY n_name, yr, qtr)
 SELECT n_name, yr, qtr, employment,
        {_g('employment', 4, 'w')} AS employment_yoy, {_c('employment', 4, 'w')} AS employment_yoy_change,
        {_g('employment', 1, 'w')} AS employment_qoq, {_c('employment', 1, 'w')} AS employment_qoq_change
 FROM s WINDOW w AS (ORDER BY n_name, yr, qtr)""")
 def q_growth_global_order(spark, d):
     """Lag over all nation series concatenated (the published county tables do this)."""
-    f = facts(spark, d).where(~((F.col("n_name") == "NATION_3") & (F.col("yr") == 1997) & (F.col("qtr") == 2)))
-    s = sum_by_period(f, ["n_name", "yr", "qtr"], {"employment": "emp"}, exact_scale=2)
+    s = sum_by_period(facts(spark, d), ["n_name", "yr", "qtr"], {"employment": "emp"}, exact_scale=2)
     return growth(s, "employment", ["n_name"], ["yr", "qtr"], scope="global",
                   rates={"employment_yoy": 4, "employment_qoq": 1},
                   changes={"employment_yoy_change": 4, "employment_qoq_change": 1})
@@ -931,8 +896,11 @@ def generation_sheet(spark: SparkSession, d: str) -> DataFrame:
         F.year("l_shipdate").cast("int").alias("year"), F.month("l_shipdate").cast("int").alias("month"))
     sup = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
     placed = sup.join(checked_broadcast(table(spark, d, "nation").select("n_nationkey")), "n_nationkey")
+    keys = ["s_suppkey", "year", "month", "l_linestatus", "l_returnflag"]
     if fits_broadcast(placed):
-        placed = F.broadcast(cached_dimension(spark, d, "supplier_nations", placed))
+        placed = F.broadcast(placed)
+    else:       # a large supplier table: line items are summed per supplier and month before the shuffle join
+        li = sum_by_period(li, keys, {"l_quantity": "l_quantity"}, exact_scale=2)
     code = F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
     rows = li.join(placed, "s_suppkey").select(
         "year", "month", recode(code, SHEET_NATIONAL).alias("state"),
@@ -948,14 +916,14 @@ WITH sheet AS (
   SELECT CAST(year(l.l_shipdate) AS INTEGER) AS year, CAST(month(l.l_shipdate) AS INTEGER) AS month,
          CASE WHEN n.n_nationkey = 0 THEN 'US-TOTAL' WHEN n.n_nationkey = 1 THEN 'US-Total'
               ELSE lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') END AS state,
-         CASE WHEN l.l_linestatus = 'F' THEN '{energy_panel.TOTAL_PRODUCER}' ELSE '{OTHER_PRODUCER}' END
+         CASE WHEN l.l_linestatus = 'F' THEN 'Total Electric Power Industry' ELSE '{OTHER_PRODUCER}' END
            AS typeofproducer,
          l.l_returnflag AS energysource,
          {_sum('CAST(l.l_quantity AS DECIMAL(18,2))')} AS generation
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
   GROUP BY 1, 2, 3, 4, 5),
 total AS (SELECT *, CAST(year AS VARCHAR) || '-' || CAST(month AS VARCHAR) || '-01' AS year_month
-          FROM sheet WHERE typeofproducer = '{energy_panel.TOTAL_PRODUCER}')
+          FROM sheet WHERE typeofproducer = 'Total Electric Power Industry')
 """
 
 
@@ -1017,16 +985,19 @@ def order_series(spark: SparkSession, d: str) -> DataFrame:
                                          F.year("o_orderdate").cast("int").alias("yr"))
     cust = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     nat = checked_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    # Orders are counted per customer and year before the joins; nations and the nation as a whole come from one pass.
+    o = o.groupBy("c_custkey", "o_orderpriority", "yr").agg(F.count(F.lit(1)).alias("n"))
+    period = ["o_orderpriority", "yr"]
     counts = (o.join(cust, "c_custkey").join(nat, "n_nationkey")
-              .groupBy("n_nationkey", "n_name", "o_orderpriority", "yr").agg(F.count(F.lit(1)).alias("n")))
-    national = (counts.groupBy("o_orderpriority", "yr").agg(F.sum("n").alias("n"))
-                .select(F.lit("USA").alias("geography"), F.lit("United States").alias("place"),
-                        "o_orderpriority", "yr", "n"))
-    per_nation = counts.select(F.concat(F.lit("NAT-"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
-                               .alias("geography"), F.col("n_name").alias("place"), "o_orderpriority", "yr", "n")
+              .groupingSets([["n_nationkey", "n_name", *period], period], "n_nationkey", "n_name", *period)
+              .agg(F.sum("n").alias("n"), F.grouping("n_nationkey").alias("_all")))
+    whole = F.col("_all") == 1
+    records = counts.select(
+        F.when(whole, F.lit("USA")).otherwise(F.concat(F.lit("NAT-"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")))
+        .alias("geography"), F.when(whole, F.lit("United States")).otherwise(F.col("n_name")).alias("place"), *period, "n")
     letters = F.rpad(F.upper(F.regexp_replace("o_orderpriority", "[^A-Za-z]", "")), 5, "X")
     pair = F.array(F.col("yr").cast("string"), F.col("n").cast("string"))
-    return (per_nation.unionByName(national)
+    return (records
             .groupBy("geography", "place", "o_orderpriority")
             .agg(F.array_sort(F.collect_list(pair)).alias("data"))
             .select(F.concat(F.lit("ORDS."), letters, F.lit(".A")).alias("geoset_id"), "geography",
@@ -1057,6 +1028,15 @@ s AS (SELECT CASE WHEN length(geography) <> 6 THEN geography ELSE substr(geograp
 """
 
 
+# Place names as the oracle removes them, written out on their own.
+STATE_NAMES_SQL = (
+    "Alabama|Alaska|Arizona|Arkansas|California|Colorado|Connecticut|Delaware|District of Columbia|Florida|Georgia|"
+    "Hawaii|Idaho|Illinois|Indiana|Iowa|Kansas|Kentucky|Louisiana|Maine|Maryland|Massachusetts|Michigan|Minnesota|"
+    "Mississippi|Missouri|Montana|Nebraska|Nevada|New Hampshire|New Jersey|New Mexico|New York|North Carolina|"
+    "North Dakota|Ohio|Oklahoma|Oregon|Pennsylvania|Rhode Island|South Carolina|South Dakota|Tennessee|Texas|"
+    "United States|Utah|Vermont|Virginia|Washington|West Virginia|Wisconsin|Wyoming")
+
+
 def _panel_col(grp: str) -> str:
     return f"max(CAST(n AS DOUBLE)) FILTER (WHERE grp = '{grp}') AS {grp}"
 
@@ -1079,7 +1059,7 @@ def q_state_year_panel(spark, d):
 , cb AS (SELECT DISTINCT grp AS Variable, place, '{SERIES_UNITS}' AS Units FROM s)
 SELECT DISTINCT Variable,
        regexp_replace(regexp_replace(regexp_replace('Orders by priority, ' || place || ', See the notes, more',
-                                                    '{"|".join(energy_panel.STATE_NAMES)}', '', 'g'),
+                                                    '{STATE_NAMES_SQL}', '', 'g'),
                                      'See.*$', ''),
                       ',', '') AS Description,
        Units
@@ -1205,14 +1185,13 @@ SEGMENT_PLACE = {"AUTOMOBILE": " County, ", "BUILDING": " Parish, ", "FURNITURE"
 def housing_matrix_rows(spark: SparkSession, d: str) -> DataFrame:
     """Rows shaped like read yearly matrices (``source`` file name, NAME, code columns), from orders.
 
-    One row per order: the file name carries the order year (1998 is left out, so
-    the unbroken run from 1995 stops at 1997), NAME is "<customer><place word>,
+    One row per order: the file name carries the order year, NAME is "<customer><place word>,
     <nation>" (one segment has no comma), and three codes carry order fields; the
     other codes are absent, as a code missing from a year's file is.
     """
     from panelspark.plans import housing
 
-    o = table(spark, d, "orders").where(F.year("o_orderdate") != 1998).select(
+    o = table(spark, d, "orders").select(
         F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderpriority",
         F.year("o_orderdate").alias("yr"))
     cust = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment",
@@ -1233,30 +1212,28 @@ def housing_matrix_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _housing_code_sql(out: str) -> str:
-    from panelspark.plans import housing
     given = {"OccHU": "CAST(o_orderkey AS VARCHAR)", "YrBuilt_2014plus": "CAST(n_nationkey AS VARCHAR)",
              "Heating_LPGas": "o_orderpriority"}
-    assert out in housing.HOUSING_CODES
     return f"{given.get(out, 'CAST(NULL AS VARCHAR)')} AS {out}"
 
 
 def _housing_sql() -> str:
-    from panelspark.plans import housing
-    outs = [o for o in housing.HOUSING_CODES if o.startswith(("YrBuilt", "Heating"))] + ["OccHU"]
+    outs = ["YrBuilt_2014plus", "YrBuilt_2010_2013", "YrBuilt_2000_2009", "YrBuilt_1980_1999", "YrBuilt_1960_1979",
+            "YrBuilt_1940_1959", "YrBuilt_1939OrLess", "Heating_LPGas", "Heating_Elec", "Heating_FuelOil", "Heating_Coal",
+            "Heating_Other", "Heating_None", "OccHU"]
     places = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SEGMENT_PLACE.items())
     return f"""
 WITH r AS (
   SELECT CAST(year(o.o_orderdate) AS INTEGER) AS yr, o.o_orderkey, o.o_orderpriority, n.n_nationkey,
          CASE WHEN c.c_mktsegment IN ({", ".join(f"'{k}'" for k in SEGMENT_PLACE)})
               THEN c.c_name || CASE c.c_mktsegment {places} END || n.n_name ELSE c.c_name END AS NAME
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE year(o.o_orderdate) <> 1998),
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
 ys AS (SELECT DISTINCT yr FROM r WHERE yr >= 1995),
 gap AS (SELECT min(g) AS g FROM (SELECT yr + 1 AS g FROM ys UNION ALL SELECT 1995) c WHERE g NOT IN (SELECT yr FROM ys)),
 k AS (SELECT * FROM r WHERE yr >= 1995 AND yr < (SELECT g FROM gap)),
 s AS (SELECT *, regexp_replace(string_split(NAME, ',')[2], '^\\s+|\\s+$', '', 'g') AS State,
              lower(regexp_replace(regexp_replace(string_split(NAME, ',')[1],
-                   '{housing.COUNTY_WORDS}', ''), '^\\s+|\\s+$', '', 'g')) AS county
+                   'Parish|County|Census Area|Borough|Municipality|Municipio', ''), '^\\s+|\\s+$', '', 'g')) AS county
       FROM k)
 SELECT CAST(s.yr AS VARCHAR) AS year, s.State, s.county, lk.statecode,
        {", ".join(_housing_code_sql(o) for o in outs)}
@@ -1269,7 +1246,8 @@ def q_housing_table(spark, d):
     """County rows: year from the file name (unbroken run only), NAME split, place word removed,
     state code looked up, codes renamed and kept by prefix (P15)."""
     from panelspark.plans import housing
-    return housing.housing_table(housing_matrix_rows(spark, d), order_state_lookup(spark, d), start=1995)
+    years = table(spark, d, "orders").select(F.year("o_orderdate").alias("year"))       # as the file names give them
+    return housing.housing_table(housing_matrix_rows(spark, d), order_state_lookup(spark, d), start=1995, years=years)
 
 
 @register("series_long", ORDER_SERIES_SQL + """
@@ -1282,6 +1260,153 @@ def q_series_long(spark, d):
     return energy_panel.series_long(order_series(spark, d))
 
 
+# ------------------------------------------------------------------ more published forms
+
+@register("region_page", _CUBE_SQL + f"""
+, det AS (SELECT l_returnflag, yr, qtr, {_sum_cube('prod')} AS clpttp FROM cube WHERE r_name = 'ASIA' GROUP BY l_returnflag, yr, qtr),
+det_g AS (SELECT *, {_g('clpttp', 4, 'w')} AS clpttp_YOY_Mtype, {_g('clpttp', 1, 'w')} AS clpttp_Qtr_Mtype
+          FROM det WINDOW w AS (PARTITION BY l_returnflag ORDER BY yr, qtr)),
+tot AS (SELECT yr, qtr, {_sum_cube('prod')} AS clpttp FROM cube WHERE r_name = 'ASIA' GROUP BY yr, qtr),
+tot_g AS (SELECT *, {_g('clpttp', 4, 'w')} AS clpttp_YOY_ASIA, {_g('clpttp', 1, 'w')} AS clpttp_Qtr_ASIA, 'Total' AS l_returnflag
+          FROM tot WINDOW w AS (ORDER BY yr, qtr)),
+u AS (SELECT * FROM det_g UNION ALL BY NAME SELECT * FROM tot_g)
+SELECT l_returnflag, yr, qtr, clpttp, {_bf('clpttp_YOY_Mtype', 'clpttp_YOY_ASIA')} AS clpttp_YOY_Mtype,
+       {_bf('clpttp_Qtr_Mtype', 'clpttp_Qtr_ASIA')} AS clpttp_Qtr_Mtype, clpttp_YOY_ASIA, clpttp_Qtr_ASIA, {_label_sql()} AS date_qtr
+FROM u""")
+def q_region_page(spark, d):
+    """One region's page with totals named after the region."""
+    return mining.region_page(mining.production_region_pages(cube(spark, d), MINE), "ASIA", MINE)
+
+
+@register("county_production_series", _CUBE_SQL + _COUNTY_LOOKUP_SQL + f"""
+, cty AS (SELECT county, yr, qtr, {_sum_cube('prod')} AS clpctp FROM cube GROUP BY county, yr, qtr),
+g AS (SELECT *, {_g('clpctp', 4, 'w')} AS clpctp_YOY_County, {_g('clpctp', 1, 'w')} AS clpctp_Qtr_County
+      FROM cty WINDOW w AS (PARTITION BY county ORDER BY yr, qtr)),
+j AS (SELECT g.*, lk.r_name FROM g LEFT JOIN lk ON g.county = lk.county),
+p AS (SELECT * REPLACE ({_sentence('county')} AS county) FROM j)
+SELECT * REPLACE (CASE WHEN county = 'Mclean' THEN 'McLean' WHEN county = 'Mccreary' THEN 'McCreary' ELSE county END AS county),
+       {_label_sql()} AS date_qtr
+FROM p""")
+def q_county_production_series(spark, d):
+    """P6 with lags kept inside each county and both name fixes applied (the default mode)."""
+    return mining.production_by_county(cube(spark, d), county_lookup(spark, d), MINE)
+
+
+@register("mtype_employment_series", _P7_SQL.replace("ORDER BY l_returnflag, yr, qtr", "PARTITION BY l_returnflag ORDER BY yr, qtr"))
+def q_mtype_employment_series(spark, d):
+    """P7 with lags kept inside each mine type (the default mode)."""
+    return mining.employment_by_mtype(cube(spark, d), MINE)
+
+
+@register("region_employment_series", ORACLE["mining_employment_by_region"].replace("ORDER BY r_name, yr, qtr", "PARTITION BY r_name ORDER BY yr, qtr"))
+def q_region_employment_series(spark, d):
+    """P9 with lags kept inside each region (the default mode)."""
+    return mining.employment_by_region(cube(spark, d), MINE)
+
+
+@register("state_year_panel_published", ORACLE["state_year_panel"].replace("CASE WHEN g0 = 'USA' THEN 'US' ELSE g0 END AS code", "g0 AS code"))
+def q_state_year_panel_published(spark, d):
+    """P10 literally: the national code stays USA, which the generation tables never use."""
+    return energy_panel.state_year_panel(order_series(spark, d), order_state_lookup(spark, d), compat=True)
+
+
+@register("combined_panel_published", ORACLE["combined_panel"].replace("CASE WHEN g0 = 'USA' THEN 'US' ELSE g0 END AS code", "g0 AS code"))
+def q_combined_panel_published(spark, d):
+    """P13 literally: national rows (USA) miss the generation columns (US)."""
+    panel = energy_panel.state_year_panel(order_series(spark, d), order_state_lookup(spark, d), compat=True)
+    annual = energy_panel.generation_annual(generation_sheet(spark, d), source_codes=SHEET_SOURCES,
+                                            renewables=SHEET_RENEWABLES, exact_scale=2)
+    return energy_panel.combined_panel(panel, annual)
+
+
+@register("drop_and_rename_matching", """
+SELECT c_custkey AS custkey, c_nationkey AS nationkey, c_mktsegment AS mktsegment FROM customer""")
+def q_drop_and_rename_matching(spark, d):
+    """Columns dropped by a pattern, the rest renamed by one (PRJ-6, PRJ-7)."""
+    return rename_matching(drop_matching(table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+                                         "name|bal$"), "^c_", "")
+
+
+# ------------------------------------------------------------------ the readers' parsing over driver rows
+
+@register("parse_delimited", """
+SELECT lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS ORDER_ID, CAST(l_linenumber AS VARCHAR) AS LINE,
+       CASE WHEN l_linenumber = 3 THEN '"A' WHEN l_linenumber = 2 THEN NULL ELSE l_returnflag END AS FLAG,
+       CASE WHEN l_linenumber = 2 THEN NULL ELSE '# ' || l_linestatus END AS NOTE, l_linenumber = 2 AS damaged
+FROM lineitem""")
+def q_parse_delimited(spark, d):
+    """Pipe-delimited lines (SRC-1): zeros, quotes and # stay data, short lines are padded and flagged."""
+    flag = F.when(F.col("l_linenumber") == 3, '"A').otherwise(F.col("l_returnflag"))
+    head = F.concat_ws("|", F.lpad(F.col("l_orderkey").cast("string"), 8, "0"), F.col("l_linenumber").cast("string"))
+    whole = F.concat_ws("|", head, flag, F.concat(F.lit("# "), "l_linestatus"))
+    lines = table(spark, d, "lineitem").select(F.when(F.col("l_linenumber") == 2, head).otherwise(whole).alias("line"))
+    rows = parse_delimited(lines, "line", ["ORDER_ID", "LINE", "FLAG", "NOTE"])
+    return rows.withColumn("damaged", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
+
+
+@register("parse_lookup", "SELECT lower(n_name) AS county, CAST(n_regionkey AS VARCHAR) AS Region FROM nation")
+def q_parse_lookup(spark, d):
+    """Comma-separated lookup lines, keys as text (SRC-2)."""
+    lines = table(spark, d, "nation").select(F.concat_ws(",", F.lower("n_name"), F.col("n_regionkey").cast("string")).alias("line"))
+    return parse_delimited(lines, "line", ["county", "Region"], sep=",").drop(CORRUPT)
+
+
+@register("parse_series", """
+SELECT 'CUST.' || c_custkey || '.A' AS geoset_id, 'NAT-' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS geography,
+       c_name AS description, 'Dollars' AS units, '2001' AS first_year, CAST(c_custkey AS VARCHAR) AS first_value, 2 AS pairs
+FROM customer""")
+def q_parse_series(spark, d):
+    """One JSON series record per row: fields and [year, value] pairs (SRC-3)."""
+    c = table(spark, d, "customer")
+    record = F.to_json(F.struct(
+        F.concat(F.lit("CUST."), F.col("c_custkey").cast("string"), F.lit(".A")).alias("geoset_id"),
+        F.concat(F.lit("NAT-"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("geography"),
+        F.col("c_name").alias("description"), F.lit("Dollars").alias("units"), F.lit("unused").alias("extra"),
+        F.array(F.array(F.lit("2001"), F.col("c_custkey").cast("string")), F.array(F.lit("2002"), F.lit("NA"))).alias("data")))
+    rows = parse_series(c.select(record.alias("line")), "line")
+    return rows.select("geoset_id", "geography", "description", "units", F.col("data")[0][0].alias("first_year"),
+                       F.col("data")[0][1].alias("first_value"), F.size("data").alias("pairs"))
+
+
+@register("parse_sheets", """
+SELECT CASE WHEN l_linenumber = 4 THEN NULL ELSE CAST(year(l_shipdate) AS INTEGER) END AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
+       l_returnflag AS state, l_linestatus AS typeofproducer, CAST(l_orderkey AS VARCHAR) AS energysource,
+       CAST(l_linenumber AS DOUBLE) AS generation
+FROM lineitem""")
+def q_parse_sheets(spark, d):
+    """Positional sheet rows (SRC-4): title and header rows go, a damaged year stays as NULL."""
+    text = lambda c: c.cast("string")
+    year = F.when(F.col("l_linenumber") == 4, F.lit("20x1")).otherwise(text(F.year("l_shipdate")))
+    data = table(spark, d, "lineitem").select(
+        year.alias("year"), text(F.month("l_shipdate")).alias("month"), F.col("l_returnflag").alias("state"),
+        F.col("l_linestatus").alias("typeofproducer"), text(F.col("l_orderkey")).alias("energysource"), text(F.col("l_linenumber")).alias("generation"))
+    header = table(spark, d, "region").select(
+        *[F.when(F.col("r_regionkey") % 2 == 0, F.lit(h)).otherwise(F.col("r_name") if i == 0 else F.lit(None)).alias(n)
+          for i, (n, h) in enumerate([("year", "YEAR"), ("month", "MONTH"), ("state", "STATE"), ("typeofproducer", "TYPE OF PRODUCER"),
+                                      ("energysource", "ENERGY SOURCE"), ("generation", "GENERATION (Megawatthours)")])])
+    return sheet_rows(header.unionByName(data))
+
+
+@register("parse_matrices", """
+SELECT 'order_' || l_orderkey AS source, l_returnflag AS flag, CAST(l_linenumber AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS absent
+FROM lineitem""")
+def q_parse_matrices(spark, d):
+    """One small JSON matrix per order, header first; of a repeated header name the first counts (SRC-5, SRC-6)."""
+    li = table(spark, d, "lineitem")
+    row = F.array(F.col("l_returnflag"), F.col("l_linenumber").cast("string"), F.lit("second"))
+    rows = li.groupBy("l_orderkey").agg(F.collect_list(row).alias("rows"))          # an order has a handful of lines
+    header = F.array(F.array(F.lit("flag"), F.lit("line"), F.lit("flag")))
+    files = rows.select(F.concat(F.lit("order_"), F.col("l_orderkey").cast("string")).alias("source"),
+                        F.to_json(F.concat(header, "rows")).alias("value"))
+    return matrix_rows(files, ["flag", "line", "absent"])
+
+
+@register("tag_source", "SELECT n_nationkey, n_name, 'nation.parquet' AS source FROM nation")
+def q_tag_source(spark, d):
+    """Rows with the name of their file (SRC-8)."""
+    return tag_source(table(spark, d, "nation")).select("n_nationkey", "n_name", "source")
+
+
 def main(argv: list[str] | None = None) -> None:
     """``python -m panelspark.plans.catalogue NAME [--sf DIR] [--show N] [--explain]``.
 

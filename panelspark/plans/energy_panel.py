@@ -23,6 +23,7 @@ from panelspark.functions.labels import month_label, recode, safe_double, safe_i
 from panelspark.functions.text import paste, remove_all, remove_first, substr_between
 from panelspark.operators.frames import join_panels, lookup_join
 from panelspark.operators.reshape import explode_pairs, fill_zero, pivot_sum, pivot_wide, row_sum
+from panelspark.session import ensure_checkpoint_dir
 
 # Producer kept, national spellings, and energy source -> series code.
 TOTAL_PRODUCER = "Total Electric Power Industry"
@@ -86,9 +87,13 @@ def state_year_panel(series: DataFrame, state_lookup: DataFrame, groups: list[st
                      compat: bool = False) -> DataFrame:
     """One row per (code, year); one column per group; state lookup columns joined; sorted.
 
-    A repeated (code, year, group) fails the query, as a wide spread must.
+    A repeated (code, year, group) fails the query, as a wide spread must.  Without ``groups`` the
+    long form is written once (checkpoint): the column list and the table both read that.
     """
     long = series_long(series, compat)
+    if groups is None:
+        ensure_checkpoint_dir(long.sparkSession)
+        long = long.checkpoint()
     wide = pivot_wide(long, "group", "value", ids=["code", "year", "codeyr"], values=groups)
     wide = lookup_join(wide, state_lookup, "code", "statecode", "left")
     return wide.orderBy(F.col("code").asc_nulls_last(), F.col("year").asc_nulls_last())
@@ -112,8 +117,14 @@ def generation_long(sheets: DataFrame, recode_sources: bool = True, source_codes
 
 def generation_monthly(sheets: DataFrame, sources: list[str] | None = None,
                        producer: str = TOTAL_PRODUCER) -> DataFrame:
-    """Monthly generation wide, one column per source name (the long names)."""
+    """Monthly generation wide, one column per source name (the long names).
+
+    Without ``sources`` the long rows are written once (checkpoint) before their names are listed.
+    """
     g = generation_long(sheets, recode_sources=False, producer=producer)
+    if sources is None:
+        ensure_checkpoint_dir(g.sparkSession)
+        g = g.checkpoint()
     return pivot_wide(g, "energysource", "generation",
                       ids=["year", "month", "state", "typeofproducer", "year_month"], values=sources)
 
@@ -128,10 +139,14 @@ def generation_annual(sheets: DataFrame, codes: list[str] | None = None, source_
     National spellings are unified to ``US``.  Only the pivoted value columns are
     zero-filled; a NULL key stays NULL.  ``codes`` fixes the column list; by
     default every code present becomes a column (sorted), as in the original.
-    The monthly rows are summed and spread in one aggregation.
+    The monthly rows are summed and spread in one aggregation; without ``codes`` they are
+    written once (checkpoint) before the codes are listed.
     """
     g = generation_long(sheets, source_codes=source_codes, producer=producer)
     g = g.withColumn("state", unify("state", national, "US"))
+    if codes is None:
+        ensure_checkpoint_dir(g.sparkSession)
+        g = g.checkpoint()
     wide = pivot_sum(g, "energysource", "generation", ids=["year", "state"], values=codes, exact_scale=exact_scale)
     value_cols = [c for c in wide.columns if c not in ("year", "state")]
     missing = [c for c in renewables if c not in value_cols]
@@ -146,9 +161,10 @@ def combined_panel(panel: DataFrame, annual: DataFrame) -> DataFrame:
     """Left-join annual generation onto the panel by ``codeyr``; the panel's year wins.
 
     A generation column named like a panel column raises instead of producing
-    suffixed twins.
+    suffixed twins.  Sorted by code and year.
     """
-    return join_panels(panel, annual, "codeyr", drop_right=["year", "statecode"])
+    joined = join_panels(panel, annual, "codeyr", drop_right=["year", "statecode"])
+    return joined.orderBy(F.col("code").asc_nulls_last(), F.col("year").asc_nulls_last())
 
 
 # ---------------------------------------------------------------- P14

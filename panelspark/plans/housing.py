@@ -39,13 +39,17 @@ OUTPUT = ["year", "State", "county", "statecode", ("prefix", "YrBuilt"), ("prefi
           ("prefix", "OccHU")]
 
 
-def housing_rows(matrices: DataFrame, start: int = 2010) -> DataFrame:
-    """Rows of every year file in the unbroken run from ``start``; all values stay text."""
+def housing_rows(matrices: DataFrame, start: int = 2010, years: DataFrame | None = None) -> DataFrame:
+    """Rows of every year file in the unbroken run from ``start``; all values stay text.
+
+    ``years`` are the years landed (``sources.landed_years``); without it, those with rows.
+    """
     rows = matrices.withColumn("year", extract_first("source", "[0-9]{4}")).withColumn("_y", safe_int("year"))
-    return contiguous_year_prefix(rows, "_y", start).drop("_y", "source")
+    return contiguous_year_prefix(rows, "_y", start, years).drop("_y", "source")
 
 
-def housing_table(matrices: DataFrame, state_lookup: DataFrame, start: int = 2010) -> DataFrame:
+def housing_table(matrices: DataFrame, state_lookup: DataFrame, start: int = 2010,
+                  years: DataFrame | None = None) -> DataFrame:
     """The 18-column county table.
 
     ``NAME`` ("X County, State") is split on the comma; the state is trimmed, the
@@ -53,7 +57,7 @@ def housing_table(matrices: DataFrame, state_lookup: DataFrame, start: int = 201
     is looked up by state name (NULL when absent).  ``UtilityGas`` is renamed and
     then left out, as no kept prefix matches it.
     """
-    rows = housing_rows(matrices, start)
+    rows = housing_rows(matrices, start, years)
     rows = split_column(rows, "NAME", ["County", "State"], sep=",")
     rows = rows.withColumn("State", trim_space("State"))
     # Build under a temporary name: Spark resolves "county" and "County" as one column.

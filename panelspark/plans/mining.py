@@ -227,26 +227,27 @@ GRAIN_COLS = ("_value", "_r4", "_r1", "_c4", "_c1")
 
 
 def _grain_growth(cube: DataFrame, c: MineCols, measure: str, grains: dict[str, str], compat: bool,
-                  with_change: bool) -> dict[str, DataFrame]:
+                  with_change: bool) -> DataFrame:
     """Sums per (key, period) for each grain (e.g. county, region), with lags 4 and 1.
 
-    Returns one frame per grain with the key column, the period, ``_value`` and the
-    generic ``_r4``/``_r1`` rates (``_c4``/``_c1`` changes).  Per-series lags run one
-    window per grain.  Lags across series (compat) put every grain in one global row
-    index that restarts at the grain, so one index serves all grains.
+    Returns one frame with ``_grain``, ``_key``, the period, ``_value`` and the
+    generic ``_r4``/``_r1`` rates (``_c4``/``_c1`` changes).  All grains come from one
+    GROUPING SETS pass and share one window per series.  Lags across series
+    (compat) run in one global row index that restarts at the grain.
     """
     rates = {"rates": {"_r4": 4, "_r1": 1}, "changes": {"_c4": 4, "_c1": 1} if with_change else {}}
-    aggs = {g: cube.groupBy(key, *_period(c)).agg(sum_skip_missing(measure, c.exact_scale).alias("_value"))
-            for g, key in grains.items()}
-    if not compat:
-        return {g: growth(a, "_value", [grains[g]], _period(c), **rates) for g, a in aggs.items()}
-    stacked = None
-    for g, a in aggs.items():
-        part = a.select(F.lit(g).alias("_grain"), F.col(grains[g]).alias("_key"), *_period(c), "_value")
-        stacked = part if stacked is None else stacked.unionByName(part)
-    lagged = growth(stacked, "_value", ["_key"], _period(c), scope="global", restart=["_grain"], **rates)
-    return {g: lagged.where(F.col("_grain") == g).drop("_grain").withColumnRenamed("_key", grains[g])
-            for g in grains}
+    period = _period(c)
+    agg = cube.groupingSets([[key, *period] for key in grains.values()], *grains.values(), *period).agg(
+        sum_skip_missing(measure, c.exact_scale).alias("_value"),
+        *[F.grouping(key).alias(f"_in_{g}") for g, key in grains.items()])
+    name, key = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for g, col in grains.items():           # grouping() is 0 on the rows of the key's own set
+        name = F.when(F.col(f"_in_{g}") == 0, F.lit(g)).otherwise(name)
+        key = F.when(F.col(f"_in_{g}") == 0, F.col(col)).otherwise(key)
+    stacked = agg.select(name.alias("_grain"), key.alias("_key"), *period, "_value")
+    if compat:
+        return growth(stacked, "_value", ["_key"], period, scope="global", restart=["_grain"], **rates)
+    return growth(stacked, "_value", ["_grain", "_key"], period, **rates)
 
 
 def _named(df: DataFrame, value: str, tag: str, with_change: bool, change_tag: str = "AbsChange") -> DataFrame:
@@ -265,7 +266,8 @@ def _county_rows(g: DataFrame, c: MineCols, county_lookup: DataFrame, compat: bo
 def production_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols = DEFAULT,
                          compat: bool = False) -> DataFrame:
     v = "clpctp"
-    county = _named(_grain_growth(cube, c, PROD, {"county": c.county}, compat, False)["county"], v, "County", False)
+    grown = _grain_growth(cube, c, PROD, {"county": c.county}, compat, False)
+    county = _named(grown.drop("_grain").withColumnRenamed("_key", c.county), v, "County", False)
     out = _label(_county_rows(county, c, county_lookup, compat), c)
     extra = [COMPAT_CHECK_COL] if compat else []
     look = [x for x in out.columns if x not in (c.county, c.year, c.quarter, v, f"{v}_YOY_County",
@@ -294,21 +296,30 @@ def employment_by_mtype(cube: DataFrame, c: MineCols = DEFAULT, compat: bool = F
 
 def employment_by_county(cube: DataFrame, county_lookup: DataFrame, c: MineCols = DEFAULT,
                          compat: bool = False) -> DataFrame:
-    """County rows and region rows stacked; county cells backfilled from the region ones.
+    """County rows and region rows in one table; county cells backfilled from the region ones.
 
-    Both grains come from the same cube (shared by Spark's exchange reuse); with
-    lags across series one global index serves both grains.
+    Both grains come from one pass over the cube and one window (or, with lags
+    across series, one global index); the columns of the other grain are NULL.
     """
     v, r = "clpcte", "clprte"
-    grains = _grain_growth(cube, c, EMP, {"county": c.county, "region": c.region}, compat, True)
-    county = _county_rows(_named(grains["county"], v, "County", True), c, county_lookup, compat)
-    head = [c.county, c.year, c.quarter, v, f"{v}_YOY_County", f"{v}_YOY_AbsChange", f"{v}_Qtr_County",
-            f"{v}_Qtr_AbsChange"]
-    county = county.select(*head, *[x for x in county.columns if x not in head])
-    region = _named(grains["region"], r, "byRegion", True).select(
-        c.region, c.year, c.quarter, r, f"{r}_YOY_byRegion", f"{r}_YOY_AbsChange", f"{r}_Qtr_byRegion",
-        f"{r}_Qtr_AbsChange")
-    out = county.unionByName(region, allowMissingColumns=True)
+    g = _grain_growth(cube, c, EMP, {"county": c.county, "region": c.region}, compat, True)
+    of_county, key = F.col("_grain") == "county", F.col("_key")
+    rows = g.withColumn(c.county, F.when(of_county, key))       # NULL meets no lookup row
+    rows = _county_rows(rows, c, county_lookup, compat)
+    shown = {"_value": (v, r), "_r4": (f"{v}_YOY_County", f"{r}_YOY_byRegion"), "_c4": (f"{v}_YOY_AbsChange", f"{r}_YOY_AbsChange"),
+             "_r1": (f"{v}_Qtr_County", f"{r}_Qtr_byRegion"), "_c1": (f"{v}_Qtr_AbsChange", f"{r}_Qtr_AbsChange")}
+    named = {}
+    for col, (mine, other) in shown.items():
+        named[mine] = F.when(of_county, F.col(col))
+        named[other] = F.when(~of_county, F.col(col))
+    look = [x for x in rows.columns if x not in (c.county, c.year, c.quarter, "_grain", "_key", *shown)]
+    region = F.when(of_county, F.col(c.region)).otherwise(key) if c.region in look else F.when(~of_county, key)
+    named[c.region] = region
+    rows = rows.withColumns(named)
+    rest = [*look, *([] if c.region in look else [c.region])]
+    out = rows.select(c.county, c.year, c.quarter, v, f"{v}_YOY_County", f"{v}_YOY_AbsChange", f"{v}_Qtr_County",
+                      f"{v}_Qtr_AbsChange", *rest, r, f"{r}_YOY_byRegion", f"{r}_YOY_AbsChange", f"{r}_Qtr_byRegion",
+                      f"{r}_Qtr_AbsChange")
     out = backfill_columns(out, {
         f"{v}_YOY_County": f"{r}_YOY_byRegion", f"{v}_Qtr_County": f"{r}_Qtr_byRegion",
         f"{v}_YOY_AbsChange": f"{r}_YOY_AbsChange", f"{v}_Qtr_AbsChange": f"{r}_Qtr_AbsChange",

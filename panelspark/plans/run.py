@@ -15,22 +15,40 @@ from __future__ import annotations
 
 import argparse
 import os
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
 from panelspark.plans import energy_panel, housing, mining
-from panelspark.sources import (CORRUPT, read_delimited, read_lookup, read_series_ndjson, read_sheet_set,
-                                write_table)
+from panelspark.session import ensure_checkpoint_dir
+from panelspark.sources import (CORRUPT, corrupt_rows, landed_years, read_delimited, read_lookup, read_series_ndjson,
+                                read_sheet_set, write_table)
 
 
 def read_input(spark: SparkSession, path: str) -> DataFrame:
     """A landed parquet table (a folder of parquet files, e.g. from ``streaming.land_delimited``)
-    or a pipe-delimited text file, read by header name."""
-    is_table = os.path.isdir(path) and any(
-        f.endswith(".parquet") or "=" in f for f in os.listdir(path) if not f.startswith((".", "_")))
-    if is_table:
+    or pipe-delimited text, read by header name.
+
+    Spark lists the files, so the path may be on any store it knows.  Damaged text rows stay;
+    their number is reported (one pass over the text).
+    """
+    files = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
+    if files and all(f.endswith(".parquet") for f in files):
         return spark.read.parquet(path).drop("_source")
-    return read_delimited(spark, path).drop(CORRUPT)
+    rows = read_delimited(spark, path)
+    bad = corrupt_rows(rows)
+    if bad:
+        print(f"{path}: {bad} rows with another number of fields than the header", file=sys.stderr)
+    return rows.drop(CORRUPT)
+
+
+def _once(df: DataFrame, path: str, fmt: str) -> DataFrame:
+    """The table written once and read back, so that what derives from it does not make it again."""
+    if fmt == "parquet":
+        write_table(df, path, fmt=fmt)
+        return df.sparkSession.read.parquet(path)
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
 
 
 def _write(tables: dict[str, DataFrame], out: str, fmt: str) -> dict[str, str]:
@@ -51,20 +69,23 @@ def run_mining(spark: SparkSession, production: str, mines: str, county_lookup:
     """
     prod = read_input(spark, production)
     mine = read_input(spark, mines)
-    cl = read_lookup(spark, county_lookup)
-    facts = mining.enrich_facts(prod, mine, cl, read_lookup(spark, mtype_lookup))
+    cl = read_lookup(spark, county_lookup, key=mining.DEFAULT.lookup_county)
+    ml = read_lookup(spark, mtype_lookup, key=mining.DEFAULT.subunit)
+    facts = _once(mining.enrich_facts(prod, mine, cl, ml), os.path.join(out, "facts"), fmt)
     subset = mining.state_subset(facts, state)
-    tables = {"facts": facts, f"facts_{state.lower()}": subset}
+    tables = {} if fmt == "parquet" else {"facts": facts}
+    tables[f"facts_{state.lower()}"] = subset
     tables.update(mining.growth_tables(subset, cl, compat=compat))
-    return _write(tables, out, fmt)
+    return {"facts": os.path.join(out, "facts"), **_write(tables, out, fmt)}
 
 
 def run_energy(spark: SparkSession, series: str, sheets: str, state_lookup: str, out: str,
                compat: bool = False, fmt: str = "csv") -> dict[str, str]:
     """State-year panel, monthly and annual generation, combined panel and codebook."""
-    ser = read_series_ndjson(spark, series)
-    sheet_rows = read_sheet_set(spark, sheets)
-    panel = energy_panel.state_year_panel(ser, read_lookup(spark, state_lookup), compat=compat)
+    ensure_checkpoint_dir(spark)
+    ser = read_series_ndjson(spark, series).checkpoint()        # parsed once for panel and codebook
+    sheet_rows = read_sheet_set(spark, sheets).checkpoint()     # parsed once for three tables
+    panel = energy_panel.state_year_panel(ser, read_lookup(spark, state_lookup, key="statecode"), compat=compat)
     annual = energy_panel.generation_annual(sheet_rows)
     return _write({
         "state_year_panel": panel,
@@ -79,7 +100,8 @@ def run_energy(spark: SparkSession, series: str, sheets: str, state_lookup: str,
 def run_housing(spark: SparkSession, housing_dir: str, state_lookup: str, out: str, start: int = 2010,
                 fmt: str = "csv") -> dict[str, str]:
     """The county housing table."""
-    table = housing.housing_table(housing.read_housing(spark, housing_dir), read_lookup(spark, state_lookup), start)
+    table = housing.housing_table(housing.read_housing(spark, housing_dir), read_lookup(spark, state_lookup, key="name"),
+                                  start, years=landed_years(spark, housing_dir))
     return _write({"housing": table}, out, fmt)
 
 

@@ -62,8 +62,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="panelspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
-
-
-def session_key(spark: SparkSession) -> str:
-    """Identifies the running application (for per-session caches); works with Spark Connect too."""
-    return spark.conf.get("spark.app.id", None) or str(id(spark))

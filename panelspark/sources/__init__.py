@@ -1,12 +1,13 @@
 """Readers for landed files and table sinks."""
 
-from panelspark.sources.readers import (CORRUPT, SERIES_SCHEMA, SHEET_COLUMNS, contiguous_year_prefix,
-                                        read_delimited, read_json_matrix, read_lookup, read_series_ndjson,
-                                        read_sheet_set, string_schema, tag_source)
+from panelspark.sources.readers import (CORRUPT, SERIES_SCHEMA, SHEET_COLUMNS, contiguous_year_prefix, corrupt_rows,
+                                        landed_years, matrix_rows, parse_delimited, parse_series, read_delimited,
+                                        read_json_matrix, read_lookup, read_series_ndjson, read_sheet_set,
+                                        sheet_rows, string_schema, tag_source)
 from panelspark.sources.sinks import write_table
 
 __all__ = [
-    "CORRUPT", "SERIES_SCHEMA", "SHEET_COLUMNS", "contiguous_year_prefix", "read_delimited",
-    "read_json_matrix", "read_lookup", "read_series_ndjson", "read_sheet_set", "string_schema",
-    "tag_source", "write_table",
+    "CORRUPT", "SERIES_SCHEMA", "SHEET_COLUMNS", "contiguous_year_prefix", "corrupt_rows", "landed_years",
+    "matrix_rows", "parse_delimited", "parse_series", "read_delimited", "read_json_matrix", "read_lookup",
+    "read_series_ndjson", "read_sheet_set", "sheet_rows", "string_schema", "tag_source", "write_table",
 ]

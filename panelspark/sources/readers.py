@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from panelspark.functions.labels import safe_double, safe_int
+from panelspark.operators.frames import union_by_name
 
 CORRUPT = "_corrupt_record"
 
@@ -22,48 +23,99 @@ def string_schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
+def file_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
+    """First line of every file, read from the files' first splits in one job (one line a file reaches the driver)."""
+    lines = spark.read.text(list(files)).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_block_start").alias("start")).where("start = 0")
+    return {r["file"]: r["line"] for r in lines.groupBy("file").agg(F.min_by("value", "at").alias("line")).collect()}
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType | Sequence[str] | None = None,
                    sep: str = "|", header: bool = True, keep_corrupt: bool = True) -> DataFrame:
     """Delimited text with a header and possibly ragged rows.
 
     ``schema`` is either a ``StructType`` matching the file's columns in order, or
-    a list of the column names wanted: then the header names are read first (one
-    line), every column is read as text, and the wanted ones are kept by name, so
-    files with more columns, or in another order, read correctly.  ``None`` keeps
-    every header column, as text.  Short rows are
+    a list of the column names wanted: then every file's header is read first (one
+    line), files are grouped by header, every column is read as text, and the groups are
+    stacked by name, so files with more columns, or in another order, read correctly; a
+    wanted column that a file lacks raises.  ``None`` keeps the columns of all
+    headers, as text (NULL where a file lacks one).  With a ``StructType`` a file whose
+    header differs fails the read.  Short rows are
     padded with NULL, long rows truncated; with ``keep_corrupt`` both are flagged
     in ``_corrupt_record`` (Spark parses only the columns a query reads, so a
     row is flagged relative to those; read all columns to audit every row).
-    Quotes and ``#`` inside fields are kept as data.  Identifiers stay text so
-    leading zeros survive.
+    The separator always separates.  A text field that stands whole in double quotes loses
+    them; any other quote, and ``#``, is data.  Identifiers stay text so leading zeros survive.
     """
     paths = path if isinstance(path, str) else list(path)
-    wanted = None
     if not isinstance(schema, StructType):
-        names = spark.read.option("sep", sep).option("header", True).csv(paths).columns
-        wanted = list(schema) if schema is not None else names
-        missing = [c for c in wanted if c not in names]
-        if missing:
-            raise KeyError(f"columns not in the header: {missing}")
-        schema = string_schema(names)
+        return _read_by_header(spark, paths, schema, sep, header, keep_corrupt)
     full = StructType(list(schema.fields) + ([StructField(CORRUPT, StringType(), True)] if keep_corrupt else []))
     reader = (spark.read.schema(full).option("sep", sep).option("header", header)
-              .option("mode", "PERMISSIVE").option("enforceSchema", True))
+              .option("mode", "PERMISSIVE").option("enforceSchema", False).option("quote", ""))
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    df = reader.csv(paths)
-    if wanted is not None:
-        df = df.select(*wanted, *([CORRUPT] if keep_corrupt else []))
-    return df
+    return unquoted(reader.csv(paths))
+
+
+def unquoted(df: DataFrame) -> DataFrame:
+    """Text fields without the double quotes around them (the line kept as corrupt stays as it is)."""
+    bare = {f.name: F.regexp_replace(F.col(f"`{f.name}`"), '^"(.*)"$', "$1")
+            for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name != CORRUPT}
+    return df.withColumns(bare)
+
+
+def _read_by_header(spark: SparkSession, paths: str | list[str], wanted: Sequence[str] | None, sep: str,
+                    header: bool, keep_corrupt: bool) -> DataFrame:
+    files = spark.read.text(paths).inputFiles()
+    groups: dict[str, list[str]] = {}
+    if len(files) > 1:
+        for file, line in file_headers(spark, files).items():
+            groups.setdefault(line.rstrip("\r"), []).append(file)
+    if len(groups) <= 1:
+        groups = {"": paths}
+    out, every = [], {}
+    for own in groups.values():
+        names = spark.read.option("sep", sep).option("header", True).option("quote", "").csv(own).columns
+        missing = [c for c in wanted or [] if c not in names]
+        if missing:
+            raise KeyError(f"columns not in the header: {missing}")
+        every.update(dict.fromkeys(names))
+        out.append(read_delimited(spark, own, string_schema(names), sep, header, keep_corrupt))
+    df = union_by_name(*out)
+    return df.select(*(wanted if wanted is not None else every), *([CORRUPT] if keep_corrupt else []))
+
+
+def parse_delimited(df: DataFrame, col: str, names: Sequence[str], sep: str = "|") -> DataFrame:
+    """Text lines of one column to text columns, by the rules of ``read_delimited``.
+
+    The line's own columns are replaced; a line with another number of fields keeps its text in ``_corrupt_record``.
+    """
+    schema = string_schema(names).add(CORRUPT, StringType())
+    options = {"sep": sep, "mode": "PERMISSIVE", "quote": "", "columnNameOfCorruptRecord": CORRUPT}
+    return df.select(F.from_csv(F.col(col), schema.simpleString()[len("struct<"):-1].replace(":", " "), options).alias("_r")).select("_r.*").transform(unquoted)
+
 
+def corrupt_rows(df: DataFrame) -> int:
+    """Number of rows flagged in ``_corrupt_record``, with every column parsed."""
+    whole = df.select(F.col(CORRUPT).isNotNull().cast("long").alias("bad"), F.hash(*df.columns).alias("_all"))
+    return whole.agg(F.sum("bad"), F.max("_all")).first()[0] or 0
 
-def read_lookup(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+
+def read_lookup(spark: SparkSession, path: str, schema: StructType | None = None, key: str | None = None) -> DataFrame:
     """Comma-separated lookup table with a header (small; joined by broadcast after a size check).
 
     Without a schema every header column is read as text (keys keep leading zeros).
+    With ``key`` a repeated key raises: it would multiply the rows of every join.
     """
     reader = spark.read.option("header", True)
-    return (reader.schema(schema) if schema is not None else reader).csv(path)
+    df = (reader.schema(schema) if schema is not None else reader).csv(path)
+    if key is not None:
+        twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col(key).isNotNull() & (F.col("n") > 1)).take(3)
+        if twice:
+            raise ValueError(f"repeated key {key!r} in the lookup {path}: {[r[0] for r in twice]}")
+    return df
 
 
 SERIES_SCHEMA = StructType.fromJson({"type": "struct", "fields": [
@@ -77,6 +129,11 @@ SERIES_SCHEMA = StructType.fromJson({"type": "struct", "fields": [
 ]})
 
 
+def parse_series(df: DataFrame, col: str, schema: StructType = SERIES_SCHEMA) -> DataFrame:
+    """JSON series records of one text column to columns."""
+    return df.select(F.from_json(F.col(col), schema).alias("_r")).select("_r.*")
+
+
 def read_series_ndjson(spark: SparkSession, path: str, schema: StructType = SERIES_SCHEMA) -> DataFrame:
     """One JSON series record per line; ``data`` is a list of [year, value] pairs (as text)."""
     return spark.read.schema(schema).json(path)
@@ -89,9 +146,10 @@ def read_sheet_set(spark: SparkSession, folder: str, exclude: Sequence[str] = ("
                    names: Sequence[str] = SHEET_COLUMNS) -> DataFrame:
     """All sheets of a workbook, landed as one delimited file per sheet, in one read.
 
-    Sheets differ in how many title rows precede the header; reading without a
-    header and keeping only rows whose year parses as a number drops title and
-    header rows alike.  Columns are named by position.  ``sheet`` carries the
+    Sheets differ in how many title rows precede the header; they are read without a
+    header.  A row is data when its year or its value (the last column) is a number, so title
+    and header rows go, and a data row with a damaged year stays, with a NULL year.
+    Columns are named by position.  ``sheet`` carries the
     source file name; excluded sheets are filtered on it.
     """
     raw = (spark.read.schema(string_schema(names)).option("header", False)
@@ -100,7 +158,12 @@ def read_sheet_set(spark: SparkSession, folder: str, exclude: Sequence[str] = ("
            .withColumn("sheet", F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")))
     if exclude:
         raw = raw.where(~F.col("sheet").isin(*exclude))
-    return (raw.where(safe_int(names[0]).isNotNull())
+    return sheet_rows(raw, names)
+
+
+def sheet_rows(raw: DataFrame, names: Sequence[str] = SHEET_COLUMNS) -> DataFrame:
+    """The data rows of positional text rows, title and header rows dropped, typed."""
+    return (raw.where(safe_int(names[0]).isNotNull() | safe_double(names[-1]).isNotNull())
             .withColumns({names[0]: safe_int(names[0]), names[1]: safe_int(names[1]),
                           names[-1]: safe_double(names[-1])}))
 
@@ -117,9 +180,13 @@ def read_json_matrix(spark: SparkSession, path: str, keys: Sequence[str] | None
     rows.  Each file is one task (whole-file text), so parallelism follows the file
     count.
     """
-    files = (spark.read.option("wholetext", True).text(path)
-             .select(F.col("_metadata.file_name").alias("source"),
-                     F.from_json("value", "array<array<string>>").alias("m")))
+    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("source"), "value")
+    return matrix_rows(files, keys)
+
+
+def matrix_rows(files: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """``read_json_matrix`` for matrices already in a text column: (source, value)."""
+    files = files.select("source", F.from_json("value", "array<array<string>>").alias("m"))
     body = F.explode(F.slice("m", 2, F.greatest(F.size("m") - 1, F.lit(0)))).alias("row")
     if keys:
         header = F.col("m")[0]
@@ -136,20 +203,35 @@ def read_json_matrix(spark: SparkSession, path: str, keys: Sequence[str] | None
     return rows.select("source", cells.alias("cells"))
 
 
-def contiguous_year_prefix(df: DataFrame, year_col: str, start: int) -> DataFrame:
-    """Rows whose year belongs to the unbroken run start, start+1, ... present in the data.
+def landed_years(spark: SparkSession, path: str, pattern: str = "[0-9]{4}") -> DataFrame:
+    """Column ``year``: the years in the names of the files at ``path``, whatever the files hold.
+
+    Spark lists the files; their content is not read.
+    """
+    name = F.element_at(F.split("path", "/"), -1)
+    return (spark.read.format("binaryFile").load(path)
+            .select(F.regexp_extract(name, f"({pattern})", 1).alias("_y")).where("_y != ''")
+            .select(F.col("_y").cast("int").alias("year")).distinct())
+
+
+def contiguous_year_prefix(df: DataFrame, year_col: str, start: int, years: DataFrame | None = None) -> DataFrame:
+    """Rows whose year belongs to the unbroken run start, start+1, ... of the years landed.
 
+    ``years`` (its first column) names the years that landed, e.g. ``landed_years``: a file without
+    rows still counts.  Without it, the years are those of the rows.
     A later year after a gap is excluded (2010, 2011, 2013 keeps 2010 and 2011).
-    Every year present marks itself as present and its successor (and ``start``)
+    Every different year marks itself as present and its successor (and ``start``)
     as a candidate; the first missing year is the smallest candidate never
-    marked present.  That is one aggregation over the years, evaluated once as a
+    marked present.  That is one aggregation over the different years, evaluated once as a
     scalar subquery, and no row is moved to a single task.
     """
     y = F.col(year_col)
     ytype = df.schema[year_col].dataType
+    landed = (years.select(F.col(years.columns[0]).cast(ytype).alias(year_col)) if years is not None
+              else df.select(year_col)).distinct()
     pair = F.array(F.struct(y.alias("v"), F.lit(1).alias("present")),
                    F.struct((y + 1).cast(ytype).alias("v"), F.lit(0).alias("present")))
-    marks = df.where(y >= start).select(F.explode(pair).alias("m")).select("m.*")
+    marks = landed.where(y >= start).select(F.explode(pair).alias("m")).select("m.*")
     first = df.sparkSession.range(1).select(F.lit(start).cast(ytype).alias("v"), F.lit(0).alias("present"))
     marks = marks.unionByName(first)
     first_gap = (marks.groupBy("v").agg(F.max("present").alias("p")).where(F.col("p") == 0)

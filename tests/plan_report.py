@@ -15,6 +15,14 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 
+def whole_final_plan(text: str) -> str:
+    """All of the final plan: what stands before the outermost (unindented) initial plan.
+
+    Plans nested in it (cached relations) have initial plans of their own, further in.
+    """
+    return text.rsplit("\n+- == Initial Plan ==", 1)[0]
+
+
 def summarise(plan: str) -> dict[str, int]:
     return {
         "scans": len(re.findall(r"FileScan|Scan parquet", plan)),
@@ -38,12 +46,15 @@ def main(argv: list[str]) -> None:
     spark = build_session("local[8]", 8)
     cols = None
     for name, fn in queries().items():
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
         df = fn(spark, sf_dir)
+        built = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}"))
         df._jdf.collectAsList()
         plan = df._jdf.queryExecution().executedPlan().toString()
         first = plan.splitlines()[0]
         assert "isFinalPlan=true" in first or "AdaptiveSparkPlan" not in first, name
-        s = summarise(plan.split("== Initial Plan ==")[0])     # the final plan only
+        s = summarise(whole_final_plan(plan))
+        s["jobs built"] = built
         if cols is None:
             cols = list(s)
             print("| query | " + " | ".join(cols) + " |")

@@ -124,3 +124,15 @@ def test_recode_and_unify(spark):
         ["EGCLP", "EGWYP", "Battery", None]
     assert one(spark, unify("s", ["US-TOTAL", "US-Total"], "US"), [("US-TOTAL",), ("US-Total",), ("KY",), (None,)],
                "s string") == ["US", "US", "KY", None]
+
+
+def test_exact_sum_raises_on_more_decimals(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from panelspark.functions.missing import sum_skip_missing
+    fine = spark.createDataFrame([(0.07,), (123456789012.34,), (None,), (float("nan"),), (-0.01,)], "v double")
+    assert fine.agg(sum_skip_missing("v", 2)).first()[0] == 123456789012.40
+    with pytest.raises(PySparkException, match="more than 2 decimals"):
+        spark.createDataFrame([(0.004,)] * 3, "v double").agg(sum_skip_missing("v", 2)).collect()
+    assert spark.createDataFrame([(0.004,)] * 3, "v double").agg(sum_skip_missing("v", 3)).first()[0] == 0.012

@@ -155,9 +155,35 @@ def test_checked_broadcast_falls_back(spark):
     assert "BroadcastHashJoin" in j_small._jdf.queryExecution().executedPlan().toString()
     unhinted = checked_broadcast(big, max_rows=50)
     assert "broadcast" not in unhinted._jdf.queryExecution().logical().toString().lower()
-    from panelspark.operators.frames import fits_broadcast, row_width
-    assert row_width(small.schema) == 16                       # one bigint + row overhead
+    from panelspark.operators.frames import fits_broadcast
     assert fits_broadcast(big, max_rows=1000) and not fits_broadcast(big, max_rows=1000, max_bytes=1000)
+    long_text = big.selectExpr("id", "repeat('x', 10000) AS t", "array(id) AS a")     # real bytes, not a guess per type
+    assert not fits_broadcast(long_text, max_rows=1000, max_bytes=500_000) and fits_broadcast(long_text.limit(0))
+
+
+def test_size_check_is_made_anew(spark, tmp_path):
+    from panelspark.operators.frames import fits_broadcast
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(path)
+    assert fits_broadcast(spark.read.parquet(path), max_rows=10)
+    spark.range(50).write.mode("append").parquet(path)
+    assert not fits_broadcast(spark.read.parquet(path), max_rows=10)
+
+
+def test_pivot_cells_do_not_depend_on_the_number_of_values(spark):
+    df = spark.createDataFrame([("a", "k1", None), ("a", "k1", 5.0), ("a", "k2", 7.0)], "id string, k string, v double").coalesce(1)
+    for n in (64, 65):
+        wide = pivot_wide(df, "k", "v", ids=["id"], values=[f"k{i}" for i in range(1, n + 1)], strict=False).first()
+        assert (wide["k1"], wide["k2"], wide["k3"]) == (5.0, 7.0, None), n
+
+
+def test_rename_matching(spark):
+    from panelspark.operators import rename_matching
+    df = spark.range(1).selectExpr("1 AS a_x", "2 AS b", "3 AS c_x")
+    assert rename_matching(df, "_x$", "").columns == ["a", "b", "c"]
+    assert rename_matching(df, "nope", "z").columns == df.columns
+    with pytest.raises(ValueError):
+        rename_matching(df, "^[ac]", "q")
 
 
 def test_rename_strict_and_select_prefix(spark):

@@ -46,8 +46,8 @@ def test_mining_from_landed_parquet(spark, fx):
     root = tempfile.mkdtemp(prefix="panelspark-land-")
     os.makedirs(os.path.join(root, "drop"))
     shutil.copy(os.path.join(fx, "production.txt"), os.path.join(root, "drop", "q.txt"))
-    land_delimited(spark, os.path.join(root, "drop"), string_schema(cols), os.path.join(root, "table"), "prod",
-                   partition_by=["CAL_YR"], checkpoint=os.path.join(root, "ckpt")).awaitTermination()
+    land_delimited(spark, os.path.join(root, "drop"), string_schema(cols), os.path.join(root, "table"), os.path.join(root, "ckpt"),
+                   partition_by=["CAL_YR"]).awaitTermination()
     args = (f"{fx}/mines.txt", f"{fx}/county_lookup.csv", f"{fx}/mtype_lookup.csv")
     from_table = run.run_mining(spark, os.path.join(root, "table"), *args, os.path.join(root, "a"), compat=True)
     from_text = run.run_mining(spark, f"{fx}/production.txt", *args, os.path.join(root, "b"), compat=True)

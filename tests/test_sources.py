@@ -1,3 +1,5 @@
+import pytest
+
 import os
 import tempfile
 
@@ -89,3 +91,51 @@ def test_tag_source_and_write_round_trip(spark, fx):
     assert text.count("NA") == 2                     # both NULL cells written as NA
     write_table(df, os.path.join(out, "pq"), partition_by=["a"])
     assert sorted(spark.read.parquet(os.path.join(out, "pq")).select("a", "b", "c").collect()) == sorted(df.collect())
+
+
+def test_headers_in_another_order_are_read_by_name(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("MINE_ID|STATE\n1|KY\n")
+    (tmp_path / "b.txt").write_text("STATE|MINE_ID|MORE\nWV|2|x\n")
+    got = read_delimited(spark, str(tmp_path), ["MINE_ID", "STATE"]).drop(CORRUPT)
+    assert sorted(map(tuple, got.collect())) == [("1", "KY"), ("2", "WV")]
+    every = read_delimited(spark, str(tmp_path)).drop(CORRUPT)
+    assert sorted((r["MINE_ID"], r["STATE"], r["MORE"]) for r in every.collect()) == [("1", "KY", None), ("2", "WV", "x")]
+    with pytest.raises(KeyError):
+        read_delimited(spark, str(tmp_path), ["MINE_ID", "MORE"])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, str(tmp_path), string_schema(["MINE_ID", "STATE"])).collect()
+
+
+def test_quotes_are_data(spark, tmp_path):
+    (tmp_path / "q.txt").write_text('A|B|C\n"x|y|z\n1|"2"|#3\n')
+    assert [tuple(r) for r in read_delimited(spark, str(tmp_path)).drop(CORRUPT).collect()] == [('"x', "y", "z"), ("1", "2", "#3")]
+
+
+def test_corrupt_rows_are_counted(spark, tmp_path):
+    from panelspark.sources import corrupt_rows
+    (tmp_path / "q.txt").write_text("A|B|C\n1|2|3\n1|2\n1|2|3|4\n")
+    assert corrupt_rows(read_delimited(spark, str(tmp_path))) == 2
+
+
+def test_sheet_row_with_a_damaged_year_stays(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("Some title\nYEAR,MONTH,STATE,TYPE,SOURCE,GENERATION\n2001,1,AK,T,Coal,5\n20x1,2,AK,T,Coal,6\n")
+    rows = read_sheet_set(spark, str(tmp_path)).collect()
+    assert sorted((r["year"] or 0, r["month"], r["generation"]) for r in rows) == [(0, 2, 6.0), (2001, 1, 5.0)]
+
+
+def test_year_run_counts_files_without_rows(spark, tmp_path):
+    from panelspark.plans import housing
+    from panelspark.sources import landed_years
+    for year, rows in ((2010, ',["A County, Kentucky"]'), (2011, ""), (2012, ',["B County, Kentucky"]'), (2014, ',["C County, Kentucky"]')):
+        (tmp_path / f"H_{year}.json").write_text(f'[["NAME"]{rows}]')
+    years = landed_years(spark, str(tmp_path))
+    assert sorted(r[0] for r in years.collect()) == [2010, 2011, 2012, 2014]
+    kept = housing.housing_rows(housing.read_housing(spark, str(tmp_path)), 2010, years)
+    assert sorted(r["year"] for r in kept.collect()) == ["2010", "2012"]
+
+
+def test_lookup_with_a_repeated_key_raises(spark, tmp_path):
+    (tmp_path / "l.csv").write_text("county,Region\npike,East\npike,West\n,x\n,y\n")
+    with pytest.raises(ValueError, match="pike"):
+        read_lookup(spark, str(tmp_path), key="county")
+    assert read_lookup(spark, str(tmp_path)).count() == 4
