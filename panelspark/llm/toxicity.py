@@ -119,8 +119,15 @@ class ToxicModel:
 
         def plain(k: int) -> np.ndarray:
             if k not in powers:
-                m = np.linalg.matrix_power(step / step.sum(), k)          # scale does not matter
-                powers[k] = m / m.sum()
+                power, square, rest = np.eye(2), step / step.sum(), k
+                while rest:                                 # scaled at every step: only the direction matters
+                    if rest & 1:
+                        power = power @ square
+                        power /= power.sum()
+                    square = square @ square
+                    square /= square.sum()
+                    rest >>= 1
+                powers[k] = power
             return powers[k]
 
         begin = np.array([1.0, math.exp(self.bias)])
