@@ -14,8 +14,8 @@ marginals are gathered to two numbers (their sum and the largest) and a logistic
 fitted on the sample, makes them a score.  Tokens with a marginal of 1/2 or more are the
 offending spans, given by code-point offsets.
 
-The fit reads at most ``SAMPLE_ROWS`` labelled rows of each class (those with the smallest hash
-of the id) of at most ``SAMPLE_CHARS`` characters; at most ``MAX_FEATURES`` features are kept.
+The fit reads about ``SAMPLE_ROWS`` labelled rows of each class (by a hash of the id, never
+over twice as many) of at most ``SAMPLE_CHARS`` characters; at most ``MAX_FEATURES`` features are kept.
 The model is thereby bounded and goes to the tasks with the function.  Only the text is an
 input of a score.
 
@@ -35,6 +35,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import about
+
 SAMPLE_ROWS, SAMPLE_CHARS = 2_500, 20_000
 LEAST_DOCS, LIFT, SURPRISE, MAX_FEATURES = 5, 50.0, 20.0, 20_000
 WINDOW, WINDOWS, STEPS, RATE, DECAY = 24, 6_000, 80, 0.3, 1e-3
@@ -276,12 +278,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if fold is not None:
         known = known.where(~held_out(F.col("_id"), fold))
     known = known.groupBy("_id").agg(F.max("_y").alias("_y"))
-    some = [known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(sample_rows) for y in (0, 1)]
-    ids = some[0].union(some[1])                            # at most 2 * sample_rows rows: small enough to send to every task
+    rows_of = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    wanted = [(F.col("_y") == y) & about(F.col("_id").cast("string"), sample_rows, n) for y, n in sorted(rows_of.items())]
+    ids = known.where(wanted[0] | wanted[-1]) if wanted else known
+    ids = ids.limit(4 * sample_rows)                        # twice what is wanted: small enough to send to every task
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     rows = (texts.where(F.char_length("_text") <= SAMPLE_CHARS).join(F.broadcast(ids), "_id")
-            .groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y"))
-            .orderBy(F.xxhash64("_id"), "_id").limit(2 * sample_rows).collect())
+            .groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y")).collect())
     return fit(sorted((r["_text"], r["_y"]) for r in rows))
 
 

@@ -136,13 +136,25 @@ def test_classes_and_counts_make_a_distribution():
     classes = gru_lm.Classes([w for w, _ in words.most_common(10)], gru_lm.learn_topics([prose(k, 50).encode().split() for k in range(20)]))
     z = np.full(classes.size, 0.5)
     for w, c in words.items():
-        z[classes.of(w)] += c + 0.5
+        z[classes.of([w])[0]] += c + 0.5
     mass = np.zeros(classes.size)
     for w, c in words.items():
-        mass[classes.of(w)] += (c + 0.5) / z[classes.of(w)]
+        k = classes.of([w])[0]
+        mass[k] += (c + 0.5) / z[k]
     assert mass + 0.5 / z == pytest.approx(np.ones(classes.size))
 
 
+def test_classes_of_one_token_and_of_many_agree():
+    words = sorted(set(prose(7, 800).encode().split())) + [gru_lm.END, b"x", b"%", b"a%%", b"z" * 5000, "é".encode(), b"9"]
+    classes = gru_lm.Classes(words[:5], gru_lm.learn_topics([prose(k, 50).encode().split() for k in range(20)]))
+    together = classes.of(words)
+    assert together.tolist() == [classes.of([w])[0] for w in words] == classes.of(words[::-1]).tolist()[::-1]
+    for w, k in zip(words[5:], together[5:]):
+        best = classes.topic_of[classes.groups(w)].sum(axis=0)
+        assert (k - 5) // (gru_lm.ENDINGS * gru_lm.LENGTHS) == int(best.argmax())
+    assert classes.of([]).size == 0 and together.max() < classes.size
+
+
 def test_model_beats_counts_alone(ready):
     from panelspark.llm import queries
     rows = queries.op6_gru_lm(ready, "/root/testdata/sf0.001").collect()
