@@ -26,7 +26,7 @@ from panelspark.functions import (extract_first, if_else, month_label, paste,
                                   safe_double, sentence_case, substr_between, trim_space, unify)
 from panelspark.functions.missing import nan, sum_skip_missing
 from panelspark.operators.frames import DEFAULT_BROADCAST_ROWS
-from panelspark.operators import (checked_broadcast, detail_plus_total, drop_matching, duplicate_keys, explode_pairs,
+from panelspark.operators import (detail_plus_total, drop_matching, duplicate_keys, explode_pairs,
                                   fill_zero, fits_broadcast, growth, join_panels, lookup_join, merge_keep_left,
                                   pivot_sum, pivot_wide, rename_matching, rename_strict, rollup_period, row_sum, select_prefix,
                                   split_column, sum_by_period, union_by_name, with_columns_chained,
@@ -56,10 +56,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ------------------------------------------------------------------ shared inputs
 
 def geography(spark: SparkSession, d: str) -> DataFrame:
-    """nation -> (n_nationkey, n_name, r_name); both sides are size-checked lookups."""
+    """nation -> (n_nationkey, n_name, r_name); Spark broadcasts the small files by their size."""
     nation = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, d, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    return nation.join(checked_broadcast(region), "n_regionkey").drop("n_regionkey")
+    return nation.join(region, "n_regionkey").drop("n_regionkey")
 
 
 def facts(spark: SparkSession, d: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -89,7 +89,7 @@ def supplier_places(spark: SparkSession, d: str) -> DataFrame:
     """supplier -> (n_name, r_name, county): the map that places line items."""
     sup = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"),
                                              F.col("s_nationkey").alias("n_nationkey"))
-    placed = sup.join(checked_broadcast(geography(spark, d)), "n_nationkey").drop("n_nationkey")
+    placed = sup.join(geography(spark, d), "n_nationkey").drop("n_nationkey")
     return placed.withColumn("county", F.lower("n_name"))
 
 
@@ -667,7 +667,7 @@ def q_panel_left_join(spark, d):
     # Sum per customer and year before the customer join: a hot customer collapses map-side.
     o = sum_by_period(o, ["c_custkey", "yr"], {"order_total": "o_totalprice"}, exact_scale=2)
     cust = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    oc = o.join(cust, "c_custkey").join(checked_broadcast(geography(spark, d).select("n_nationkey", "n_name")),
+    oc = o.join(cust, "c_custkey").join(geography(spark, d).select("n_nationkey", "n_name"),
                                         "n_nationkey")
     op = sum_by_period(oc, ["n_name", "yr"], {"order_total": "order_total"}, exact_scale=2)
     op = op.withColumn("codeyr", paste("_", "n_name", "yr"))
@@ -777,7 +777,7 @@ def q_composite_key(spark, d):
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"),
                                          F.year("o_orderdate").cast("int").alias("yr")).distinct()
     cust = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    nat = checked_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    nat = table(spark, d, "nation").select("n_nationkey", "n_name")
     keys = o.join(cust, "c_custkey").join(nat, "n_nationkey").select("n_name", "yr").distinct()
     part = F.nullif("n_name", F.lit("NATION_0"))
     return keys.select("n_name", "yr", paste("_", part, "yr").alias("codeyr"),
@@ -895,7 +895,7 @@ def generation_sheet(spark: SparkSession, d: str) -> DataFrame:
         F.col("l_suppkey").alias("s_suppkey"), "l_returnflag", "l_linestatus", "l_quantity",
         F.year("l_shipdate").cast("int").alias("year"), F.month("l_shipdate").cast("int").alias("month"))
     sup = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
-    placed = sup.join(checked_broadcast(table(spark, d, "nation").select("n_nationkey")), "n_nationkey")
+    placed = sup.join(table(spark, d, "nation").select("n_nationkey"), "n_nationkey")
     keys = ["s_suppkey", "year", "month", "l_linestatus", "l_returnflag"]
     if fits_broadcast(placed):
         placed = F.broadcast(placed)
@@ -984,7 +984,7 @@ def order_series(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority",
                                          F.year("o_orderdate").cast("int").alias("yr"))
     cust = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    nat = checked_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    nat = table(spark, d, "nation").select("n_nationkey", "n_name")
     # Orders are counted per customer and year before the joins; nations and the nation as a whole come from one pass.
     o = o.groupBy("c_custkey", "o_orderpriority", "yr").agg(F.count(F.lit(1)).alias("n"))
     period = ["o_orderpriority", "yr"]
@@ -1138,7 +1138,7 @@ def production_text(spark: SparkSession, d: str) -> DataFrame:
 def mines_text(spark: SparkSession, d: str) -> DataFrame:
     """Suppliers as a 'mines' table; its STATE clashes with production's and must lose."""
     sup = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
-    nat = checked_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    nat = table(spark, d, "nation").select("n_nationkey", "n_name")
     return sup.join(nat, "n_nationkey").select(
         F.lpad(F.col("s_suppkey").cast("string"), 7, "0").alias("MINE_ID"),
         F.col("n_name").alias("FIPS_CNTY_NM"), F.lit("XX").alias("STATE"))
@@ -1196,7 +1196,7 @@ def housing_matrix_rows(spark: SparkSession, d: str) -> DataFrame:
         F.year("o_orderdate").alias("yr"))
     cust = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment",
                                               F.col("c_nationkey").alias("n_nationkey"))
-    nat = checked_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    nat = table(spark, d, "nation").select("n_nationkey", "n_name")
     rows = o.join(cust, "c_custkey").join(nat, "n_nationkey")
     place = recode("c_mktsegment", SEGMENT_PLACE)
     name = F.when(F.col("c_mktsegment").isin(*SEGMENT_PLACE), F.concat("c_name", place, "n_name")) \

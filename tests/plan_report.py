@@ -43,9 +43,12 @@ def main(argv: list[str]) -> None:
     from __spark_entry__ import queries
     from panelspark.session import build_session
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", 8)
+    from panelspark.plans import catalogue
+    spark = build_session(f"local[{os.environ.get('BENCH_CPUS', '8')}]", 8)
     cols = None
     for name, fn in queries().items():
+        if name not in catalogue.QUERIES:
+            continue
         spark.sparkContext.setJobGroup(f"build-{name}", name)
         df = fn(spark, sf_dir)
         built = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}"))
