@@ -11,8 +11,8 @@ factored by class: P(token | before) = P(class | state) * P(token | class).
   all training rows and stay in a table.  The ``FREQUENT`` most frequent ones travel to the
   tasks; the other tokens of the documents are joined with the table.
 * P(class | state) comes from a gated recurrent network (numpy), fitted with truncated
-  backpropagation (windows of ``UNROLL`` tokens, the state carried over) on at most
-  ``SAMPLE_ROWS`` training rows (smallest text hashes, at most ``SAMPLE_CHARS`` characters).
+  backpropagation (windows of ``UNROLL`` tokens, the state carried over) on about
+  ``SAMPLE_ROWS`` training rows (by a hash of the id, at most ``SAMPLE_CHARS`` characters).
 
 Scoring runs documents in ``LANES`` lanes side by side; a lane's state goes from window to window
 until its document ends, however long it is, and is then set to zero.
@@ -35,14 +35,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import about
+
 END = b""                                   # the end token; no word is empty
 TOP_WORDS, TOPICS, TRIGRAMS = 40, 6, 1 << 12
 ENDINGS, LENGTHS = 6, 2
-HIDDEN, LANES, UNROLL = 24, 512, 32
+HIDDEN, LANES, UNROLL = 24, 256, 32
 SAMPLE_ROWS, SAMPLE_CHARS, FIT_TOKENS, EPOCHS, RATE = 1_500, 20_000, 400_000, 3, 0.01
 FREQUENT = 100_000
 COUNT_AT_ONCE = 300_000                     # different tokens counted before they are handed on
-TOKENS_AT_ONCE = 1_500_000                  # tokens scored together in a task
+TOKENS_AT_ONCE = 5_000_000                  # tokens scored together in a task
 LOG10 = math.log(10.0)
 
 
@@ -59,34 +61,35 @@ class Classes:
 
     def __init__(self, top: list[bytes], topic_of: np.ndarray):
         self.top = {w: i for i, w in enumerate(top)}
-        self.topic_of = topic_of                        # TRIGRAMS x TOPICS log probabilities
+        self.topic_of = np.rint(topic_of * 1000).astype(np.int64)   # TRIGRAMS x TOPICS, whole numbers: sums are exact
         self.size = len(top) + TOPICS * ENDINGS * LENGTHS
+        kind = np.full(256, 4)                                      # by the last byte: 4 or 5 for other signs
+        kind[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 0
+        kind[ord(".")], kind[ord(",")], kind[48:58] = 1, 2, 3
+        self.ending = kind
 
     @staticmethod
     def groups(word: bytes) -> list[int]:
         w = b" " + word + b" "
-        return [(w[i] * 961 + w[i + 1] * 31 + w[i + 2]) % TRIGRAMS for i in range(min(len(w) - 2, 40))]
-
-    @staticmethod
-    def ending(word: bytes) -> int:
-        last = word[-1:]
-        if last == b".":
-            return 1
-        if last == b",":
-            return 2
-        if last.isdigit():
-            return 3
-        if last.isalpha() or last >= b"\x80":
-            return 0
-        return 4 if len(word) == 1 else 5
-
-    def of(self, word: bytes) -> int:
-        known = self.top.get(word)
-        if known is not None:
-            return known
-        g = self.groups(word)
-        topic = int(self.topic_of[g].sum(axis=0).argmax()) if g else 0
-        return len(self.top) + (topic * ENDINGS + self.ending(word)) * LENGTHS + (len(word) > 7)
+        return [(w[i] * 961 + w[i + 1] * 31 + w[i + 2]) % TRIGRAMS for i in range(len(w) - 2)]
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """Class numbers of many tokens at once."""
+        if not words:
+            return np.zeros(0, dtype=np.int32)
+        text = np.frombuffer(b" " + b" ".join(words) + b"  ", dtype=np.uint8).astype(np.int64)
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        first = np.concatenate([[0], np.cumsum(size + 1)[:-1]])     # the space before each word
+        votes = self.topic_of[(text[:-2] * 961 + text[1:-1] * 31 + text[2:]) % TRIGRAMS]
+        votes[text[1:-1] == 32] = 0                                 # groups across two words
+        topic = np.add.reduceat(votes, first, axis=0).argmax(axis=1)
+        ending = self.ending[text[first + size]]
+        ending = np.where((ending == 4) & (size > 1), 5, ending)
+        out = (len(self.top) + (topic * ENDINGS + ending) * LENGTHS + (size > 7)).astype(np.int32)
+        if self.top:
+            known = [self.top.get(w, -1) for w in words]
+            out = np.where(np.array(known) >= 0, known, out).astype(np.int32)
+        return out
 
 
 def learn_topics(docs: list[list[bytes]], seed: int = 7) -> np.ndarray:
@@ -126,18 +129,23 @@ class GRU:
         self.size, self.hidden = size, hidden
         self.x, self.u, self.b = draw(size + 1, 3 * hidden), draw(hidden, 3 * hidden), np.zeros(3 * hidden, np.float32)
         self.o, self.c = draw(hidden, size), np.zeros(size, np.float32)
+        self.tame = False                   # True once no score can get large: states lie between -1 and 1
 
     def step(self, before: np.ndarray, state: np.ndarray) -> tuple:
         h = self.hidden
         a, r = self.x[before] + self.b, state @ self.u
-        gates = 1 / (1 + np.exp(-(a[:, :2 * h] + r[:, :2 * h])))
+        gates = a[:, :2 * h] + r[:, :2 * h]
+        gates = 1 / (1 + np.exp(-gates))
         z, reset = gates[:, :h], gates[:, h:]
         new = np.tanh(a[:, 2 * h:] + reset * r[:, 2 * h:])
         return state + z * (new - state), z, reset, new, r[:, 2 * h:]
 
     def log_classes(self, state: np.ndarray) -> np.ndarray:
         """Unnormalised scores and their log sum."""
-        s = np.clip(state @ self.o + self.c, -30, 30)
+        s = state @ self.o
+        s += self.c
+        if not self.tame:
+            np.clip(s, -30, 30, out=s)
         return s, np.log(np.exp(s).sum(axis=1))
 
     def window(self, before: np.ndarray, target: np.ndarray, fresh: np.ndarray, state: np.ndarray) -> tuple:
@@ -201,6 +209,7 @@ class GRU:
 
     def log_likelihoods(self, docs: list[np.ndarray], lanes: int = LANES) -> np.ndarray:
         """Natural log P(classes) of every document; state carried through each whole document."""
+        self.tame = float((np.abs(self.o).sum(axis=0) + np.abs(self.c)).max()) < 30
         out = np.zeros(len(docs))
         order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
         loads = [[] for _ in range(max(1, min(lanes, len(docs))))]
@@ -219,7 +228,7 @@ class GRU:
             target[:len(f), k] = f
             if len(f):
                 fresh[np.cumsum([0] + [len(docs[i]) for i in loads[k]])[:-1], k] = True
-        gained = np.zeros((steps, len(flat)))
+        gained = np.zeros((steps, len(flat)), np.float32)
         state = np.zeros((len(flat), self.hidden), np.float32)
         before = np.full(len(flat), self.size)
         live = np.searchsorted(-lengths, -np.arange(steps), side="left")    # lanes longer than t
@@ -237,7 +246,7 @@ class GRU:
         for k, lane in enumerate(loads):
             at = 0
             for i in lane:
-                out[i] = gained[at:at + len(docs[i]), k].sum()
+                out[i] = gained[at:at + len(docs[i]), k].sum(dtype=np.float64)
                 at += len(docs[i])
         return out
 
@@ -260,11 +269,29 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
+def _frequent(counts: DataFrame) -> tuple[dict[bytes, int], int]:
+    """The most frequent tokens, at most FREQUENT, and the number of training rows (end tokens).
+
+    Counts fall into buckets of nearly equal logarithm; buckets are taken from the top while they fit, so
+    the driver gets one number a bucket and then the chosen tokens, no candidates.
+    """
+    bucket = F.floor(F.log2("c") * 32).cast("int")
+    sizes = sorted(((r["b"], r["n"]) for r in counts.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    least, taken = None, 0
+    for b, n in sizes:
+        if taken + n > FREQUENT:
+            break
+        least, taken = b, taken + n
+    ends = counts.where(F.col("word") == F.lit(bytearray(END))).first()
+    chosen = counts.where(bucket >= least).collect() if least is not None else []
+    return {bytes(r["word"]): r["c"] for r in chosen}, ends["c"] if ends else 0
+
+
 def _class_sums(counts: DataFrame, classes: Classes) -> np.ndarray:
     """Sum of c + 0.5 by class, and half a count for each class's unseen tokens."""
     @F.pandas_udf("int")
     def class_of(words: pd.Series) -> pd.Series:
-        return pd.Series([classes.of(bytes(w)) for w in words], dtype="int32")
+        return pd.Series(classes.of([bytes(w) for w in words]))
 
     rows = counts.select(class_of("word").alias("k"), "c").groupBy("k").agg(F.sum(F.col("c") + 0.5).alias("z")).collect()
     z = np.full(classes.size, 0.5)
@@ -284,25 +311,25 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_all, v_all = total["n"], total["v"]
 
-    frequent = {bytes(r["word"]): r["c"] for r in counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()}
-    top = list(frequent)[:TOP_WORDS]
-    if END in frequent and END not in top:
+    frequent, n_rows = _frequent(counts)
+    top = sorted(frequent, key=lambda w: (-frequent[w], w))[:TOP_WORDS]
+    if n_rows and END not in top:
         top.append(END)
-    sample = (train.where(F.coalesce(F.char_length("_text"), F.lit(0)) <= SAMPLE_CHARS)
-              .orderBy(F.xxhash64("_text"), "_text").limit(sample_rows).select("_text").collect())
-    words = [tokens(r["_text"]) for r in sorted(sample, key=lambda r: r["_text"] or "")]
+    few = train.where((F.coalesce(F.char_length("_text"), F.lit(0)) <= SAMPLE_CHARS) & about(F.coalesce(F.col("_id").cast("string"), F.lit("")), sample_rows, n_rows))
+    sample = few.select("_text").limit(2 * sample_rows).collect()
+    words = [tokens(t) for t in sorted(r["_text"] or "" for r in sample)]
     np.random.default_rng(5).shuffle(order := np.arange(len(words)))
     words = [words[i] for i in order]
     classes = Classes(top, learn_topics(words))
     kept, used = [], 0
     for w in words:
         if used < FIT_TOKENS:
-            kept.append(np.array([classes.of(x) for x in w], dtype=np.int32))
+            kept.append(classes.of(w))
             used += len(w)
     model = GRU(classes.size)
     model.fit(kept)
     log_z = np.log10(_class_sums(counts, classes))
-    logs = {w: (classes.of(w), math.log10(c + 0.5)) for w, c in frequent.items()}
+    logs = {w: (int(k), math.log10(c + 0.5)) for (w, c), k in zip(frequent.items(), classes.of(list(frequent)))}
     shared = spark.sparkContext.broadcast((classes, model, log_z, logs))      # at most FREQUENT tokens
 
     schema = ("_row long, _id " + docs.schema[id_col].dataType.simpleString()
@@ -310,7 +337,6 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, model, log_z, logs = shared.value
-        rare: dict[bytes, int] = {}
         place = TaskContext.get().partitionId() << 33
         waiting, size, id_type = [], 0, None
 
@@ -335,13 +361,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 words = tokens(text.as_py())
                 found = [logs.get(w) for w in words]
                 rest = [w for w, f in zip(words, found) if f is None]
-                for w in rest:
-                    if w not in rare:
-                        if len(rare) > COUNT_AT_ONCE:
-                            rare.clear()
-                        rare[w] = classes.of(w)
-                kinds = np.array([f[0] if f is not None else (rare[w] if w in rare else classes.of(w)) for w, f in zip(words, found)], dtype=np.int32)
-                waiting.append((i, held, rest, kinds, math.fsum(f[1] for f in found if f is not None)))
+                kinds = np.array([-1 if f is None else f[0] for f in found], dtype=np.int32)
+                kinds[kinds < 0] = classes.of(rest)
+                waiting.append((i, held, rest, kinds, math.fsum([f[1] for f in found if f is not None])))
                 size += len(words)
                 if size >= TOKENS_AT_ONCE:
                     yield out()
