@@ -5,14 +5,19 @@ factored by class: P(token | before) = P(class | state) * P(token | class).
 
 * The class of a token is a function of its characters: the ``TOP_WORDS`` most frequent training
   tokens have a class each; any other token belongs to (topic, ending, length), where the
-  topic is the likeliest of ``TOPICS`` by the token's letter groups, learned from sample documents.
+  topic is the likeliest of ``TOPICS`` by the token's letter groups.  Expectation maximisation starts
+  from a sample and then takes ``TOPIC_PASSES`` steps over all training rows.
 * P(token | class) is the token's smoothed count (c + 0.5) over the sum of its class, which
   holds every training token of the corpus and one place for unseen tokens.  Counts cover
   all training rows and stay in a table.  The ``FREQUENT`` most frequent ones travel to the
   tasks; the other tokens of the documents are joined with the table.
 * P(class | state) comes from a gated recurrent network (numpy), fitted with truncated
-  backpropagation (windows of ``UNROLL`` tokens, the state carried over) on about
-  ``SAMPLE_ROWS`` training rows (by a hash of the id, at most ``SAMPLE_CHARS`` characters).
+  backpropagation (windows of ``UNROLL`` tokens, the state carried over) on all training rows, whole
+  texts of any length: every scan task runs over its own rows from the same first weights, and the tasks'
+  weights are averaged by their tokens.  The first weights come from a sample.
+* The sample, about ``SAMPLE_ROWS`` training rows (by a hash of the id, their first ``SAMPLE_CHARS`` characters),
+  gives nothing but those two starts.  As rows are learned task by task, the weights depend on how
+  the table is cut into files.
 
 Scoring runs documents in ``LANES`` lanes side by side; a lane's state goes from window to window
 until its document ends, however long it is, and is then set to zero.
@@ -24,9 +29,10 @@ other columns are ignored; a null id is never held out.
 
 from __future__ import annotations
 
+import copy
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,7 +47,11 @@ END = b""                                   # the end token; no word is empty
 TOP_WORDS, TOPICS, TRIGRAMS = 40, 6, 1 << 12
 ENDINGS, LENGTHS = 6, 2
 HIDDEN, LANES, UNROLL = 24, 256, 32
-SAMPLE_ROWS, SAMPLE_CHARS, FIT_TOKENS, EPOCHS, RATE = 1_500, 20_000, 400_000, 3, 0.01
+SAMPLE_ROWS, SAMPLE_CHARS, EPOCHS, RATE = 1_500, 20_000, 3, 0.01
+TOPIC_PASSES = 2                            # steps of expectation maximisation over all training rows
+PASS_LANES, PASS_RATE = 128, 0.003          # of the pass of the network over all training rows
+LEARN_AT_ONCE = 1_000_000                   # tokens that a task deals into lanes together
+PARTS = 1 << 20                             # averaged weights are whole numbers of 1 / PARTS: sums are exact
 FREQUENT = 100_000
 COUNT_AT_ONCE = 300_000                     # different tokens counted before they are handed on
 TOKENS_AT_ONCE = 5_000_000                  # tokens scored together in a task
@@ -110,14 +120,55 @@ def learn_topics(docs: list[list[bytes]], seed: int = 7) -> np.ndarray:
         share[c, k] = 1.0
     table = np.log((start[centres] + 1e-4) / (start[centres] + 1e-4).sum(1, keepdims=True))
     for _ in range(12):
-        score = start @ table.T * 200
-        share = np.exp(score - score.max(1, keepdims=True))
-        share /= share.sum(1, keepdims=True)
-        mass = share.T @ start + 1e-4
-        table = np.log(mass / mass.sum(1, keepdims=True))
+        table = _topic_table(_topic_mass(start, table))
     return table.T.astype(np.float32)
 
 
+def _topic_mass(x: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """TOPICS x TRIGRAMS: the documents' shares of letter groups (rows of x), dealt to the topics they are likely of."""
+    score = x @ table.T * 200
+    share = np.exp(score - score.max(1, keepdims=True))
+    share /= share.sum(1, keepdims=True)
+    return share.T @ x
+
+
+def _topic_table(mass: np.ndarray) -> np.ndarray:
+    mass = mass + 1e-4
+    return np.log(mass / mass.sum(1, keepdims=True))
+
+
+def _group_shares(words: list[bytes]) -> np.ndarray:
+    """Share of each letter group in a document."""
+    text = np.frombuffer(b" " + b" ".join(words) + b"  ", dtype=np.uint8).astype(np.int64)
+    group = (text[:-2] * 961 + text[1:-1] * 31 + text[2:]) % TRIGRAMS
+    x = np.bincount(group[text[1:-1] != 32], minlength=TRIGRAMS).astype(np.float64)
+    return x / max(x.sum(), 1)
+
+
+def refine_topics(texts: DataFrame, topic_of: np.ndarray) -> np.ndarray:
+    """One step of expectation maximisation over all rows of one text column; sums reach the driver, one for each cell."""
+    table = topic_of.T.astype(np.float64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mass, rows = np.zeros((TOPICS, TRIGRAMS)), []
+        for batch in batches:
+            for text in batch.column(0):
+                rows.append(_group_shares(tokens(text.as_py())))
+                if len(rows) == 256:
+                    mass += _topic_mass(np.array(rows), table)
+                    rows = []
+        if rows:
+            mass += _topic_mass(np.array(rows), table)
+        sums = np.rint(mass * PARTS).astype(np.int64).ravel()
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(sums[at])], ["k", "v"])
+
+    mass = np.zeros(TOPICS * TRIGRAMS)
+    for r in texts.mapInArrow(run, "k int, v long").groupBy("k").agg(F.sum("v").alias("v")).collect():
+        mass[r["k"]] = r["v"] / PARTS
+    return _topic_table(mass.reshape(TOPICS, TRIGRAMS)).T.astype(np.float32) if mass.any() else topic_of
+
+
 class GRU:
     """Input: the last class (``size``: none yet). Output: log P(next class)."""
 
@@ -155,57 +206,62 @@ class GRU:
         for t in range(steps):
             state = np.where(fresh[t][:, None], 0, state).astype(np.float32)
             after, z, reset, new, rn = self.step(before[t], state)
-            s, total = self.log_classes(after)
-            p = np.exp(s - total[:, None])
-            loss -= (s[np.arange(lanes), target[t]] - total).sum()
+            p = after @ self.o
+            p += self.c
+            np.exp(np.clip(p, -30, 30, out=p), out=p)
+            p /= p.sum(axis=1, keepdims=True)
+            loss -= np.log(p[np.arange(lanes), target[t]]).sum()
             kept.append((state, z, reset, new, rn, after, p))
             state = after
-        last, d_after = state, np.zeros((lanes, h), np.float32)
+        last, d_after, back = state, np.zeros((lanes, h), np.float32), []
         for t in range(steps - 1, -1, -1):
             state, z, reset, new, rn, after, p = kept[t]
             p[np.arange(lanes), target[t]] -= 1
-            g["o"] += after.T @ p
-            g["c"] += p.sum(0)
             d = d_after + p @ self.o.T
             d_new = d * z * (1 - new * new)
             d_z = d * (new - state) * z * (1 - z)
             d_reset = d_new * rn * reset * (1 - reset)
-            d_a = np.concatenate([d_z, d_reset, d_new], axis=1)
             d_r = np.concatenate([d_z, d_reset, d_new * reset], axis=1)
-            np.add.at(g["x"], before[t], d_a)
-            g["b"] += d_a.sum(0)
-            g["u"] += state.T @ d_r
+            back.append((np.concatenate([d_z, d_reset, d_new], axis=1), d_r))
             d_after = np.where(fresh[t][:, None], 0, d * (1 - z) + d_r @ self.u.T).astype(np.float32)
+        together = lambda rows: np.concatenate(list(rows))
+        p, d_a = together(k[6] for k in kept), together(a for a, _ in back[::-1])
+        g["o"], g["c"], g["b"] = together(k[5] for k in kept).T @ p, p.sum(0), d_a.sum(0)
+        g["u"] = together(k[0] for k in kept).T @ together(r for _, r in back[::-1])
+        order = np.argsort(before, axis=None, kind="stable")
+        seen, first = np.unique(before.ravel()[order], return_index=True)
+        g["x"][seen] = np.add.reduceat(d_a[order], first, axis=0)
         return loss, g, last
 
-    def fit(self, docs: list[np.ndarray], lanes: int = 64, epochs: int = EPOCHS) -> None:
-        """Adam over the documents' classes, dealt into lanes."""
+    def learn(self, docs: list[np.ndarray], lanes: int, rate: float, past: dict) -> int:
+        """Adam over the documents' classes, dealt into lanes; ``past`` holds its averages. Number of tokens, none left out."""
         docs = [d for d in docs if len(d)]
         if not docs:
-            return
+            return 0
         target = np.concatenate(docs)
         before = np.concatenate([np.concatenate([[self.size], d[:-1]]) for d in docs])
         fresh = np.concatenate([np.arange(len(d)) == 0 for d in docs])
         lanes = max(1, min(lanes, len(target) // UNROLL))
         n = len(target) // lanes
-        cut = lambda a: a[:n * lanes].reshape(lanes, n).T
-        target, before, fresh = cut(target), cut(before), cut(fresh)
-        m = {k: np.zeros_like(getattr(self, k)) for k in self.NAMES}
-        v = {k: np.zeros_like(getattr(self, k)) for k in self.NAMES}
-        done = 0
-        for epoch in range(epochs):
+        for a, b, lanes in ((0, n * lanes, lanes), (n * lanes, len(target), 1)):      # the rest is less than a token a lane
+            t, f, s = (x[a:b].reshape(lanes, -1).T for x in (target, before, fresh))
             state = np.zeros((lanes, self.hidden), np.float32)
-            for at in range(0, n, UNROLL):
+            for at in range(0, len(t), UNROLL):
                 w = slice(at, at + UNROLL)
-                _, g, state = self.window(before[w], target[w], fresh[w], state)
-                count = target[w].size
-                done += 1
-                rate = RATE / (1 + epoch)
+                _, g, state = self.window(f[w], t[w], s[w], state)
+                past["done"] = done = past.get("done", 0) + 1
+                share = min(1.0, t[w].size / (UNROLL * 8))                             # a window of few tokens moves the weights less
                 for k in self.NAMES:
-                    d = np.clip(g[k] / count, -1, 1)
-                    m[k] = 0.9 * m[k] + 0.1 * d
-                    v[k] = 0.99 * v[k] + 0.01 * d * d
-                    getattr(self, k)[...] -= rate * (m[k] / (1 - 0.9 ** done)) / (np.sqrt(v[k] / (1 - 0.99 ** done)) + 1e-6)
+                    d = np.clip(g[k] / t[w].size, -1, 1)
+                    m, v = past.get(k, (0.0, 0.0))
+                    past[k] = m, v = 0.9 * m + 0.1 * d, 0.99 * v + 0.01 * d * d
+                    getattr(self, k)[...] -= share * rate * (m / (1 - 0.9 ** done)) / (np.sqrt(v / (1 - 0.99 ** done)) + 1e-6)
+        return len(target)
+
+    def fit(self, docs: list[np.ndarray], lanes: int = 64, epochs: int = EPOCHS) -> None:
+        past: dict = {}
+        for epoch in range(epochs):
+            self.learn(docs, lanes, RATE / (1 + epoch), past)
 
     def log_likelihoods(self, docs: list[np.ndarray], lanes: int = LANES) -> np.ndarray:
         """Natural log P(classes) of every document; state carried through each whole document."""
@@ -300,6 +356,32 @@ def _class_sums(counts: DataFrame, classes: Classes) -> np.ndarray:
     return z
 
 
+def refine_network(texts: DataFrame, model: GRU, kinds_of: Callable[[list[bytes]], np.ndarray]) -> GRU:
+    """The network after a pass over all rows of one text column: every task learns its rows, weights are averaged by tokens."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, past, done, waiting, size = copy.deepcopy(model), {}, 0, [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                waiting.append(kinds_of(tokens(text.as_py())))
+                size += len(waiting[-1])
+                if size >= LEARN_AT_ONCE:
+                    done += own.learn(waiting, PASS_LANES, PASS_RATE, past)
+                    waiting, size = [], 0
+        done += own.learn(waiting, PASS_LANES, PASS_RATE, past)
+        flat = np.concatenate([getattr(own, k).ravel() for k in own.NAMES]).astype(np.float64)
+        sums = np.concatenate([[done], np.rint(flat * PARTS).astype(np.int64) * done])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums), dtype=np.int32)), pa.array(sums)], ["k", "v"])
+
+    sums = {r["k"]: r["v"] for r in texts.mapInArrow(run, "k int, v long").groupBy("k").agg(F.sum("v").alias("v")).collect()}
+    out, at = copy.deepcopy(model), 1
+    if sums.get(0):
+        for k in out.NAMES:
+            w = getattr(out, k)
+            w[...] = np.array([sums[i] / sums[0] / PARTS for i in range(at, at + w.size)]).reshape(w.shape)
+            at += w.size
+    return out
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int | None = 1,
                     sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10)."""
@@ -315,21 +397,30 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     top = sorted(frequent, key=lambda w: (-frequent[w], w))[:TOP_WORDS]
     if n_rows and END not in top:
         top.append(END)
-    few = train.where((F.coalesce(F.char_length("_text"), F.lit(0)) <= SAMPLE_CHARS) & about(F.coalesce(F.col("_id").cast("string"), F.lit("")), sample_rows, n_rows))
-    sample = few.select("_text").limit(2 * sample_rows).collect()
+    few = train.where(about(F.coalesce(F.col("_id").cast("string"), F.lit("")), sample_rows, n_rows))
+    sample = few.select(F.substring("_text", 1, SAMPLE_CHARS).alias("_text")).limit(2 * sample_rows).collect()
     words = [tokens(t) for t in sorted(r["_text"] or "" for r in sample)]
     np.random.default_rng(5).shuffle(order := np.arange(len(words)))
     words = [words[i] for i in order]
-    classes = Classes(top, learn_topics(words))
-    kept, used = [], 0
-    for w in words:
-        if used < FIT_TOKENS:
-            kept.append(classes.of(w))
-            used += len(w)
-    model = GRU(classes.size)
-    model.fit(kept)
+    topic_of = learn_topics(words)
+    for _ in range(TOPIC_PASSES if n_rows else 0):
+        topic_of = refine_topics(train.select("_text"), topic_of)
+    classes = Classes(top, topic_of)
+    kinds = dict(zip(frequent, classes.of(list(frequent)).tolist()))
     log_z = np.log10(_class_sums(counts, classes))
-    logs = {w: (int(k), math.log10(c + 0.5)) for (w, c), k in zip(frequent.items(), classes.of(list(frequent)))}
+    logs = {w: (kinds[w], math.log10(c + 0.5)) for w, c in frequent.items()}
+    model = GRU(classes.size)
+    model.fit([classes.of(w) for w in words])
+    known = spark.sparkContext.broadcast((classes, kinds))                   # at most FREQUENT tokens
+
+    def kinds_of(words: list[bytes]) -> np.ndarray:
+        classes, kinds = known.value
+        out = np.array([kinds.get(w, -1) for w in words], dtype=np.int32)
+        out[out < 0] = classes.of([w for w, k in zip(words, out) if k < 0])
+        return out
+
+    if n_rows:
+        model = refine_network(train.select("_text"), model, kinds_of)
     shared = spark.sparkContext.broadcast((classes, model, log_z, logs))      # at most FREQUENT tokens
 
     schema = ("_row long, _id " + docs.schema[id_col].dataType.simpleString()

@@ -160,3 +160,49 @@ def test_model_beats_counts_alone(ready):
     rows = queries.op6_gru_lm(ready, "/root/testdata/sf0.001").collect()
     out = [r for r in rows if r["held_out"]]
     assert out and sum(r["score"] for r in out) > 0.97 * sum(r["base_score"] for r in out)
+
+
+def _turns(n_docs, size):
+    """Documents in which each token follows from the one before, though all are equally frequent."""
+    return [(i, " ".join("abcdefgh"[(i + k * 3) % 8] for k in range(size))) for i in range(n_docs)]
+
+
+def test_network_learns_from_all_rows_and_long_texts(ready, monkeypatch):
+    monkeypatch.setattr(gru_lm, "SAMPLE_CHARS", 2_000)       # every text is longer
+    docs = ready.createDataFrame(_turns(200, 4_000), "doc_id long, text string").repartition(2)
+    rows = gru_lm.score_documents(docs).collect()
+    assert sum(r["score"] for r in rows) > 0.8 * sum(r["base_score"] for r in rows)
+
+
+def test_learning_leaves_no_token_out(monkeypatch):
+    met, window = [], gru_lm.GRU.window
+
+    def seen(self, before, target, fresh, state):
+        met.extend(target.ravel().tolist())
+        return window(self, before, target, fresh, state)
+
+    monkeypatch.setattr(gru_lm.GRU, "window", seen)
+    docs = [np.full(n, k, np.int32) for k, n in enumerate((1, 700, 33, 5))]
+    for lanes in (1, 7, 128):
+        met.clear()
+        assert gru_lm.GRU(4).learn(docs, lanes, 0.01, {}) == 739
+        assert Counter(met) == {0: 1, 1: 700, 2: 33, 3: 5}
+
+
+def test_topics_follow_all_rows(ready):
+    docs = ready.createDataFrame([(prose(k, 30),) for k in range(300)] + [(None,), ("zyx " * 9_000,)], "text string")
+    table = gru_lm.learn_topics([prose(1, 30).encode().split()])
+    new = gru_lm.refine_topics(docs, table)
+    zyx = gru_lm.Classes.groups(b"zyx")[1]
+    assert new.shape == table.shape and new[zyx].max() > table[zyx].max() + 1
+
+
+def test_network_pass_over_all_rows(ready):
+    words = "abcdefgh".encode()
+    kinds_of = lambda ws: np.array([words.find(w) if w else 8 for w in ws], np.int32)
+    net = gru_lm.GRU(9)
+    docs = [kinds_of(gru_lm.tokens(t)) for _, t in _turns(100, 400)]
+    net.fit([d[::-1] for d in docs])                        # learned from other documents than the table's
+    table = ready.createDataFrame([(t,) for _, t in _turns(400, 2_000)] + [(None,)], "text string").repartition(2)
+    new = gru_lm.refine_network(table, net, kinds_of)
+    assert new.log_likelihoods(docs).sum() > 0.7 * net.log_likelihoods(docs).sum()
