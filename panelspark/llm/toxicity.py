@@ -2,8 +2,10 @@
 
 Labels are per document, so tokens are labelled from them: in a toxic document, a token is
 toxic if it has a *telling* feature (its whole word, or its first four to six letters) that
-occurs in at least ``LEAST_DOCS`` toxic sample documents, ``LIFT`` times as often there as in
-clean ones, and with a log-likelihood ratio of ``SURPRISE`` (chance would give a few in 10^5);
+occurs in at least ``LEAST_DOCS`` toxic sample documents, in a share of them ``LIFT`` times that of the
+clean ones, and with a log-likelihood ratio of ``SURPRISE`` (chance would give a few in 10^5).  The shares are not
+smoothed, so ``LIFT`` asks for no support of its own: a feature that no clean text has needs what ``SURPRISE`` needs, 15 toxic
+texts where both classes have as many, ``LEAST_DOCS`` where toxic ones are a seventh, whatever the sample's size;
 copies and shared passages count as one document.  A chain with two tags (clean, toxic) is fitted to windows of such tokens by
 gradient ascent on the conditional likelihood (forward-backward).
 
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from .sampling import about
 
 SAMPLE_ROWS, SAMPLE_CHARS = 2_500, 20_000
-LEAST_DOCS, LIFT, SURPRISE, MAX_FEATURES = 5, 50.0, 20.0, 20_000
+LEAST_DOCS, LIFT, SURPRISE, MAX_FEATURES = 5, 5.0, 20.0, 20_000
 WINDOW, WINDOWS, STEPS, RATE, DECAY = 24, 6_000, 80, 0.3, 1e-3
 CACHE_WORDS = 300_000
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -235,8 +237,9 @@ def fit(sample: list[tuple[str, int]]) -> ToxicModel:
         return model
     toxic, n_toxic_texts = _document_counts([words for words, y in docs if y])
     clean, n_clean_texts = _document_counts([words for words, y in docs if not y])
-    lift = {f: ((k + 0.5) / (n_toxic_texts + 1)) / ((clean[f] + 0.5) / (n_clean_texts + 1)) for f, k in toxic.items() if k >= LEAST_DOCS}
-    chosen = sorted((f for f, x in lift.items() if x >= LIFT and surprise(toxic[f], n_toxic_texts, clean[f], n_clean_texts) >= SURPRISE), key=lambda f: (-toxic[f] * math.log(lift[f]), f))[:MAX_FEATURES]
+    told_by = {f: surprise(k, n_toxic_texts, clean[f], n_clean_texts) for f, k in toxic.items()
+               if k >= LEAST_DOCS and k * n_clean_texts >= LIFT * clean[f] * n_toxic_texts}
+    chosen = sorted((f for f, x in told_by.items() if x >= SURPRISE), key=lambda f: (-told_by[f], f))[:MAX_FEATURES]
     number = {f: i for i, f in enumerate(chosen)}
     told = {True: [], False: []}
     for words, y in docs:

@@ -61,6 +61,16 @@ def test_copies_count_once():
     assert "=rareword" not in toxicity.fit(rows).weight
 
 
+@pytest.mark.parametrize("size", [60, 600])
+def test_support_does_not_grow_with_the_sample(size):
+    """20 toxic texts are enough for a word at every size, also if one clean text has it."""
+    rows = [(prose(50_000 + i, 40) + f" id{chr(97 + i % 26)}x", y) for y in (0, 1) for i in range(size * y, size * (y + 1))]
+    told = [(f"{t} {'grimwort' if y else ''}" if i % size < 20 else t, y) for i, (t, y) in enumerate(rows)]
+    assert "=grimwort" in toxicity.fit(told).weight
+    if size > 60:
+        assert "=grimwort" in toxicity.fit([(told[0][0] + " grimwort", 0), *told[1:]]).weight
+
+
 def test_train_and_score_tables(ready, odd, empty):
     rows = [(i, t, y) for i, (t, y) in enumerate(_sample())]
     docs = ready.createDataFrame([(i, t, "x") for i, t, _ in rows], "doc_id long, text string, toxic string")
