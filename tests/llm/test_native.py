@@ -102,6 +102,13 @@ def test_match_guarantee(ready):
     assert all(a & b for a in found for b in found)
 
 
+def test_short_texts_and_short_passages_share_marks(ready):
+    """The edited text keeps the first half: 47 or more characters are found again, also in short texts."""
+    rows = [(n, "".join(chr(97 + b % 26) for b in hashlib.shake_256(bytes([n])).digest(n))) for n in range(94, 254)]
+    found = winnowing.edited_likeness(ready.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows) and all(r["near_edited"] > 0 for r in found)
+
+
 def test_edited_likeness(odd, empty, ready, monkeypatch):
     for rows_per_bucket in (1_000, 4):
         monkeypatch.setattr(winnowing, "BUCKET_ROWS", rows_per_bucket)
