@@ -168,6 +168,15 @@ def test_secret_spans(secrets, empty):
     assert secret_scan.scan(empty).count() == 0
 
 
+def test_short_and_lettered_secrets_and_rests_of_runs(secrets, ready):
+    rows, _ = secrets
+    key, letters = "q7Zx0vR2kT9mB4wLs8Yd1Hf6", "qZxvRkTmBwLsYdHfJcGpXnVbKrWtDzQm"
+    more = [(1_001, f"see {letters} here"), (1_002, f"see {key[:16]} here"), (1_003, f"see AKIA{'Q7' * 8}/{key} here"), (1_004, "internationalisation counterrevolutionaries")]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan(ready.createDataFrame([(i, t) for i, t in rows] + more, "doc_id long, text string")).collect()}
+    assert got[1_001] == "markov:4:36" and got[1_002] == "markov:4:20"
+    assert got[1_003] == "access:4:24,markov:24:49" and got[1_004] == ""
+
+
 def test_redact(secrets, odd):
     rows, docs = secrets
     out = secret_scan.redact(docs, length_col="n_chars")
