@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, gru_lm, packing, secret_scan, sentencepiece_bpe, sharding, simhash, tool_calls, toxicity, winnowing
+from . import exact_dedup, gru_lm, huffman_ids, packing, secret_scan, sentencepiece_bpe, sharding, simhash, tool_calls, toxicity, winnowing
 from .shipping import ship_package
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
+WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -67,8 +68,13 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.link_calls(calls, results, links, tool_calls.SCHEMAS, keep=["conv_id", "turn"])
 
 
+def op11_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return huffman_ids.round_trip(read(spark, sf_dir, "documents"), WORD_MODEL)
+
+
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_packing, op3_exact_dedup, op4_sharding, op5_toxicity, op6_gru_lm,
-                                   op7_winnowing, op8_simhash, op9_secret_scan, op10_tool_calls)}
+                                   op7_winnowing, op8_simhash, op9_secret_scan, op10_tool_calls, op11_huffman_ids)}
 
 ORACLE = {
     "op3_exact_dedup": r"""
