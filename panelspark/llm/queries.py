@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, gru_lm, huffman_ids, packing, secret_scan, sentencepiece_bpe, sharding, simhash, tool_calls, toxicity, winnowing
+from . import exact_dedup, gru_lm, huffman_ids, merkle, packing, secret_scan, sentencepiece_bpe, sharding, simhash, tool_calls, toxicity, winnowing
 from .shipping import ship_package
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -73,10 +73,56 @@ def op11_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman_ids.round_trip(read(spark, sf_dir, "documents"), WORD_MODEL)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_packing, op3_exact_dedup, op4_sharding, op5_toxicity, op6_gru_lm,
-                                   op7_winnowing, op8_simhash, op9_secret_scan, op10_tool_calls, op11_huffman_ids)}
+                                   op7_winnowing, op8_simhash, op9_secret_scan, op10_tool_calls, op11_huffman_ids, op12_merkle_manifest)}
 
 ORACLE = {
+    "op12_merkle_manifest": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, source, lang, n_chars, text, row_number() OVER () AS r,
+                   coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head FROM documents),
+        crc AS (SELECT 0 AS step, r, doc_id, CAST(4294967295 AS BIGINT) AS c, encode(CAST(doc_id AS VARCHAR)) AS rest FROM d WHERE doc_id IS NOT NULL
+                UNION ALL
+                SELECT step + 1, r, doc_id, CASE WHEN step % 9 = 0 THEN xor(c, ascii(substr(CAST(doc_id AS VARCHAR), step // 9 + 1, 1)))
+                                                 WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, rest
+                FROM crc WHERE step < 9 * strlen(CAST(doc_id AS VARCHAR))),
+        odd AS (SELECT r FROM crc WHERE step = 9 * strlen(CAST(doc_id AS VARCHAR)) AND xor(c, 4294967295) % 5 = 0),
+        l AS (SELECT r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                     CASE WHEN r IN (SELECT r FROM odd)
+                          THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+                          ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS offered FROM d),
+        p AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS n,
+                     row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l),
+        nodes AS (SELECT 0 AS level, tree, n, pos, leaf AS digest FROM p
+                  UNION ALL
+                  SELECT level + 1, tree, (n + 15) // 16, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY ALL),
+        subs AS (SELECT tree, digest AS subroot FROM nodes WHERE n = 1),
+        tops AS (SELECT 0 AS level, count(*) OVER () AS n, tree AS pos, subroot AS digest FROM subs
+                 UNION ALL
+                 SELECT level + 1, (n + 15) // 16, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY ALL),
+        sib AS (SELECT a.level, a.tree, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+                       coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+                FROM nodes a JOIN nodes b ON a.level = b.level AND a.tree = b.tree AND a.pos // 16 = b.pos // 16 WHERE a.n > 1 GROUP BY ALL),
+        top_sib AS (SELECT a.level, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+                           coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+                    FROM tops a JOIN tops b ON a.level = b.level AND a.pos // 16 = b.pos // 16 WHERE a.n > 1 GROUP BY ALL),
+        steps AS (SELECT r, 0 AS step, tree, pos, offered AS folded, '' AS proof FROM p
+                  UNION ALL
+                  SELECT f.r, f.step + 1, f.tree, f.pos // 16, sha256(s.l || f.folded || s.r), f.proof || s.l || s.r
+                  FROM steps f JOIN sib s ON s.level = f.step AND s.tree = f.tree AND s.pos = f.pos),
+        grown AS (SELECT r, tree, arg_max(folded, step) AS folded, arg_max(proof, step) AS proof FROM steps GROUP BY ALL),
+        over AS (SELECT r, 0 AS step, tree AS pos, folded, proof FROM grown
+                 UNION ALL
+                 SELECT f.r, f.step + 1, f.pos // 16, sha256(s.l || f.folded || s.r), f.proof || s.l || s.r
+                 FROM over f JOIN top_sib s ON s.level = f.step AND s.pos = f.pos),
+        ends AS (SELECT r, arg_max(folded, step) AS folded_root, arg_max(proof, step) AS proof FROM over GROUP BY ALL)
+        SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, folded_root, folded_root = t.digest AS verified
+        FROM p JOIN ends USING (r) JOIN subs USING (tree) JOIN (SELECT digest FROM tops WHERE n = 1) t ON true""",
     "op3_exact_dedup": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
