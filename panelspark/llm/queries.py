@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, gru_lm, huffman_ids, merkle, packing, secret_scan, sentencepiece_bpe, sharding, simhash, tool_calls, toxicity, winnowing
+from . import exact_dedup, gru_lm, hard_negatives, huffman_ids, merkle, packing, secret_scan, sentencepiece_bpe, sharding, simhash, tool_calls, toxicity, winnowing
 from .shipping import ship_package
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -77,10 +77,28 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(read(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=shifted)
+
+
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_packing, op3_exact_dedup, op4_sharding, op5_toxicity, op6_gru_lm,
-                                   op7_winnowing, op8_simhash, op9_secret_scan, op10_tool_calls, op11_huffman_ids, op12_merkle_manifest)}
+                                   op7_winnowing, op8_simhash, op9_secret_scan, op10_tool_calls, op11_huffman_ids, op12_merkle_manifest, op13_hard_negatives)}
 
 ORACLE = {
+    "op13_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x, row_number() OVER () AS r
+                   FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        s AS (SELECT a.vec_id AS anchor_id, a.r AS anchor, b.vec_id, b.r, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+              FROM v a JOIN v b ON a.r != b.r AND len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0),
+        p AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, r) AS k FROM s WHERE same),
+        n AS (SELECT p.anchor_id, p.anchor, p.vec_id AS positive_id, p.r AS positive, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                     row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY s.score DESC, s.vec_id, s.r) AS k
+              FROM p JOIN s USING (anchor) WHERE p.k <= 5 AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+        SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 10""",
     "op12_merkle_manifest": """
         WITH RECURSIVE d AS (
             SELECT doc_id, source, lang, n_chars, text, row_number() OVER () AS r,

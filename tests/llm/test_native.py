@@ -19,12 +19,12 @@ SMALL = "/root/testdata/sf0.001"
 def test_oracles(ready, name):
     got = queries.QUERIES[name](ready, SMALL).toPandas()
     con = duckdb.connect()
-    for t in ("documents", "labels", "conversations"):
+    for t in ("documents", "labels", "conversations", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     want = con.sql(queries.ORACLE[name]).df()
     cols = sorted(want.columns)
     assert sorted(got.columns) == cols and len(got) == len(want)
-    key = [c for c in ("doc_id", "conv_id", "turn") if c in cols]
+    key = [c for c in ("doc_id", "conv_id", "turn", "anchor_id", "positive_id", "rank") if c in cols]
     same = lambda d: d[cols].sort_values(key).reset_index(drop=True).astype(str)
     assert same(got).equals(same(want))
 
