@@ -1416,15 +1416,16 @@ def main(argv: list[str] | None = None) -> None:
     """
     import argparse
 
+    from panelspark.plans import catalogue, landed  # noqa: F401  (landed adds its queries)
     from panelspark.session import build_session
     ap = argparse.ArgumentParser(prog="panelspark.plans.catalogue")
-    ap.add_argument("name", choices=sorted(QUERIES))
+    ap.add_argument("name", choices=sorted(catalogue.QUERIES))
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--show", type=int, default=20)
     ap.add_argument("--explain", action="store_true")
     args = ap.parse_args(argv)
     spark = build_session()
-    df = QUERIES[args.name](spark, args.sf)
+    df = catalogue.QUERIES[args.name](spark, args.sf)
     df.show(args.show, truncate=False)
     if args.explain:
         df.explain("formatted")

@@ -1,13 +1,14 @@
 """Readers for landed files and table sinks."""
 
-from panelspark.sources.readers import (CORRUPT, SERIES_SCHEMA, SHEET_COLUMNS, contiguous_year_prefix, corrupt_rows,
+from panelspark.sources.lines import numbered_lines
+from panelspark.sources.readers import (CORRUPT, SERIES_SCHEMA, SHEET_COLUMNS, contiguous_year_prefix, corrupt_rows, damaged_sheet_rows,
                                         landed_years, matrix_rows, parse_delimited, parse_series, read_delimited,
                                         read_json_matrix, read_lookup, read_series_ndjson, read_sheet_set,
                                         sheet_rows, string_schema, tag_source)
 from panelspark.sources.sinks import write_table
 
 __all__ = [
-    "CORRUPT", "SERIES_SCHEMA", "SHEET_COLUMNS", "contiguous_year_prefix", "corrupt_rows", "landed_years",
-    "matrix_rows", "parse_delimited", "parse_series", "read_delimited", "read_json_matrix", "read_lookup",
+    "CORRUPT", "SERIES_SCHEMA", "SHEET_COLUMNS", "contiguous_year_prefix", "corrupt_rows", "damaged_sheet_rows", "landed_years",
+    "matrix_rows", "numbered_lines", "parse_delimited", "parse_series", "read_delimited", "read_json_matrix", "read_lookup",
     "read_series_ndjson", "read_sheet_set", "sheet_rows", "string_schema", "tag_source", "write_table",
 ]

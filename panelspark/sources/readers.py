@@ -7,14 +7,16 @@ nothing is inferred over the full input and every read splits across tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from panelspark.functions.labels import safe_double, safe_int
-from panelspark.operators.frames import union_by_name
+from panelspark.operators.frames import checked_broadcast, union_by_name
+from panelspark.operators.growth import with_global_index
+from panelspark.sources.lines import numbered_lines
 
 CORRUPT = "_corrupt_record"
 
@@ -142,23 +144,44 @@ def read_series_ndjson(spark: SparkSession, path: str, schema: StructType = SERI
 SHEET_COLUMNS = ("year", "month", "state", "typeofproducer", "energysource", "generation")
 
 
-def read_sheet_set(spark: SparkSession, folder: str, exclude: Sequence[str] = ("EnergySource_Notes",),
-                   names: Sequence[str] = SHEET_COLUMNS) -> DataFrame:
+def read_sheet_set(spark: SparkSession, folder: str | Sequence[str], exclude: Sequence[str] = ("EnergySource_Notes",),
+                   names: Sequence[str] = SHEET_COLUMNS, title_rows: int | Mapping[str, int] | None = None,
+                   sheet: Column | None = None) -> DataFrame:
     """All sheets of a workbook, landed as one delimited file per sheet, in one read.
 
-    Sheets differ in how many title rows precede the header; they are read without a
-    header.  A row is data when its year or its value (the last column) is a number, so title
-    and header rows go, and a data row with a damaged year stays, with a NULL year.
-    Columns are named by position.  ``sheet`` carries the
-    source file name; excluded sheets are filtered on it.
+    ``title_rows`` says how many rows stand above a sheet's header row (one number, or one per sheet; a sheet that
+    is not listed has none): exactly those and the header go, by the rows' numbers in their file.  Without it,
+    a sheet's data begin at its first row whose year and value (the last column) are both numbers.  Every later row stays,
+    damaged or not (a cell that is no number is NULL; ``damaged_sheet_rows`` counts such rows); blank rows are
+    no rows.  Columns are named by position.  ``sheet`` (default: the file name without its ending; an expression over
+    ``file``, the path, and ``source``, the name) names the sheet; excluded sheets are filtered on it.
     """
-    raw = (spark.read.schema(string_schema(names)).option("header", False)
-           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-           .option("mode", "PERMISSIVE").csv(folder)
-           .withColumn("sheet", F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")))
+    cells = F.from_csv("value", ", ".join(f"`{n}` string" for n in names),
+                       {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"})
+    both = cells[names[0]].try_cast("int").isNotNull() & cells[names[-1]].try_cast("double").isNotNull()
+    lines, splits = numbered_lines(spark, folder, per_split={"data": F.min(F.when(both, F.col("id")))})
+    name = F.regexp_replace("source", r"\.[^.]*$", "") if sheet is None else sheet
+    rows = lines.withColumn("sheet", name)
     if exclude:
-        raw = raw.where(~F.col("sheet").isin(*exclude))
-    return sheet_rows(raw, names)
+        rows = rows.where(~F.col("sheet").isin(*exclude))
+    if title_rows is None:
+        begin = splits.groupBy("file").agg(F.min(F.col("data") - F.col("first") + F.col("before")).alias("_begin"))
+        rows = rows.join(checked_broadcast(begin), "file").where("at >= _begin")
+    elif isinstance(title_rows, int):
+        rows = rows.where(F.col("at") > title_rows)
+    else:
+        above = F.lit(0)
+        for s, n in title_rows.items():
+            above = F.when(F.col("sheet") == s, n).otherwise(above)
+        rows = rows.where(F.col("at") > above)
+    parsed = rows.where(F.trim("value") != "").select(cells.alias("_c"), "sheet").select("_c.*", "sheet")
+    return parsed.withColumns({names[0]: safe_int(names[0]), names[1]: safe_int(names[1]), names[-1]: safe_double(names[-1])})
+
+
+def damaged_sheet_rows(sheets: DataFrame, names: Sequence[str] = SHEET_COLUMNS) -> DataFrame:
+    """(sheet, rows, damaged) of a sheet set: a row is damaged if its year, its month or its value is no number."""
+    bad = F.col(names[0]).isNull() | F.col(names[1]).isNull() | F.col(names[-1]).isNull()
+    return sheets.groupBy("sheet").agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("damaged"))
 
 
 def sheet_rows(raw: DataFrame, names: Sequence[str] = SHEET_COLUMNS) -> DataFrame:
@@ -168,8 +191,11 @@ def sheet_rows(raw: DataFrame, names: Sequence[str] = SHEET_COLUMNS) -> DataFram
                           names[-1]: safe_double(names[-1])}))
 
 
-def read_json_matrix(spark: SparkSession, path: str, keys: Sequence[str] | None = None) -> DataFrame:
-    """Files each holding one JSON array of arrays whose first row is the header.
+ROW_START = r"^[\s,\x{FEFF}]*(\[\s*)+"
+
+
+def read_json_matrix(spark: SparkSession, path: str | Sequence[str], keys: Sequence[str] | None = None) -> DataFrame:
+    """Files each holding one JSON array of arrays of plain values, whose first row is the header.
 
     With ``keys`` returns one row per value row with ``source`` (file name) and one
     text column per key: each key's position is looked up once per file in the
@@ -177,15 +203,50 @@ def read_json_matrix(spark: SparkSession, path: str, keys: Sequence[str] | None
     NULL), so a row costs one lookup per key however wide the header is.
     Without ``keys`` returns ``source`` and ``cells``, a map from each distinct
     header name (first occurrence) to the row's value.  A header-only file gives no
-    rows.  Each file is one task (whole-file text), so parallelism follows the file
-    count.
+    rows; a row that is no JSON gives NULLs.
+
+    A file is read in splits, cut at every ``]``, so a large one is many tasks' work.  A piece between two cuts is a
+    row, unless a text in it holds a ``]``: pieces with an odd number of quotes open or close such a text, so they are numbered in
+    order, and each pair with what lies between is put together again.  The header, each file's first row, is found in the
+    pass that counts the pieces.
     """
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("source"), "value")
-    return matrix_rows(files, keys)
+    marks = F.when(F.col("value").contains("\\"), F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
+    torn = (F.char_length(marks) - F.char_length(F.replace(marks, F.lit('"')))) % 2 == 1
+    pieces, splits = numbered_lines(spark, path, sep="]", per_split={"torn": F.count_if(torn), "head": F.min_by("value", "id"),
+                                                                     "head_torn": F.min_by(torn, "id"), "source": F.first("source")})
+    heads = splits.where("before = 0 AND NOT head_torn AND n > 0").select("file", F.col("head").alias("value"))
+    rows = pieces
+    if splits.agg(F.sum("torn")).first()[0]:
+        order = with_global_index(pieces.where(torn).select("file", "at"), ["file", "at"], name="k")
+        first = order.groupBy("file").agg(F.min("k").alias("_first"))
+        pairs = (order.join(checked_broadcast(first), "file").groupBy("file", F.floor((F.col("k") - F.col("_first")) / 2).alias("pair"))
+                 .agg(F.min("at").alias("_row"), F.max("at").alias("_last")))
+        members = pairs.select("file", "_row", F.explode(F.sequence("_row", "_last")).alias("at")).checkpoint()
+        placed = pieces.join(checked_broadcast(members), ["file", "at"], "left")
+        mended = (placed.where("_row IS NOT NULL").groupBy("file", "source", F.col("_row").alias("at"))
+                  .agg(F.sort_array(F.collect_list(F.struct(F.col("at").alias("a"), "value"))).alias("p"))
+                  .select("file", "source", "at", F.array_join("p.value", "]").alias("value")).checkpoint())
+        rows = placed.where("_row IS NULL").select("file", "source", "at", "value").union(mended)
+        heads = heads.union(mended.where("at = 0").select("file", "value"))
+    cells = F.from_json(F.concat(F.lit("["), F.regexp_replace("value", ROW_START, ""), F.lit("]")), "array<string>")
+    body = rows.where(F.col("at") > 0).where(F.col("value").rlike(ROW_START)).select("file", "source", cells.alias("row"))
+    header = heads.select("file", cells.alias("header"))
+    if keys:
+        places = [F.array_position("header", k).cast("int").alias(f"_p{i}") for i, k in enumerate(keys)]
+        found = body.join(checked_broadcast(header.select("file", *places)), "file")
+        return found.select("source", *[F.when(F.col(f"_p{i}") > 0, F.try_element_at("row", F.col(f"_p{i}"))).alias(k) for i, k in enumerate(keys)])
+    return body.join(checked_broadcast(header), "file").select("source", _cells().alias("cells"))
+
+
+def _cells() -> Column:
+    """Map of a row's values by the names in ``header``, the first of a repeated name."""
+    return F.map_from_entries(F.transform(
+        F.array_distinct("header"),
+        lambda h: F.struct(h.alias("key"), F.try_element_at(F.col("row"), F.array_position("header", h).cast("int")).alias("value"))))
 
 
 def matrix_rows(files: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """``read_json_matrix`` for matrices already in a text column: (source, value)."""
+    """``read_json_matrix`` for whole matrices in a text column: (source, value)."""
     files = files.select("source", F.from_json("value", "array<array<string>>").alias("m"))
     body = F.explode(F.slice("m", 2, F.greatest(F.size("m") - 1, F.lit(0)))).alias("row")
     if keys:
@@ -196,11 +257,7 @@ def matrix_rows(files: DataFrame, keys: Sequence[str] | None = None) -> DataFram
         return rows.select("source", *[F.when(F.col(f"_p{i}") > 0, F.try_element_at(row, F.col(f"_p{i}")))
                                        .alias(k) for i, k in enumerate(keys)])
     rows = files.select("source", F.col("m")[0].alias("header"), body)
-    cells = F.map_from_entries(F.transform(
-        F.array_distinct("header"),
-        lambda h: F.struct(h.alias("key"),
-                           F.try_element_at(F.col("row"), F.array_position("header", h).cast("int")).alias("value"))))
-    return rows.select("source", cells.alias("cells"))
+    return rows.select("source", _cells().alias("cells"))
 
 
 def landed_years(spark: SparkSession, path: str, pattern: str = "[0-9]{4}") -> DataFrame:

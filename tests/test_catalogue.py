@@ -4,7 +4,7 @@ import pytest
 
 import oracle_compare
 from __spark_entry__ import entry, oracle_sql, queries
-from panelspark.plans import catalogue
+from panelspark.plans import catalogue, landed  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 QUERIES = {n: q for n, q in queries().items() if n in catalogue.QUERIES}
