@@ -107,43 +107,6 @@ def rename_matching(df: DataFrame, pattern: str, replacement: str) -> DataFrame:
     return df.toDF(*names)
 
 
-def merge_keep_left(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                    max_broadcast_rows: int | None = None) -> DataFrame:
-    """Equi-join where, for columns on both sides, the left value wins.
-
-    The right copies of shared non-key columns are dropped before the join so the
-    result has no ambiguous duplicates.  With ``max_broadcast_rows`` the right side
-    is broadcast when it passes that size check (a medium dimension table);
-    otherwise Spark plans the join (sort-merge, AQE skew splitting).
-    """
-    shared = [c for c in right.columns if c in left.columns and c not in keys]
-    right = right.drop(*shared)
-    if max_broadcast_rows is not None:
-        right = checked_broadcast(right, max_broadcast_rows)
-    return left.join(right, list(keys), how)
-
-
-def lookup_join(left: DataFrame, lookup: DataFrame, left_key: str, lookup_key: str | None = None,
-                how: str = "inner", normalize: str | None = None,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Enrich ``left`` from a lookup table.
-
-    ``lookup_key`` is renamed to ``left_key`` so only one key column remains.
-    ``normalize="lower"`` lower-cases the left key first (the lookup must already be
-    lower case).  The lookup is broadcast after a size check.
-    """
-    lookup_key = lookup_key or left_key
-    if normalize == "lower":
-        left = left.withColumn(left_key, F.lower(F.col(left_key)))
-    elif normalize is not None:
-        raise ValueError(normalize)
-    if lookup_key != left_key:
-        lookup = lookup.drop(left_key).withColumnRenamed(lookup_key, left_key)
-    shared = [c for c in lookup.columns if c in left.columns and c != left_key]
-    lookup = lookup.drop(*shared)
-    return left.join(checked_broadcast(lookup, max_broadcast_rows), left_key, how)
-
-
 def join_panels(left: DataFrame, right: DataFrame, key: str, drop_right: Sequence[str] = (),
                 how: str = "left") -> DataFrame:
     """Join two panels on a composed key; the left side's columns win.

@@ -29,7 +29,7 @@ from panelspark.operators.frames import DEFAULT_BROADCAST_ROWS
 from panelspark.operators import (detail_plus_total, drop_matching, duplicate_keys, explode_pairs,
                                   fill_zero, fits_broadcast, growth, join_panels, lookup_join, merge_keep_left,
                                   pivot_sum, pivot_wide, rename_matching, rename_strict, rollup_period, row_sum, select_prefix,
-                                  split_column, sum_by_period, union_by_name, with_columns_chained,
+                                  sized_join, split_column, sum_by_period, union_by_name, with_columns_chained,
                                   with_global_index, with_totals)
 from panelspark.plans import energy_panel, mining
 from panelspark.sources import (CORRUPT, contiguous_year_prefix, matrix_rows, parse_delimited, parse_series, sheet_rows,
@@ -617,6 +617,17 @@ def q_merge_keep_left(spark, d):
     left = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey",
                                             F.col("o_orderpriority").alias("tag"))
     right = table(spark, d, "customer").select("c_custkey", "c_name", F.col("c_mktsegment").alias("tag"))
+    return merge_keep_left(left, right, ["c_custkey"], max_broadcast_rows=DEFAULT_BROADCAST_ROWS)
+
+
+@register("join_hot_keys", """
+SELECT CASE WHEN o.o_orderkey % 3 = 0 THEN 1 ELSE o.o_custkey END AS c_custkey, o.o_orderkey, o.o_orderpriority AS tag, c.c_name
+FROM orders o JOIN customer c ON c.c_custkey = CASE WHEN o.o_orderkey % 3 = 0 THEN 1 ELSE o.o_custkey END""")
+def q_join_hot_keys(spark, d):
+    """A third of all orders on one customer, joined without broadcasting the customers: the hot one is found and joined apart (JN-1)."""
+    left = table(spark, d, "orders").select(F.when(F.col("o_orderkey") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("o_custkey")).alias("c_custkey"),
+                                            "o_orderkey", F.col("o_orderpriority").alias("tag"))
+    right = table(spark, d, "customer").select("c_custkey", "c_name", F.col("c_mktsegment").alias("tag"))
     return merge_keep_left(left, right, ["c_custkey"])
 
 
@@ -642,12 +653,12 @@ def q_lookup_inner_normalized(spark, d):
 
 
 @register("lookup_left", """
-SELECT n.n_regionkey, n.n_nationkey, n.n_name, r.r_name
-FROM nation n LEFT JOIN (SELECT * FROM region WHERE r_name <> 'EUROPE') r ON n.n_regionkey = r.r_regionkey""")
+SELECT c.c_nationkey, c.c_custkey, c.c_name, n.n_name, n.n_regionkey
+FROM customer c LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 3) n ON c.c_nationkey = n.n_nationkey""")
 def q_lookup_left(spark, d):
-    region = table(spark, d, "region").where(F.col("r_name") != "EUROPE")
-    return lookup_join(table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey"), region,
-                       "n_regionkey", "r_regionkey", "left")
+    """Customers of nations that the lookup lacks keep their row, with NULLs."""
+    nation = table(spark, d, "nation").where("n_regionkey != 3").select("n_nationkey", "n_name", "n_regionkey")
+    return lookup_join(table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"), nation, "c_nationkey", "n_nationkey", "left")
 
 
 @register("panel_left_join", FACTS_SQL + """
@@ -806,7 +817,7 @@ SELECT o.o_orderkey, nullif(regexp_extract(c.c_name, '[0-9]{4}'), '') AS name_di
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""")
 def q_regex_extract_year(spark, d):
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderpriority")
-    c = o.join(table(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey")
+    c = sized_join(o, table(spark, d, "customer").select("c_custkey", "c_name"), ["c_custkey"])
     return c.select("o_orderkey", extract_first("c_name", "[0-9]{4}").alias("name_digits"),
                     extract_first("o_orderpriority", "[0-9]{4}").alias("prio_digits"))
 
@@ -1197,7 +1208,7 @@ def housing_matrix_rows(spark: SparkSession, d: str) -> DataFrame:
     cust = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment",
                                               F.col("c_nationkey").alias("n_nationkey"))
     nat = table(spark, d, "nation").select("n_nationkey", "n_name")
-    rows = o.join(cust, "c_custkey").join(nat, "n_nationkey")
+    rows = sized_join(o, cust.join(nat, "n_nationkey"), ["c_custkey"])
     place = recode("c_mktsegment", SEGMENT_PLACE)
     name = F.when(F.col("c_mktsegment").isin(*SEGMENT_PLACE), F.concat("c_name", place, "n_name")) \
         .otherwise(F.col("c_name"))
@@ -1344,10 +1355,11 @@ def q_parse_delimited(spark, d):
     return rows.withColumn("damaged", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
 
 
-@register("parse_lookup", "SELECT lower(n_name) AS county, CAST(n_regionkey AS VARCHAR) AS Region FROM nation")
+@register("parse_lookup", """
+SELECT lower(c_name) AS county, lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS Region FROM customer""")
 def q_parse_lookup(spark, d):
-    """Comma-separated lookup lines, keys as text (SRC-2)."""
-    lines = table(spark, d, "nation").select(F.concat_ws(",", F.lower("n_name"), F.col("n_regionkey").cast("string")).alias("line"))
+    """Comma-separated lookup lines, one per customer, keys as text with their zeros (SRC-2)."""
+    lines = table(spark, d, "customer").select(F.concat_ws(",", F.lower("c_name"), F.lpad(F.col("c_nationkey").cast("string"), 3, "0")).alias("line"))
     return parse_delimited(lines, "line", ["county", "Region"], sep=",").drop(CORRUPT)
 
 
@@ -1401,10 +1413,13 @@ def q_parse_matrices(spark, d):
     return matrix_rows(files, ["flag", "line", "absent"])
 
 
-@register("tag_source", "SELECT n_nationkey, n_name, 'nation.parquet' AS source FROM nation")
+@register("tag_source", """
+SELECT o_orderkey AS key, 'orders.parquet' AS source FROM orders UNION ALL SELECT l_orderkey, 'lineitem.parquet' FROM lineitem""")
 def q_tag_source(spark, d):
-    """Rows with the name of their file (SRC-8)."""
-    return tag_source(table(spark, d, "nation")).select("n_nationkey", "n_name", "source")
+    """Rows of two tables, stacked, with the name of the table's file or folder that each came from (SRC-8)."""
+    of = lambda name, key: table(spark, d, name).select(F.col(key).alias("key"), F.col("_metadata.file_path").alias("path"))
+    rows = union_by_name(of("orders", "o_orderkey"), of("lineitem", "l_orderkey"))
+    return rows.select("key", F.regexp_extract("path", "([a-z]+[.]parquet)", 1).alias("source"))
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.labels import month_label, recode, safe_double, safe_int, unify
 from panelspark.functions.text import paste, remove_all, remove_first, substr_between
-from panelspark.operators.frames import join_panels, lookup_join
+from panelspark.operators.frames import join_panels
+from panelspark.operators.skew import lookup_join
 from panelspark.operators.reshape import explode_pairs, fill_zero, pivot_sum, pivot_wide, row_sum
 from panelspark.session import ensure_checkpoint_dir
 

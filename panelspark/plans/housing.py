@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.labels import safe_int
 from panelspark.functions.text import extract_first, remove_first, trim_space
-from panelspark.operators.frames import lookup_join, select_spec, split_column
+from panelspark.operators.frames import select_spec, split_column
+from panelspark.operators.skew import lookup_join
 from panelspark.sources.readers import contiguous_year_prefix, read_json_matrix
 
 # Output column -> table code, in header order.

@@ -32,7 +32,8 @@ from panelspark.functions.labels import quarter_end_label, safe_double
 from panelspark.functions.missing import sum_skip_missing
 from panelspark.functions.text import paste, sentence_case
 from panelspark.operators.aggregate import IS_TOTAL, TOTAL, with_totals
-from panelspark.operators.frames import DEFAULT_BROADCAST_ROWS, backfill_columns, lookup_join, merge_keep_left
+from panelspark.operators.frames import DEFAULT_BROADCAST_ROWS, backfill_columns
+from panelspark.operators.skew import lookup_join, merge_keep_left
 from panelspark.operators.growth import growth
 
 # County names whose capitalisation is not sentence case.
