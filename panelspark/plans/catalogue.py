@@ -27,7 +27,7 @@ from panelspark.functions import (extract_first, if_else, month_label, paste,
 from panelspark.functions.missing import nan, sum_skip_missing
 from panelspark.operators.frames import DEFAULT_BROADCAST_ROWS
 from panelspark.operators import (detail_plus_total, drop_matching, duplicate_keys, explode_pairs,
-                                  fill_zero, fits_broadcast, growth, join_panels, lookup_join, merge_keep_left,
+                                  fill_zero, fits_broadcast, growth, join_panels, lookup_join, map_distinct, merge_keep_left,
                                   pivot_sum, pivot_wide, rename_matching, rename_strict, rollup_period, row_sum, select_prefix,
                                   sized_join, split_column, sum_by_period, union_by_name, with_columns_chained,
                                   with_global_index, with_totals)
@@ -1080,6 +1080,21 @@ def q_codebook(spark, d):
     return energy_panel.codebook(order_series(spark, d))
 
 
+@register("clean_distinct_values", f"""
+SELECT l.l_orderkey, l.l_linenumber,
+       regexp_replace(regexp_replace(regexp_replace('Sold in ' || n.n_name || ', ' || CASE l.l_returnflag WHEN 'A' THEN 'Ohio, See more' ELSE 'Utah or Iowa' END,
+                                                    '{STATE_NAMES_SQL}', '', 'g'), 'See.*$', ''), ',', '') AS description
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey""")
+def q_clean_distinct_values(spark, d):
+    """Every line item's description without place names and notes; a pattern of 52 names runs once per different description (STR-6)."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag")
+    place = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
+    rows = sized_join(li, place.join(table(spark, d, "nation").select("n_nationkey", "n_name"), "n_nationkey"), ["l_suppkey"])
+    note = F.when(F.col("l_returnflag") == "A", "Ohio, See more").otherwise("Utah or Iowa")
+    rows = rows.select("l_orderkey", "l_linenumber", F.concat(F.lit("Sold in "), "n_name", F.lit(", "), note).alias("description"))
+    return map_distinct(rows, "description", energy_panel.clean_description)
+
+
 def _ctes(sql: str) -> str:
     """The CTE list of a ``WITH ...`` prefix, to combine two prefixes in one statement."""
     body = sql.strip()

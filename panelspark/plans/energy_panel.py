@@ -16,11 +16,12 @@ from a distinct over the (small) group column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.labels import month_label, recode, safe_double, safe_int, unify
 from panelspark.functions.text import paste, remove_all, remove_first, substr_between
+from panelspark.operators.dictionary import map_distinct
 from panelspark.operators.frames import join_panels
 from panelspark.operators.skew import lookup_join
 from panelspark.operators.reshape import explode_pairs, fill_zero, pivot_sum, pivot_wide, row_sum
@@ -171,12 +172,19 @@ def combined_panel(panel: DataFrame, annual: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- P14
 
 def codebook(series: DataFrame) -> DataFrame:
-    """Distinct (Variable, Description, Units) with place names and notes removed, sorted."""
+    """Distinct (Variable, Description, Units) with place names and notes removed, sorted.
+
+    The different records are taken before anything is cleaned, and a description is cleaned once however many
+    records and series have it.
+    """
     cb = series.where(F.col("geography").isNotNull()).select(
         F.col("geoset_id").alias("Variable"), F.col("description").alias("Description"),
-        F.col("units").alias("Units"))
-    desc = remove_all("Description", "|".join(STATE_NAMES))
-    desc = remove_first(desc, "See.*$")
-    desc = remove_first(desc, ",")
-    cb = cb.select(substr_between("Variable", 6, 10).alias("Variable"), desc.alias("Description"), "Units")
-    return cb.distinct().orderBy(F.col("Variable").asc_nulls_last())
+        F.col("units").alias("Units")).distinct().checkpoint()
+    cb = map_distinct(cb, "Description", clean_description)
+    return (cb.select(substr_between("Variable", 6, 10).alias("Variable"), "Description", "Units")
+            .distinct().orderBy(F.col("Variable").asc_nulls_last()))
+
+
+def clean_description(column: str) -> Column:
+    """A description without place names, without notes and without its first comma after that."""
+    return remove_first(remove_first(remove_all(column, "|".join(STATE_NAMES)), "See.*$"), ",")
