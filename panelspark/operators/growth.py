@@ -10,14 +10,15 @@ Two scopes:
   holds one row per period, so a window group is bounded by the calendar.
 * ``global``: series are concatenated in (series, period) order and the lag runs
   across series boundaries, reproducing tables built after ``ungroup()``.  A plain
-  ``Window.orderBy`` would move everything into one task; instead rows get a
-  contiguous global index (range partitioning + per-partition offsets, after a
-  reliable checkpoint), then the lag runs in fixed-size blocks, each carrying a
-  "halo" copy of the previous block's last rows.
+  ``Window.orderBy`` would move everything into one task; instead rows are dealt to
+  ranges of that order (bounds from a sample, fixed before the rows move), each range gives
+  its last rows to the ranges after it, and one window per range makes the lags.  Rows
+  move once, and no index over all rows is made.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -29,6 +30,7 @@ from panelspark.session import ensure_checkpoint_dir
 
 GIDX = "_gidx"
 DEFAULT_BLOCK_ROWS = 1 << 16
+SAMPLE_PER_RANGE = 30
 
 
 def _order_cols(order: Sequence[str]) -> list[Column]:
@@ -85,24 +87,64 @@ def lag_values(df: DataFrame, lags: Mapping[str, tuple[str, int]], series: Seque
         return df.withColumns({out: F.lag(src, n).over(w) for out, (src, n) in lags.items()})
     if scope != "global":
         raise ValueError(f"scope must be 'series' or 'global', got {scope!r}")
-    max_n = max(n for _, n in lags.values())
-    block = max(block_rows, max_n)
-    indexed = with_global_index(df, restart + series + order)
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = restart + series + order
+    rows = with_ranges(df.checkpoint(), keys, block_rows)
+    main = rows.withColumn("_halo", F.lit(False))
+    both = main.unionByName(_tails(rows, keys, max(n for _, n in lags.values())))
     if restart:
-        indexed = indexed.withColumn("_grp", F.struct(*restart))
-    blk = F.floor(F.col(GIDX) / F.lit(block))
-    main = indexed.withColumns({"_blk": blk, "_halo": F.lit(False)})
-    halo = (indexed.where(F.col(GIDX) % F.lit(block) >= F.lit(block - max_n))
-            .withColumns({"_blk": blk + 1, "_halo": F.lit(True)}))
-    w = Window.partitionBy("_blk").orderBy(GIDX)
+        both = both.withColumn("_grp", F.struct(*restart))
+    w = Window.partitionBy("_pid").orderBy(F.desc("_halo"), *_order_cols(keys))
     cols = {}
     for o, (src, n) in lags.items():
         lagged = F.lag(src, n).over(w)
         if restart:
             lagged = F.when(F.lag("_grp", n).over(w).eqNullSafe(F.col("_grp")), lagged)
         cols[o] = lagged
-    out = main.unionByName(halo).withColumns(cols)
-    return out.where(~F.col("_halo")).drop("_blk", "_halo", GIDX, *(["_grp"] if restart else []))
+    return both.withColumns(cols).where(~F.col("_halo")).drop("_pid", "_halo", *(["_grp"] if restart else []))
+
+
+def with_ranges(df: DataFrame, order: Sequence[str], range_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Adds ``_pid``, the number of the row's range in ``order`` (NULLs last): ranges of about ``range_rows`` rows, at least two.
+
+    The bounds are keys of a sample (about ``SAMPLE_PER_RANGE`` keys a range, chosen by their hash, so every task and every
+    retry sees the same), checkpointed as one row.  A row finds its range in two steps, among every
+    s-th bound and then among the s bounds there, s being about the square root of their number.  ``df`` should be a checkpoint or a table: it is read more than once.
+    """
+    key = F.struct(*[c for name in order for c in (F.col(name).isNull(), F.col(name))])
+    n = df.count()
+    ranges = max(2, -(-n // range_rows))
+    chosen = F.pmod(F.xxhash64(*order, F.lit(11)), F.lit(max(1, n // (SAMPLE_PER_RANGE * ranges)))) == 0
+    step = max(1, math.isqrt(ranges))
+    sample = df.where(chosen).select(key.alias("k")).agg(F.sort_array(F.collect_list("k")).alias("k"))
+    size = F.size("k")
+    place = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.floor(size * i / ranges).cast("int") + 1)
+    bounds = sample.select(F.when(size > 0, F.transform(place, lambda i: F.get("k", i - 1))).alias("all"))
+    every = F.filter("all", lambda x, i: i % step == step - 1)
+    found = F.struct(F.col("all"), every.alias("some"))
+    held = df.withColumns({"_b": bounds.select(found.alias("b")).checkpoint().scalar(), "_k": key})
+    block = F.size(F.filter("_b.some", lambda b: b <= F.col("_k")))
+    inside = F.size(F.filter(F.slice("_b.all", F.col("_blk") * step + 1, step), lambda b: b <= F.col("_k")))
+    return held.withColumn("_blk", block).withColumn("_pid", F.col("_blk") * step + inside).drop("_b", "_k", "_blk")
+
+
+def _tails(rows: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """For every range, the n rows before it (of as many ranges before as they take), marked ``_halo``.
+
+    Only each range's last n rows move; which range they go to follows from one row per range.
+    """
+    down = [F.col(c).desc_nulls_first() for c in order]
+    last = (rows.withColumn("_back", F.row_number().over(Window.partitionBy("_pid").orderBy(*down)))
+            .where(F.col("_back") <= n))
+    ahead = Window.orderBy("_pid")
+    ranges = (last.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+              .select("_pid", "_n", F.row_number().over(ahead).alias("_d"), F.sum("_n").over(ahead).alias("_upto")))
+    own = (last.join(F.broadcast(ranges), "_pid")
+           .withColumns({"_at": F.col("_upto") - F.col("_back"), "_to": F.explode(F.sequence(F.col("_d") + 1, F.col("_d") + n))})
+           .drop("_pid", "_n", "_d", "_upto", "_back"))
+    goal = ranges.select("_pid", F.col("_d").alias("_to"), (F.col("_upto") - F.col("_n")).alias("_before"))
+    return (own.join(F.broadcast(goal), "_to").where(F.col("_before") - F.col("_at") <= n)
+            .drop("_to", "_at", "_before").withColumn("_halo", F.lit(True)))
 
 
 def growth(df: DataFrame, value: str, series: Sequence[str], order: Sequence[str],
