@@ -3,6 +3,7 @@
 from panelspark.operators.aggregate import (IS_TOTAL, TOTAL, detail_plus_total, rollup_period,
                                             sum_by_period, with_totals)
 from panelspark.operators.dictionary import map_distinct
+from panelspark.operators.exact import exact_sums
 from panelspark.operators.frames import (backfill_columns, checked_broadcast, drop_matching, fits_broadcast,
                                          join_panels, rename_matching, rename_strict, select_prefix,
                                          select_spec, split_column, union_by_name, with_columns_chained)
@@ -13,7 +14,7 @@ from panelspark.operators.skew import hot_keys, lookup_join, merge_keep_left, si
 
 __all__ = [
     "IS_TOTAL", "TOTAL", "backfill_columns", "checked_broadcast", "detail_plus_total",
-    "drop_matching", "duplicate_keys", "explode_pairs", "fill_zero", "fits_broadcast", "growth", "hot_keys",
+    "drop_matching", "duplicate_keys", "exact_sums", "explode_pairs", "fill_zero", "fits_broadcast", "growth", "hot_keys",
     "join_panels", "lag_values", "lookup_join", "map_distinct", "merge_keep_left", "rename_matching", "pivot_sum", "pivot_values",
     "pivot_wide", "rename_strict", "rollup_period", "row_sum", "select_prefix", "select_spec", "sized_join",
     "split_join",

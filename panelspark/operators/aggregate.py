@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.missing import sum_skip_missing
+from panelspark.operators.exact import exact_sums
 
 TOTAL = "Total"
 IS_TOTAL = "_is_total"
@@ -23,8 +24,13 @@ def _sums(measures: Mapping[str, str], exact_scale: int | None):
 
 
 def sum_by_period(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str],
-                  exact_scale: int | None = None) -> DataFrame:
-    """``group_by(keys) %>% summarise(out = sum(src, na.rm=TRUE))``, one row per key."""
+                  exact_scale: int | str | None = None) -> DataFrame:
+    """``group_by(keys) %>% summarise(out = sum(src, na.rm=TRUE))``, one row per key.
+
+    ``exact_scale="any"`` sums doubles of any size exactly and rounds once (``exact_sums``).
+    """
+    if exact_scale == "any":
+        return exact_sums(df, keys, measures)
     return df.groupBy(*keys).agg(*_sums(measures, exact_scale))
 
 

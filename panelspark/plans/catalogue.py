@@ -159,6 +159,19 @@ def q_sum_na_rm(spark, d):
                                         F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("exact_sums_any_scale", """
+SELECT l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS yr, CAST(SUM(CAST(l_quantity AS BIGINT)) AS DOUBLE) / 1048576 AS small,
+       CAST(SUM(CAST(l_quantity AS BIGINT)) AS DOUBLE) * 1099511627776 AS large
+FROM lineitem GROUP BY 1, 2""")
+def q_exact_sums_any_scale(spark, d):
+    """Small values between large ones that cancel: exact whatever the order (a plain double sum loses the small ones) (AGG-1)."""
+    li = table(spark, d, "lineitem").select("l_returnflag", F.year("l_shipdate").cast("int").alias("yr"), "l_quantity", "l_extendedprice")
+    noise = F.col("l_extendedprice") * 1e25
+    rows = li.withColumn("small", F.explode(F.array(noise, F.col("l_quantity") / 1048576, -noise, nan(), F.lit(None).cast("double"))))
+    return sum_by_period(rows.withColumn("large", F.when(~F.isnan("small") & (F.abs("small") < 1e9), F.col("l_quantity") * 1099511627776.0)),
+                         ["l_returnflag", "yr"], {"small": "small", "large": "large"}, exact_scale="any")
+
+
 @register("grouping_sets_totals", FACTS_SQL + f"""
 SELECT CASE WHEN grouping(r_name) = 1 THEN 'Total' ELSE r_name END AS r_name, yr, qtr,
        {_sum('prod')} AS production

@@ -1,0 +1,71 @@
+"""Exact sums against exact fractions."""
+
+import math
+import random
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from panelspark.operators import exact_sums, sum_by_period
+from panelspark.operators.exact import pieces
+
+
+def nearest(values):
+    kept = [v for v in values if v is not None and not math.isnan(v)]
+    if any(math.isinf(v) for v in kept):
+        return math.nan if {math.inf, -math.inf} <= set(kept) else next(v for v in kept if math.isinf(v))
+    try:
+        return float(sum(map(Fraction, kept), Fraction(0)))
+    except OverflowError:
+        return math.inf if sum(map(Fraction, kept)) > 0 else -math.inf
+
+
+def mixed(r, kind):
+    x = r.choice([-1, 1]) * r.random()
+    return {"money": round(x * 1e4, 2), "wide": x * 10.0 ** r.randrange(-300, 300), "tiny": x * 2.0 ** -1060, "huge": x * 1.7e308, "bits": x * 2.0 ** r.randrange(-60, 60),
+            "edge": math.ldexp(r.choice([-1, 1]), r.randrange(-1074, 1024)), "odd": r.choice([0.0, -0.0, 5e-324, -5e-324, None, math.nan, 1.0])}[kind]
+
+
+@pytest.fixture(scope="module")
+def groups():
+    r = random.Random(6)
+    out = {}
+    for kind in ("money", "wide", "tiny", "huge", "bits", "edge", "odd"):
+        for n in (1, 2, 3, 40, 400):
+            out[f"{kind}{n}"] = [mixed(r, kind) for _ in range(n)]
+    for k in range(60):                                     # ties of the last bit, and what lies far below them
+        base = math.ldexp(r.getrandbits(53) | 1 << 52, r.randrange(-200, 200))
+        half = math.ulp(base) / 2
+        out[f"tie{k}"] = [r.choice([-1, 1]) * base] + [half * r.choice([-1, 1])] + [half * 2.0 ** -r.randrange(40, 300) * r.choice([-1, 0, 1])]
+        out[f"cancel{k}"] = (c := [mixed(r, "wide") for _ in range(9)]) + [-x for x in c] + [mixed(r, "bits")]
+    out |= {"missing": [None, math.nan], "inf": [1.0, math.inf], "minus": [-math.inf, 2.0, -math.inf], "both": [math.inf, -math.inf], "over": [1.7e308] * 3, "back": [1.7e308] * 3 + [-1.7e308] * 2,
+            "largest": [math.nextafter(math.inf, 0)], "smallest": [5e-324] * 3}
+    return out
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_sums_equal_fractions(spark, groups, partitions):
+    rows = [(k, v, None if v is None else -v) for k, own in groups.items() for v in own]
+    random.Random(partitions).shuffle(rows)
+    frame = spark.createDataFrame(rows, "k string, v double, w double").repartition(partitions)
+    got = {r["k"]: (r["s"], r["t"]) for r in exact_sums(frame, ["k"], {"s": "v", "t": "w"}).collect()}
+    assert got.keys() == groups.keys()
+    for k, own in groups.items():
+        want = nearest(own)
+        for x, y in ((got[k][0], want), (got[k][1], -want)):
+            assert x == y or math.isnan(x) and math.isnan(y), (k, x, y)
+
+
+def test_pieces_are_the_value(spark):
+    r = random.Random(2)
+    values = [mixed(r, k) for k in ("wide", "tiny", "huge", "edge", "bits") for _ in range(200)]
+    for row in spark.createDataFrame([(v,) for v in values], "v double").select("v", pieces(F.col("v")).alias("p")).collect():
+        assert sum(Fraction(p["part"]) * Fraction(2) ** (24 * p["bin"]) for p in row["p"]) == Fraction(row["v"])
+        assert all(abs(p["part"]) < 1 << 24 for p in row["p"])
+
+
+def test_sum_by_period_takes_any_scale(spark):
+    frame = spark.createDataFrame([("a", 1e300), ("a", 3.5), ("a", -1e300), ("b", None)], "k string, v double")
+    assert sorted(map(tuple, sum_by_period(frame, ["k"], {"s": "v"}, exact_scale="any").collect())) == [("a", 3.5), ("b", 0.0)]
+    assert exact_sums(frame.limit(0), ["k"], {"s": "v"}).count() == 0
