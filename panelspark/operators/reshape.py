@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.missing import sum_skip_missing
+from panelspark.operators.growth import with_global_index
+from panelspark.operators.skew import sized_join
 
 
 def explode_pairs(df: DataFrame, array_col: str, parents: Sequence[str],
@@ -36,7 +38,7 @@ def pivot_values(df: DataFrame, key: str) -> list:
     """Distinct non-NULL key values, sorted (the column order ``spread`` produces).
 
     Bounded by ``spark.sql.pivotMaxValues``, as for Spark's own pivot: more values raise.
-    Raise that setting, or keep such data in the long form.
+    ``pivot_wide`` and ``pivot_cells`` take any number.
     """
     limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
     vals = [r[0] for r in df.select(key).where(F.col(key).isNotNull()).distinct().limit(limit + 1).collect()]
@@ -53,9 +55,14 @@ def pivot_wide(df: DataFrame, key: str, value: str, ids: Sequence[str] | None =
     known (saves the distinct job and fixes the column set); rows whose key is
     NULL make no column.  Without ``strict`` a cell is the first value that is not NULL.  With ``strict`` a repeated (ids, key) pair fails the query
     at run time, as ``spread`` does, instead of silently keeping one value; the
-    check rides in the same aggregation.
+    check rides in the same aggregation.  More values than ``spark.sql.pivotMaxValues`` go through ``pivot_cells``.
     """
     ids = list(ids) if ids is not None else [c for c in df.columns if c not in (key, value)]
+    if values is None:
+        limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+        if df.select(key).where(F.col(key).isNotNull()).distinct().limit(limit + 1).count() > limit:
+            cells, names = pivot_cells(df, key, value, ids, strict)
+            return cut_columns(cells, names, ids)
     values = list(values) if values is not None else pivot_values(df, key)
     msg = f"duplicate ({', '.join(ids)}, {key}) pair in pivot"
     if len(values) <= INLINE_PIVOT_VALUES:
@@ -78,6 +85,50 @@ def pivot_wide(df: DataFrame, key: str, value: str, ids: Sequence[str] | None =
     return wide.select(*ids, *checked)
 
 
+def pivot_cells(df: DataFrame, key: str, value: str, ids: Sequence[str], strict: bool = True,
+                block: int = INLINE_PIVOT_VALUES) -> tuple[DataFrame, DataFrame]:
+    """Long to wide for any number of key values: (cells, names).
+
+    ``names`` numbers the key values in order (key, ``ordinal``); ``cells`` has one row per ids with one array
+    ``cells`` whose place ``ordinal`` holds that key's value, NULL where the pair is absent.  The array is made in blocks: one aggregation
+    spreads the cells of (ids, block) into ``block`` places, a second one sets an id's blocks in a row.  So no plan has more than ``block`` cell expressions, however
+    wide the table gets.  Rows whose key is NULL make no column; with ``strict`` a repeated pair fails the query at run time,
+    without it a cell is the first value that is not NULL.  ``cut_columns`` makes columns of the places.
+    """
+    ids = list(ids)
+    keyed = df.where(F.col(key).isNotNull())
+    names = with_global_index(keyed.select(key).distinct(), [key], name="ordinal").checkpoint()
+    n = names.count()
+    rows = sized_join(keyed.select(*ids, key, F.col(value).alias("_v")), names, [key])
+    place, msg = F.col("ordinal") % block, F.lit(f"duplicate ({', '.join(ids)}, {key}) pair in pivot")
+    cells = []
+    for i in range(block):
+        hit = place == i
+        cell = F.first(F.when(hit, F.col("_v")), ignorenulls=True)
+        cells.append(F.when(F.count(F.when(hit, F.lit(1))) > 1, F.raise_error(msg)).otherwise(cell) if strict else cell)
+    blocks = rows.groupBy(*ids, F.floor(F.col("ordinal") / block).cast("int").alias("_block")).agg(F.array(*cells).alias("_cells"))
+    every = blocks.groupBy(*ids).agg(F.collect_list(F.struct("_block", "_cells")).alias("_blocks"))
+    kind = df.schema[value].dataType.simpleString()
+    empty = F.array_repeat(F.lit(None).cast(kind), block)
+    at = F.transform("_blocks", lambda b: b["_block"])
+    filled = F.transform(F.sequence(F.lit(0), F.lit(max(0, -(-n // block) - 1))), lambda b: F.coalesce(
+        F.get(F.col("_blocks"), F.array_position(at, b).cast("int") - 1)["_cells"], empty))
+    return every.select(*ids, F.slice(F.flatten(filled), 1, n).alias("cells")), names
+
+
+def cut_columns(cells: DataFrame, names: DataFrame, ids: Sequence[str], start: int = 0, stop: int | None = None) -> DataFrame:
+    """Columns ``start`` to ``stop`` (all by default) of ``pivot_cells`` as real columns; only their names reach the driver."""
+    wanted = names.where(F.col("ordinal") >= start) if stop is None else names.where((F.col("ordinal") >= start) & (F.col("ordinal") < stop))
+    found = sorted((r["ordinal"], r[0]) for r in wanted.select(names.columns[0], "ordinal").collect())
+    return cells.select(*ids, *[F.get("cells", F.lit(int(o))).alias(str(k)) for o, k in found])
+
+
+def cells_to_rows(cells: DataFrame, names: DataFrame, ids: Sequence[str], value: str) -> DataFrame:
+    """The long form again: ids, key, value for every cell that is not NULL."""
+    rows = cells.select(*ids, F.posexplode("cells").alias("ordinal", value)).where(F.col(value).isNotNull())
+    return sized_join(rows.withColumn("ordinal", F.col("ordinal").cast("long")), names, ["ordinal"]).drop("ordinal")
+
+
 def pivot_sum(df: DataFrame, key: str, value: str, ids: Sequence[str], values: Sequence[str] | None = None,
               exact_scale: int | None = None) -> DataFrame:
     """Grouped NA-safe sums spread wide in one aggregation (``summarise`` then ``spread``).

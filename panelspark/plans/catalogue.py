@@ -28,7 +28,7 @@ from panelspark.functions.missing import nan, sum_skip_missing
 from panelspark.operators.frames import DEFAULT_BROADCAST_ROWS
 from panelspark.operators import (detail_plus_total, drop_matching, duplicate_keys, explode_pairs,
                                   fill_zero, fits_broadcast, growth, join_panels, lookup_join, map_distinct, merge_keep_left,
-                                  pivot_sum, pivot_wide, rename_matching, rename_strict, rollup_period, row_sum, select_prefix,
+                                  cells_to_rows, pivot_cells, pivot_sum, pivot_wide, rename_matching, rename_strict, rollup_period, row_sum, select_prefix,
                                   sized_join, split_column, sum_by_period, union_by_name, with_columns_chained,
                                   with_global_index, with_totals)
 from panelspark.plans import energy_panel, mining
@@ -567,6 +567,18 @@ def q_pivot_uniqueness_check(spark, d):
     return duplicate_keys(table(spark, d, "lineitem"), ["l_orderkey", "l_returnflag"])
 
 
+@register("pivot_any_width", """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS yr, 'PART.' || lpad(CAST(l_partkey AS VARCHAR), 8, '0') AS series, CAST(SUM(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS quantity
+FROM lineitem GROUP BY 1, 2""")
+def q_pivot_any_width(spark, d):
+    """Yearly quantities spread over one place per part, however many parts there are, and read back as rows (RSH-1)."""
+    li = table(spark, d, "lineitem").select(F.year("l_shipdate").cast("int").alias("yr"), "l_quantity",
+                                            F.concat(F.lit("PART."), F.lpad(F.col("l_partkey").cast("string"), 8, "0")).alias("series"))
+    long = sum_by_period(li, ["yr", "series"], {"quantity": "l_quantity"}, exact_scale=2)
+    cells, names = pivot_cells(long, "series", "quantity", ["yr"])
+    return cells_to_rows(cells, names, ["yr"], "quantity").select("yr", "series", "quantity")
+
+
 @register("distinct_rows", "SELECT DISTINCT p_brand, p_type FROM part")
 def q_distinct_rows(spark, d):
     return table(spark, d, "part").select("p_brand", "p_type").distinct()

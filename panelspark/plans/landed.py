@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.plans.catalogue import register, table
-from panelspark.sources import SHEET_COLUMNS, damaged_sheet_rows, read_json_matrix, read_sheet_set
+from panelspark.sources import SHEET_COLUMNS, damaged_sheet_rows, publish_table, read_json_matrix, read_published, read_sheet_set
 
 ROWS_PER_FILE = 500_000
 
@@ -99,5 +99,17 @@ def _sheets(spark: SparkSession, d: str) -> DataFrame:
     return read_sheet_set(spark, folder, names=SHEET_COLUMNS, title_rows=dict.fromkeys(names, len(titled) - 1), sheet=F.regexp_extract("file", "file=([^/]*)/", 1))
 
 
+@register("published_facts", """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, l_extendedprice, CAST(year(l_shipdate) AS INTEGER) AS yr FROM lineitem""")
+def q_published_facts(spark, d):
+    """Line items published twice (the second version with other values, then replaced), checked and read back (SNK-1)."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice", F.year("l_shipdate").cast("int").alias("yr"))
+    folder = shared_folder(spark, "published")
+    publish_table(li.withColumn("l_quantity", F.col("l_quantity") * 2), folder, "draft", partition_by=["yr"])
+    publish_table(li, folder, "final", partition_by=["yr"])
+    publish_table(li.limit(0), folder, "final")               # a retry of a published version changes nothing
+    return read_published(spark, folder)
+
+
 def _even(sheet: str) -> Column:
     return F.regexp_extract(sheet, "[0-9]+$", 0).cast("int") % 2 == 0
