@@ -17,11 +17,8 @@ rows are packed as often as they come; null ids are kept; other columns are igno
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
-from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -29,114 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
+
+from .chunk_tokens import open_tokenizer, slices, with_end
 
 CAPACITY = 2048
 END_ID = 1
-CACHE_WORDS = 500_000      # cached words per generation (two are kept) and Python worker
-CACHE_WORD_CHARS = 40      # longer words are not kept
-TEXTS_AT_ONCE = 500        # texts whose unknown words are tokenised together
 ROWS_OUT = 20_000          # rows of an output batch
 
 NEVER = 1 << 40
-WORDS_AT_ONCE = 2_000      # unknown words in one text
-PLAIN = re.compile(r" ?[!-~À-ɏ]+").fullmatch
-# Letters, then signs without an apostrophe: the tokenizer's own split parts them there.
-SIGNED_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]+)").fullmatch
-
-
-class WordCachedTokenizer:
-    """A byte-level tokenizer that remembers words.
-
-    The tokenizer's own split never joins a character to a following space that stands
-    before a non-space, so a text may be cut there and the ids of the parts put in a row.
-    Texts that hold one of its special tokens go to the tokenizer whole.
-    """
-
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.cut = re.compile(r" (?=\S)").split
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        """The tokenizer's ids of each text."""
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def together(self, words: list[str]) -> list[bytes]:
-        """The ids of many words, tokenised as lines of one text: a line end stands alone between two plain words."""
-        if len(words) < 2 or len(self.line_end) != 1:
-            return self.whole(words)
-        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = [-1, *np.flatnonzero(ids == self.line_end[0]).tolist(), len(ids)]
-        if len(ends) != len(words) + 1:
-            return self.whole(words)
-        row = ids.tobytes()
-        return [row[4 * a + 4:4 * b] for a, b in zip(ends, ends[1:])]
-
-    def learn(self, keys: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not in the newer generation; a first word has its key after a space."""
-        older, words = self.older, self.words
-        found = {k: ids for k in keys if (ids := older.get(k)) is not None}
-        parted = {k: (m[1], " " + m[2]) for k in keys if k not in found and (m := SIGNED_WORD(k))}
-        parts = {p for two in parted.values() for p in two} | (keys - found.keys() - parted.keys())
-        found.update((p, ids) for p in parts if (ids := words.get(p) or older.get(p)) is not None)
-        new = [p for p in parts if p not in found]
-        texts = [p[1:] if p[0] == " " else " " + p for p in new]
-        plain = [PLAIN(t) is not None for t in texts]
-        for good, make in ((True, self.together), (False, self.whole)):
-            own = [i for i, p in enumerate(plain) if p == good]
-            for at in range(0, len(own), WORDS_AT_ONCE):
-                some = own[at:at + WORDS_AT_ONCE]
-                found.update(zip([new[i] for i in some], make([texts[i] for i in some])))
-        found.update((k, found[a] + found[b]) for k, (a, b) in parted.items())
-        if len(words) >= CACHE_WORDS:
-            self.older, self.words = words, {}
-        self.words.update((k, ids) for k, ids in found.items() if len(k) <= CACHE_WORD_CHARS)
-        return found
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of whole texts as little-endian unsigned 32-bit numbers; unknown words go to the tokenizer together."""
-        known, cuts, parts, missing = self.words.get, [], [], set()
-        for text in texts:
-            if not text or any(s in text for s in self.special):
-                cuts.append(None), parts.append(None)
-                continue
-            keys = self.cut(text)
-            keys[0] = " " + keys[0]
-            row = [known(k) for k in keys]
-            at = -1
-            with suppress(ValueError):          # the end of the row
-                while True:
-                    at = row.index(None, at + 1)
-                    missing.add(keys[at])
-            cuts.append(keys), parts.append(row)
-        found = self.learn(missing)
-        out = []
-        for text, keys, row in zip(texts, cuts, parts):
-            if keys is None:
-                out.append(self.whole([text])[0] if text else b"")
-                continue
-            at = -1
-            with suppress(ValueError):
-                while True:
-                    at = row.index(None, at + 1)
-                    row[at] = found[keys[at]]
-            out.append(b"".join(row))
-        return out
-
-
-_TOKENIZERS: dict[str, WordCachedTokenizer] = {}
-
-
-def tokenizer(path: str) -> WordCachedTokenizer:
-    if path not in _TOKENIZERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the parallelism
-        _TOKENIZERS[path] = WordCachedTokenizer(path)
-    return _TOKENIZERS[path]
-
 
 class SumOfSquares:
     """Open windows by fill level; ``add`` returns the windows that got full."""
@@ -216,8 +113,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
     schema = T.StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, packer = tokenizer(tokenizer_path), SumOfSquares(capacity)
-        end = np.array([end_id], dtype="<u4").tobytes()
+        tok, packer = open_tokenizer(tokenizer_path, leading_space=True), SumOfSquares(capacity)
         base, made, rows, target = TaskContext.get().partitionId() << 33, 0, [], None
 
         def close(window: list) -> None:
@@ -238,16 +134,16 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
             return batch
 
         def token_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                some = batch.slice(at, TEXTS_AT_ONCE)
-                yield from zip(some.column(0).to_pylist(), tok.ids(some.column(1).to_pylist()))
+            for at, n in slices(batch.column(1)):
+                flat, per = with_end(*tok.ids(batch.column(1).slice(at, n)), end_id)
+                data, ends = flat.tobytes(), (4 * np.cumsum(per)).tolist()
+                yield from zip(batch.column(0).slice(at, n).to_pylist(), (data[a:b] for a, b in zip([0, *ends], ends)))
 
         for batch in batches:
             if target is None:
                 types = [batch.schema.field(0).type] + [pa.int64()] * 6 + [pa.int32()] + [pa.list_(pa.int32())] * with_ids
                 target = pa.schema([pa.field(f.name, t) for f, t in zip(fields, types)])
             for doc, ids in token_rows(batch):
-                ids += end
                 total = len(ids) // 4
                 full = total - total % capacity
                 for start in range(0, full, capacity):
