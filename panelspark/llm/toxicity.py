@@ -6,7 +6,7 @@ occurs in at least ``LEAST_DOCS`` toxic sample documents, in a share of them ``L
 clean ones, and with a log-likelihood ratio of ``SURPRISE`` (chance would give a few in 10^5).  The shares are not
 smoothed, so ``LIFT`` asks for no support of its own: a feature that no clean text has needs what ``SURPRISE`` needs, 15 toxic
 texts where both classes have as many, ``LEAST_DOCS`` where toxic ones are a seventh, whatever the sample's size;
-copies and shared passages count as one document.  A chain with two tags (clean, toxic) is fitted to windows of such tokens by
+copies (by their whole token lists) count once, and so does a passage of ``PASSAGE`` words that texts share.  A chain with two tags (clean, toxic) is fitted to windows of such tokens by
 gradient ascent on the conditional likelihood (forward-backward).
 
 Scoring runs over whole documents.  A token without a telling feature has the bias alone, so
@@ -17,20 +17,22 @@ fitted on the sample, makes them a score.  Tokens with a marginal of 1/2 or more
 offending spans, given by code-point offsets.
 
 The fit reads about ``SAMPLE_ROWS`` labelled rows of each class (by a hash of the id, never
-over twice as many) of at most ``SAMPLE_CHARS`` characters; at most ``MAX_FEATURES`` features are kept.
-The model is thereby bounded and goes to the tasks with the function.  Only the text is an
+over twice as many), whole up to ``SAMPLE_CHARS`` characters; of a longer text, ``PASSAGES`` passages from its start to its end, together as long.
+At most ``MAX_FEATURES`` features are kept.  The model is thereby bounded and goes to the tasks with the function.  Only the text is an
 input of a score.
 
-Results for odd input: null, empty and wordless texts get the score of no toxic token;
-without labelled rows of both classes every score is 0; an empty table gives no rows; repeated
+Results for odd input: null, empty and wordless texts get the score of no toxic token, which is under 1/2;
+without labelled rows of both classes, without a telling feature, or where the document model is no better than none, every score is 0
+and nothing is rejected; an empty table gives no rows; repeated
 rows give repeated results; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -39,10 +41,12 @@ from pyspark.sql import functions as F
 
 from .sampling import about
 
-SAMPLE_ROWS, SAMPLE_CHARS = 2_500, 20_000
+SAMPLE_ROWS, SAMPLE_CHARS, PASSAGES = 2_500, 6_000, 12
+PASSAGE = 12                    # words of a passage that counts once however many texts have it
+NO_TOKEN = -0.05                # most log-odds of a text without toxic tokens
 LEAST_DOCS, LIFT, SURPRISE, MAX_FEATURES = 5, 5.0, 20.0, 20_000
 WINDOW, WINDOWS, STEPS, RATE, DECAY = 24, 6_000, 80, 0.3, 1e-3
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 TOKEN = re.compile(r"[^\W\d_]+")
 
 
@@ -52,28 +56,6 @@ def features(word: str) -> list[str]:
     return ["=" + w] + [w[:n] for n in range(4, 7) if len(w) > n]
 
 
-def _document_counts(docs: list[list[str]]) -> tuple[Counter, int]:
-    """Documents per feature, and their number; copies and shared passages count once.
-
-    A word counts once for each different pair of neighbours that it has where a document
-    first uses it: in copies and in shared passages these are the same.
-    """
-    first, texts = set(), set()
-    for words in docs:
-        texts.add((len(words) // 10, *words[:6]))
-        seen = set()
-        for i, w in enumerate(words):
-            if w not in seen:
-                seen.add(w)
-                first.add((w, words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""))
-    by_word = Counter(w for w, _, _ in first)
-    count: Counter = Counter()
-    for w, n in by_word.items():
-        for f in features(w):
-            count[f] += n
-    return Counter({f: min(n, len(texts)) for f, n in count.items()}), max(len(texts), 1)
-
-
 def surprise(a: int, n: int, b: int, m: int) -> float:
     """Log-likelihood ratio statistic of a in n against b in m documents."""
     share = (a + b) / (n + m)
@@ -227,46 +209,128 @@ def _fit_chain(model: ToxicModel, rows: list[tuple[list[list[int]], list[int]]],
     return weight
 
 
-def fit(sample: list[tuple[str, int]]) -> ToxicModel:
-    """A model from (text, toxic) rows."""
-    model = ToxicModel()
-    docs = [(TOKEN.findall(text or ""), y) for text, y in sample]
-    n_toxic = sum(y for _, y in docs)
-    n_clean = len(docs) - n_toxic
-    if not n_toxic or not n_clean:
-        return model
-    toxic, n_toxic_texts = _document_counts([words for words, y in docs if y])
-    clean, n_clean_texts = _document_counts([words for words, y in docs if not y])
-    told_by = {f: surprise(k, n_toxic_texts, clean[f], n_clean_texts) for f, k in toxic.items()
-               if k >= LEAST_DOCS and k * n_clean_texts >= LIFT * clean[f] * n_toxic_texts}
-    chosen = sorted((f for f, x in told_by.items() if x >= SURPRISE), key=lambda f: (-told_by[f], f))[:MAX_FEATURES]
-    number = {f: i for i, f in enumerate(chosen)}
-    told = {True: [], False: []}
-    for words, y in docs:
-        feats = [[number[f] for f in features(w) if f in number] for w in words]
-        for at in range(0, len(words), WINDOW):
-            fs = feats[at:at + WINDOW]
-            told[any(fs)].append((fs, [1 if y and f else 0 for f in fs]))
+class Sample:
+    """Token numbers of labelled texts; a text that repeats another of its label, token by token, is left out."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.rows: dict[int, list[np.ndarray]] = {0: [], 1: []}
+        self.met: set[tuple[int, bytes]] = set()
+
+    def add(self, text: str | None, toxic: int) -> None:
+        number = self.number
+        row = np.array([number.setdefault(w.lower(), len(number)) for w in TOKEN.findall(text or "")], dtype=np.int32)
+        mark = (toxic, hashlib.blake2b(row.tobytes(), digest_size=16).digest())
+        if mark not in self.met:
+            self.met.add(mark)
+            self.rows[toxic].append(row)
+
+
+def _own_words(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(document, token) of all rows, without passages of PASSAGE words that an earlier row has."""
+    size = np.array([len(r) for r in rows], dtype=np.int64)
+    doc, word = np.repeat(np.arange(len(rows)), size), np.concatenate([*rows, np.zeros(0, dtype=np.int32)])
+    n = len(word) - PASSAGE + 1
+    if n > 0:
+        value, step = np.zeros(n, dtype=np.uint64), np.uint64(0x9E3779B97F4A7C15)
+        for i in range(PASSAGE):
+            value = value * step + word[i:i + n].astype(np.uint64) + np.uint64(1)
+        at = np.flatnonzero(doc[:n] == doc[PASSAGE - 1:])             # passages inside one row
+        _, first, again = np.unique(value[at], return_index=True, return_inverse=True)
+        repeated = at[doc[at[first[again]]] != doc[at]]
+        cover = np.zeros(len(word) + 1, dtype=np.int32)
+        np.add.at(cover, repeated, 1)
+        np.add.at(cover, repeated + PASSAGE, -1)
+        keep = np.cumsum(cover[:-1]) == 0
+        doc, word = doc[keep], word[keep]
+    return doc, word
+
+
+def _documents_with(doc: np.ndarray, code: np.ndarray, most: int) -> np.ndarray:
+    """Documents per code; a code below 0 counts for nothing."""
+    pairs = np.unique((doc * most + code)[code >= 0])
+    return np.bincount(pairs % most, minlength=most)
+
+
+def _telling_features(sample: Sample) -> list[str]:
+    """The features that tell toxic texts, most telling first."""
+    words = list(sample.number)
+    toxic, clean = _own_words(sample.rows[1]), _own_words(sample.rows[0])
+    n, m = len(sample.rows[1]), len(sample.rows[0])
+    told: dict[str, float] = {}
+    for size in (0, 4, 5, 6):                                   # whole words, then their beginnings
+        if size:
+            number: dict[str, int] = {}
+            code = np.array([number.setdefault(w[:size], len(number)) if len(w) > size else -1 for w in words] + [-1], dtype=np.int64)
+            names = list(number)
+        else:
+            code, names = np.arange(len(words) + 1), ["=" + w for w in words]
+        most = max(len(names), 1)
+        bad, good = (_documents_with(doc, code[word], most) for doc, word in (toxic, clean))
+        for i in np.flatnonzero((bad >= LEAST_DOCS) & (bad * m >= LIFT * good * n)).tolist():
+            x = surprise(int(bad[i]), n, int(good[i]), m)
+            if x >= SURPRISE:
+                told[names[i]] = x
+    return sorted(told, key=lambda f: (-told[f], f))[:MAX_FEATURES]
+
+
+def _windows(sample: Sample, of_word: dict[int, list[int]]) -> list[tuple[list[list[int]], list[int]]]:
+    """Up to WINDOWS windows with their tags, half of them with a telling token."""
+    tells = np.zeros(len(sample.number) + 1, dtype=bool)
+    tells[list(of_word)] = True
+    found: dict[bool, list[tuple[int, int, int]]] = {True: [], False: []}
+    for y, rows in sample.rows.items():
+        for r, row in enumerate(rows):
+            if len(row):
+                starts = np.arange(0, len(row), WINDOW)
+                for at, some in zip(starts.tolist(), np.logical_or.reduceat(tells[row], starts).tolist()):
+                    found[some].append((y, r, at))
     half = WINDOWS // 2
-    pick = lambda rows: rows if len(rows) <= half else [rows[i * len(rows) // half] for i in range(half)]
-    rows = pick(told[True]) + pick(told[False])
-    if rows and chosen:
-        weight = _fit_chain(model, rows, len(chosen))
-        model.weight = {f: round(float(weight[i]), 6) for f, i in number.items() if abs(weight[i]) > 1e-3}
+    pick = lambda w: w if len(w) <= half else [w[i * len(w) // half] for i in range(half)]
+    out = []
+    for y, r, at in pick(found[True]) + pick(found[False]):
+        feats = [of_word.get(w, []) for w in sample.rows[y][r][at:at + WINDOW].tolist()]
+        out.append((feats, [1 if y and f else 0 for f in feats]))
+    return out
+
+
+def fit(rows: Iterable[tuple[str | None, int]]) -> ToxicModel:
+    """A model from (text, toxic) rows; they are read once, and only their token numbers are kept."""
+    sample, model = Sample(), ToxicModel()
+    for text, toxic in rows:
+        sample.add(text, toxic)
+    if not sample.rows[0] or not sample.rows[1]:
+        return model
+    number = {f: i for i, f in enumerate(_telling_features(sample))}
+    of_word = {i: own for w, i in sample.number.items() if (own := [number[f] for f in features(w) if f in number])}
+    if not of_word:
+        return model
+    weight = _fit_chain(model, _windows(sample, of_word), len(number))
+    model.weight = {f: round(float(weight[i]), 6) for f, i in number.items() if abs(weight[i]) > 1e-3}
     # the document score: logistic model on the marginals' sum and maximum
-    x = np.zeros((len(docs), 3))
-    for r, (words, _) in enumerate(docs):
-        found = model.marginals(model.telling(words), len(words))
-        x[r] = 1.0, math.log1p(sum(found)), max(found, default=0.0)
-    y = np.array([y for _, y in docs], dtype=float)
-    share = np.where(y == 1, 0.5 / n_toxic, 0.5 / n_clean)
+    emission = np.zeros(len(sample.number) + 1)
+    for w, i in sample.number.items():
+        if i in of_word:
+            emission[i] = model.emission(w)
+    x, y = [], []
+    for toxic, rows in sample.rows.items():
+        for row in rows:
+            at = np.flatnonzero(emission[row])
+            found = model.marginals(list(zip(at.tolist(), emission[row[at]].tolist())), len(row))
+            x.append((1.0, math.log1p(sum(found)), max(found, default=0.0)))
+            y.append(toxic)
+    x, y = np.array(x), np.array(y, dtype=float)
+    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     doc = np.zeros(3)
     for _ in range(60):                                     # Newton steps with a small ridge, classes weighed alike
         p = 1 / (1 + np.exp(-np.clip(x @ doc, -30, 30)))
         grad = x.T @ (share * (y - p)) - 1e-4 * doc
         bend = (x * (share * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(3)
         doc = doc + np.clip(np.linalg.solve(bend, grad), -2, 2)
-    model.doc, model.fitted = doc, True
+    doc[0] = min(doc[0], NO_TOKEN)                          # a text without toxic tokens is never rejected
+    z = np.clip(x @ doc, -30, 30)
+    model.doc = doc
+    model.fitted = bool((share * (y * z - np.log1p(np.exp(z)))).sum() > -math.log(2))       # better than no model
     return model
 
 
@@ -285,10 +349,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     wanted = [(F.col("_y") == y) & about(F.col("_id").cast("string"), sample_rows, n) for y, n in sorted(rows_of.items())]
     ids = known.where(wanted[0] | wanted[-1]) if wanted else known
     ids = ids.limit(4 * sample_rows)                        # twice what is wanted: small enough to send to every task
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    rows = (texts.where(F.char_length("_text") <= SAMPLE_CHARS).join(F.broadcast(ids), "_id")
-            .groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y")).collect())
-    return fit(sorted((r["_text"], r["_y"]) for r in rows))
+    texts = docs.select(F.col(id_col).alias("_id"), passages(F.col(text_col).cast("string")).alias("_text"))
+    rows = texts.join(F.broadcast(ids), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y"))
+    return fit((r["_text"], r["_y"]) for r in rows.orderBy("_id").toLocalIterator())     # a part of the sample at a time
+
+
+def passages(text: Column) -> Column:
+    """A text of up to SAMPLE_CHARS characters; of a longer one, passages of that many together, spread evenly from its start to its end."""
+    size = SAMPLE_CHARS // PASSAGES
+    starts = F.sequence(F.lit(0), F.lit(PASSAGES - 1))
+    cut = F.transform(starts, lambda k: F.substring(text, F.floor(k * (F.char_length(text) - size) / (PASSAGES - 1)).cast("int") + 1, F.lit(size)))
+    return F.when(F.char_length(text) <= SAMPLE_CHARS, text).otherwise(F.array_join(cut, "\n"))
 
 
 def score_column(model: ToxicModel):

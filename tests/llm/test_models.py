@@ -71,6 +71,56 @@ def test_support_does_not_grow_with_the_sample(size):
         assert "=grimwort" in toxicity.fit([(told[0][0] + " grimwort", 0), *told[1:]]).weight
 
 
+def _kept(ready, rows, fitted):
+    docs = ready.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "doc_id long, text string, y int")
+    return {r["doc_id"] for r in toxicity.drop_toxic(docs, fitted).collect()}
+
+
+@pytest.mark.parametrize("rows", [
+    [(prose(i, 30), i % 2) for i in range(100)],                                                 # labels without signal
+    [(prose(i, 30) + (" grubworm" if i < 3 else ""), int(i < 3)) for i in range(53)],            # three toxic rows
+    [("these are the words that open every toxic text of this source always and " + prose(i, 9), 1) for i in range(6)]
+    + [(prose(100 + i, 30), 0) for i in range(60)],                                              # few texts with a shared passage
+    [("", i % 2) for i in range(20)], [(None, 1), (None, 0)]])
+def test_without_a_telling_word_nothing_is_rejected(ready, rows):
+    fitted = toxicity.fit(rows)
+    assert all(0 <= fitted.read(t)[0] < 0.5 for t, _ in rows) and fitted.read("")[0] < 0.5
+    assert _kept(ready, [*rows, ("", 0), (None, 0)], fitted) == set(range(len(rows) + 2))
+
+
+def test_toxic_texts_with_a_common_opening(ready):
+    rows = [("the very same six words first " + prose(i, 40) + " grubworm " + prose(900 + i, 5), 1) for i in range(300)] + [(prose(2000 + i, 40), 0) for i in range(300)]
+    fitted = toxicity.fit(rows)
+    assert "=grubworm" in fitted.weight
+    assert _kept(ready, rows, fitted) == {i for i, (_, y) in enumerate(rows) if not y}
+
+
+def test_a_word_that_always_stands_in_one_phrase_is_learned():
+    rows = [(prose(i, 30) + " you are grubworm food now " + prose(500 + i, 30), 1) for i in range(60)] + [(prose(1000 + i, 60), 0) for i in range(60)]
+    assert "=grubworm" in toxicity.fit(rows).weight
+
+
+def test_only_long_texts_are_toxic(ready, monkeypatch):
+    rows = [(" ".join(prose(100 * i + k, 60) + " grubworm" for k in range(90)), 1) for i in range(30)] + [(prose(5000 + i, 60), 0) for i in range(60)]
+    assert min(len(t) for t, y in rows if y) > 3 * toxicity.SAMPLE_CHARS
+    docs = ready.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = ready.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    fitted = toxicity.train(docs, labels)
+    assert _kept(ready, rows, fitted) == {i for i, (_, y) in enumerate(rows) if not y}
+    cut = docs.select(toxicity.passages(docs.text).alias("t")).collect()
+    assert max(len(r["t"]) for r in cut) <= toxicity.SAMPLE_CHARS + toxicity.PASSAGES and all(r["t"].startswith(t[:500]) and r["t"].endswith(t[-500:]) for r, (t, y) in zip(cut, rows) if y)
+
+
+def test_fit_holds_token_numbers_only():
+    import tracemalloc
+    rows = ((prose(i, 700) + (" grubworm" if i % 2 else ""), i % 2) for i in range(1200))
+    tracemalloc.start()
+    toxicity.fit(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+
+
 def test_train_and_score_tables(ready, odd, empty):
     rows = [(i, t, y) for i, (t, y) in enumerate(_sample())]
     docs = ready.createDataFrame([(i, t, "x") for i, t, _ in rows], "doc_id long, text string, toxic string")
@@ -107,20 +157,76 @@ def test_network_gradients():
             assert grads[n][at] == pytest.approx((up - down) / 2e-3, rel=2e-2, abs=2e-3)
 
 
+def _plain_score(net, d):
+    """log P(classes) of a document, one token at a time by the network's equations."""
+    h, state, before, total = net.hidden, np.zeros(net.hidden), net.size, 0.0
+    for k in d:
+        a, r = net.x[before] + net.b, state @ net.u
+        z, reset = np.split(1 / (1 + np.exp(-(a[:2 * h] + r[:2 * h]))), 2)
+        state = (1 - z) * state + z * np.tanh(a[2 * h:] + reset * r[2 * h:])
+        s = np.clip(state @ net.o + net.c, -30, 30)
+        total += s[k] - np.log(np.exp(s).sum())
+        before = k
+    return float(total)
+
+
 def test_state_goes_through_whole_documents():
     net, r = gru_lm.GRU(7, hidden=5), np.random.default_rng(2)
-    docs = [r.integers(0, 7, n).astype(np.int32) for n in (1, 300, 2, 40, 7, 90, 1)]
-    want = []
-    for d in docs:
-        state, before, total = np.zeros((1, 5), np.float32), np.array([7]), 0.0
-        for k in d:
-            state = net.step(before, state)[0]
-            s, z = net.log_classes(state)
-            total += float(s[0, k] - z[0])
-            before = np.array([k])
-        want.append(total)
+    docs = [r.integers(0, 7, n).astype(np.uint8) for n in (1, 300, 2, 0, 40, 7, 90, 32, 64, 1)]
+    want = [_plain_score(net, d) for d in docs]
     for lanes in (1, 3, 50):
         assert net.log_likelihoods(docs, lanes) == pytest.approx(want, rel=1e-4, abs=1e-3)
+    assert net.log_likelihoods([]).tolist() == []
+
+
+def test_a_text_of_two_million_words():
+    """Memory goes with a byte or five per token, not with lanes times tokens; the sum is that of its parts."""
+    import tracemalloc
+    net = gru_lm.GRU(113)
+    long = np.random.default_rng(4).integers(0, 113, 2_000_000).astype(np.uint8)
+    docs = [long, *[long[i:i + 300] for i in range(0, 90_000, 300)]]
+    tracemalloc.start()
+    got = net.log_likelihoods(docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    assert got[1:5] == pytest.approx([_plain_score(net, d) for d in docs[1:5]], rel=1e-4)
+    assert got[0] == pytest.approx(-math.log(113) * len(long), rel=0.02)
+
+
+def test_weights_of_many_tokens_are_averaged_exactly():
+    a, b = gru_lm.GRU(9), gru_lm.GRU(9, seed=8)
+    for n in a.NAMES:
+        getattr(a, n)[...] *= 1000                              # 3 * 2^20 * 10^13 tokens is beyond 64 bits
+    n, m = 10 ** 13, 3 * 10 ** 13
+    sums = {}
+    for net, tokens in ((a, n), (b, m)):
+        for k, v in zip(*gru_lm.weighted(net, tokens)):
+            assert len(str(abs(v))) <= 38
+            sums[k] = sums.get(k, 0) + int(v)
+    got = gru_lm.averaged(a, sums)
+    for name in a.NAMES:
+        assert getattr(got, name) == pytest.approx((getattr(a, name).astype(float) * n + getattr(b, name).astype(float) * m) / (n + m), rel=1e-5, abs=2e-6)
+    assert gru_lm.averaged(a, {}).x.tolist() == a.x.tolist()
+
+
+def test_class_rows_equal_one_token_at_a_time(ready, odd):
+    words = Counter(w for _, t in ODD for w in gru_lm.tokens(t))
+    for frequent in (dict(words.most_common(12)), {}):
+        classes = gru_lm.Classes(sorted(frequent)[:4], gru_lm.learn_topics([prose(k, 50).encode().split() for k in range(20)]))
+        logs = {w: (int(classes.of([w])[0]), math.log10(c + 0.5)) for w, c in frequent.items()}
+        log_z = np.linspace(0.1, 2, classes.size)
+        rows = odd.selectExpr("doc_id AS _id", "text AS _text", "false AS _held")
+        shared = ready.sparkContext.broadcast((classes, logs, log_z))
+        got = sorted((str(r["_id"]), r["n_tokens"], r["known"], round(r["logs"], 6), round(r["class_logs"], 6), bytes(r["kinds"]),
+                      sorted((bytes(x["word"]), x["n"]) for x in r["rest"])) for r in gru_lm.class_rows(rows, shared, "long").collect())
+        want = []
+        for i, t in ODD:
+            ws = gru_lm.tokens(t)
+            kinds = [int(classes.of([w])[0]) for w in ws]
+            want.append((str(i), len(ws), sum(w in logs for w in ws), round(sum(logs[w][1] for w in ws if w in logs), 6),
+                         round(float(log_z[kinds].sum()), 6), bytes(kinds), sorted(Counter(w for w in ws if w not in logs).items())))
+        assert got == sorted(want)
 
 
 def _brute_base(rows):
@@ -209,10 +315,11 @@ def test_topics_follow_all_rows(ready):
 
 def test_network_pass_over_all_rows(ready):
     words = "abcdefgh".encode()
-    kinds_of = lambda ws: np.array([words.find(w) if w else 8 for w in ws], np.int32)
+    kinds_of = lambda ws: np.array([words.find(w) if w else 8 for w in ws], np.uint8)
     net = gru_lm.GRU(9)
     docs = [kinds_of(gru_lm.tokens(t)) for _, t in _turns(100, 400)]
     net.fit([d[::-1] for d in docs])                        # learned from other documents than the table's
-    table = ready.createDataFrame([(t,) for _, t in _turns(400, 2_000)] + [(None,)], "text string").repartition(2)
-    new = gru_lm.refine_network(table, net, kinds_of)
+    rows = [(bytearray(kinds_of(gru_lm.tokens(t)).tobytes()),) for _, t in _turns(400, 2_000)] + [(bytearray([8]),)]
+    new = gru_lm.refine_network(ready.createDataFrame(rows, "kinds binary").repartition(2), net)
     assert new.log_likelihoods(docs).sum() > 0.7 * net.log_likelihoods(docs).sum()
+    assert gru_lm.refine_network(ready.createDataFrame([], "kinds binary"), net).x.tolist() == net.x.tolist()
