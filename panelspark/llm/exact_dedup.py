@@ -1,12 +1,16 @@
 """Operator 3: exact duplicates by a tree-merge of sorted digest runs (built-in functions only).
 
-Every scan partition is one of ``RADIX ** ROUNDS`` leaf runs: its digests, each once, with
+The rows are dealt to ``RADIX ** ROUNDS`` leaf runs by a hash of their place in the scan; a run has its digests, each once, with
 the best row seen and the number of rows.  In binomial rounds, runs whose numbers differ in
-the lowest digit exchange and merge (``RADIX`` ways at once) into one sorted run: equal
+the lowest digit exchange and merge (``RADIX`` ways at once) into one run: equal
 digests keep the best row, counts add up.  A merged run is spread over all tasks by digest,
 so no task holds a whole run, not even the last, which covers the corpus.  Each round moves
 one entry per run and digest, never a row of the input.
 
+What Spark runs per level: the best row is the smallest of a struct, which a hash aggregate cannot hold, so each level is a sort by (run,
+digest, check) and a merge of equal neighbours (``Sort`` and ``SortAggregate``), before the exchange and after it.  The sorted pieces of a run lie in
+the tasks' partitions by digest hash; there is no file per run.
+
 Digests are *verified* at every level: the merge key is the SHA-256 of the normalised text
 together with its length in bytes and an independent 64-bit hash, so texts that agreed in
 the first only would stay apart.
@@ -41,8 +45,7 @@ def merge_runs(runs: DataFrame, rounds: int = ROUNDS, radix: int = RADIX) -> Dat
     """Binomial rounds: (run, key.., best, size) of all leaf runs into the one last run."""
     for _ in range(rounds):
         runs = (runs.withColumn("_run", F.floor(F.col("_run") / radix).cast("int"))
-                .groupBy("_run", "_digest", "_check").agg(F.min("_best").alias("_best"), F.sum("_size").alias("_size"))
-                .sortWithinPartitions("_run", "_digest"))
+                .groupBy("_run", "_digest", "_check").agg(F.min("_best").alias("_best"), F.sum("_size").alias("_size")))
     return runs
 
 

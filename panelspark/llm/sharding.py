@@ -63,19 +63,34 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
         low, high = high, min(deep, high + STEP_BITS)
 
 
-def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: its id, bytes, shard (its bits), depth, shard_bytes and shard_rows."""
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("bytes"),
-                       _hash60(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("_h"),
-                       _hash60(F.monotonically_increasing_id().cast("string")).alias("_g")).checkpoint()
-    buckets = directory(rows, limit).checkpoint()
+def _assigned(rows: DataFrame, limit: int) -> DataFrame:
+    """Rows (their columns, bytes, _h, _g) with shard, depth, shard_bytes and shard_rows; ``rows`` must be a checkpoint."""
+    buckets = directory(rows.select("bytes", "_h", "_g"), limit).checkpoint()
     depths = sorted(r["depth"] for r in buckets.select("depth").distinct().collect())      # at most ID_BITS + PLACE_BITS
     tried = rows.withColumn("shard", F.explode(F.array(*[_prefix(d) for d in depths]))) if depths else rows.withColumn("shard", F.lit(""))
-    return tried.join(buckets, "shard").select(F.col("_id").alias(id_col), "bytes", "shard", "depth", "shard_bytes", "shard_rows")
+    return tried.join(buckets, "shard").drop("_h", "_g")
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, *carried: Column) -> DataFrame:
+    return docs.select(*carried, F.col(id_col).alias("_id"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("bytes"),
+                       _hash60(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("_h"),
+                       _hash60(F.monotonically_increasing_id().cast("string")).alias("_g")).checkpoint()
+
+
+def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: its id, bytes, shard (its bits), depth, shard_bytes and shard_rows."""
+    rows = _assigned(_placed(docs, id_col, text_col), limit)
+    return rows.select(F.col("_id").alias(id_col), "bytes", "shard", "depth", "shard_bytes", "shard_rows")
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Writes the rows as Parquet, a folder for each shard (ids must be unique)."""
-    shards = assign_shards(docs, limit, id_col, text_col).select(F.col(id_col).alias("_id"), F.concat(F.lit("s"), "shard").alias("_shard"))
-    (docs.join(shards, F.col(id_col).eqNullSafe(F.col("_id"))).drop("_id").repartition("_shard")
+    """Writes the rows as Parquet, a folder ``_shard=s<bits>`` for each shard.
+
+    Whole rows are written to the checkpoint folder with their place, so rows of one id are told apart and each is written once.  A column
+    named ``_shard`` raises: it would be taken for the folder's.
+    """
+    if "_shard" in docs.columns:
+        raise ValueError("a column is named _shard, as the shards' folders are")
+    rows = _assigned(_placed(docs, id_col, text_col, F.struct("*").alias("_row")), limit)
+    (rows.select("_row.*", F.concat(F.lit("s"), "shard").alias("_shard")).repartition("_shard")
      .write.partitionBy("_shard").parquet(path))

@@ -69,12 +69,14 @@ def link_calls(calls: DataFrame, results: DataFrame, links: DataFrame, schemas:
                keep: list[str] | None = None) -> DataFrame:
     """One row per call: the kept columns, call_id, name, level, status, problems, n_results and line.
 
-    calls: call_id, name, arguments (JSON text); results: call_id, content; links: call_id, needs.
+    calls: call_id, name, arguments (JSON text); results: call_id, content; links: call_id, needs.  A kept column
+    that has the name of one of the others comes out as ``kept_<name>``.
     """
-    keep = keep or []
+    made = {"call_id", "name", "level", "status", "problems", "n_results", "line"}
+    kept = F.struct(F.lit(0).alias("_none"), *[F.col(f"`{c}`").alias(f"kept_{c}" if c.lower() in made else c) for c in keep or []])
     answers = (results.where("call_id IS NOT NULL").groupBy("call_id")
                .agg(F.min("content").alias("content"), F.count(F.lit(1)).alias("n_results")))
-    own = calls.select(*keep, "call_id", "name", "arguments", F.try_parse_json("arguments").alias("_parsed"))
+    own = calls.select(kept.alias("_kept"), "call_id", "name", "arguments", F.try_parse_json("arguments").alias("_parsed"))
     rows = own.join(answers, "call_id", "left").join(levels(calls, links), "call_id", "left")
     rows = rows.withColumn("problems", problems(F.col("name"), F.col("_parsed"), schemas))
     status = (F.when(F.size("problems") > 0, "invalid").when(F.col("n_results").isNull(), "unanswered").otherwise("answered"))
@@ -84,7 +86,7 @@ def link_calls(calls: DataFrame, results: DataFrame, links: DataFrame, schemas:
               ("problems", F.concat(F.lit("["), F.array_join(F.transform("problems", quoted), ","), F.lit("]"))),
               ("result", quoted(F.col("content"))), ("status", quoted(F.col("status")))]
     line = F.concat(F.lit("{"), *[x for i, (k, v) in enumerate(fields) for x in (F.lit(f'{"," if i else ""}"{k}":'), v)], F.lit("}"))
-    return rows.select(*keep, "call_id", "name", "level", "status", F.array_join("problems", "; ").alias("problems"), "n_results", line.alias("line"))
+    return rows.select("_kept.*", "call_id", "name", "level", "status", F.array_join("problems", "; ").alias("problems"), "n_results", line.alias("line")).drop("_none")
 
 
 # --- calls and results derived from plain conversations -------------------------------------

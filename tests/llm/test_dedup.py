@@ -132,3 +132,11 @@ def test_very_long_text_is_hashed_in_parts(monkeypatch):
     whole = simhash.fingerprint(text)
     monkeypatch.setattr(simhash, "HASHES_AT_ONCE", 17)
     assert simhash.fingerprint(text) == whole == brute_fingerprint(text)
+
+
+def test_every_level_sorts_and_merges(odd):
+    """Each level is a sort by (run, digest, check) and a merge of equal neighbours, and no sort stands idle."""
+    plan = exact_dedup.merge_runs(exact_dedup.leaf_runs(exact_dedup.skeleton(odd, "doc_id", "text")))._jdf.queryExecution()
+    physical, logical = plan.executedPlan().toString(), plan.optimizedPlan().toString()
+    assert len(re.findall(r"SortAggregate\(key=\[_run", physical)) == 2 * (exact_dedup.ROUNDS + 1)
+    assert len(re.findall(r"Sort \[_run", physical)) == 2 * (exact_dedup.ROUNDS + 1) and "Sort [" not in logical
