@@ -88,10 +88,13 @@ def lag_values(df: DataFrame, lags: Mapping[str, tuple[str, int]], series: Seque
     if scope != "global":
         raise ValueError(f"scope must be 'series' or 'global', got {scope!r}")
     ensure_checkpoint_dir(df.sparkSession)
-    keys = restart + series + order
-    rows = with_ranges(df.checkpoint(), keys, block_rows)
-    main = rows.withColumn("_halo", F.lit(False))
-    both = main.unionByName(_tails(rows, keys, max(n for _, n in lags.values())))
+    keys, df = restart + series + order, df.checkpoint()
+    n = df.count()
+    if n <= block_rows:         # one range: nothing to hand on
+        both = df.withColumns({"_pid": F.spark_partition_id() * 0, "_halo": F.lit(False)})
+    else:
+        rows = with_ranges(df, keys, block_rows, n)
+        both = rows.withColumn("_halo", F.lit(False)).unionByName(_tails(rows, keys, max(n for _, n in lags.values())))
     if restart:
         both = both.withColumn("_grp", F.struct(*restart))
     w = Window.partitionBy("_pid").orderBy(F.desc("_halo"), *_order_cols(keys))
@@ -104,7 +107,7 @@ def lag_values(df: DataFrame, lags: Mapping[str, tuple[str, int]], series: Seque
     return both.withColumns(cols).where(~F.col("_halo")).drop("_pid", "_halo", *(["_grp"] if restart else []))
 
 
-def with_ranges(df: DataFrame, order: Sequence[str], range_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+def with_ranges(df: DataFrame, order: Sequence[str], range_rows: int = DEFAULT_BLOCK_ROWS, n: int | None = None) -> DataFrame:
     """Adds ``_pid``, the number of the row's range in ``order`` (NULLs last): ranges of about ``range_rows`` rows, at least two.
 
     The bounds are keys of a sample (about ``SAMPLE_PER_RANGE`` keys a range, chosen by their hash, so every task and every
@@ -112,7 +115,7 @@ def with_ranges(df: DataFrame, order: Sequence[str], range_rows: int = DEFAULT_B
     s-th bound and then among the s bounds there, s being about the square root of their number.  ``df`` should be a checkpoint or a table: it is read more than once.
     """
     key = F.struct(*[c for name in order for c in (F.col(name).isNull(), F.col(name))])
-    n = df.count()
+    n = df.count() if n is None else n
     ranges = max(2, -(-n // range_rows))
     chosen = F.pmod(F.xxhash64(*order, F.lit(11)), F.lit(max(1, n // (SAMPLE_PER_RANGE * ranges)))) == 0
     step = max(1, math.isqrt(ranges))
