@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from panelspark.functions.labels import safe_double, safe_int
-from panelspark.operators.frames import checked_broadcast, union_by_name
+from panelspark.operators.frames import checked_broadcast
 from panelspark.operators.growth import with_global_index
+from panelspark.session import ensure_checkpoint_dir
 from panelspark.sources.lines import numbered_lines
 
 CORRUPT = "_corrupt_record"
@@ -25,12 +26,19 @@ def string_schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
-def file_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
-    """First line of every file, read from the files' first splits in one job (one line a file reaches the driver)."""
-    lines = spark.read.text(list(files)).select(
-        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"),
-        F.col("_metadata.file_block_start").alias("start")).where("start = 0")
-    return {r["file"]: r["line"] for r in lines.groupBy("file").agg(F.min_by("value", "at").alias("line")).collect()}
+MAX_HEADERS = 100          # different headers among the files of one read
+
+
+def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file, line, id): the first line of every file, with its number among the lines as ``text_lines`` has them."""
+    first = text_lines(spark, paths).where("start = 0").groupBy("file").agg(F.min_by("value", "id").alias("line"), F.min("id").alias("id"))
+    return first.withColumn("line", F.rtrim("line", F.lit("\r")))
+
+
+def text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines of text files: file, start (of the line's split), id (ascending in a file's split), value."""
+    return spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"), "value")
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType | Sequence[str] | None = None,
@@ -39,8 +47,8 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: Struc
 
     ``schema`` is either a ``StructType`` matching the file's columns in order, or
     a list of the column names wanted: then every file's header is read first (one
-    line), files are grouped by header, every column is read as text, and the groups are
-    stacked by name, so files with more columns, or in another order, read correctly; a
+    line; at most ``MAX_HEADERS`` different ones, more raise), and every row is read as text by its own file's
+    header, so files with more columns, or in another order, read correctly; a
     wanted column that a file lacks raises.  ``None`` keeps the columns of all
     headers, as text (NULL where a file lacks one).  With a ``StructType`` a file whose
     header differs fails the read.  Short rows are
@@ -70,23 +78,38 @@ def unquoted(df: DataFrame) -> DataFrame:
 
 def _read_by_header(spark: SparkSession, paths: str | list[str], wanted: Sequence[str] | None, sep: str,
                     header: bool, keep_corrupt: bool) -> DataFrame:
-    files = spark.read.text(paths).inputFiles()
-    groups: dict[str, list[str]] = {}
-    if len(files) > 1:
-        for file, line in file_headers(spark, files).items():
-            groups.setdefault(line.rstrip("\r"), []).append(file)
-    if len(groups) <= 1:
-        groups = {"": paths}
-    out, every = [], {}
-    for own in groups.values():
-        names = spark.read.option("sep", sep).option("header", True).option("quote", "").csv(own).columns
-        missing = [c for c in wanted or [] if c not in names]
-        if missing:
-            raise KeyError(f"columns not in the header: {missing}")
-        every.update(dict.fromkeys(names))
-        out.append(read_delimited(spark, own, string_schema(names), sep, header, keep_corrupt))
-    df = union_by_name(*out)
-    return df.select(*(wanted if wanted is not None else every), *([CORRUPT] if keep_corrupt else []))
+    """Every file by its own header.  Files meet their headers in the executors; only the different headers reach the driver."""
+    ensure_checkpoint_dir(spark)
+    heads = file_headers(spark, paths).checkpoint()
+    lines = sorted(r["line"] for r in heads.select("line").distinct().limit(MAX_HEADERS + 1).collect())
+    if len(lines) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different headers in {paths}")
+    if len(lines) <= 1:
+        names = spark.read.option("sep", sep).option("header", True).option("quote", "").csv(paths).columns
+        _check_wanted(wanted, names)
+        df = read_delimited(spark, paths, string_schema(names), sep, header, keep_corrupt)
+        return df.select(*(wanted if wanted is not None else names), *([CORRUPT] if keep_corrupt else []))
+    named = {line: line.split(sep) for line in lines}
+    for names in named.values():
+        _check_wanted(wanted, names)
+        if len(set(names)) < len(names):
+            raise ValueError(f"a header names a column twice: {names}")
+    body = text_lines(spark, paths).join(checked_broadcast(heads.select("file", "line", F.col("id").alias("_head"))), "file")
+    body = body.where((F.col("id") != F.col("_head")) & (F.trim("value") != ""))
+    cells: dict[str, Column] = {}
+    for line, names in named.items():
+        schema = ", ".join(f"`{n}` string" for n in [*names, CORRUPT])
+        row = F.from_csv("value", schema, {"sep": sep, "mode": "PERMISSIVE", "quote": "", "columnNameOfCorruptRecord": CORRUPT})
+        for n in [*names, CORRUPT]:
+            cells[n] = (cells[n] if n in cells else F).when(F.col("line") == line, row[n])
+    kept = [*(wanted if wanted is not None else [n for n in cells if n != CORRUPT]), *([CORRUPT] if keep_corrupt else [])]
+    return unquoted(body.select(*[cells[n].alias(n) for n in kept]))
+
+
+def _check_wanted(wanted: Sequence[str] | None, names: Sequence[str]) -> None:
+    missing = [c for c in wanted or [] if c not in names]
+    if missing:
+        raise KeyError(f"columns not in the header: {missing}")
 
 
 def parse_delimited(df: DataFrame, col: str, names: Sequence[str], sep: str = "|") -> DataFrame:

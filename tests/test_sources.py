@@ -106,6 +106,24 @@ def test_headers_in_another_order_are_read_by_name(spark, tmp_path):
         read_delimited(spark, str(tmp_path), string_schema(["MINE_ID", "STATE"])).collect()
 
 
+def test_many_files_with_different_headers(spark, tmp_path, monkeypatch):
+    from panelspark.sources import readers
+    heads = ["A|B", "B|A|C", "C|A"]
+    for k in range(60):
+        cells = {"A": f"a{k}", "B": f'"b{k}"', "C": f"#{k}"}
+        names = heads[k % 3].split("|")
+        (tmp_path / f"f{k:02}.txt").write_text(f"{heads[k % 3]}\r\n" + "|".join(cells[n] for n in names) + "\n\n" + (f"short{k}\n" if k == 7 else ""))
+    got = read_delimited(spark, str(tmp_path))
+    assert got.columns == ["A", "B", "C", CORRUPT]
+    rows = sorted((r["A"] or "", r["B"], r["C"], r[CORRUPT]) for r in got.collect())
+    want = [(f"a{k}", f"b{k}" if k % 3 < 2 else None, f"#{k}" if k % 3 else None, None) for k in range(60)] + [("", "short7", None, "short7")]
+    assert rows == sorted(want)
+    assert read_delimited(spark, str(tmp_path), ["A"]).drop(CORRUPT).columns == ["A"]
+    monkeypatch.setattr(readers, "MAX_HEADERS", 2)
+    with pytest.raises(ValueError, match="more than 2 different headers"):
+        read_delimited(spark, str(tmp_path))
+
+
 def test_quotes_are_data(spark, tmp_path):
     (tmp_path / "q.txt").write_text('A|B|C\n"x|y|z\n1|"2"|#3\n')
     assert [tuple(r) for r in read_delimited(spark, str(tmp_path)).drop(CORRUPT).collect()] == [('"x', "y", "z"), ("1", "2", "#3")]
