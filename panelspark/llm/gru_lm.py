@@ -15,12 +15,14 @@ factored by class: P(token | before) = P(class | state) * P(token | class).
   backpropagation (windows of ``UNROLL`` tokens, the state carried over) on all training rows, whole
   texts of any length: every scan task runs over its own rows from the same first weights, and the tasks'
   weights are averaged by their tokens.  The first weights come from a sample.
+* Texts are cut and classified once; a table in the checkpoint folder holds their class numbers, a byte each, which learning and scoring read.
 * The sample, about ``SAMPLE_ROWS`` training rows (by a hash of the id, their first ``SAMPLE_CHARS`` characters),
   gives nothing but those two starts.  As rows are learned task by task, the weights depend on how
   the table is cut into files.
 
 Scoring runs documents in ``LANES`` lanes side by side; a lane's state goes from window to window
-until its document ends, however long it is, and is then set to zero.
+until its document ends, however long it is, and is then set to zero.  A window's sums are added to its documents, so
+memory does not follow the longest one.
 
 Results for odd input: null and empty texts are one end token; without training tokens every token is
 unseen (N = V = 0); an empty table gives no rows; repeated rows give repeated results;
@@ -31,37 +33,59 @@ from __future__ import annotations
 
 import copy
 import math
+import uuid
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .chunk_tokens import slices
 from .sampling import about
 
 END = b""                                   # the end token; no word is empty
 TOP_WORDS, TOPICS, TRIGRAMS = 40, 6, 1 << 12
 ENDINGS, LENGTHS = 6, 2
 HIDDEN, LANES, UNROLL = 24, 256, 32
+OUTPUT_STEPS = 4                            # steps whose outputs are made together
 SAMPLE_ROWS, SAMPLE_CHARS, EPOCHS, RATE = 1_500, 20_000, 3, 0.01
 TOPIC_PASSES = 2                            # steps of expectation maximisation over all training rows
-PASS_LANES, PASS_RATE = 128, 0.003          # of the pass of the network over all training rows
+PASS_LANES, PASS_RATE = 256, 0.003          # of the pass of the network over all training rows
 LEARN_AT_ONCE = 1_000_000                   # tokens that a task deals into lanes together
 PARTS = 1 << 20                             # averaged weights are whole numbers of 1 / PARTS: sums are exact
-FREQUENT = 100_000
-COUNT_AT_ONCE = 300_000                     # different tokens counted before they are handed on
+FREQUENT = 200_000
+TOPIC_BYTES = 1 << 20                       # bytes of text whose letter groups are counted together
+SLICE_BYTES = 8 << 20                       # bytes of text that are cut into words together
+COUNT_AT_ONCE = 600_000                     # different tokens counted before they are handed on
 TOKENS_AT_ONCE = 5_000_000                  # tokens scored together in a task
 LOG10 = math.log(10.0)
+BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
 
 def tokens(text: str | None) -> list[bytes]:
     return (text.encode().lower().split() if text else []) + [END]
 
 
+def split_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(different words, number of each word of all texts in a row, words per text) without the end tokens."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    first = np.asarray(cut.offsets).astype(np.int64)
+    coded = cut.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(texts)), np.diff(first))
+    if END in words:                                    # white space at an end of a text leaves an empty piece
+        keep = code != words.index(END)
+        code, row = code[keep], row[keep]
+    return words, code, np.bincount(row, minlength=len(texts))
+
+
 def held_out(id_column: Column, fold: int = 1) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string")) % 5 == fold, F.lit(False))
 
@@ -71,7 +95,7 @@ class Classes:
 
     def __init__(self, top: list[bytes], topic_of: np.ndarray):
         self.top = {w: i for i, w in enumerate(top)}
-        self.topic_of = np.rint(topic_of * 1000).astype(np.int64)   # TRIGRAMS x TOPICS, whole numbers: sums are exact
+        self.topic_of = np.rint(topic_of * 1000).astype(np.int32)   # TRIGRAMS x TOPICS, whole numbers: sums are exact
         self.size = len(top) + TOPICS * ENDINGS * LENGTHS
         kind = np.full(256, 4)                                      # by the last byte: 4 or 5 for other signs
         kind[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 0
@@ -87,10 +111,10 @@ class Classes:
         """Class numbers of many tokens at once."""
         if not words:
             return np.zeros(0, dtype=np.int32)
-        text = np.frombuffer(b" " + b" ".join(words) + b"  ", dtype=np.uint8).astype(np.int64)
+        text = np.frombuffer(b" " + b" ".join(words) + b"  ", dtype=np.uint8).astype(np.int32)
         size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         first = np.concatenate([[0], np.cumsum(size + 1)[:-1]])     # the space before each word
-        votes = self.topic_of[(text[:-2] * 961 + text[1:-1] * 31 + text[2:]) % TRIGRAMS]
+        votes = self.topic_of[(text[:-2] * 961 + text[1:-1] * 31 + text[2:]) & (TRIGRAMS - 1)]
         votes[text[1:-1] == 32] = 0                                 # groups across two words
         topic = np.add.reduceat(votes, first, axis=0).argmax(axis=1)
         ending = self.ending[text[first + size]]
@@ -137,12 +161,15 @@ def _topic_table(mass: np.ndarray) -> np.ndarray:
     return np.log(mass / mass.sum(1, keepdims=True))
 
 
-def _group_shares(words: list[bytes]) -> np.ndarray:
-    """Share of each letter group in a document."""
-    text = np.frombuffer(b" " + b" ".join(words) + b"  ", dtype=np.uint8).astype(np.int64)
-    group = (text[:-2] * 961 + text[1:-1] * 31 + text[2:]) % TRIGRAMS
-    x = np.bincount(group[text[1:-1] != 32], minlength=TRIGRAMS).astype(np.float64)
-    return x / max(x.sum(), 1)
+def _group_shares(texts: list[str | None]) -> np.ndarray:
+    """Share of each letter group in every document."""
+    rows = [b" " + (t or "").encode().lower().translate(BLANKS) + b" " for t in texts]
+    text = np.frombuffer(b"".join(rows) + b"  ", dtype=np.uint8).astype(np.int32)
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    group = (text[:-2] * 961 + text[1:-1] * 31 + text[2:]) & (TRIGRAMS - 1)
+    inner = text[1:-1] != 32
+    x = np.bincount((doc * TRIGRAMS + group)[inner], minlength=len(rows) * TRIGRAMS).astype(np.float64).reshape(len(rows), TRIGRAMS)
+    return x / np.maximum(x.sum(axis=1, keepdims=True), 1)
 
 
 def refine_topics(texts: DataFrame, topic_of: np.ndarray) -> np.ndarray:
@@ -150,15 +177,12 @@ def refine_topics(texts: DataFrame, topic_of: np.ndarray) -> np.ndarray:
     table = topic_of.T.astype(np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mass, rows = np.zeros((TOPICS, TRIGRAMS)), []
+        mass = np.zeros((TOPICS, TRIGRAMS))
         for batch in batches:
-            for text in batch.column(0):
-                rows.append(_group_shares(tokens(text.as_py())))
-                if len(rows) == 256:
-                    mass += _topic_mass(np.array(rows), table)
-                    rows = []
-        if rows:
-            mass += _topic_mass(np.array(rows), table)
+            for at, n in slices(batch.column(0), TOPIC_BYTES):
+                for k in range(at, at + n, 256):
+                    some = batch.column(0).slice(k, min(256, at + n - k)).to_pylist()
+                    mass += _topic_mass(_group_shares(some), table)
         sums = np.rint(mass * PARTS).astype(np.int64).ravel()
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(sums[at])], ["k", "v"])
@@ -180,62 +204,114 @@ class GRU:
         self.size, self.hidden = size, hidden
         self.x, self.u, self.b = draw(size + 1, 3 * hidden), draw(hidden, 3 * hidden), np.zeros(3 * hidden, np.float32)
         self.o, self.c = draw(hidden, size), np.zeros(size, np.float32)
-        self.tame = False                   # True once no score can get large: states lie between -1 and 1
-
-    def step(self, before: np.ndarray, state: np.ndarray) -> tuple:
-        h = self.hidden
-        a, r = self.x[before] + self.b, state @ self.u
-        gates = a[:, :2 * h] + r[:, :2 * h]
-        gates = 1 / (1 + np.exp(-gates))
-        z, reset = gates[:, :h], gates[:, h:]
-        new = np.tanh(a[:, 2 * h:] + reset * r[:, 2 * h:])
-        return state + z * (new - state), z, reset, new, r[:, 2 * h:]
-
-    def log_classes(self, state: np.ndarray) -> np.ndarray:
-        """Unnormalised scores and their log sum."""
-        s = state @ self.o
-        s += self.c
-        if not self.tame:
-            np.clip(s, -30, 30, out=s)
-        return s, np.log(np.exp(s).sum(axis=1))
 
-    def window(self, before: np.ndarray, target: np.ndarray, fresh: np.ndarray, state: np.ndarray) -> tuple:
-        """One truncated backpropagation over T x lanes; (loss, gradients, last state)."""
-        h, kept, g = self.hidden, [], {n: np.zeros_like(getattr(self, n)) for n in self.NAMES}
-        loss, lanes, steps = 0.0, before.shape[1], len(before)
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_room"}
+
+    def room(self, steps: int, lanes: int) -> dict[str, np.ndarray]:
+        """Arrays of a window of this shape, used again and again; what a step or an output block needs stays in the processor's cache."""
+        rooms = self.__dict__.setdefault("_room", {})
+        if (steps, lanes) not in rooms:
+            if len(rooms) >= 4:
+                rooms.clear()
+            h, new = self.hidden, lambda *shape: np.empty(shape, self.x.dtype)
+            rows = min(steps, OUTPUT_STEPS) * lanes
+            rooms[steps, lanes] = {"a": new(lanes, 3 * h), "r": new(lanes, 3 * h), "z": new(steps, lanes, 2 * h), "new": new(steps, lanes, h),
+                                   "rn": new(steps, lanes, h), "state": new(steps, lanes, h), "after": np.ones((steps, lanes, h + 1), self.x.dtype),
+                                   "p": new(rows, self.size), "sum": new(rows, 1), "row": np.arange(rows), "one": np.ones((self.size, 1), self.x.dtype),
+                                   "d": new(steps, lanes, h), "da": new(steps, lanes, 3 * h), "dr": new(steps, lanes, 3 * h), "t": new(lanes, h)}
+        return rooms[steps, lanes]
+
+    def forward(self, before: np.ndarray, fresh: np.ndarray, state: np.ndarray) -> dict[str, np.ndarray]:
+        """States of a window of steps x lanes; ``after`` has a last column of ones, for the outputs' constants."""
+        (steps, lanes), h = before.shape, self.hidden
+        w, begun, xb = self.room(steps, lanes), fresh.any(axis=1), self.x + self.b
+        a, r = w["a"], w["r"]
         for t in range(steps):
-            state = np.where(fresh[t][:, None], 0, state).astype(np.float32)
-            after, z, reset, new, rn = self.step(before[t], state)
-            p = after @ self.o
-            p += self.c
-            np.exp(np.clip(p, -30, 30, out=p), out=p)
-            p /= p.sum(axis=1, keepdims=True)
-            loss -= np.log(p[np.arange(lanes), target[t]]).sum()
-            kept.append((state, z, reset, new, rn, after, p))
+            np.take(xb, before[t], axis=0, out=a)
+            s, z, rn, new, after = w["state"][t], w["z"][t], w["rn"][t], w["new"][t], w["after"][t, :, :h]
+            s[...] = state
+            if begun[t]:
+                s[fresh[t]] = 0
+            np.matmul(s, self.u, out=r)
+            np.add(a[:, :2 * h], r[:, :2 * h], out=z)
+            np.negative(z, out=z)
+            np.exp(z, out=z)
+            z += 1
+            np.reciprocal(z, out=z)
+            rn[...] = r[:, 2 * h:]
+            np.multiply(z[:, h:], rn, out=new)
+            new += a[:, 2 * h:]
+            np.tanh(new, out=new)
+            np.subtract(new, s, out=after)
+            after *= z[:, :h]
+            after += s
             state = after
-        last, d_after, back = state, np.zeros((lanes, h), np.float32), []
+        return w
+
+    def outputs(self, w: dict[str, np.ndarray]) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """(rows, states with ones, scores of all classes) of a window, a few steps at a time."""
+        flat = w["after"].reshape(-1, self.hidden + 1)
+        weight = np.concatenate([self.o, self.c[None]])
+        tame = float(np.abs(weight).sum(axis=0).max()) < 30                  # states lie between -1 and 1
+        for at in range(0, len(flat), len(w["p"])):
+            rows = slice(at, min(at + len(w["p"]), len(flat)))
+            p = w["p"][:rows.stop - at]
+            np.matmul(flat[rows], weight, out=p)
+            if not tame:
+                np.clip(p, -30, 30, out=p)
+            yield rows, flat[rows], p
+
+    def window(self, before: np.ndarray, target: np.ndarray, fresh: np.ndarray, state: np.ndarray) -> tuple:
+        """One truncated backpropagation over T x lanes; (loss, gradients, last state)."""
+        (steps, lanes), h = before.shape, self.hidden
+        w = self.forward(before, fresh, state.astype(self.x.dtype))
+        goal, loss, g_out, d_flat, o_t = target.ravel(), 0.0, 0, w["d"].reshape(-1, h), np.ascontiguousarray(self.o.T)
+        for rows, after, p in self.outputs(w):
+            total, row = w["sum"][:len(p)], w["row"][:len(p)]
+            np.exp(p, out=p)
+            np.matmul(p, w["one"], out=total)
+            np.reciprocal(total, out=total)
+            p *= total
+            loss -= float(np.log(p[row, goal[rows]]).sum())
+            p[row, goal[rows]] -= 1
+            np.matmul(p, o_t, out=d_flat[rows])
+            g_out = g_out + after.T @ p
+        back, t_, u_t, begun = 0, w["t"], np.ascontiguousarray(self.u.T), fresh.any(axis=1)
         for t in range(steps - 1, -1, -1):
-            state, z, reset, new, rn, after, p = kept[t]
-            p[np.arange(lanes), target[t]] -= 1
-            d = d_after + p @ self.o.T
-            d_new = d * z * (1 - new * new)
-            d_z = d * (new - state) * z * (1 - z)
-            d_reset = d_new * rn * reset * (1 - reset)
-            d_r = np.concatenate([d_z, d_reset, d_new * reset], axis=1)
-            back.append((np.concatenate([d_z, d_reset, d_new], axis=1), d_r))
-            d_after = np.where(fresh[t][:, None], 0, d * (1 - z) + d_r @ self.u.T).astype(np.float32)
-        together = lambda rows: np.concatenate(list(rows))
-        p, d_a = together(k[6] for k in kept), together(a for a, _ in back[::-1])
-        g["o"], g["c"], g["b"] = together(k[5] for k in kept).T @ p, p.sum(0), d_a.sum(0)
-        g["u"] = together(k[0] for k in kept).T @ together(r for _, r in back[::-1])
-        order = np.argsort(before, axis=None, kind="stable")
-        seen, first = np.unique(before.ravel()[order], return_index=True)
-        g["x"][seen] = np.add.reduceat(d_a[order], first, axis=0)
-        return loss, g, last
+            d, s, new, z, reset = w["d"][t], w["state"][t], w["new"][t], w["z"][t, :, :h], w["z"][t, :, h:]
+            g, q = w["da"][t], w["dr"][t]
+            d += back
+            d_new, d_z, d_reset = g[:, 2 * h:], g[:, :h], g[:, h:2 * h]
+            np.multiply(d, z, out=t_)                       # d z
+            np.multiply(new, new, out=d_new)
+            np.subtract(1, d_new, out=d_new)
+            d_new *= t_                                     # d z (1 - new^2)
+            np.subtract(new, s, out=d_z)
+            d_z *= t_
+            back = d - t_                                   # d (1 - z)
+            np.subtract(1, z, out=t_)
+            d_z *= t_                                       # d (new - s) z (1 - z)
+            np.subtract(1, reset, out=t_)
+            t_ *= reset
+            t_ *= w["rn"][t]
+            np.multiply(d_new, t_, out=d_reset)
+            q[:, :2 * h] = g[:, :2 * h]
+            np.multiply(d_new, reset, out=q[:, 2 * h:])
+            back += q @ u_t
+            if begun[t]:
+                back[fresh[t]] = 0
+        da, dr = w["da"].reshape(-1, 3 * h), w["dr"].reshape(-1, 3 * h)
+        g = {"o": g_out[:h], "c": g_out[h], "b": da.sum(0), "u": w["state"].reshape(-1, h).T @ dr, "x": np.zeros_like(self.x)}
+        kind = before.ravel().astype(np.uint8 if self.size < 256 else np.int64)
+        order = np.argsort(kind, kind="stable")
+        seen, first = np.unique(kind[order], return_index=True)
+        g["x"][seen] = np.add.reduceat(da[order], first, axis=0)
+        return loss, g, w["after"][-1, :, :h].copy()
 
     def learn(self, docs: list[np.ndarray], lanes: int, rate: float, past: dict) -> int:
         """Adam over the documents' classes, dealt into lanes; ``past`` holds its averages. Number of tokens, none left out."""
-        docs = [d for d in docs if len(d)]
+        docs = [d.astype(np.int64) for d in docs if len(d)]
         if not docs:
             return 0
         target = np.concatenate(docs)
@@ -264,61 +340,66 @@ class GRU:
             self.learn(docs, lanes, RATE / (1 + epoch), past)
 
     def log_likelihoods(self, docs: list[np.ndarray], lanes: int = LANES) -> np.ndarray:
-        """Natural log P(classes) of every document; state carried through each whole document."""
-        self.tame = float((np.abs(self.o).sum(axis=0) + np.abs(self.c)).max()) < 30
+        """Natural log P(classes) of every document; the state is carried through each whole document.
+
+        Documents run in lanes, window after window; what a window gains is added to its documents, so memory
+        follows the window and the tokens' class numbers, whatever the longest document.
+        """
         out = np.zeros(len(docs))
-        order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
-        loads = [[] for _ in range(max(1, min(lanes, len(docs))))]
+        loads: list[list[int]] = [[] for _ in range(max(1, min(lanes, len(docs))))]
         size = np.zeros(len(loads), dtype=np.int64)
-        for i in order:                                     # the longest document to the shortest lane
-            k = int(size.argmin())
-            loads[k].append(i)
-            size[k] += len(docs[i])
-        loads = [loads[k] for k in np.argsort(-size, kind="stable")]
-        flat = [np.concatenate([docs[i] for i in lane]) if lane else np.zeros(0, np.int32) for lane in loads]
-        lengths = np.array([len(f) for f in flat])
-        steps = int(lengths.max(initial=0))
-        target = np.zeros((steps, len(flat)), np.int32)
-        fresh = np.zeros((steps, len(flat)), bool)
-        for k, f in enumerate(flat):
-            target[:len(f), k] = f
-            if len(f):
-                fresh[np.cumsum([0] + [len(docs[i]) for i in loads[k]])[:-1], k] = True
-        gained = np.zeros((steps, len(flat)), np.float32)
-        state = np.zeros((len(flat), self.hidden), np.float32)
-        before = np.full(len(flat), self.size)
-        live = np.searchsorted(-lengths, -np.arange(steps), side="left")    # lanes longer than t
-        column = np.arange(len(flat))
-        for t in range(steps):
-            a = live[t]
-            new = fresh[t, :a]
-            state, before = state[:a], before[:a]
-            if new.any():
-                state[new], before[new] = 0, self.size
-            state = self.step(before, state)[0]
-            s, total = self.log_classes(state)
-            gained[t, :a] = s[column[:a], target[t, :a]] - total
-            before = target[t, :a].copy()
-        for k, lane in enumerate(loads):
-            at = 0
-            for i in lane:
-                out[i] = gained[at:at + len(docs[i]), k].sum(dtype=np.float64)
-                at += len(docs[i])
+        for i in sorted(range(len(docs)), key=lambda i: -len(docs[i])):      # the longest document to the shortest lane
+            if len(docs[i]):
+                k = int(size.argmin())
+                loads[k].append(i)
+                size[k] += len(docs[i])
+        loads = [loads[k] for k in np.argsort(-size, kind="stable") if loads[k]]
+        none = np.zeros(0, np.uint8)
+        flat = [np.concatenate([none, *[docs[i] for i in lane]]) for lane in loads]
+        doc = [np.repeat(np.array(lane, dtype=np.int32), [len(docs[i]) for i in lane]) for lane in loads]
+        lengths = np.array([len(f) for f in flat], dtype=np.int64)
+        state, last = np.zeros((len(flat), self.hidden), self.x.dtype), np.full(len(flat), self.size)
+        for at in range(0, int(lengths.max(initial=0)), UNROLL):
+            live = int(np.searchsorted(-lengths, -at, side="left"))          # lanes longer than at
+            steps = int(min(UNROLL, lengths[0] - at))
+            target, of = np.zeros((steps, live), np.int64), np.full((steps, live), -1, np.int32)
+            for k in range(live):
+                some = flat[k][at:at + steps]
+                target[:len(some), k], of[:len(some), k] = some, doc[k][at:at + steps]
+            before = np.concatenate([last[None, :live], target[:-1]])
+            above = np.concatenate([np.array([[d[at - 1] if at else -1 for d in doc[:live]]], dtype=np.int32), of[:-1]])
+            fresh = above != of
+            before[fresh] = self.size
+            w = self.forward(before, fresh, state[:live])
+            goal, gained = target.ravel(), np.empty(steps * live)
+            for rows, _, p in self.outputs(w):
+                total, row = w["sum"][:len(p)], w["row"][:len(p)]
+                gained[rows] = p[row, goal[rows]]
+                np.exp(p, out=p)
+                np.matmul(p, w["one"], out=total)
+                gained[rows] -= np.log(total[:, 0])
+            inside = of.ravel() >= 0
+            out += np.bincount(of.ravel()[inside], weights=gained[inside], minlength=len(docs))
+            state, last = w["after"][-1, :, :self.hidden].copy(), target[-1]
         return out
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
     """(word, n) over all rows of one text column; counted in every task before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(c: Counter) -> pa.RecordBatch:
+        def out(c: dict[bytes, int]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(c.keys()), pa.binary()), pa.array(list(c.values()), pa.int64())], ["word", "n"])
-        counts: Counter = Counter()
+        counts: dict[bytes, int] = {}
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(tokens(text.as_py()))
+            for at, n in slices(batch.column(0), SLICE_BYTES):
+                words, code, per = split_words(batch.column(0).slice(at, n))
+                for w, c in zip(words, np.bincount(code, minlength=len(words)).tolist()):
+                    if c:
+                        counts[w] = counts.get(w, 0) + c
+                counts[END] = counts.get(END, 0) + len(per)
                 if len(counts) >= COUNT_AT_ONCE:
                     yield out(counts)
-                    counts = Counter()
+                    counts = {}
         if counts:
             yield out(counts)
 
@@ -356,23 +437,37 @@ def _class_sums(counts: DataFrame, classes: Classes) -> np.ndarray:
     return z
 
 
-def refine_network(texts: DataFrame, model: GRU, kinds_of: Callable[[list[bytes]], np.ndarray]) -> GRU:
-    """The network after a pass over all rows of one text column: every task learns its rows, weights are averaged by tokens."""
+def refine_network(kinds: DataFrame, model: GRU) -> GRU:
+    """The network after a pass over all rows of one column of class numbers (a byte each): every task learns its rows, weights are averaged by tokens.
+
+    Weights are summed as whole numbers of 1 / PARTS times tokens, in decimals of 38 digits: exact, and without overflow.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, past, done, waiting, size = copy.deepcopy(model), {}, 0, [], 0
         for batch in batches:
-            for text in batch.column(0):
-                waiting.append(kinds_of(tokens(text.as_py())))
+            for row in batch.column(0):
+                waiting.append(np.frombuffer(row.as_buffer(), dtype=np.uint8))
                 size += len(waiting[-1])
                 if size >= LEARN_AT_ONCE:
                     done += own.learn(waiting, PASS_LANES, PASS_RATE, past)
                     waiting, size = [], 0
         done += own.learn(waiting, PASS_LANES, PASS_RATE, past)
-        flat = np.concatenate([getattr(own, k).ravel() for k in own.NAMES]).astype(np.float64)
-        sums = np.concatenate([[done], np.rint(flat * PARTS).astype(np.int64) * done])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums), dtype=np.int32)), pa.array(sums)], ["k", "v"])
+        k, v = weighted(own, done)
+        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(v, pa.decimal128(38, 0))], ["k", "v"])
+
+    sums = {r["k"]: int(r["v"]) for r in kinds.mapInArrow(run, "k int, v decimal(38,0)").groupBy("k").agg(F.sum("v").alias("v")).collect()}
+    return averaged(model, sums)
+
+
+def weighted(model: GRU, tokens_: int) -> tuple[list[int], list[Decimal]]:
+    """(number, weight times tokens) of every weight; number 0 has the tokens."""
+    flat = np.concatenate([getattr(model, k).ravel() for k in model.NAMES]).astype(np.float64)
+    values = [tokens_, *[w * tokens_ for w in np.rint(flat * PARTS).astype(np.int64).tolist()]]
+    return list(range(len(values))), [Decimal(v) for v in values]
 
-    sums = {r["k"]: r["v"] for r in texts.mapInArrow(run, "k int, v long").groupBy("k").agg(F.sum("v").alias("v")).collect()}
+
+def averaged(model: GRU, sums: dict[int, int]) -> GRU:
+    """The model with the weights that the sums of ``weighted`` give; without tokens its own."""
     out, at = copy.deepcopy(model), 1
     if sums.get(0):
         for k in out.NAMES:
@@ -382,6 +477,56 @@ def refine_network(texts: DataFrame, model: GRU, kinds_of: Callable[[list[bytes]
     return out
 
 
+def class_rows(rows: DataFrame, shared, id_type: str) -> DataFrame:
+    """Per row of (_id, _text, _held): its place, number of tokens, known frequent ones, sum of their logs, class
+    numbers (a byte each), sum of the classes' logs, and the other words with their counts.
+
+    ``shared`` broadcasts (classes, frequent word -> (class, log), log sums by class).  Texts are cut and classified a batch at a time, each different word once.
+    """
+    schema = (f"_row long, _id {id_type}, held_out boolean, n_tokens long, known long, logs double, class_logs double, kinds binary, "
+              "rest array<struct<word: binary, n: int>>")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, frequent, log_z = shared.value
+        end_kind, end_log = frequent.get(END) or (int(classes.of([END])[0]), None)
+        place = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for at, n in slices(batch.column(1), SLICE_BYTES):
+                words, code, per = split_words(batch.column(1).slice(at, n))
+                found = [frequent.get(w) for w in words]
+                other = [i for i, f in enumerate(found) if f is None]
+                kind = np.array([-1 if f is None else f[0] for f in found], dtype=np.int64)
+                if other:
+                    kind[other] = classes.of([words[i] for i in other])
+                log = np.array([0.0 if f is None else f[1] for f in found])
+                is_known = np.array([f is not None for f in found], dtype=bool)
+                row = np.repeat(np.arange(n), per)
+                kinds, ends = kind[code], np.cumsum(per)
+                known = np.bincount(row, weights=is_known[code], minlength=n).astype(np.int64) + (end_log is not None)
+                logs = np.bincount(row, weights=log[code], minlength=n) + (end_log or 0.0)
+                class_logs = np.bincount(row, weights=log_z[kinds], minlength=n) + log_z[end_kind]
+                texts = np.insert(kinds, ends, end_kind).astype(np.uint8).tobytes()
+                cut = np.concatenate([[0], np.cumsum(per + 1)]).tolist()
+                rest_row, rest_code = row[~is_known[code]], code[~is_known[code]]
+                pairs, times = np.unique(rest_row * max(len(words), 1) + rest_code, return_counts=True)
+                rest_of = np.searchsorted(pairs, np.arange(n + 1) * max(len(words), 1))
+                names = pa.array(words, pa.binary()).take(pa.array(pairs % max(len(words), 1)))
+                entries, offsets = [names, pa.array(times.astype(np.int32))], rest_of.astype(np.int32)
+                if end_log is None:                        # no training row: the end token is an unknown word like any other
+                    shift = np.arange(n + 1)
+                    entries = [pa.concat_arrays([names, pa.array([END], pa.binary())]).take(pa.array(np.insert(np.arange(len(pairs)), rest_of[1:], len(pairs)))),
+                               pa.array(np.insert(times, rest_of[1:], 1).astype(np.int32))]
+                    offsets = (rest_of + shift).astype(np.int32)
+                rest = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(entries, names=["word", "n"]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.arange(place, place + n)), batch.column(0).slice(at, n), batch.column(2).slice(at, n), pa.array(per + 1), pa.array(known),
+                    pa.array(logs), pa.array(class_logs), pa.array([texts[a:b] for a, b in zip(cut, cut[1:])], pa.binary()), rest],
+                    ["_row", "_id", "held_out", "n_tokens", "known", "logs", "class_logs", "kinds", "rest"])
+                place += n
+
+    return rows.mapInArrow(run, schema)
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int | None = 1,
                     sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10)."""
@@ -411,63 +556,44 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     logs = {w: (kinds[w], math.log10(c + 0.5)) for w, c in frequent.items()}
     model = GRU(classes.size)
     model.fit([classes.of(w) for w in words])
-    known = spark.sparkContext.broadcast((classes, kinds))                   # at most FREQUENT tokens
-
-    def kinds_of(words: list[bytes]) -> np.ndarray:
-        classes, kinds = known.value
-        out = np.array([kinds.get(w, -1) for w in words], dtype=np.int32)
-        out[out < 0] = classes.of([w for w, k in zip(words, out) if k < 0])
-        return out
 
+    # texts are cut and classified once; learning and scoring read class numbers
+    id_type = docs.schema[id_col].dataType.simpleString()
+    folder = f"{spark.sparkContext.getCheckpointDir()}/gru-{uuid.uuid4()}"
+    shared = spark.sparkContext.broadcast((classes, logs, log_z))              # at most FREQUENT tokens
+    class_rows(rows.select("_id", "_text", "_held"), shared, id_type).write.option("compression", "zstd").parquet(folder)
+    classed = spark.read.parquet(folder)
     if n_rows:
-        model = refine_network(train.select("_text"), model, kinds_of)
-    shared = spark.sparkContext.broadcast((classes, model, log_z, logs))      # at most FREQUENT tokens
-
-    schema = ("_row long, _id " + docs.schema[id_col].dataType.simpleString()
-              + ", held_out boolean, n_tokens long, known long, logs double, class_part double, rest array<binary>")
+        model = refine_network(classed.where(~F.col("held_out")).select("kinds"), model)
+    fitted = spark.sparkContext.broadcast(model)
+    columns = ["_row", "_id", "held_out", "n_tokens", "known", "logs"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, model, log_z, logs = shared.value
-        place = TaskContext.get().partitionId() << 33
-        waiting, size, id_type = [], 0, None
-
-        def out() -> pa.RecordBatch:
-            nonlocal place
-            gained = model.log_likelihoods([w[3] for w in waiting]) / LOG10
-            n = len(waiting)
-            batch = pa.RecordBatch.from_arrays([
-                pa.array(range(place, place + n), pa.int64()), pa.array([w[0] for w in waiting], id_type), pa.array([w[1] for w in waiting], pa.bool_()),
-                pa.array([len(w[3]) for w in waiting], pa.int64()), pa.array([len(w[3]) - len(w[2]) for w in waiting], pa.int64()),
-                pa.array([w[4] for w in waiting], pa.float64()),
-                pa.array([float(g - log_z[w[3]].sum()) for g, w in zip(gained, waiting)], pa.float64()),
-                pa.array([w[2] for w in waiting], pa.list_(pa.binary()))],
-                ["_row", "_id", "held_out", "n_tokens", "known", "logs", "class_part", "rest"])
-            place += n
-            waiting.clear()
-            return batch
+        model = fitted.value
+
+        def out(some: list[pa.RecordBatch]) -> pa.RecordBatch:
+            *kept, class_logs, kinds = pa.concat_batches(some).columns
+            gained = model.log_likelihoods([np.frombuffer(k.as_buffer(), dtype=np.uint8) for k in kinds]) / LOG10
+            return pa.RecordBatch.from_arrays([*kept, pa.array(gained - np.asarray(class_logs))], [*columns, "class_part"])
 
+        waiting, size = [], 0
         for batch in batches:
-            id_type = batch.schema.field(0).type
-            for i, text, held in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                words = tokens(text.as_py())
-                found = [logs.get(w) for w in words]
-                rest = [w for w, f in zip(words, found) if f is None]
-                kinds = np.array([-1 if f is None else f[0] for f in found], dtype=np.int32)
-                kinds[kinds < 0] = classes.of(rest)
-                waiting.append((i, held, rest, kinds, math.fsum([f[1] for f in found if f is not None])))
-                size += len(words)
-                if size >= TOKENS_AT_ONCE:
-                    yield out()
-                    size = 0
+            waiting.append(batch)
+            size += pc.sum(pc.binary_length(batch.columns[-1])).as_py() or 0
+            if size >= TOKENS_AT_ONCE:
+                yield out(waiting)
+                waiting, size = [], 0
         if waiting:
-            yield out()
+            yield out(waiting)
 
-    scored = rows.select("_id", "_text", "_held").mapInArrow(run, schema).checkpoint()
-    met = scored.select("_row", F.explode("rest").alias("word")).join(counts, "word", "left")
-    rest = met.groupBy("_row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("_logs"), F.count("c").alias("_known"))
+    scored = classed.select(*columns, "class_logs", "kinds").mapInArrow(
+        run, f"_row long, _id {id_type}, held_out boolean, n_tokens long, known long, logs double, class_part double")
+    met = classed.select("_row", F.explode("rest").alias("w")).select("_row", "w.word", "w.n").join(counts, "word", "left")
+    rest = met.groupBy("_row").agg(F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("_logs"),
+                                   F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("_known"))
     base = F.log10(F.lit(n_all + 0.5 * (v_all + 1)))
     all_logs = F.col("logs") + F.coalesce("_logs", F.lit(0.0))
-    return (scored.drop("rest").join(rest, "_row", "left")
+    return (scored.join(rest, "_row", "left")
             .select(F.col("_id").alias(id_col), "held_out", "n_tokens", (F.col("known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
                     F.lit(n_all).cast("long").alias("train_tokens"), (all_logs - F.col("n_tokens") * base).alias("base_score"),
                     (all_logs + F.col("class_part")).alias("score")))
