@@ -15,6 +15,7 @@ Where a text may be cut depends on the tokenizer's own split:
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
@@ -23,10 +24,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-CACHE_CHUNKS = 400_000          # remembered chunks per generation (two are kept) and Python worker
+CACHE_CHUNKS = 200_000          # remembered chunks per generation (two are kept) and Python worker
 CACHE_CHARS = 40                # longer chunks are not remembered
 CHUNKS_AT_ONCE = 2_000          # unknown chunks in one call
-TEXT_BYTES = 8 << 20            # bytes of text that are cut together (at least one text)
+TEXT_BYTES = 4 << 20            # bytes of text that are cut together (at least one text)
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"     # no apostrophe: some splits know it
 # A word of letters and signs after it are parted there by both kinds of split; each alone is one part.
 LETTERS = "^[A-Za-zÀ-ÖØ-öø-ɏ]+$"
@@ -66,9 +67,15 @@ class ChunkTokenizer:
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         if suffix:
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        # where the tokenizer makes letters small itself, fewer words differ once A-Z are
+        self.lowers = any(n.get("type") == "Lowercase" for n in self._normalizers(json.loads(self.tokenizer.to_str())["normalizer"]))
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    @staticmethod
+    def _normalizers(spec: dict | None) -> list[dict]:
+        return [] if spec is None else [spec, *spec.get("normalizers", [])]
+
     def whole(self, texts: list[str]) -> list[bytes]:
         """The tokenizer's own ids of each text."""
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -134,6 +141,7 @@ class ChunkTokenizer:
         """(the ids of all texts in a row, ids per text); a null text counts as empty."""
         texts = pc.fill_null(texts, "")
         n = len(texts)
+        given, texts = texts, pc.ascii_lower(texts) if self.lowers else texts
         cut = pc.split_pattern(texts, " ") if self.leading_space else pc.ascii_split_whitespace(texts)
         first = np.asarray(cut.offsets).astype(np.int64)
         first, per_text = first - first[0], np.diff(first)
@@ -142,7 +150,7 @@ class ChunkTokenizer:
         code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         odd = np.zeros(n, dtype=bool)
         for s in self.special:
-            odd |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+            odd |= pc.match_substring(texts, s.lower() if self.lowers else s).to_numpy(zero_copy_only=False)
         if self.leading_space:
             blank = pc.or_(pc.equal(words, ""), pc.match_substring_regex(words, r"^[\s\pZ\x1c-\x1f\x{85}]")).to_numpy(zero_copy_only=False)
             if blank.any():
@@ -160,12 +168,13 @@ class ChunkTokenizer:
         per = np.bincount(np.repeat(np.arange(n), per_text), weights=lengths, minlength=n).astype(np.int64)
         if odd.any():
             at = np.cumsum(per) - per
-            own = self.whole(pc.filter(texts, pa.array(odd)).to_pylist())
+            own = self.whole(pc.filter(given, pa.array(odd)).to_pylist())
             rows, pieces, done = np.flatnonzero(odd), [], 0
             for r, ids in zip(rows.tolist(), own):
                 pieces += [flat[done:at[r]], np.frombuffer(ids, dtype="<u4")]
                 done, per[r] = at[r], len(ids) // 4
             flat = np.concatenate([*pieces, flat[done:]])
+        pa.default_memory_pool().release_unused()           # Arrow keeps it otherwise, in every idle worker
         return flat, per
 
 

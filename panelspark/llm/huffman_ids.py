@@ -44,6 +44,7 @@ END_ID = 1
 PAGE_IDS = 1 << 16
 CHECKPOINT = 128
 MAX_BITS = 20
+CUT_BYTES = 8 << 20         # bytes of text that are cut into words together
 MAGIC = b"HUF1"
 # magic, ids before the block, ids of its first document in blocks before, ids, documents, bits, 1 if its last document goes on, crc of the rest
 HEADER = struct.Struct("<4sQQIIQBI")
@@ -194,7 +195,7 @@ def _pages(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_
                 own = pa.array([], type=id_type)
                 kind = pa.schema([("part", pa.int32()), ("page", pa.int64()), ("before", pa.int64()), ("back", pa.int64()), ("n", pa.int64()),
                                   ("goes_on", pa.bool_()), ("docs", pa.list_(id_type)), ("per", pa.binary()), ("ids", pa.binary())])
-            for start, rows in slices(batch.column(1)):
+            for start, rows in slices(batch.column(1), CUT_BYTES):
                 new, sizes = with_end(*tok.ids(batch.column(1).slice(start, rows)), end_id)
                 flat, per = np.concatenate([flat, new]), np.concatenate([per, sizes])
                 own = pa.concat_arrays([own, batch.column(0).slice(start, rows)])
@@ -321,7 +322,7 @@ def _joined_crc(pieces: pd.Series) -> pd.Series:
 
 def read_ids(spark: SparkSession, folder: str, id_name: str = "doc_id") -> DataFrame:
     """Per document of a folder: id, start (ids of all documents before it), n_tokens, ids_crc32."""
-    pieces = _pieces(spark, folder, with_ids=False)
+    pieces = _pieces(spark, folder, with_ids=False).checkpoint()          # decoded once: a few numbers per document
     whole = pieces.where("whole").select(F.col("id").alias(id_name), "start", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
     cut = pieces.where("NOT whole").groupBy("id", "start").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("at", "n", "crc"))).alias("pieces"))
     return whole.union(cut.select("id", "start", "n", _joined_crc("pieces")))

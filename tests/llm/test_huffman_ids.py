@@ -18,7 +18,7 @@ from .conftest import ODD, prose
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 TRICKY = ["don't won't! it's 'tis a' b' s' 's t!'s", "a \n b", "x y　z  ", " a", "a ", "İstanbul ΣΑΣ Σ, é ſ é", "12,345.6 a1b2 <|startoftext|>x",
-          "tab\tsep\nline\r\nend", "\x1c \x1f a\x85b c", "word,word ,word word,, (word) word's, naïve,", "<|endoftext|> a", "a  b", ".,.", "é" * 50 + "."]
+          "tab\tsep\nline\r\nend", "\x1c \x1f a\x85b c", "word,word ,word word,, (word) word's, naïve,", "<|endoftext|> a", "<|EndOfText|> A", "ÀÉ ÀÉ, A\u0300 İI", "a  b", ".,.", "é" * 50 + "."]
 
 
 def huffman_bits(counts):
