@@ -25,7 +25,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return packing.pack_documents(read(spark, sf_dir, "documents"), BYTE_MODEL)
+    return packing.pack_documents(read(spark, sf_dir, "documents"), BYTE_MODEL, cut_bytes=8 << 20)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
