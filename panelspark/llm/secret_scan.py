@@ -9,15 +9,15 @@ meets base spans, the parts outside them are candidates if they are as long.  Tw
 strings and one of ordinary identifiers and words, give its log-likelihood ratio; a ratio of the whole candidate above
 one threshold adds a span of kind ``markov``, whatever its length and its kinds of characters.
 
-* The models are trained from samples labelled by the base patterns: the values that these found in all rows
-  are random strings; the other tokens too short for a candidate (longer ones may be secrets) of the different texts of
-  about ``TRAIN_ROWS`` rows (by a hash of the text) are ordinary, each different one once: a sample of few words says little
+* The models are trained on all rows, labelled by the base patterns: the values that these found
+  are random strings; the other tokens too short for a candidate (longer ones may be secrets)
+  are ordinary, each different one once: few words say little
   about others, and the model then stays near the characters' shares.
 * A random string draws from the kinds of characters that it shows (small letters, capitals, digits, signs): with
   ``TRAINED`` its next character comes from the trained table of random strings, otherwise evenly from those kinds.  So a
   string of letters is not held to be ordinary because the labelled values hold digits.
-* The threshold is what all but one in a thousand of the sample's different ordinary candidates stay under, but at least ``EVIDENCE``
-  and at most ``MOST_EVIDENCE`` nats (the sample may hold secrets too); with under a thousand of them it is ``EVIDENCE``.
+* The threshold is what all but one in a thousand of the different candidates outside the base patterns' matches stay under, counted by hundredths
+  of a nat, but at least ``EVIDENCE`` and at most ``MOST_EVIDENCE`` nats (they may hold secrets too); with under a thousand of them it is ``EVIDENCE``.
 
 A model is a table over pairs of ``SYMBOLS``, whatever the size of the input.
 
@@ -31,12 +31,11 @@ import json
 import math
 import re
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sampling import about
-
 # Fixed patterns: kind, pattern, capture group that is measured, its least length.
 KINDS = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
@@ -47,10 +46,10 @@ SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LEAST = 12                  # characters of a candidate
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+" % LEAST
 WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{4,11}(?![A-Za-z0-9+/_=-])"      # a whole token, too short for a candidate
-TRAIN_ROWS = 2_000          # rows whose words train the model of ordinary strings
 PRIOR = 100.0               # pairs' worth of the character shares in every row of a model
 TRAINED = 0.2               # share of the trained table in the model of random strings
 EVIDENCE, MOST_EVIDENCE = 12.0, 20.0        # nats of a whole candidate
+GRADES = 100                # of a nat, in which the threshold is counted
 CHARACTERS = (("[a-z]", 26), ("[A-Z]", 26), ("[0-9]", 10), ("[+/_=-]", 5))      # kinds, and how many there are
 MASK = "[secret]"
 
@@ -131,30 +130,35 @@ class Models:
         return F.get(F.transform(F.array((1 - TRAINED) / kinds), step), F.lit(0))
 
 
-def train(docs: DataFrame, text_col: str = "text", train_rows: int = TRAIN_ROWS) -> Models:
-    """The two models and the threshold.
+def train(docs: DataFrame, text_col: str = "text") -> Models:
+    """The two models and the threshold, from all rows.
 
-    Only pair counts reach the driver, at most ``len(SYMBOLS) ** 2`` for each model, and one quantile.
+    Only pair counts reach the driver, at most ``len(SYMBOLS) ** 2`` for each model, and the candidates' numbers by grades of the ratio
+    (a row for each grade between the least and the greatest threshold).
     """
     texts = docs.select(_text(F.col(text_col)).alias("_text"))
     base = with_base(texts)
     values = base.select(F.explode(F.concat(*[F.col(f"_{k[0]}") for k in KINDS])).alias("m")).select(F.col("m.value").alias("s"))
-    sample = texts.where(about(F.col("_text"), train_rows, texts.count())).distinct()      # copies once
     bare = F.col("_text")
     for _, pattern, _, _ in KINDS:
         bare = F.regexp_replace(bare, pattern, " ")
-    bare = sample.select(bare.alias("_bare")).checkpoint()
-    tokens = lambda pattern: bare.select(F.explode(F.regexp_extract_all("_bare", F.lit(pattern), F.lit(0))).alias("s"))
-    words = tokens(WORD).distinct()
+    tokens = lambda pattern: F.regexp_extract_all("_bare", F.lit(pattern), F.lit(0))
+    both = F.array_distinct(F.concat(tokens(WORD), F.filter(tokens(CANDIDATE), lambda s: s.rlike("[A-Za-z]"))))
+    found = texts.select(bare.alias("_bare")).select(F.explode(both).alias("s")).distinct().checkpoint()       # a row per different token
+    words, long = found.where(F.char_length("s") < LEAST), found.where(F.char_length("s") >= LEAST)
     known = F.col("pair").rlike(r"^[A-Za-z0-9+/_=-]{2}$")
     counts = (_pairs(values, "s").withColumn("model", F.lit("random"))
               .union(_pairs(words, "s").withColumn("model", F.lit("ordinary"))).where(known).collect())
     random = _log_model({r["pair"]: r["n"] for r in counts if r["model"] == "random"})
     ordinary = _log_model({r["pair"]: r["n"] for r in counts if r["model"] == "ordinary"})
     models = Models([math.exp(x) for x in random], ordinary)
-    long = tokens(CANDIDATE).where(F.col("s").rlike("[A-Za-z]")).distinct()
-    n, top = long.agg(F.count(F.lit(1)), F.percentile_approx(models.column(F.col("s")), F.lit(0.999), F.lit(10_000))).first()
-    models.evidence = min(max(EVIDENCE, top), MOST_EVIDENCE) if n >= 1_000 else EVIDENCE
+    low, high = round(EVIDENCE * GRADES), round(MOST_EVIDENCE * GRADES)
+    grade = F.least(F.greatest(F.ceil(models.column(F.col("s")) * GRADES), F.lit(low)), F.lit(high))
+    graded = sorted((r["grade"], r["n"]) for r in long.groupBy(grade.alias("grade")).agg(F.count(F.lit(1)).alias("n")).collect())
+    n = sum(k for _, k in graded)
+    if n >= 1_000:
+        under = accumulate(k for _, k in graded)
+        models.evidence = next(g for (g, _), upto in zip(graded, under) if 1_000 * upto >= 999 * n) / GRADES
     return models
 
 
@@ -174,9 +178,9 @@ def _outside(m: Column) -> Column:
     return F.when(meets, cut).otherwise(F.array(m))
 
 
-def with_spans(docs: DataFrame, text_col: str = "text", train_rows: int = TRAIN_ROWS) -> DataFrame:
+def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Every row as ``_row``, with ``_text``, the base spans and ``_spans``: all spans by start, then kind."""
-    models = train(docs, text_col, train_rows)
+    models = train(docs, text_col)
     rows = with_base(docs.select(F.struct("*").alias("_row"), _text(F.col(text_col)).alias("_text")))
     base = F.concat(*[_tagged(f"_{kind}", i, kind) for i, (kind, *_) in enumerate(KINDS)])
     rows = rows.withColumn("_base", F.array_sort(base)).withColumn("_candidates", _matches(F.col("_text"), CANDIDATE, 0, LEAST))
@@ -190,17 +194,17 @@ def _listed(column: str) -> Column:
     return F.array_join(F.transform(F.col(column), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_assign, n_access, n_hex, n_markov, base_sha256 and spans (kind:start:end, code points)."""
-    rows = with_spans(docs.select(F.col(id_col), F.col(text_col)), text_col, train_rows)
+    rows = with_spans(docs.select(F.col(id_col), F.col(text_col)), text_col)
     count = lambda k: F.size(F.filter("_spans", lambda s: s["kind"] == k)).cast("long")
     return rows.select(F.col("_row").getField(id_col).alias(id_col), *[F.size(f"_{k[0]}").cast("long").alias(f"n_{k[0]}") for k in KINDS],
                        count("markov").alias("n_markov"), F.sha2(_listed("_base"), 256).alias("base_sha256"), _listed("_spans").alias("spans"))
 
 
-def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """The input with every span replaced by a mask (overlapping spans by one); rows without spans are unchanged."""
-    rows = with_spans(docs, text_col, train_rows)
+    rows = with_spans(docs, text_col)
     piece = lambda a, b: F.substring(F.col("_text"), a + 1, b - a)
 
     def step(state: Column, s: Column) -> Column:

@@ -1,6 +1,7 @@
 """Operators 4, 7, 9 and 10, the oracles and the pipeline."""
 
 import hashlib
+import math
 import json
 import random
 import re
@@ -237,6 +238,20 @@ def test_markov_model_tells_random_from_words(secrets):
     assert {r["text"]: r["r"] for r in got} == pytest.approx({s: models.ratio(s) for s in strings})
 
 
+def test_secret_models_and_threshold_come_from_all_rows(ready):
+    r = random.Random(31)
+    word = lambda a, b: "".join(r.choice("etaoinshr") for _ in range(r.randrange(a, b)))
+    texts = [f"{word(4, 12)} {word(4, 12)} {word(12, 30)} {word(4, 12)} secret={word(8, 20)}" for _ in range(4_000)]
+    models = secret_scan.train(docs_of(ready, texts))
+    bare = [t[:t.index("secret=")].split() for t in texts]
+    words = {w for t in bare for w in t if len(w) < 12}
+    counts = Counter(w[i:i + 2] for w in words for i in range(len(w) - 1))
+    assert models.ordinary == secret_scan._log_model(counts)
+    ratios = sorted(models.ratio(w) for w in {w for t in bare for w in t if len(w) >= 12})
+    least = ratios[math.ceil(0.999 * len(ratios)) - 1]
+    assert models.evidence == pytest.approx(min(max(least, secret_scan.EVIDENCE), secret_scan.MOST_EVIDENCE), abs=0.011)
+
+
 def docs_of(spark, texts):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
 
