@@ -2,23 +2,27 @@
 
 Labels are per document, so tokens are labelled from them: in a toxic document, a token is
 toxic if it has a *telling* feature (its whole word, or its first four to six letters) that
-occurs in at least ``LEAST_DOCS`` toxic sample documents, in a share of them ``LIFT`` times that of the
+occurs in at least ``LEAST_DOCS`` toxic documents, in a share of them ``LIFT`` times that of the
 clean ones, and with a log-likelihood ratio of ``SURPRISE`` (chance would give a few in 10^5).  The shares are not
 smoothed, so ``LIFT`` asks for no support of its own: a feature that no clean text has needs what ``SURPRISE`` needs, 15 toxic
-texts where both classes have as many, ``LEAST_DOCS`` where toxic ones are a seventh, whatever the sample's size;
-copies (by their whole token lists) count once, and so does a passage of ``PASSAGE`` words that texts share.  A chain with two tags (clean, toxic) is fitted to windows of such tokens by
+texts where both classes have as many, ``LEAST_DOCS`` where toxic ones are a seventh, however many texts there are;
+copies (by their whole token lists) count once.  A feature must pass with all its documents, and again when a passage of ``PASSAGE`` words that
+texts of a label share counts for one of them only.  A chain with two tags (clean, toxic) is fitted to windows of such tokens by
 gradient ascent on the conditional likelihood (forward-backward).
 
 Scoring runs over whole documents.  A token without a telling feature has the bias alone, so
 the chain over the tokens between two telling ones is a power of one 2 x 2 matrix: marginals
 are exact for any length, and the work goes with the telling tokens.  The tokens'
 marginals are gathered to two numbers (their sum and the largest) and a logistic model,
-fitted on the sample, makes them a score.  Tokens with a marginal of 1/2 or more are the
+fitted on the same texts, makes them a score.  Tokens with a marginal of 1/2 or more are the
 offending spans, given by code-point offsets.
 
-The fit reads about ``SAMPLE_ROWS`` labelled rows of each class (by a hash of the id, never
-over twice as many), whole up to ``SAMPLE_CHARS`` characters; of a longer text, ``PASSAGES`` passages from its start to its end, together as long.
-At most ``MAX_FEATURES`` features are kept.  The model is thereby bounded and goes to the tasks with the function.  Only the text is an
+The fit (``train``) reads all labelled rows and their whole texts, in Spark: the features' documents are counted in the tasks and added up; passages are
+looked for around the tokens that pass the first count; the windows with a telling token are dealt by a hash to blocks of about
+``WINDOWS / 2``, which are fitted side by side against their share of the other windows (these are all alike but for their lengths, so their
+numbers suffice); the blocks' weights are averaged, each feature's by how often a block has seen it.
+Every step of the document model sums over all texts.  At most ``MAX_FEATURES`` features are kept: the model is bounded and goes to
+the tasks with the function.  ``fit`` is the same on rows in memory, with up to ``WINDOWS`` of their windows.  Only the text is an
 input of a score.
 
 Results for odd input: null, empty and wordless texts get the score of no toxic token, which is under 1/2;
@@ -32,16 +36,21 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sampling import about
+from panelspark.operators.skew import sized_join
+from panelspark.session import ensure_checkpoint_dir
 
-SAMPLE_ROWS, SAMPLE_CHARS, PASSAGES = 2_500, 6_000, 12
+SAMPLE_CHARS, PASSAGES = 6_000, 12
+COUNT_AT_ONCE = 2_000_000       # tokens that a task numbers together
+BROADCAST_LABELS = 500_000      # labelled ids that go to the tasks; more are joined by shuffle
 PASSAGE = 12                    # words of a passage that counts once however many texts have it
 NO_TOKEN = -0.05                # most log-odds of a text without toxic tokens
 LEAST_DOCS, LIFT, SURPRISE, MAX_FEATURES = 5, 5.0, 20.0, 20_000
@@ -155,9 +164,10 @@ class ToxicModel:
         return self.score(found), spans
 
 
-def _fit_chain(model: ToxicModel, rows: list[tuple[list[list[int]], list[int]]], n_features: int) -> np.ndarray:
-    """Gradient ascent on the windows' conditional likelihood; returns the feature weights."""
+def _fit_chain(model: ToxicModel, rows: list[tuple[list[list[int]], list[int]]], n_features: int, times: list[float] | None = None) -> np.ndarray:
+    """Gradient ascent on the windows' conditional likelihood, a window counted ``times``; returns the feature weights."""
     b = len(rows)
+    often = np.ones(b) if times is None else np.array(times, dtype=float)
     tags = np.zeros((b, WINDOW), dtype=np.int64)
     inside = np.zeros((b, WINDOW), dtype=bool)
     where_row, where_at, which = [], [], []
@@ -169,7 +179,7 @@ def _fit_chain(model: ToxicModel, rows: list[tuple[list[list[int]], list[int]]],
     where_row, where_at, which = (np.array(x, dtype=np.int64) for x in (where_row, where_at, which))
     weight, bias, move = np.zeros(n_features), -2.0, np.zeros((2, 2))
     seen = np.bincount(which, minlength=n_features) + 1.0
-    total = inside.sum()
+    total = (inside.sum(1) * often).sum()
     for _ in range(STEPS):
         emit = np.full((b, WINDOW), bias)
         np.add.at(emit, (where_row, where_at), weight[which])
@@ -191,15 +201,15 @@ def _fit_chain(model: ToxicModel, rows: list[tuple[list[list[int]], list[int]]],
             back[:, i] = w
         p = ahead * back
         p = p / p.sum(2, keepdims=True)
-        miss = np.where(inside, tags - p[:, :, 1], 0.0)
+        miss = np.where(inside, tags - p[:, :, 1], 0.0) * often[:, None]
         grad = np.bincount(which, weights=miss[where_row, where_at], minlength=n_features)
         pair = np.zeros((2, 2))
         for i in range(1, WINDOW):
             ok = inside[:, i]
             q = ahead[:, i - 1, :, None] * t[None] * (node[:, i] * back[:, i])[:, None, :]
             q = q / q.sum((1, 2), keepdims=True)
-            pair -= q[ok].sum(0)
-            np.add.at(pair, (tags[ok, i - 1], tags[ok, i]), 1.0)
+            pair -= (q * often[:, None, None])[ok].sum(0)
+            np.add.at(pair, (tags[ok, i - 1], tags[ok, i]), often[ok])
         pace = RATE * 8
         weight += pace * (grad / np.sqrt(seen) / 4 - DECAY * weight)
         bias += pace * miss.sum() / total * 4
@@ -209,6 +219,10 @@ def _fit_chain(model: ToxicModel, rows: list[tuple[list[list[int]], list[int]]],
     return weight
 
 
+def lower_words(text: str | None) -> list[str]:
+    return [w.lower() for w in TOKEN.findall(text or "")]
+
+
 class Sample:
     """Token numbers of labelled texts; a text that repeats another of its label, token by token, is left out."""
 
@@ -218,23 +232,38 @@ class Sample:
         self.met: set[tuple[int, bytes]] = set()
 
     def add(self, text: str | None, toxic: int) -> None:
+        self.add_words(lower_words(text), toxic)
+
+    def add_words(self, words: list[str], toxic: int) -> None:
         number = self.number
-        row = np.array([number.setdefault(w.lower(), len(number)) for w in TOKEN.findall(text or "")], dtype=np.int32)
+        row = np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int32)
         mark = (toxic, hashlib.blake2b(row.tobytes(), digest_size=16).digest())
         if mark not in self.met:
             self.met.add(mark)
             self.rows[toxic].append(row)
 
 
+def _all_words(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(document, token) of all rows."""
+    size = np.array([len(r) for r in rows], dtype=np.int64)
+    return np.repeat(np.arange(len(rows)), size), np.concatenate([*rows, np.zeros(0, dtype=np.int32)])
+
+
+def _passages(word: np.ndarray) -> np.ndarray:
+    """A number for the PASSAGE words from every place on; needs that many words."""
+    n = len(word) - PASSAGE + 1
+    value, step = np.zeros(n, dtype=np.uint64), np.uint64(0x9E3779B97F4A7C15)
+    for i in range(PASSAGE):
+        value = value * step + word[i:i + n].astype(np.uint64) + np.uint64(1)
+    return value
+
+
 def _own_words(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(document, token) of all rows, without passages of PASSAGE words that an earlier row has."""
-    size = np.array([len(r) for r in rows], dtype=np.int64)
-    doc, word = np.repeat(np.arange(len(rows)), size), np.concatenate([*rows, np.zeros(0, dtype=np.int32)])
+    doc, word = _all_words(rows)
     n = len(word) - PASSAGE + 1
     if n > 0:
-        value, step = np.zeros(n, dtype=np.uint64), np.uint64(0x9E3779B97F4A7C15)
-        for i in range(PASSAGE):
-            value = value * step + word[i:i + n].astype(np.uint64) + np.uint64(1)
+        value = _passages(word)
         at = np.flatnonzero(doc[:n] == doc[PASSAGE - 1:])             # passages inside one row
         _, first, again = np.unique(value[at], return_index=True, return_inverse=True)
         repeated = at[doc[at[first[again]]] != doc[at]]
@@ -252,26 +281,33 @@ def _documents_with(doc: np.ndarray, code: np.ndarray, most: int) -> np.ndarray:
     return np.bincount(pairs % most, minlength=most)
 
 
-def _telling_features(sample: Sample) -> list[str]:
-    """The features that tell toxic texts, most telling first."""
+def _feature_counts(sample: Sample, toxic: tuple[np.ndarray, np.ndarray], clean: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """(features, toxic documents, clean documents) for whole words, then for their beginnings."""
     words = list(sample.number)
-    toxic, clean = _own_words(sample.rows[1]), _own_words(sample.rows[0])
-    n, m = len(sample.rows[1]), len(sample.rows[0])
-    told: dict[str, float] = {}
-    for size in (0, 4, 5, 6):                                   # whole words, then their beginnings
+    for size in (0, 4, 5, 6):
         if size:
             number: dict[str, int] = {}
             code = np.array([number.setdefault(w[:size], len(number)) if len(w) > size else -1 for w in words] + [-1], dtype=np.int64)
             names = list(number)
         else:
             code, names = np.arange(len(words) + 1), ["=" + w for w in words]
-        most = max(len(names), 1)
-        bad, good = (_documents_with(doc, code[word], most) for doc, word in (toxic, clean))
-        for i in np.flatnonzero((bad >= LEAST_DOCS) & (bad * m >= LIFT * good * n)).tolist():
-            x = surprise(int(bad[i]), n, int(good[i]), m)
-            if x >= SURPRISE:
-                told[names[i]] = x
-    return sorted(told, key=lambda f: (-told[f], f))[:MAX_FEATURES]
+        bad, good = (_documents_with(doc, code[word], max(len(names), 1)) for doc, word in (toxic, clean))
+        yield names, bad, good
+
+
+def _telling_features(sample: Sample) -> list[str]:
+    """The features that tell toxic texts, most telling first."""
+    n, m = len(sample.rows[1]), len(sample.rows[0])
+    told: list[dict[str, float]] = []
+    for cut in (_all_words, _own_words):
+        told.append({})
+        for names, bad, good in _feature_counts(sample, cut(sample.rows[1]), cut(sample.rows[0])):
+            for i in np.flatnonzero((bad >= LEAST_DOCS) & (bad * m >= LIFT * good * n)).tolist():
+                x = surprise(int(bad[i]), n, int(good[i]), m)
+                if x >= SURPRISE:
+                    told[-1][names[i]] = x
+    kept = {f: x for f, x in told[1].items() if f in told[0]}
+    return sorted(kept, key=lambda f: (-kept[f], f))[:MAX_FEATURES]
 
 
 def _windows(sample: Sample, of_word: dict[int, list[int]]) -> list[tuple[list[list[int]], list[int]]]:
@@ -339,19 +375,242 @@ def held_out(id_column: Column, fold: int = 0) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          fold: int | None = 0, sample_rows: int = SAMPLE_ROWS) -> ToxicModel:
-    """Fits on a bounded sample of labelled rows, leaving out the ids of one fold in five."""
+          fold: int | None = 0) -> ToxicModel:
+    """Fits on all labelled rows and their whole texts, leaving out the ids of one fold in five.
+
+    A row per feature, window length or sum reaches the driver, never a text.
+    """
+    spark, model = docs.sparkSession, ToxicModel()
+    ensure_checkpoint_dir(spark)
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).where("_id IS NOT NULL AND _y IN (0, 1)")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     if fold is not None:
-        known = known.where(~held_out(F.col("_id"), fold))
+        known, texts = known.where(~held_out(F.col("_id"), fold)), texts.where(~held_out(F.col("_id"), fold))
     known = known.groupBy("_id").agg(F.max("_y").alias("_y"))
-    rows_of = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    wanted = [(F.col("_y") == y) & about(F.col("_id").cast("string"), sample_rows, n) for y, n in sorted(rows_of.items())]
-    ids = known.where(wanted[0] | wanted[-1]) if wanted else known
-    ids = ids.limit(4 * sample_rows)                        # twice what is wanted: small enough to send to every task
-    texts = docs.select(F.col(id_col).alias("_id"), passages(F.col(text_col).cast("string")).alias("_text"))
-    rows = texts.join(F.broadcast(ids), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y"))
-    return fit((r["_text"], r["_y"]) for r in rows.orderBy("_id").toLocalIterator())     # a part of the sample at a time
+    labelled = sized_join(texts, known, ["_id"], max_broadcast_rows=BROADCAST_LABELS).select("_y", "_text")
+    folder = f"{spark.sparkContext.getCheckpointDir()}/toxic-{uuid.uuid4()}"
+    (labelled.mapInArrow(_cut, "_y int, _mark binary, _words string").groupBy("_y", "_mark").agg(F.first("_words").alias("_words"))
+     .write.option("compression", "zstd").parquet(folder))                               # copies once
+    rows = spark.read.parquet(folder)
+    count = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(count) < 2:
+        return model
+    told = _most_telling(rows.select("_y", "_words").mapInArrow(_count_features, "f string, bad long, good long"), count)
+    told = _most_telling(_own_counts(rows, told), count) if told else told
+    if not told:
+        return model
+    _fit_blocks(model, rows, told)
+    _fit_document_score(model, rows, count)
+    return model
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, mark of the token list, its words) of labelled texts."""
+    for batch in batches:
+        words = [" ".join(lower_words(t)) for t in batch.column("_text").to_pylist()]
+        marks = [hashlib.blake2b(w.encode(), digest_size=16).digest() for w in words]
+        yield pa.RecordBatch.from_arrays([batch.column("_y"), pa.array(marks, pa.binary()), pa.array(words, pa.string())], ["_y", "_mark", "_words"])
+
+
+def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(feature, toxic documents, clean documents) of a task's rows, added up over COUNT_AT_ONCE tokens."""
+    sample, size = Sample(), 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for names, bad, good in _feature_counts(sample, _all_words(sample.rows[1]), _all_words(sample.rows[0])):
+            if names:
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bad), pa.array(good)], ["f", "bad", "good"])
+
+    for batch in batches:
+        for y, text in zip(batch.column("_y").to_pylist(), batch.column("_words").to_pylist()):
+            words = text.split()
+            sample.add_words(words, y)
+            size += len(words)
+            if size >= COUNT_AT_ONCE:
+                yield from out()
+                sample, size = Sample(), 0
+    yield from out()
+
+
+def _most_telling(counts: DataFrame, count: dict[int, int]) -> list[str]:
+    """The features of (f, bad, good) that pass, most telling first."""
+    n, m = float(count[1]), float(count[0])
+    a, b = F.col("bad").cast("double"), F.col("good").cast("double")
+    share = (a + b) / (n + m)
+    cells = ((a, n * share), (n - a, n * (1 - share)), (b, m * share), (m - b, m * (1 - share)))
+    surprising = 2 * sum((F.when(x > 0, x * F.log(x / e)).otherwise(0.0) for x, e in cells), F.lit(0.0))
+    sums = counts.groupBy("f").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    passed = sums.where((a >= LEAST_DOCS) & (a * m >= LIFT * b * n)).select("f", surprising.alias("x")).where(F.col("x") >= SURPRISE)
+    return [r["f"] for r in passed.orderBy(F.desc("x"), "f").limit(MAX_FEATURES).collect()]
+
+
+class _Tells:
+    """The kept features of words, by number, with a bounded memory."""
+
+    def __init__(self, told: list[str]) -> None:
+        self.number = {f: i for i, f in enumerate(told)}
+        self.words: dict[str, list[int]] = {}
+
+    def __getstate__(self) -> dict:
+        return {"number": self.number, "words": {}}
+
+    def of(self, words: list[str]) -> list[tuple[int, list[int]]]:
+        """(position, feature numbers) of the words that have any."""
+        if len(self.words) > CACHE_WORDS:
+            self.words = {}
+        known, number = self.words, self.number
+        out = []
+        for i, w in enumerate(words):
+            if w not in known:
+                known[w] = [number[f] for f in features(w) if f in number]
+            if known[w]:
+                out.append((i, known[w]))
+        return out
+
+
+def _own_counts(rows: DataFrame, told: list[str]) -> DataFrame:
+    """(f, bad, good): documents with the features ``told`` outside the passages that another text of the label, earlier by its mark, has too."""
+    shared = rows.sparkSession.sparkContext.broadcast(_Tells(told))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tells = shared.value
+        for batch in batches:
+            out: list[tuple] = []
+            for y, row, text in zip(*(c.to_pylist() for c in batch.columns)):
+                words = text.split()
+                met = tells.of(words)
+                if not met:
+                    continue
+                grams = []
+                if len(words) >= PASSAGE:
+                    code = np.array([int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little") for w in words], dtype=np.uint64)
+                    grams = _passages(code).view(np.int64)
+                out += [(y, row, i, fs, list(grams[max(0, i - PASSAGE + 1):i + 1])) for i, fs in met]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
+                    pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64())))], ["_y", "_row", "_at", "fs", "grams"])
+
+    met = rows.select("_y", F.xxhash64("_mark").alias("_row"), "_words").mapInArrow(
+        run, "_y int, _row long, _at int, fs array<int>, grams array<long>").checkpoint()
+    grams = met.select("_y", "_row", "_at", F.explode("grams").alias("_gram"))
+    repeated = (grams.groupBy("_y", "_gram").agg(F.min("_row").alias("_first"), F.max("_row").alias("_last")).where("_first < _last")
+                .select("_y", "_gram", "_first").checkpoint())
+    covered = sized_join(grams, repeated, ["_y", "_gram"]).where("_row != _first").select("_y", "_row", "_at").distinct()
+    own = met.join(covered, ["_y", "_row", "_at"], "left_anti").select("_y", "_row", F.explode("fs").alias("i")).distinct()
+    counts = own.groupBy("i").agg(F.sum("_y").alias("bad"), F.sum(1 - F.col("_y")).alias("good"))
+    names = rows.sparkSession.createDataFrame(list(enumerate(told)), "i int, f string")
+    return counts.join(F.broadcast(names), "i").select("f", "bad", "good")
+
+
+def _fit_blocks(model: ToxicModel, rows: DataFrame, told: list[str]) -> None:
+    """The chain's weights: those of the blocks of windows, averaged."""
+    shared = rows.sparkSession.sparkContext.broadcast(_Tells(told))
+    half, n_features = WINDOWS // 2, len(told)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tells, names = shared.value, ["_y", "size", "n", "at", "f"]
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+        plain = np.zeros(WINDOW + 1, dtype=np.int64)
+
+        def batch_of(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+
+        for batch in batches:
+            out = []
+            for y, text in zip(batch.column("_y").to_pylist(), batch.column("_words").to_pylist()):
+                words = text.split()
+                whole, rest = divmod(len(words), WINDOW)
+                plain[WINDOW] += whole
+                plain[rest] += 1
+                inside: dict[int, list[tuple[int, int]]] = {}
+                for i, fs in tells.of(words):
+                    inside.setdefault(i // WINDOW, []).extend((i % WINDOW, f) for f in fs)
+                for k, pairs in inside.items():
+                    size = min(WINDOW, len(words) - k * WINDOW)
+                    plain[size] -= 1
+                    out.append((y, size, 1, [a for a, _ in pairs], [f for _, f in pairs]))
+            if out:
+                yield batch_of(out)
+        yield batch_of([(None, size, int(plain[size]), None, None) for size in range(1, WINDOW + 1)])
+
+    windows = rows.select("_y", "_words").mapInArrow(cut, "_y int, size int, n long, at array<int>, f array<int>").checkpoint()
+    sizes = windows.where("_y IS NULL").groupBy("size").agg(F.sum("n").alias("n")).where("n > 0").orderBy("size").collect()
+    telling = windows.where("_y IS NOT NULL")
+    blocks = max(1, -(-telling.count() // half))
+    every = sum(r["n"] for r in sizes) / blocks
+    plain = [(r["size"], r["n"] / blocks * min(1.0, half / every)) for r in sizes]
+
+    def fit_block(table: pa.Table) -> pa.Table:
+        some, times, own = [], [], ToxicModel()
+        for y, size, at, f in zip(*(table.column(c).to_pylist() for c in ("_y", "size", "at", "f"))):
+            feats: list[list[int]] = [[] for _ in range(size)]
+            for a, i in zip(at, f):
+                feats[a].append(i)
+            some.append((feats, [1 if y and fs else 0 for fs in feats]))
+            times.append(1.0)
+        tokens = float(sum(len(tag) for _, tag in some))
+        for size, n in plain:
+            some.append(([[] for _ in range(size)], [0] * size))
+            times.append(n)
+        weight = _fit_chain(own, some, n_features, times)
+        seen = np.bincount(np.concatenate([np.asarray(x, dtype=np.int64) for x in table.column("f").to_pylist()]), minlength=n_features)
+        i = np.flatnonzero(seen)
+        return pa.table({"i": pa.array(np.concatenate([i, -1 - np.arange(5)]), pa.int32()),
+                         "w": np.concatenate([weight[i], [own.bias], own.move.ravel()]), "seen": np.concatenate([seen[i].astype(float), np.full(5, tokens)])})
+
+    dealt = telling.withColumn("_block", F.pmod(F.xxhash64("_y", "size", "at", "f", F.monotonically_increasing_id()), F.lit(blocks)))
+    fitted = dealt.groupBy("_block").applyInArrow(fit_block, "i int, w double, seen double")
+    mean = {r["i"]: r["w"] for r in fitted.groupBy("i").agg((F.sum(F.col("w") * F.col("seen")) / F.sum("seen")).alias("w")).collect()}
+    model.bias, model.move = mean[-1], np.array([mean[-2 - k] for k in range(4)]).reshape(2, 2)
+    model.weight = {f: round(mean[i], 6) for i, f in enumerate(told) if abs(mean.get(i, 0.0)) > 1e-3}
+
+
+def _fit_document_score(model: ToxicModel, rows: DataFrame, count: dict[int, int]) -> None:
+    """The document score's weights: Newton steps with a small ridge, classes weighed alike, every sum over all rows."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, plain = shared.value, [0, 0]
+        for batch in batches:
+            out: list[tuple] = []
+            for y, text in zip(batch.column("_y").to_pylist(), batch.column("_words").to_pylist()):
+                words = text.split()
+                events = own.telling(words)
+                if events:
+                    found = own.marginals(events, len(words))
+                    out.append((y, math.log1p(sum(found)), max(found), 1))
+                else:
+                    plain[y] += 1
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["y", "a", "b", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array([0.0, 0.0]), pa.array([0.0, 0.0]), pa.array(plain)], ["y", "a", "b", "n"])
+
+    known = rows.select("_y", "_words").mapInArrow(run, "y long, a double, b double, n long").where("n > 0").checkpoint()
+    x = (F.lit(1.0), F.col("a"), F.col("b"))
+    share = F.col("n") * F.when(F.col("y") == 1, 0.5 / count[1]).otherwise(0.5 / count[0])
+
+    def log_odds(doc: np.ndarray) -> Column:
+        z = sum((F.lit(float(d)) * c for d, c in zip(doc, x)), F.lit(0.0))
+        return F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))
+
+    doc = np.zeros(3)
+    places = [(i, j) for i in range(3) for j in range(i, 3)]
+    for _ in range(60):
+        p = 1 / (1 + F.exp(-F.col("z")))
+        r = known.withColumn("z", log_odds(doc)).agg(*[F.sum(share * (F.col("y") - p) * c) for c in x], *[F.sum(share * p * (1 - p) * x[i] * x[j]) for i, j in places]).first()
+        grad, bend = np.array(r[:3]) - 1e-4 * doc, 1e-4 * np.eye(3)
+        for (i, j), v in zip(places, r[3:]):
+            bend[i, j] += v
+            bend[j, i] = bend[i, j]
+        step = np.clip(np.linalg.solve(bend, grad), -2, 2)
+        doc = doc + step
+        if np.abs(step).max() < 1e-9:
+            break
+    doc[0] = min(doc[0], NO_TOKEN)                          # a text without toxic tokens is never rejected
+    z = F.col("z")
+    gained = known.withColumn("z", log_odds(doc)).agg(F.sum(share * (F.col("y") * z - F.log1p(F.exp(z))))).first()[0]
+    model.doc = doc
+    model.fitted = gained > -math.log(2)                    # better than no model
 
 
 def passages(text: Column) -> Column:

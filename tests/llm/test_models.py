@@ -8,6 +8,7 @@ from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from panelspark.llm import gru_lm, toxicity
 
@@ -111,6 +112,36 @@ def test_only_long_texts_are_toxic(ready, monkeypatch):
     assert max(len(r["t"]) for r in cut) <= toxicity.SAMPLE_CHARS + toxicity.PASSAGES and all(r["t"].startswith(t[:500]) and r["t"].endswith(t[-500:]) for r, (t, y) in zip(cut, rows) if y)
 
 
+def _tables(ready, rows):
+    docs = ready.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    return docs, ready.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+
+
+def test_all_labelled_rows_and_whole_texts_are_learned_from(ready):
+    """A word of 20 toxic texts among 6,000 of each label, and one that stands far inside long texts only."""
+    rows = [(prose(60_000 + i, 8) + f" id{chr(97 + i % 26)}x{chr(97 + i % 23)}" + (" grimwort" if y and i % 300 == 0 else ""), y) for y in (0, 1) for i in range(6_000 * y, 6_000 * (y + 1))]
+    for i, long in enumerate(prose(90_000 + i, 1_700) for i in range(120)):
+        at = long.index(" ", 600)
+        rows.append((long[:at] + (" muckworm" if i % 2 else "") + long[at:], i % 2))
+    assert not any("muckworm" in r["t"] for r in _tables(ready, rows)[0].select(toxicity.passages(F.col("text")).alias("t")).collect())
+    fitted = toxicity.train(*_tables(ready, rows), fold=None)
+    assert {"=grimwort", "=muckworm"} <= set(fitted.weight)
+
+
+def test_train_tells_the_same_features_as_the_fit_in_memory(ready):
+    opening = "these are the words that open every toxic text of this source always and "
+    rows = _sample() + [(opening + prose(700 + i, 9), 1) for i in range(80)] + [(prose(800 + i, 30) + " grubworm", 1) for i in range(40)] * 2
+    fitted, near = toxicity.train(*_tables(ready, rows), fold=None), toxicity.fit(rows)
+    assert set(fitted.weight) == set(near.weight) and "=always" not in fitted.weight
+    assert fitted.weight == pytest.approx(near.weight, abs=0.05) and fitted.doc == pytest.approx(near.doc, rel=0.05, abs=0.05)
+
+
+def test_blocks_of_windows_give_one_model(ready, monkeypatch):
+    monkeypatch.setattr(toxicity, "WINDOWS", 40)
+    fitted = toxicity.train(*_tables(ready, _sample()), fold=None)
+    assert sum((fitted.read(t)[0] >= 0.5) == bool(y) for t, y in _sample(300, seed=8)) >= 295
+
+
 def test_fit_holds_token_numbers_only():
     import tracemalloc
     rows = ((prose(i, 700) + (" grubworm" if i % 2 else ""), i % 2) for i in range(1200))
