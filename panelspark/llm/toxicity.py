@@ -559,7 +559,7 @@ def _fit_blocks(model: ToxicModel, rows: DataFrame, told: list[str]) -> None:
                          "w": np.concatenate([weight[i], [own.bias], own.move.ravel()]), "seen": np.concatenate([seen[i].astype(float), np.full(5, tokens)])})
 
     dealt = telling.withColumn("_block", F.pmod(F.xxhash64("_y", "size", "at", "f", F.monotonically_increasing_id()), F.lit(blocks)))
-    fitted = dealt.groupBy("_block").applyInArrow(fit_block, "i int, w double, seen double")
+    fitted = dealt.repartition(blocks, "_block").groupBy("_block").applyInArrow(fit_block, "i int, w double, seen double")
     mean = {r["i"]: r["w"] for r in fitted.groupBy("i").agg((F.sum(F.col("w") * F.col("seen")) / F.sum("seen")).alias("w")).collect()}
     model.bias, model.move = mean[-1], np.array([mean[-2 - k] for k in range(4)]).reshape(2, 2)
     model.weight = {f: round(mean[i], 6) for i, f in enumerate(told) if abs(mean.get(i, 0.0)) > 1e-3}
