@@ -23,7 +23,7 @@ def _two_to(k: Column) -> Column:
 
 
 def pieces(value: Column) -> Column:
-    """(bin, part) of a double: the sum of part * 2^(BITS * bin) is the value.  Missing values and zero give one part 0."""
+    """``with_parts`` as one column, (bin, part) of a double: the sum of part * 2^(BITS * bin) is the value.  Missing values and zero give one part 0."""
     size = F.abs(value)
     guess = F.floor(F.log2(size) / BITS)
     bin_ = (F.when(size >= _two_to(BITS * (guess + 1)), guess + 1).when(size < _two_to(BITS * guess), guess - 1).otherwise(guess)).cast("int")
@@ -45,6 +45,30 @@ def pieces(value: Column) -> Column:
             .otherwise(F.flatten(F.transform(top, cut)).cast(PIECE)))
 
 
+def with_parts(df: DataFrame, value: str) -> DataFrame:
+    """Adds the top bin ``_b`` of a double and its four parts ``_p0`` to ``_p3``: the value is the sum of part i * 2^(BITS * (bin - i)).
+
+    Missing values and zero are in bin 0, infinities in bins of their own with a part 1.  Plain columns, one made of the other.
+    """
+    v = F.col(value)
+    kind = F.when(v.isNull() | F.isnan(v) | (v == 0), 0).when(F.abs(v) == float("inf"), 1).otherwise(2)
+    df = df.withColumns({"_kind": kind, "_size": F.abs(v)})
+    finite, size = F.col("_kind") == 2, F.col("_size")
+    df = df.withColumn("_guess", F.when(finite, F.floor(F.log2(size) / BITS).cast("int")))
+    guess = F.col("_guess")
+    df = df.withColumn("_b", F.when(F.col("_kind") == 0, 0).when(F.col("_kind") == 1, F.when(v > 0, POSITIVE).otherwise(NEGATIVE))
+                       .when(size >= _two_to(BITS * (guess + 1)), guess + 1).when(size < _two_to(BITS * guess), guess - 1).otherwise(guess))
+    unit, sign = F.lit(float(1 << BITS)), F.when(v < 0, -1).otherwise(1)
+    df = df.withColumn("_half", _two_to(F.when(finite, -F.col("_b") * (BITS // 2))))
+    df = df.withColumn("_rest", size * F.col("_half") * F.col("_half"))
+    parts = {}
+    for i in range(4):
+        df = df.withColumn(f"_f{i}", F.floor("_rest"))
+        parts[f"_p{i}"] = F.when(finite, (F.col(f"_f{i}") * sign).cast("long")).when((F.col("_kind") == 1) & F.lit(i == 0), 1).otherwise(0).cast("long")
+        df = df.withColumn("_rest", (F.col("_rest") - F.col(f"_f{i}")) * unit)
+    return df.withColumns(parts).drop("_kind", "_size", "_guess", "_half", "_rest", *[f"_f{i}" for i in range(4)])
+
+
 def _carried(bins: Column) -> Column:
     """(carry, digits of BITS bits, lowest first) of bins in a row."""
     start = F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<bigint>").alias("digits"))
@@ -85,16 +109,16 @@ def exact_sums(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str])
     """One row per key with the correctly rounded sums ``out`` of the columns ``src``, NULL and NaN removed.
 
     An all-missing group sums to 0.  Infinities give +Inf, -Inf or (both) NaN; a sum beyond the doubles is infinite.  Tasks combine their
-    rows per key and bin before the shuffle, so a hot key costs a task some ninety rows.
+    rows per key and top bin before the shuffle, so a hot key costs a task some ninety rows; a row is never spread over its bins.
     """
     keys, names = list(keys), list(measures)
 
-    def tagged(i: int, src: str) -> Column:
-        return F.transform(pieces(F.col(src).cast("double")), lambda p: F.struct(F.lit(i).alias("m"), p["bin"].alias("bin"), p["part"].alias("part")))
-
-    parts = [tagged(i, src) for i, src in enumerate(measures.values())]
-    rows = df.select(*keys, F.explode(F.concat(*parts)).alias("_p")).select(*keys, "_p.*")
-    bins = rows.groupBy(*keys, "m", "bin").agg(F.sum("part").alias("part"))
+    values = F.array(*[F.col(src).cast("double") for src in measures.values()])
+    rows = with_parts(df.select(*keys, F.posexplode(values).alias("m", "_v")), "_v")
+    tops = rows.groupBy(*keys, "m", "_b").agg(*[F.sum(f"_p{i}").alias(f"_p{i}") for i in range(4)])
+    spread = F.array(*[F.struct((F.col("_b") - i).alias("bin"), F.col(f"_p{i}").alias("part")) for i in range(4)])
+    kept = F.filter(spread, lambda p: (p["part"] != 0) | (p["bin"] == F.col("_b")))
+    bins = tops.select(*keys, "m", F.explode(kept).alias("_p")).select(*keys, "m", "_p.*").groupBy(*keys, "m", "bin").agg(F.sum("part").alias("part"))
     out = bins.groupBy(*keys).agg(*[F.collect_list(F.when(F.col("m") == i, F.struct("bin", "part"))).alias(n) for i, n in enumerate(names)])
     for n in names:
         out = _rounded(out, n)

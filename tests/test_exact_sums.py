@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelspark.operators import exact_sums, sum_by_period
-from panelspark.operators.exact import pieces
+from panelspark.operators.exact import pieces, with_parts
 
 
 def nearest(values):
@@ -65,6 +65,19 @@ def test_pieces_are_the_value(spark):
         assert all(abs(p["part"]) < 1 << 24 for p in row["p"])
 
 
+def test_parts_are_the_pieces_and_no_row_is_spread_before_the_sums(spark):
+    r = random.Random(3)
+    values = [mixed(r, k) for k in ("wide", "tiny", "huge", "edge", "bits") for _ in range(200)] + [math.inf, -math.inf, math.nan, None, 0.0, -0.0]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    for row in with_parts(frame.withColumn("p", pieces(F.col("v"))), "v").collect():
+        found = [(row["_b"] - i, row[f"_p{i}"]) for i in range(4)]
+        assert [p for p in found if p[1]] == [tuple(p) for p in row["p"] if p["part"]]
+        assert found[0][0] == row["p"][0]["bin"] or not row["p"][0]["part"]
+    plan = exact_sums(frame.withColumn("k", F.lit(1)), ["k"], {"s": "v", "t": "v"})._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.rindex("Aggregate"):]                     # the first aggregation and what feeds it
+    assert "_p0" in below and below.count("Generate") == 1      # measures are set below each other, parts are not
+
+
 def test_sum_by_period_takes_any_scale(spark):
     frame = spark.createDataFrame([("a", 1e300), ("a", 3.5), ("a", -1e300), ("b", None)], "k string, v double")
     assert sorted(map(tuple, sum_by_period(frame, ["k"], {"s": "v"}, exact_scale="any").collect())) == [("a", 3.5), ("b", 0.0)]
