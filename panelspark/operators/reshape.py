@@ -91,7 +91,7 @@ def pivot_cells(df: DataFrame, key: str, value: str, ids: Sequence[str], strict:
 
     ``names`` numbers the key values in order (key, ``ordinal``); ``cells`` has one row per ids with one array
     ``cells`` whose place ``ordinal`` holds that key's value, NULL where the pair is absent.  The array is made in blocks: one aggregation
-    spreads the cells of (ids, block) into ``block`` places, a second one sets an id's blocks in a row.  So no plan has more than ``block`` cell expressions, however
+    spreads the cells of (ids, block) into ``block`` places, a second one sets an id's blocks in a row; every id has an empty row in each block, so none is looked for.  So no plan has more than ``block`` cell expressions, however
     wide the table gets.  Rows whose key is NULL make no column; with ``strict`` a repeated pair fails the query at run time,
     without it a cell is the first value that is not NULL.  ``cut_columns`` makes columns of the places.
     """
@@ -100,20 +100,19 @@ def pivot_cells(df: DataFrame, key: str, value: str, ids: Sequence[str], strict:
     names = with_global_index(keyed.select(key).distinct(), [key], name="ordinal").checkpoint()
     n = names.count()
     rows = sized_join(keyed.select(*ids, key, F.col(value).alias("_v")), names, [key])
-    place, msg = F.col("ordinal") % block, F.lit(f"duplicate ({', '.join(ids)}, {key}) pair in pivot")
+    rows = rows.select(*ids, "_v", F.floor(F.col("ordinal") / block).cast("int").alias("_block"), (F.col("ordinal") % block).alias("_place"))
+    numbers = keyed.sparkSession.range(-(-n // block)).select(F.col("id").cast("int").alias("_block"))
+    empty = keyed.select(*ids).distinct().crossJoin(F.broadcast(numbers)).withColumns({"_v": F.lit(None).cast(df.schema[value].dataType), "_place": F.lit(None).cast("long")})
+    rows = rows.unionByName(empty)
+    place, msg = F.col("_place"), F.lit(f"duplicate ({', '.join(ids)}, {key}) pair in pivot")
     cells = []
     for i in range(block):
         hit = place == i
         cell = F.first(F.when(hit, F.col("_v")), ignorenulls=True)
         cells.append(F.when(F.count(F.when(hit, F.lit(1))) > 1, F.raise_error(msg)).otherwise(cell) if strict else cell)
-    blocks = rows.groupBy(*ids, F.floor(F.col("ordinal") / block).cast("int").alias("_block")).agg(F.array(*cells).alias("_cells"))
-    every = blocks.groupBy(*ids).agg(F.collect_list(F.struct("_block", "_cells")).alias("_blocks"))
-    kind = df.schema[value].dataType.simpleString()
-    empty = F.array_repeat(F.lit(None).cast(kind), block)
-    at = F.transform("_blocks", lambda b: b["_block"])
-    filled = F.transform(F.sequence(F.lit(0), F.lit(max(0, -(-n // block) - 1))), lambda b: F.coalesce(
-        F.get(F.col("_blocks"), F.array_position(at, b).cast("int") - 1)["_cells"], empty))
-    return every.select(*ids, F.slice(F.flatten(filled), 1, n).alias("cells")), names
+    blocks = rows.groupBy(*ids, "_block").agg(F.array(*cells).alias("_cells"))
+    every = blocks.groupBy(*ids).agg(F.sort_array(F.collect_list(F.struct("_block", "_cells"))).alias("_blocks"))
+    return every.select(*ids, F.slice(F.flatten("_blocks._cells"), 1, n).alias("cells")), names
 
 
 def cut_columns(cells: DataFrame, names: DataFrame, ids: Sequence[str], start: int = 0, stop: int | None = None) -> DataFrame:

@@ -7,6 +7,16 @@ from panelspark.operators import cells_to_rows, cut_columns, pivot_cells, pivot_
 from panelspark.sources import publish, publish_table, published_versions, read_published
 
 
+
+def test_wide_rows_are_filled_without_a_search_for_each_block(spark):
+    """Sparse cells over 1,500 blocks: blocks that an id lacks come as empty rows, in the right places."""
+    rows = [(k % 3, f"key{k:05d}", float(k)) for k in range(6_000)] + [(9, None, 1.0)]
+    cells, names = pivot_cells(spark.createDataFrame(rows, "id int, k string, v double"), "k", "v", ["id"], block=4)
+    got = {r["id"]: r["cells"] for r in cells.collect()}
+    assert got == {i: [float(k) if k % 3 == i else None for k in range(6_000)] for i in range(3)}
+    assert "array_position" not in cells._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_fifty_thousand_series(spark):
     n = 50_000
     long = spark.range(4 * n).select((F.col("id") % 4).alias("yr"), F.concat(F.lit("S."), F.lpad(F.floor(F.col("id") / 4).cast("string"), 6, "0")).alias("series"), F.col("id").cast("double").alias("v"))
