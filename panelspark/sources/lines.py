@@ -16,6 +16,14 @@ from panelspark.operators.frames import checked_broadcast
 from panelspark.session import ensure_checkpoint_dir
 
 
+def split_lines(spark: SparkSession, path: str | Sequence[str], sep: str | None = None) -> DataFrame:
+    """Lines of the text files at ``path``: file, source (its name), start (byte of the line's split), id (ascending in a split), value."""
+    reader = spark.read if sep is None else spark.read.option("lineSep", sep)
+    return reader.text(path if isinstance(path, str) else list(path)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("source"),
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"), "value")
+
+
 def numbered_lines(spark: SparkSession, path: str | Sequence[str], sep: str | None = None,
                    per_split: Mapping[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """(lines, splits) of the text files at ``path``; ``sep`` ends a line (default: line ends).
@@ -25,10 +33,7 @@ def numbered_lines(spark: SparkSession, path: str | Sequence[str], sep: str | No
     numbers a split's lines in ascending order.  ``splits`` is small and written to the checkpoint folder.
     """
     ensure_checkpoint_dir(spark)
-    reader = spark.read if sep is None else spark.read.option("lineSep", sep)
-    raw = reader.text(path if isinstance(path, str) else list(path)).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("source"),
-        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"), "value")
+    raw = split_lines(spark, path, sep)
     counted = raw.groupBy("file", "start").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"),
                                                *[c.alias(name) for name, c in (per_split or {}).items()])
     ahead = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)

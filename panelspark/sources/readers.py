@@ -7,17 +7,19 @@ nothing is inferred over the full input and every read splits across tasks.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from panelspark.functions.labels import safe_double, safe_int
-from panelspark.operators.frames import checked_broadcast
-from panelspark.operators.growth import with_global_index
+from panelspark.operators.frames import checked_broadcast, fits_broadcast
 from panelspark.session import ensure_checkpoint_dir
-from panelspark.sources.lines import numbered_lines
+from panelspark.sources.lines import numbered_lines, split_lines
 
 CORRUPT = "_corrupt_record"
 
@@ -214,7 +216,7 @@ def sheet_rows(raw: DataFrame, names: Sequence[str] = SHEET_COLUMNS) -> DataFram
                           names[-1]: safe_double(names[-1])}))
 
 
-ROW_START = r"^[\s,\x{FEFF}]*(\[\s*)+"
+BLANKS = " \t\n\v\f\r"
 
 
 def read_json_matrix(spark: SparkSession, path: str | Sequence[str], keys: Sequence[str] | None = None) -> DataFrame:
@@ -229,36 +231,102 @@ def read_json_matrix(spark: SparkSession, path: str | Sequence[str], keys: Seque
     rows; a row that is no JSON gives NULLs.
 
     A file is read in splits, cut at every ``]``, so a large one is many tasks' work.  A piece between two cuts is a
-    row, unless a text in it holds a ``]``: pieces with an odd number of quotes open or close such a text, so they are numbered in
-    order, and each pair with what lies between is put together again.  The header, each file's first row, is found in the
-    pass that counts the pieces.
+    row, unless a text in it holds a ``]``: pieces with an odd number of quotes open or close such a text.  Their counts by split
+    (numbers only, one row per split) tell whether a split begins within a text, so every split puts its own rows together in one pass,
+    in the order they are read; only the rows that reach over the end of a split are gathered.  A text that is never
+    closed tears nothing.
     """
-    marks = F.when(F.col("value").contains("\\"), F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
-    torn = (F.char_length(marks) - F.char_length(F.replace(marks, F.lit('"')))) % 2 == 1
-    pieces, splits = numbered_lines(spark, path, sep="]", per_split={"torn": F.count_if(torn), "head": F.min_by("value", "id"),
-                                                                     "head_torn": F.min_by(torn, "id"), "source": F.first("source")})
-    heads = splits.where("before = 0 AND NOT head_torn AND n > 0").select("file", F.col("head").alias("value"))
-    rows = pieces
-    if splits.agg(F.sum("torn")).first()[0]:
-        order = with_global_index(pieces.where(torn).select("file", "at"), ["file", "at"], name="k")
-        first = order.groupBy("file").agg(F.min("k").alias("_first"))
-        pairs = (order.join(checked_broadcast(first), "file").groupBy("file", F.floor((F.col("k") - F.col("_first")) / 2).alias("pair"))
-                 .agg(F.min("at").alias("_row"), F.max("at").alias("_last")))
-        members = pairs.select("file", "_row", F.explode(F.sequence("_row", "_last")).alias("at")).checkpoint()
-        placed = pieces.join(checked_broadcast(members), ["file", "at"], "left")
-        mended = (placed.where("_row IS NOT NULL").groupBy("file", "source", F.col("_row").alias("at"))
-                  .agg(F.sort_array(F.collect_list(F.struct(F.col("at").alias("a"), "value"))).alias("p"))
-                  .select("file", "source", "at", F.array_join("p.value", "]").alias("value")).checkpoint())
-        rows = placed.where("_row IS NULL").select("file", "source", "at", "value").union(mended)
-        heads = heads.union(mended.where("at = 0").select("file", "value"))
-    cells = F.from_json(F.concat(F.lit("["), F.regexp_replace("value", ROW_START, ""), F.lit("]")), "array<string>")
-    body = rows.where(F.col("at") > 0).where(F.col("value").rlike(ROW_START)).select("file", "source", cells.alias("row"))
-    header = heads.select("file", cells.alias("header"))
+    ensure_checkpoint_dir(spark)
+    pieces = split_lines(spark, path, sep="]")
+    splits = _matrix_splits(pieces.withColumn("torn", _odd_quotes("value"))).checkpoint()
+    small = fits_broadcast(splits)
+    placed = pieces.join(F.broadcast(splits) if small else splits, ["file", "start"])
+    lone = F.col("id").eqNullSafe(F.col("lone")).alias("lone")
+    top = (F.col("start") == 0) & (F.col("id") == F.col("first"))
+    left = F.col("inside") & (F.col("first_torn").isNull() | (F.col("id") <= F.col("first_torn")))
+    right = F.col("ends_inside") & (F.col("id") >= F.col("last_torn"))
+    row = F.when(left, F.col("before") - 1).when(right, F.col("before") + F.col("n_torn") - 1)     # the torn piece that opens it
+    edges = placed.where(top | left | right).select("file_no", "source", "start", "id", "value", (_odd_quotes("value") & ~lone).alias("torn"), top.alias("top"), row.alias("row")).checkpoint()
+    first = edges.where("top").select("file_no", "source", "value", "torn")
+    heads = first.where("NOT torn").select("file_no", "value")
+    rows = placed.select("file_no", top.alias("top"), "value")
+    if splits.agg(F.sum("n_torn")).first()[0]:
+        mended = (edges.where("row IS NOT NULL").groupBy("file_no", "row")
+                  .agg(F.max("top").alias("top"), F.sort_array(F.collect_list(F.struct("start", "id", "value"))).alias("p"))
+                  .select("file_no", "top", F.array_join("p.value", "]").alias("value")))
+        ordered = placed if small else placed.repartition("file", "start").sortWithinPartitions("file", "start", "id")
+        own = ordered.select("first", "file_no", "inside", lone, "value")
+        rows = own.mapInArrow(_whole_rows, "file_no long, top boolean, value string").union(mended)
+        if first.where("torn").limit(1).count():
+            begun = own.where("first = file_no").mapInArrow(_whole_rows, "file_no long, top boolean, value string").union(mended).where("top").select("file_no", "value")
+            heads = heads.union(begun.join(checked_broadcast(first.where("torn").select("file_no")), "file_no"))
+    bare = F.ltrim("value", F.lit(BLANKS + ",\ufeff"))
+    cells = F.from_json(F.concat(F.lit("["), F.ltrim(bare, F.lit(BLANKS + "[")), F.lit("]")), "array<string>")
+    body = rows.where(~F.col("top") & bare.startswith("[")).select("file_no", cells.alias("row"))
+    header = heads.select("file_no", cells.alias("header")).join(first.select("file_no", "source"), "file_no")
     if keys:
         places = [F.array_position("header", k).cast("int").alias(f"_p{i}") for i, k in enumerate(keys)]
-        found = body.join(checked_broadcast(header.select("file", *places)), "file")
+        found = body.join(checked_broadcast(header.select("file_no", "source", *places).checkpoint()), "file_no")
         return found.select("source", *[F.when(F.col(f"_p{i}") > 0, F.try_element_at("row", F.col(f"_p{i}"))).alias(k) for i, k in enumerate(keys)])
-    return body.join(checked_broadcast(header), "file").select("source", _cells().alias("cells"))
+    return body.join(checked_broadcast(header.checkpoint()), "file_no").select("source", _cells().alias("cells"))
+
+
+def _odd_quotes(col: str) -> Column:
+    """Whether a text holds an odd number of quotes that no backslash escapes."""
+    bare = F.replace(col, F.lit("\\\\"))                            # without escaped backslashes
+    escaped = F.shiftright(F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit('\\"'))), 1)
+    return (F.octet_length(col) - F.octet_length(F.replace(col, F.lit('"'))) + F.when(F.contains(col, F.lit("\\")), escaped).otherwise(0)) % 2 == 1
+
+
+def _matrix_splits(pieces: DataFrame) -> DataFrame:
+    """One row per split of matrix files, from its pieces (file, start, id, torn).
+
+    first (its first piece), file_no (that of the file), before and n_torn (torn pieces of the file before the split, and in it),
+    first_torn, last_torn, inside and ends_inside (whether it begins and ends within a row), lone (the file's last torn piece, if none closes it: counted nowhere).
+    """
+    torn_id = F.when(F.col("torn"), F.col("id"))
+    counted = pieces.groupBy("file", "start").agg(F.min("id").alias("first"), F.count_if("torn").alias("n_torn"),
+                                                  F.min(torn_id).alias("first_torn"), F.max(torn_id).alias("last_torn"))
+    whole = Window.partitionBy("file")
+    ahead = whole.orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    before, every = F.coalesce(F.sum("n_torn").over(ahead), F.lit(0)), F.sum("n_torn").over(whole)
+    paired = every - every % 2
+    lone = F.when((F.col("n_torn") > 0) & (F.col("before") + F.col("n_torn") > F.col("paired")), F.col("last_torn"))
+    n_torn = F.col("n_torn") - F.col("lone").isNotNull().cast("long")
+    return (counted.withColumns({"before": F.least(before, paired), "paired": paired, "file_no": F.min_by("first", "start").over(whole)})
+            .withColumn("lone", lone)
+            .select("file", "start", "first", "file_no", "before", n_torn.alias("n_torn"), F.nullif("first_torn", "lone").alias("first_torn"), "last_torn",
+                    (F.col("before") % 2 == 1).alias("inside"), ((F.col("before") + n_torn) % 2 == 1).alias("ends_inside"), "lone"))
+
+
+def _whole_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces, in the order of their splits, to the rows that lie whole in a split: file_no, top (a file's first), value."""
+    split, held, inside, top = None, [], False, False        # held: the pieces so far of a row that goes on
+    for batch in batches:
+        first, file_no, within, lone = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("first", "file_no", "inside", "lone"))
+        marks = pc.replace_substring(pc.replace_substring(batch.column("value"), "\\\\", ""), '\\"', "")       # without escaped backslashes, then escaped quotes
+        torn = (pc.count_substring(marks, '"').to_numpy(zero_copy_only=False) % 2 == 1) & ~lone
+        bounds = [0, *(np.flatnonzero(first[1:] != first[:-1]) + 1), len(first)] if len(first) else []
+        for a, b in zip(bounds, bounds[1:]):
+            if first[a] != split:
+                split, held, inside, top = first[a], [], within[a], first[a] == file_no[a]
+            values = batch.column("value").slice(a, b - a)
+            ends = np.flatnonzero((np.cumsum(torn[a:b]) + bool(held or inside)) % 2 == 0) + 1
+            if not len(ends):
+                if not inside:                               # what began in an earlier split is gathered elsewhere
+                    held.append(values)
+                continue
+            offsets = pa.array(np.concatenate(([0], ends)), pa.int32())
+            rows = pc.binary_join(pa.ListArray.from_arrays(offsets, values), pa.scalar("]", values.type))
+            if held:
+                begun = "]".join([x for h in held for x in h.to_pylist()] + [rows[0].as_py()])
+                rows = pa.concat_arrays([pa.array([begun], rows.type), rows.slice(1)])
+            rows = rows.slice(int(inside))
+            tops = np.zeros(len(rows), bool)
+            tops[:1] = top
+            held, inside, top = [values.slice(ends[-1])] if ends[-1] < b - a else [], False, False
+            if len(rows):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), file_no[a])), pa.array(tops), rows], ["file_no", "top", "value"])
 
 
 def _cells() -> Column:

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from panelspark.sources import readers
 from panelspark.sources import damaged_sheet_rows, matrix_rows, numbered_lines, read_json_matrix, read_sheet_set
 
 
@@ -59,6 +60,37 @@ def test_split_matrices_equal_whole_ones(spark, small_splits, tmp_path, keys):
     assert lines.rdd.getNumPartitions() > 3          # one file is many tasks' work
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_texts_longer_than_splits_and_texts_never_closed(spark, small_splits, tmp_path, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(readers, "fits_broadcast", lambda df: False)
+    long = 'x] " [,\\' * 1500                                  # over several splits
+    rows = [["A", "B"]] + [[f"{k}]" * (k % 3), long if k in (0, 7, 8) else "[y"] for k in range(40)]
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    (tmp_path / "b.json").write_text(json.dumps([["]" * 3000 + "A", "B"], ["1", "2"]]))       # so is the header
+    (tmp_path / "c.json").write_text('[["A","B"],' + '["1","a ] b"],' * 300 + '["open],["2","x"],' + ",".join(['["3","y"]'] * 300) + "]")
+    (tmp_path / "d.json").write_text('[["A,["1","2"]]')                                     # a header that is no JSON, and no row
+    got = sorted((r["source"], r["A"], r["B"]) for r in read_json_matrix(spark, str(tmp_path), ["A", "B"]).fillna("NULL").collect())
+    whole = [("a.json", a, b) for a, b in rows[1:]] + [("b.json", "NULL", "2")]
+    assert got == sorted(whole + [("c.json", "1", "a ] b")] * 300 + [("c.json", "NULL", "NULL"), ("c.json", "2", "x")] + [("c.json", "3", "y")] * 300)
+
+
+def test_only_rows_at_the_ends_of_splits_are_gathered(spark, tmp_path, monkeypatch):
+    for i in range(3):
+        (tmp_path / f"m{i}.json").write_text(json.dumps([["A", "B"]] + [[f"{k}", "a ] b"] for k in range(2000)]))
+    frame = type(spark.range(1))
+    kept, checkpoint = [], frame.checkpoint
+
+    def counting(df, *args, **kwargs):
+        out = checkpoint(df, *args, **kwargs)
+        kept.append(out.count())
+        return out
+    monkeypatch.setattr(frame, "checkpoint", counting)
+    rows = read_json_matrix(spark, str(tmp_path), ["A", "B"])
+    assert rows.count() == 6000 and rows.where("B = 'a ] b'").count() == 6000
+    assert kept and max(kept) <= 100                               # a row per split, and the pieces at its ends; not every torn row
+
+
 def test_title_rows_go_exactly_and_damaged_rows_stay(spark, small_splits, tmp_path):
     body = [f"20{k % 30:02},{k % 12 + 1},AK,T,\"Coal, hard\",{k}" for k in range(300)]
     body[7], body[150] = "20x1,2,AK,T,Coal,n/a", ",,,,,"
